@@ -41,3 +41,22 @@ def held_out(doc_id: Column, modulus: int, remainder: int) -> Column:
 def label_table(labels: DataFrame, label: str) -> DataFrame:
     """One row per labelled id; contradicting or repeated rows take the larger label, nulls drop out."""
     return labels.where(F.col("doc_id").isNotNull() & F.col(label).isNotNull()).groupBy("doc_id").agg(F.max(F.col(label).cast("int")).alias(label))
+
+
+def sampled(docs: DataFrame, ids: DataFrame, classes: list, per_class: int, most_chars: int = 20_000_000) -> list[tuple[str, int]]:
+    """Texts to fit on: of each class at most per_class rows of ids (doc_id, y), picked in a seeded order and
+    taken until they hold most_chars. Gives text and index of the class. Both bounds are the caller's parameters."""
+    picked = None
+    for k, y in enumerate(classes):
+        some = ids.where(F.col("y") == y).select("doc_id", F.lit(k).alias("k")).orderBy(F.xxhash64("doc_id"), "doc_id").limit(per_class)
+        picked = some if picked is None else picked.unionByName(some)
+    if picked is None:
+        return []
+    rows = docs.select("doc_id", "text").where("text is not null").join(F.broadcast(picked.distinct()), "doc_id")
+    out, chars = [], 0
+    for r in rows.orderBy(F.xxhash64("doc_id"), "text").limit(2 * per_class * len(classes)).toLocalIterator():
+        out.append((r["text"], r["k"]))
+        chars += len(r["text"])
+        if chars > most_chars:
+            break
+    return out

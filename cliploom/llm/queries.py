@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat
-from .common import table
+from . import chat, langid, toxicity
+from .common import held_out, label_table, table
 
 
 def op1_chat_examples(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -23,6 +23,26 @@ def op1_chat_examples(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.digest(chat.prefix_target_examples(turns.unionByName(extra)))
 
 
+def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    labels = label_table(table(spark, sf_dir, "labels"), "toxic").where(~held_out(F.col("doc_id"), 3, 1))
+    scored = toxicity.score(docs, toxicity.fit(docs, labels))
+    return scored.select(
+        "doc_id",
+        held_out(F.col("doc_id"), 3, 1).alias("held_out"),
+        "score",
+        (F.col("score") >= 0.7).cast("int").alias("predicted"),
+        F.size("toxic_spans").alias("n_spans"),
+    )
+
+
+def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    model = langid.fit(docs.where(~held_out(F.col("doc_id"), 4, 2)))
+    out = langid.label(docs.select("doc_id", "text"), model)
+    return out.select("doc_id", held_out(F.col("doc_id"), 4, 2).alias("held_out"), "lang_pred", "score")
+
+
 #: formatted_chars follows from the template: 4 + role + 1 code points before a reply, 11 + role + 1 before others, 4 or 12 behind.
 _OP1_SQL = r"""
 WITH rows AS (
@@ -52,6 +72,8 @@ FROM placed GROUP BY conv_id
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_chat_examples": op1_chat_examples,
+        "op3_toxicity": op3_toxicity,
+        "op10_language": op10_language,
     }
 
 
