@@ -1,6 +1,6 @@
 """A linear-chain conditional random field over words, in numpy.
 
-Emissions are sums of hashed feature weights of a word, transitions are learned. Forward-backward runs
+Emissions are sums of the weights of a word's features, transitions are learned. Forward-backward runs
 over the concatenated words of many documents at once: the chain is cut into equal blocks, every block's
 transfer matrix is found for all blocks together, blocks are linked one after the other, and a second
 sweep fills in the messages. That is exact, and costs the same for one long text as for many short ones.
@@ -8,8 +8,8 @@ sweep fills in the messages. That is exact, and costs the same for one long text
 
 from __future__ import annotations
 
-import zlib
 from collections.abc import Callable, Iterable
+from itertools import islice
 
 import numpy as np
 
@@ -18,18 +18,23 @@ CACHE_WORDS = 300_000
 #: Characters of text that are scored together.
 CHUNK_CHARS = 3_000_000
 
-Features = Callable[[str], list[int]]
+#: Steps between two rescalings of messages.
+RESCALE = 8
+#: Weights below this are left out of a fitted model.
+LEAST_WEIGHT = 0.02
 
-
-def hashed(name: str, bits: int) -> int:
-    return zlib.crc32(name.encode("utf-8", "surrogatepass")) & ((1 << bits) - 1)
+#: Gives a word's features, as strings, of its core (see Chain).
+Features = Callable[[str], list[str]]
 
 
 class _Ids(dict):
-    """Numbers words in the order of their first use."""
+    """Numbers tokens by their cores, in the order of first use."""
+
+    def __init__(self, core: Callable[[str], str]):
+        self.core, self.rows = core, {}
 
-    def __missing__(self, word: str) -> int:
-        self[word] = out = len(self)
+    def __missing__(self, token: str) -> int:
+        self[token] = out = self.rows.setdefault(self.core(token), len(self.rows))
         return out
 
 
@@ -50,45 +55,54 @@ def messages(emit: np.ndarray, starts: np.ndarray, init: np.ndarray, trans: np.n
 
     def sweep(step, entry):
         """Transfer matrices of all blocks, their chaining, then the messages inside the blocks."""
-        m = np.broadcast_to(np.eye(s), (nb, s, s))
-        for j in step.order:
+        m = np.tile(np.eye(s), (nb, 1, 1))
+        for k, j in enumerate(step.order):
             m = step(m, j)
-            m = m / m.max((1, 2))[:, None, None]
-        v = np.empty((nb, s))
+            if k % RESCALE == 0:
+                m /= m.max((1, 2))[:, None, None]
+        m /= m.max((1, 2))[:, None, None]
+        v = np.empty((nb, 1, s))
         at = entry
         for b in step.chain:
-            v[b] = at
+            v[b, 0] = at
             at = at @ m[b]
             at = at / at.sum()
         out = np.empty((nb, width, s))
-        v = v[:, None, :]
-        for j in step.order:
+        for k, j in enumerate(step.order):
             v = step(v, j)
-            v = v / v.sum(2)[:, :, None]
+            if k % RESCALE == 0:
+                v /= v.sum(2)[:, :, None]
             out[:, j] = v[:, 0]
+        out /= out.sum(2)[:, :, None]
         return out.reshape(-1, s)[:n]
 
+    def times(m, matrix):
+        return (m.reshape(-1, s) @ matrix).reshape(m.shape)
+
+    resets = [np.flatnonzero(st[:, j]) for j in range(width)]
+
     class Forward:
         order, chain = range(width), range(nb)
 
         def __call__(self, m, j):
-            x = (m @ trans) * e[:, j][:, None, :]
-            reset = st[:, j]
-            if reset.any():
-                x[reset] = (init * e[reset, j])[:, None, :]
+            x = times(m, trans) * e[:, j][:, None, :]
+            if len(r := resets[j]):
+                x[r] = (init * e[r, j])[:, None, :]
             return x
 
     # what the word after each one contributes backwards; a start behind it cuts the chain
     nxt = np.concatenate([e.reshape(-1, s)[1:], np.ones((1, s))]).reshape(nb, width, s)
     cut = np.concatenate([st.reshape(-1)[1:], [True]]).reshape(nb, width)
-    back = trans.T
+    back = trans.T.copy()
+    cuts = [np.flatnonzero(cut[:, j]) for j in range(width)]
 
     class Backward:
         order, chain = range(width - 1, -1, -1), range(nb - 1, -1, -1)
 
         def __call__(self, m, j):
-            x = (m * nxt[:, j][:, None, :]) @ back
-            x[cut[:, j]] = 1.0
+            x = times(m * nxt[:, j][:, None, :], back)
+            if len(c := cuts[j]):
+                x[c] = 1.0
             return x
 
     uniform = np.full(s, 1.0 / s)
@@ -96,34 +110,39 @@ def messages(emit: np.ndarray, starts: np.ndarray, init: np.ndarray, trans: np.n
 
 
 class Chain:
-    """The model: hashed feature weights (2**bits by states), transition weights and start weights."""
+    """The model: weights by feature and state, transition weights and start weights.
+
+    core maps a token to what its features are taken from; tokens of equal cores are the same to the model.
+    """
 
-    def __init__(self, states: int, bits: int, features: Features):
-        self.bits, self.features = bits, features
-        self.weights = np.zeros((1 << bits, states), np.float32)
+    def __init__(self, states: int, core: Callable[[str], str], features: Features):
+        self.core, self.features = core, features
+        self.index: dict[str, int] = {}
+        self.weights = np.zeros((1, states))  # row 0: features that weigh nothing
         self.trans, self.init = np.zeros((states, states)), np.zeros(states)
 
-    def scores(self, words: Iterable[str]) -> np.ndarray:
+    def scores(self, cores: Iterable[str]) -> np.ndarray:
         """Emission scores of words."""
-        lists = [self.features(w) for w in words]
-        if not lists:
+        flat, at, get, features = [], [], self.index.get, self.features
+        for w in cores:
+            at.append(len(flat))
+            flat += [get(x, 0) for x in features(w)]
+        if not at:
             return np.zeros((0, self.weights.shape[1]))
-        at = np.cumsum([0, *map(len, lists)])[:-1]
-        flat = np.fromiter((i for x in lists for i in x), np.int64)
-        return np.add.reduceat(self.weights[flat].astype(np.float64), at, axis=0)
+        return np.add.reduceat(self.weights[np.array(flat)], np.array(at), axis=0)
 
     def fit(self, words: list[str], ids: np.ndarray, starts: np.ndarray, gold: np.ndarray, rounds: int = 40, rate: float = 0.15, ridge: float = 1.0) -> None:
-        """Adam on the conditional log-likelihood with a ridge. ids: index into words of each token; gold: its state."""
+        """Adam on the conditional log-likelihood with a ridge. words: cores; ids: index into them of each token; gold: its state."""
         s = self.weights.shape[1]
-        lists = [self.features(w) for w in words]
-        flat = np.fromiter((i for x in lists for i in x), np.int64)
+        names: dict[str, int] = {}
+        lists = [[names.setdefault(x, len(names)) for x in self.features(w)] for w in words]
+        flat = np.array([i for x in lists for i in x])
         owner = np.repeat(np.arange(len(words)), [len(x) for x in lists])
-        used, flat = np.unique(flat, return_inverse=True)
         inner, first = np.flatnonzero(~starts), np.flatnonzero(starts)
         gold_t = np.zeros((s, s))
         np.add.at(gold_t, (gold[inner - 1], gold[inner]), 1)
         gold_i = np.bincount(gold[first], minlength=s)
-        params = [np.zeros((len(used), s)), self.trans, self.init]
+        params = [np.zeros((len(names), s)), self.trans, self.init]
         mean, square = [np.zeros_like(x) for x in params], [np.zeros_like(x) for x in params]
         for t in range(1, rounds + 1):
             by_word = np.stack([np.bincount(owner, params[0][flat, k], len(words)) for k in range(s)], 1)
@@ -138,13 +157,16 @@ class Chain:
             miss = -p
             miss[np.arange(len(ids)), gold] += 1
             by_word = np.stack([np.bincount(ids, miss[:, k], len(words)) for k in range(s)], 1)
-            grads = [np.stack([np.bincount(flat, by_word[owner, k], len(used)) for k in range(s)], 1), gold_t - pair.sum(0), gold_i - p[first].sum(0)]
+            grads = [np.stack([np.bincount(flat, by_word[owner, k], len(names)) for k in range(s)], 1), gold_t - pair.sum(0), gold_i - p[first].sum(0)]
             for x, g, m, v in zip(params, grads, mean, square, strict=True):
                 g -= ridge * x
                 m += 0.1 * (g - m)
                 v += 0.01 * (g * g - v)
                 x += rate * (m / (1 - 0.9**t)) / (np.sqrt(v / (1 - 0.99**t)) + 1e-8)
-        self.weights[used] = params[0]
+        kept = np.flatnonzero(np.abs(params[0]).max(1) >= LEAST_WEIGHT)
+        name_of = list(names)
+        self.index = {name_of[i]: k for k, i in enumerate(kept, 1)}
+        self.weights = np.vstack([np.zeros((1, s)), params[0][kept]])
 
     def marginals(self, emit: np.ndarray, starts: np.ndarray) -> np.ndarray:
         emit = np.exp(emit - emit.max(1, keepdims=True))
@@ -154,14 +176,14 @@ class Chain:
 
 
 class Tagger:
-    """Scores texts in chunks; words are looked up once and then kept. counts: whether a word counts, all if None."""
+    """Scores texts in chunks; words are looked up once and then kept. counts: whether a core counts, all if None."""
 
     def __init__(self, chain: Chain, counts: Callable[[str], bool] | None = None):
         self.chain, self.counts = chain, counts
         self._forget()
 
     def _forget(self) -> None:
-        self.ids, self.table, self.counted = _Ids(), np.zeros((0, self.chain.weights.shape[1])), np.zeros(0)
+        self.ids, self.table, self.counted = _Ids(self.chain.core), np.zeros((0, self.chain.weights.shape[1])), np.zeros(0)
 
     def __call__(self, texts: list[str]) -> Iterable[tuple[int, list[list[str]], np.ndarray, np.ndarray]]:
         """Yields chunks: index of the first text, words of each text, bounds of the texts, and by word its
@@ -178,8 +200,8 @@ class Tagger:
             words = [t.split() for t in texts[at:upto]]
             get = self.ids.__getitem__
             ids = [np.fromiter(map(get, w), np.int64, len(w)) for w in words]
-            if len(self.ids) > known:
-                fresh = list(self.ids)[known:]
+            if len(self.ids.rows) > known:
+                fresh = list(islice(self.ids.rows, known, None))
                 self.table = np.vstack([self.table, self.chain.scores(fresh)])
                 self.counted = np.concatenate([self.counted, [self.counts is None or self.counts(w) for w in fresh]])
             bounds = np.cumsum([0, *map(len, words)])

@@ -27,9 +27,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .common import sampled
-from .crf import Chain, Tagger, hashed
+from .crf import Chain, Tagger
 
-BITS = 18
 UNKNOWN = "und"
 #: Transition weights are held within this on either side.
 MOST_TRANSITION = 2.5
@@ -42,23 +41,20 @@ def _core(token: str) -> str:
 
 
 class Features:
-    """Feature numbers of a token; lexicon: word to language number."""
+    """Features of a word; lexicon: word to language number."""
 
     def __init__(self, lexicon: dict[str, int]):
         self.lexicon = lexicon
 
-    def __call__(self, token: str) -> list[int]:
-        w = _core(token)
-        if not w:
-            return [hashed("none", BITS)]
-        w = w[:40]
-        out = [hashed("bias", BITS)]
-        if w in self.lexicon:
-            out.append(hashed(f"lexicon={self.lexicon[w]}", BITS))
-        out += [hashed(f"p={w[:k]}", BITS) for k in range(1, min(4, len(w)) + 1)]
-        out += [hashed(f"s={w[-k:]}", BITS) for k in range(1, min(4, len(w)) + 1)]
-        out += [hashed(f"c={w[i : i + k]}", BITS) for k in (1, 2, 3) for i in range(min(len(w), 24) - k + 1)]
-        return out
+    def __call__(self, core: str) -> list[str]:
+        if not core:
+            return ["none"]
+        w = f"<{core[:40]}>"
+        n = len(w)
+        known = self.lexicon.get(core)
+        out = ["bias", *[w[:k] for k in range(2, min(6, n))], *[w[-k:] for k in range(2, min(6, n))], *[w[i : i + 3] for i in range(1, n - 3)]]
+        out += [*set(core[:40])]
+        return out if known is None else [*out, f"lexicon {known}"]
 
 
 def lexicon(texts: list[str], langs: list[int], most: int = 50_000) -> dict[str, int]:
@@ -88,7 +84,7 @@ def fit(docs: DataFrame, per_language: int = 400, rounds: int = 30) -> Model:
         return Model([], None)
     texts, gold_of = [r[0] for r in rows], [r[1] for r in rows]
     words_of = lexicon(texts, gold_of)
-    chain = Chain(len(langs), BITS, Features(words_of))
+    chain = Chain(len(langs), _core, Features(words_of))
     ids: dict[str, int] = {}
     flat, gold, starts = [], [], []
     for text, y in zip(texts, gold_of, strict=True):
@@ -117,7 +113,7 @@ def label(docs: DataFrame, model: Model, words: bool = False) -> DataFrame:
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         m = shared.value
-        tagger = Tagger(m.chain, lambda token: bool(_core(token))) if m.chain else None
+        tagger = Tagger(m.chain, bool) if m.chain else None
         for batch in batches:
             texts = ["" if t is None else t for t in batch["text"]]
             pred, score = [UNKNOWN] * len(texts), np.zeros(len(texts))

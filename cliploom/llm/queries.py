@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, langid, toxicity
+from . import chat, langid, quality, toxicity
 from .common import held_out, label_table, table
 
 
@@ -36,6 +36,15 @@ def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    labels = label_table(table(spark, sf_dir, "labels"), "quality").where(~held_out(F.col("doc_id"), 5, 0))
+    scored = quality.score(docs.select("doc_id", "text"), quality.fit(docs, labels))
+    return scored.select(
+        "doc_id", held_out(F.col("doc_id"), 5, 0).alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted")
+    )
+
+
 def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
     model = langid.fit(docs.where(~held_out(F.col("doc_id"), 4, 2)))
@@ -73,6 +82,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_chat_examples": op1_chat_examples,
         "op3_toxicity": op3_toxicity,
+        "op6_quality": op6_quality,
         "op10_language": op10_language,
     }
 

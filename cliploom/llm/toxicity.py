@@ -28,9 +28,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .common import sampled
-from .crf import Chain, Tagger, hashed
+from .crf import Chain, Tagger
 
-BITS = 18
 _WORD = re.compile(r"\w+")
 SPANS = "array<struct<start:int,end:int,p:double>>"
 
@@ -40,14 +39,13 @@ def _core(token: str) -> str:
     return m[0].lower() if m else ""
 
 
-def features(token: str) -> list[int]:
-    w = _core(token)
-    out = [hashed("bias", BITS)]
-    if w:
-        out += [hashed(f"w={w[:40]}", BITS), hashed(f"n={min(len(w), 20)}", BITS)]
-        out += [hashed(f"p={w[:k]}", BITS) for k in range(2, min(7, len(w)) + 1)]
-        out += [hashed(f"s={w[-k:]}", BITS) for k in range(2, min(5, len(w)) + 1)]
-    return out
+def features(core: str) -> list[str]:
+    """The word, its length, beginnings of 2 to 7 and endings of 2 to 5 letters."""
+    if not core:
+        return ["none"]
+    w = f"<{core[:40]}>"
+    n = len(w)
+    return ["bias", w, f"{min(n, 22)}", *[w[:k] for k in range(3, min(9, n))], *[w[-k:] for k in range(3, min(7, n))]]
 
 
 def lexicon(texts: list[str], toxic: list[int]) -> set[str]:
@@ -108,7 +106,7 @@ def fit(docs: DataFrame, labels: DataFrame, per_class: int = 1500, rounds: int =
     """labels: doc_id and toxic, training rows alone. per_class bounds what the driver sees of either label."""
     rows = sampled(docs, labels.select("doc_id", F.col("toxic").alias("y")), [0, 1], per_class)
     texts, toxic = [r[0] for r in rows], [r[1] for r in rows]
-    chain = Chain(2, BITS, features)
+    chain = Chain(2, _core, features)
     prior = float(np.mean(toxic)) if toxic else 0.0
     if len(set(toxic)) < 2:
         return Model(chain, np.zeros(4), prior, False)
