@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, langid, quality, toxicity
+from . import chat, langid, mixing, quality, toxicity
 from .common import held_out, label_table, table
 
 
@@ -36,6 +36,20 @@ def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def mixed(docs: DataFrame) -> DataFrame:
+    """All documents with size, source_size, target and taken; each belongs to the one source it names."""
+    sized = docs.select("doc_id", F.array("source").alias("sources"), mixing.words(F.col("text")).alias("size"))
+    out, sources = mixing.mix(sized)
+    # one row per source, which the mix has already held on the driver
+    known = docs.sparkSession.createDataFrame([(s, *x) for s, x in sources.items()], "source string, source_size long, target double")
+    out = out.withColumn("source", F.element_at("sources", 1))
+    return out.join(F.broadcast(known), out["source"].eqNullSafe(known["source"])).select("doc_id", "size", "source_size", "target", "taken")
+
+
+def op4_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixed(table(spark, sf_dir, "documents").select("doc_id", "text", "source"))
+
+
 def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     labels = label_table(table(spark, sf_dir, "labels"), "quality").where(~held_out(F.col("doc_id"), 5, 0))
@@ -82,6 +96,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_chat_examples": op1_chat_examples,
         "op3_toxicity": op3_toxicity,
+        "op4_mix": op4_mix,
         "op6_quality": op6_quality,
         "op10_language": op10_language,
     }
