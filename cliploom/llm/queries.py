@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, langid, mixing, quality, toxicity
+from . import chat, langid, mixing, mpeg, quality, toxicity
 from .common import held_out, label_table, table
 
 
@@ -59,6 +59,10 @@ def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op9_mpeg_audio(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mpeg.stored_texts(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
     model = langid.fit(docs.where(~held_out(F.col("doc_id"), 4, 2)))
@@ -98,6 +102,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op3_toxicity": op3_toxicity,
         "op4_mix": op4_mix,
         "op6_quality": op6_quality,
+        "op9_mpeg_audio": op9_mpeg_audio,
         "op10_language": op10_language,
     }
 
