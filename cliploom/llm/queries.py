@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, langid, mixing, mpeg, quality, toxicity
+from . import chat, langid, mixing, mpeg, quality, toxicity, wrappers
 from .common import held_out, label_table, table
 
 
@@ -59,6 +59,11 @@ def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op8_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = wrappers.main_texts(table(spark, sf_dir, "pages").select("page_id", "url", "html"))
+    return out.withColumn("n_chars", F.length("text").cast("long"))
+
+
 def op9_mpeg_audio(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mpeg.stored_texts(table(spark, sf_dir, "documents").select("doc_id", "text"))
 
@@ -102,6 +107,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op3_toxicity": op3_toxicity,
         "op4_mix": op4_mix,
         "op6_quality": op6_quality,
+        "op8_html_text": op8_html_text,
         "op9_mpeg_audio": op9_mpeg_audio,
         "op10_language": op10_language,
     }
