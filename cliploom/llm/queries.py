@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, langid, mixing, mpeg, quality, toxicity, wrappers
+from . import chat, decontam, langid, linededup, mixing, mpeg, quality, toxicity, wrappers
 from .common import held_out, label_table, table
 
 
@@ -23,6 +23,47 @@ def op1_chat_examples(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.digest(chat.prefix_target_examples(turns.unionByName(extra)))
 
 
+def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return decontam.overlaps(docs, table(spark, sf_dir, "benchmark").select("item_id", "text"))
+
+
+#: Masks as in decontam.MASKS; a stretch's score is a difference of running sums.
+_OP2_SQL = r"""
+WITH d AS (SELECT doc_id, regexp_extract_all(lower(coalesce(text, '')), '[\p{L}\p{N}]+') AS w FROM documents),
+b AS (SELECT item_id, regexp_extract_all(lower(coalesce(text, '')), '[\p{L}\p{N}]+') AS w FROM benchmark),
+dp AS (SELECT doc_id, w, unnest(range(1, len(w) - 8)) AS p FROM d),
+bp AS (SELECT item_id, w, unnest(range(1, len(w) - 8)) AS p FROM b),
+ds AS (
+  SELECT doc_id, p, concat_ws(' ', 0, w[p], w[p+1], w[p+3], w[p+4], w[p+7], w[p+9]) AS s FROM dp
+  UNION ALL SELECT doc_id, p, concat_ws(' ', 1, w[p], w[p+2], w[p+3], w[p+5], w[p+8], w[p+9]) FROM dp
+), bs AS (
+  SELECT item_id, p, concat_ws(' ', 0, w[p], w[p+1], w[p+3], w[p+4], w[p+7], w[p+9]) AS s FROM bp
+  UNION ALL SELECT item_id, p, concat_ws(' ', 1, w[p], w[p+2], w[p+3], w[p+5], w[p+8], w[p+9]) FROM bp
+), hits AS (
+  SELECT DISTINCT doc_id, item_id, ds.p - bs.p AS diagonal FROM ds JOIN bs USING (s)
+), cells AS (
+  SELECT h.*, b.w AS bw, d.w AS dw, unnest(range(1, len(b.w) + 1)) AS k
+  FROM hits h JOIN b USING (item_id) JOIN d USING (doc_id)
+), scored AS (
+  SELECT doc_id, item_id, diagonal, k, (diagonal + k >= 1 AND coalesce(dw[diagonal + k], '') = bw[k])::INT AS e FROM cells
+), sums AS (
+  SELECT *, sum(3 * e - 2) OVER w AS s, sum(e) OVER w AS m
+  FROM scored WINDOW w AS (PARTITION BY doc_id, item_id, diagonal ORDER BY k ROWS UNBOUNDED PRECEDING)
+), starts AS (
+  SELECT a.doc_id, a.item_id, a.diagonal, a.k AS upto, a.s - x.s AS score, x.k AS start, a.m - x.m AS n_matches
+  FROM sums a JOIN (SELECT doc_id, item_id, diagonal, k, s, m FROM sums UNION ALL SELECT doc_id, item_id, diagonal, 0, 0, 0 FROM hits) x
+    USING (doc_id, item_id, diagonal)
+  WHERE x.k < a.k
+), best AS (
+  SELECT * FROM starts QUALIFY row_number() OVER (PARTITION BY doc_id, item_id, diagonal ORDER BY score DESC, upto, start DESC) = 1
+)
+SELECT doc_id, item_id, CAST(diagonal + start AS BIGINT) AS doc_start, CAST(upto - start AS BIGINT) AS n_words, CAST(n_matches AS BIGINT) AS n_matches
+FROM best WHERE n_matches >= 10 AND n_matches >= 0.75 * (upto - start)
+QUALIFY row_number() OVER (PARTITION BY doc_id, item_id ORDER BY n_matches DESC, diagonal + start, upto - start) = 1
+"""
+
+
 def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     labels = label_table(table(spark, sf_dir, "labels"), "toxic").where(~held_out(F.col("doc_id"), 3, 1))
@@ -50,6 +91,43 @@ def op4_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed(table(spark, sf_dir, "documents").select("doc_id", "text", "source"))
 
 
+def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = linededup.remove_repeats(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return out.select("doc_id", "text", F.col("_lines").cast("long").alias("n_lines"), F.col("_gone").cast("long").alias("n_removed"))
+
+
+_OP5_SQL = r"""
+WITH lines AS (
+  SELECT doc_id, unnest(string_split(text, chr(10))) AS line, generate_subscripts(string_split(text, chr(10)), 1) AS n FROM documents
+), bare AS (
+  SELECT *, regexp_replace(line, '^[ 	-]+|[ 	-]+$', '', 'g') AS x FROM lines
+), seq AS (
+  SELECT doc_id, n, x, row_number() OVER (PARTITION BY doc_id ORDER BY n) AS i, len(regexp_extract_all(x, '[^ 	-]+')) AS w
+  FROM bare WHERE x <> ''
+), cum AS (
+  SELECT *, sum(w) OVER (PARTITION BY doc_id ORDER BY i ROWS UNBOUNDED PRECEDING) AS c FROM seq
+), runs AS (
+  SELECT a.doc_id, a.i AS a, min(b.i) AS b FROM cum a JOIN cum b ON a.doc_id = b.doc_id AND b.i >= a.i AND b.c - a.c + a.w >= 50 GROUP BY ALL
+  UNION
+  SELECT a.doc_id, max(a.i) AS a, b.i AS b FROM cum a JOIN cum b ON a.doc_id = b.doc_id AND b.i >= a.i AND b.c - a.c + a.w >= 50 GROUP BY a.doc_id, b.i
+), keyed AS (
+  SELECT r.doc_id, r.a, r.b, string_agg(c.x, chr(10) ORDER BY c.i) AS k
+  FROM runs r JOIN cum c ON c.doc_id = r.doc_id AND c.i BETWEEN r.a AND r.b GROUP BY ALL
+), later AS (
+  SELECT *, row_number() OVER (PARTITION BY k ORDER BY doc_id, a) > 1 AS again FROM keyed
+), gone AS (
+  SELECT DISTINCT c.doc_id, c.n FROM later l JOIN cum c ON c.doc_id = l.doc_id AND c.i BETWEEN l.a AND l.b WHERE l.again
+), rest AS (
+  SELECT b.doc_id, string_agg(b.line, chr(10) ORDER BY b.n) FILTER (WHERE g.n IS NULL) AS text,
+    count(*) FILTER (WHERE x <> '') AS n_lines, count(g.n) AS n_removed
+  FROM bare b LEFT JOIN gone g USING (doc_id, n) GROUP BY b.doc_id
+)
+SELECT doc_id, CASE WHEN n_removed = 0 THEN d.text WHEN n_removed = n_lines THEN '' ELSE rest.text END AS text,
+  coalesce(n_lines, 0) AS n_lines, coalesce(n_removed, 0) AS n_removed
+FROM documents d LEFT JOIN rest USING (doc_id)
+"""
+
+
 def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     labels = label_table(table(spark, sf_dir, "labels"), "quality").where(~held_out(F.col("doc_id"), 5, 0))
@@ -104,8 +182,10 @@ FROM placed GROUP BY conv_id
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_chat_examples": op1_chat_examples,
+        "op2_decontamination": op2_decontamination,
         "op3_toxicity": op3_toxicity,
         "op4_mix": op4_mix,
+        "op5_line_dedup": op5_line_dedup,
         "op6_quality": op6_quality,
         "op8_html_text": op8_html_text,
         "op9_mpeg_audio": op9_mpeg_audio,
@@ -114,4 +194,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_chat_examples": _OP1_SQL}
+    return {"op1_chat_examples": _OP1_SQL, "op2_decontamination": _OP2_SQL, "op5_line_dedup": _OP5_SQL}
