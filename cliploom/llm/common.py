@@ -43,7 +43,7 @@ def label_table(labels: DataFrame, label: str) -> DataFrame:
     return labels.where(F.col("doc_id").isNotNull() & F.col(label).isNotNull()).groupBy("doc_id").agg(F.max(F.col(label).cast("int")).alias(label))
 
 
-def sampled(docs: DataFrame, ids: DataFrame, classes: list, per_class: int, most_chars: int = 20_000_000) -> list[tuple[str, int]]:
+def sampled(docs: DataFrame, ids: DataFrame, classes: list, per_class: int, most_chars: int = 8_000_000) -> list[tuple[str, int]]:
     """Texts to fit on: of each class at most per_class rows of ids (doc_id, y), picked in a seeded order and
     taken until they hold most_chars. Gives text and index of the class. Both bounds are the caller's parameters."""
     picked = None

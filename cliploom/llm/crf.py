@@ -20,6 +20,8 @@ CHUNK_CHARS = 3_000_000
 
 #: Steps between two rescalings of messages.
 RESCALE = 8
+#: Words that fitting looks at together.
+FIT_TOKENS = 100_000
 #: Weights below this are left out of a fitted model.
 LEAST_WEIGHT = 0.02
 
@@ -138,26 +140,32 @@ class Chain:
         lists = [[names.setdefault(x, len(names)) for x in self.features(w)] for w in words]
         flat = np.array([i for x in lists for i in x])
         owner = np.repeat(np.arange(len(words)), [len(x) for x in lists])
-        inner, first = np.flatnonzero(~starts), np.flatnonzero(starts)
-        gold_t = np.zeros((s, s))
-        np.add.at(gold_t, (gold[inner - 1], gold[inner]), 1)
-        gold_i = np.bincount(gold[first], minlength=s)
+        firsts = np.flatnonzero(starts)
+        cuts = [0, *(int(firsts[k]) for k in np.unique(np.searchsorted(firsts, np.arange(FIT_TOKENS, len(ids), FIT_TOKENS))) if k < len(firsts)), len(ids)]
         params = [np.zeros((len(names), s)), self.trans, self.init]
         mean, square = [np.zeros_like(x) for x in params], [np.zeros_like(x) for x in params]
         for t in range(1, rounds + 1):
-            by_word = np.stack([np.bincount(owner, params[0][flat, k], len(words)) for k in range(s)], 1)
-            emit = by_word[ids]
-            emit = np.exp(emit - emit.max(1, keepdims=True))
-            trans = np.exp(self.trans)
-            a, b = messages(emit, starts, np.exp(self.init), trans)
-            p = a * b
-            p /= p.sum(1, keepdims=True)
-            pair = a[inner - 1][:, :, None] * trans * (emit[inner] * b[inner])[:, None, :]
-            pair /= pair.sum((1, 2))[:, None, None]
-            miss = -p
-            miss[np.arange(len(ids)), gold] += 1
-            by_word = np.stack([np.bincount(ids, miss[:, k], len(words)) for k in range(s)], 1)
-            grads = [np.stack([np.bincount(flat, by_word[owner, k], len(names)) for k in range(s)], 1), gold_t - pair.sum(0), gold_i - p[first].sum(0)]
+            score = np.stack([np.bincount(owner, params[0][flat, k], len(words)) for k in range(s)], 1)
+            trans, init = np.exp(self.trans), np.exp(self.init)
+            by_word, grad_t, grad_i = np.zeros_like(score), np.zeros_like(trans), np.zeros_like(init)
+            for lo, hi in zip(cuts, cuts[1:]):  # whole sequences, so many words at a time
+                i, y, st = ids[lo:hi], gold[lo:hi], starts[lo:hi]
+                inner, first = np.flatnonzero(~st), np.flatnonzero(st)
+                emit = score[i]
+                emit = np.exp(emit - emit.max(1, keepdims=True))
+                a, b = messages(emit, st, init, trans)
+                p = a * b
+                p /= p.sum(1, keepdims=True)
+                pair = a[inner - 1][:, :, None] * trans * (emit[inner] * b[inner])[:, None, :]
+                pair /= pair.sum((1, 2))[:, None, None]
+                np.add.at(grad_t, (y[inner - 1], y[inner]), 1)
+                grad_t -= pair.sum(0)
+                grad_i += np.bincount(y[first], minlength=s) - p[first].sum(0)
+                miss = -p
+                miss[np.arange(len(i)), y] += 1
+                for k in range(s):
+                    by_word[:, k] += np.bincount(i, miss[:, k], len(words))
+            grads = [np.stack([np.bincount(flat, by_word[owner, k], len(names)) for k in range(s)], 1), grad_t, grad_i]
             for x, g, m, v in zip(params, grads, mean, square, strict=True):
                 g -= ridge * x
                 m += 0.1 * (g - m)

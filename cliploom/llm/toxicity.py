@@ -17,7 +17,8 @@ of both labels every score is the share of toxic labels (0 without labels); colu
 from __future__ import annotations
 
 import re
-from collections import defaultdict
+from array import array
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -50,25 +51,21 @@ def features(core: str) -> list[str]:
 
 def lexicon(texts: list[str], toxic: list[int]) -> set[str]:
     """Words and beginnings of 4 to 6 letters that mark toxic texts: by distinct contexts, z of 4 at least."""
-    contexts: list[dict[str, set[int]]] = [defaultdict(set), defaultdict(set)]
-    total = [set(), set()]
+    counts: list[Counter[str]] = [Counter(), Counter()]
+    known: list[set[int]] = [set(), set()]
     for text, y in zip(texts, toxic, strict=True):
         words = [""] + [_core(t) for t in text.split()] + [""]
         for a, w, b in zip(words, words[1:], words[2:]):
-            if len(w) > 2:
-                c = hash((a, w, b))
-                if c not in total[y]:
-                    total[y].add(c)
-                    for x in {f"w={w}", *(f"p={w[:k]}" for k in (4, 5, 6) if len(w) >= k)}:
-                        contexts[y][x].add(c)
-    n = [max(1, len(t)) for t in total]
+            if len(w) > 2 and (c := hash((a, w, b))) not in known[y]:
+                known[y].add(c)
+                counts[y].update({f"w={w}", *(f"p={w[:k]}" for k in (4, 5, 6) if len(w) >= k)})
+    n = [max(1, len(x)) for x in known]
     base = n[1] / (n[0] + n[1])
     out = set()
-    for x, seen in contexts[1].items():
-        pos, neg = len(seen), len(contexts[0].get(x, ()))
-        share = pos / (pos + neg)
+    for x, pos in counts[1].items():
+        neg = counts[0][x]
         adjusted = (pos / n[1]) / (pos / n[1] + neg / n[0])
-        if adjusted >= 0.9 and (share - base) / np.sqrt(base * (1 - base) / (pos + neg)) >= 4:
+        if adjusted >= 0.9 and (pos / (pos + neg) - base) / np.sqrt(base * (1 - base) / (pos + neg)) >= 4:
             out.add(x)
     return out
 
@@ -102,7 +99,7 @@ def _evidence(bounds: np.ndarray, p: np.ndarray) -> np.ndarray:
     return np.stack([np.ones(len(n)), np.log1p(total), np.log1p(1000 * total / np.maximum(n, 1)), top], 1)
 
 
-def fit(docs: DataFrame, labels: DataFrame, per_class: int = 1500, rounds: int = 40) -> Model:
+def fit(docs: DataFrame, labels: DataFrame, per_class: int = 1200, rounds: int = 40) -> Model:
     """labels: doc_id and toxic, training rows alone. per_class bounds what the driver sees of either label."""
     rows = sampled(docs, labels.select("doc_id", F.col("toxic").alias("y")), [0, 1], per_class)
     texts, toxic = [r[0] for r in rows], [r[1] for r in rows]
@@ -112,7 +109,7 @@ def fit(docs: DataFrame, labels: DataFrame, per_class: int = 1500, rounds: int =
         return Model(chain, np.zeros(4), prior, False)
     marks = lexicon(texts, toxic)
     ids: dict[str, int] = {}
-    flat, gold, starts = [], [], []
+    flat, gold, starts = array("i"), array("b"), array("b")
     for text, y in rows:
         for k, token in enumerate(text.split()):
             w = _core(token)
@@ -121,7 +118,7 @@ def fit(docs: DataFrame, labels: DataFrame, per_class: int = 1500, rounds: int =
             starts.append(k == 0)
     if not any(gold):
         return Model(chain, np.zeros(4), prior, False)
-    chain.fit(list(ids), np.array(flat), np.array(starts), np.array(gold), rounds)
+    chain.fit(list(ids), np.array(flat), np.array(starts, bool), np.array(gold), rounds)
     found = np.vstack([_evidence(bounds, p) for _, _, bounds, p in Tagger(chain)(texts)])
     return Model(chain, _logistic(found, np.array(toxic, float)), prior, True)
 
