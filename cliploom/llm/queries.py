@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, decontam, langid, linededup, mixing, mpeg, quality, toxicity, wrappers
+from . import chat, decontam, langid, linededup, mixing, mpeg, ngramjoin, quality, toxicity, wrappers
 from .common import held_out, label_table, table
 
 
@@ -100,9 +100,12 @@ _OP5_SQL = r"""
 WITH lines AS (
   SELECT doc_id, unnest(string_split(text, chr(10))) AS line, generate_subscripts(string_split(text, chr(10)), 1) AS n FROM documents
 ), bare AS (
-  SELECT *, regexp_replace(line, '^[ 	-]+|[ 	-]+$', '', 'g') AS x FROM lines
+  SELECT *, regexp_replace(line, '^[ 	-
+]+|[ 	-
+]+$', '', 'g') AS x FROM lines
 ), seq AS (
-  SELECT doc_id, n, x, row_number() OVER (PARTITION BY doc_id ORDER BY n) AS i, len(regexp_extract_all(x, '[^ 	-]+')) AS w
+  SELECT doc_id, n, x, row_number() OVER (PARTITION BY doc_id ORDER BY n) AS i, len(regexp_extract_all(x, '[^ 	-
+]+')) AS w
   FROM bare WHERE x <> ''
 ), cum AS (
   SELECT *, sum(w) OVER (PARTITION BY doc_id ORDER BY i ROWS UNBOUNDED PRECEDING) AS c FROM seq
@@ -137,6 +140,10 @@ def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op7_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngramjoin.components(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 def op8_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = wrappers.main_texts(table(spark, sf_dir, "pages").select("page_id", "url", "html"))
     return out.withColumn("n_chars", F.length("text").cast("long"))
@@ -187,6 +194,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op4_mix": op4_mix,
         "op5_line_dedup": op5_line_dedup,
         "op6_quality": op6_quality,
+        "op7_ngram_join": op7_ngram_join,
         "op8_html_text": op8_html_text,
         "op9_mpeg_audio": op9_mpeg_audio,
         "op10_language": op10_language,
