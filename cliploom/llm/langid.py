@@ -16,6 +16,7 @@ columns besides ``doc_id`` and ``text`` pass through.
 from __future__ import annotations
 
 import re
+from array import array
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -32,6 +33,8 @@ from .crf import Chain, Tagger
 UNKNOWN = "und"
 #: Transition weights are held within this on either side.
 MOST_TRANSITION = 2.5
+#: Characters of text that the model is fitted on at most.
+FIT_CHARS = 3_000_000
 _LETTERS = re.compile(r"[^\W\d_]+")
 
 
@@ -79,14 +82,14 @@ def fit(docs: DataFrame, per_language: int = 400, rounds: int = 30) -> Model:
     """docs: text and lang of training rows alone. per_language bounds what the driver sees of each language."""
     known = docs.where("doc_id is not null and text is not null and lang is not null")
     langs = sorted(r[0] for r in known.select("lang").distinct().toLocalIterator())
-    rows = sampled(known, known.select("doc_id", F.col("lang").alias("y")).distinct(), langs, per_language)
+    rows = sampled(known, known.select("doc_id", F.col("lang").alias("y")).distinct(), langs, per_language, FIT_CHARS)
     if not rows:
         return Model([], None)
     texts, gold_of = [r[0] for r in rows], [r[1] for r in rows]
     words_of = lexicon(texts, gold_of)
     chain = Chain(len(langs), _core, Features(words_of))
     ids: dict[str, int] = {}
-    flat, gold, starts = [], [], []
+    flat, gold, starts = array("i"), array("i"), array("b")
     for text, y in zip(texts, gold_of, strict=True):
         fresh = True
         for token in text.split():
@@ -96,7 +99,7 @@ def fit(docs: DataFrame, per_language: int = 400, rounds: int = 30) -> Model:
                 starts.append(fresh)
                 fresh = False
     if flat:
-        chain.fit(list(ids), np.array(flat), np.array(starts), np.array(gold), rounds)
+        chain.fit(list(ids), np.array(flat), np.array(starts, bool), np.array(gold), rounds)
         # a training document has one label for all its words, so a switch was never seen: keep it possible
         chain.trans = np.clip(chain.trans, -MOST_TRANSITION, MOST_TRANSITION)
     return Model(langs, chain if flat else None)

@@ -32,6 +32,8 @@ from .common import sampled
 from .crf import Chain, Tagger
 
 _WORD = re.compile(r"\w+")
+#: Characters of text that the model is fitted on at most.
+FIT_CHARS = 5_000_000
 SPANS = "array<struct<start:int,end:int,p:double>>"
 
 
@@ -101,7 +103,7 @@ def _evidence(bounds: np.ndarray, p: np.ndarray) -> np.ndarray:
 
 def fit(docs: DataFrame, labels: DataFrame, per_class: int = 1200, rounds: int = 40) -> Model:
     """labels: doc_id and toxic, training rows alone. per_class bounds what the driver sees of either label."""
-    rows = sampled(docs, labels.select("doc_id", F.col("toxic").alias("y")), [0, 1], per_class)
+    rows = sampled(docs, labels.select("doc_id", F.col("toxic").alias("y")), [0, 1], per_class, FIT_CHARS)
     texts, toxic = [r[0] for r in rows], [r[1] for r in rows]
     chain = Chain(2, _core, features)
     prior = float(np.mean(toxic)) if toxic else 0.0
