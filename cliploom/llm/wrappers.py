@@ -282,7 +282,8 @@ def _joined(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for host, w in zip(batch["host"], batch["wrapper"], strict=True):
             w = json.loads(w)
             held[host] = w if host not in held else _unify(held[host], w)
-    yield pd.DataFrame({"host": list(held), "wrapper": [json.dumps(w) for w in held.values()]}, dtype=object)
+    if held:
+        yield pd.DataFrame({"host": list(held), "wrapper": [json.dumps(w) for w in held.values()]}, dtype=object)
 
 
 def host_wrappers(pages: DataFrame, html: str = "html") -> DataFrame:
@@ -296,7 +297,8 @@ def host_wrappers(pages: DataFrame, html: str = "html") -> DataFrame:
             if len(held) > 2000:
                 yield pd.DataFrame({"host": list(held), "wrapper": [json.dumps(w) for w in held.values()]}, dtype=object)
                 held = {}
-        yield pd.DataFrame({"host": list(held), "wrapper": [json.dumps(w) for w in held.values()]}, dtype=object)
+        if held:
+            yield pd.DataFrame({"host": list(held), "wrapper": [json.dumps(w) for w in held.values()]}, dtype=object)
 
     def finish(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in _joined(batches):
