@@ -69,7 +69,8 @@ def _windows(lines: DataFrame, least_words: int) -> DataFrame:
                     first = np.searchsorted(upto, upto[1:] - least_words, side="right") - 1
                     found |= {(a, b + 1) for b, a in enumerate(first) if a >= 0}
                     out += [(d, t, int(i[part[0]] + a), int(b - a)) for a, b in found]
-            yield pd.DataFrame(out, columns=["d", "t", "start", "size"])
+            if out:
+                yield pd.DataFrame(out, columns=["d", "t", "start", "size"])
 
     grouped = lines.groupBy(*KEY).agg(F.array_sort(F.collect_list(F.struct("i", "w"))).alias("lines"))
     return grouped.mapInPandas(run, "d long, t long, start int, size int")
