@@ -2,5 +2,610 @@
 
 from __future__ import annotations
 
-QUERIES = {}
-ORACLES = {}
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql.window import Window
+
+from ..functions import media, numbers, text
+from ..operators import buckets, manifests, review, spans, splits, tags, words
+from ..sources import jsonl, sinks
+from . import bindings as b
+
+Query = Callable[[SparkSession, str], DataFrame]
+QUERIES: dict[str, Query] = {}
+ORACLES: dict[str, str] = {}
+
+
+def query(sql: str | None = None) -> Callable[[Query], Query]:
+    """Registers a query under its function's name, with its SQL if it has one."""
+
+    def put(f: Query) -> Query:
+        QUERIES[f.__name__] = f
+        if sql is not None:
+            ORACLES[f.__name__] = sql
+        return f
+
+    return put
+
+
+# Shared SQL. Captions are documents; blocks are their lines without section labels.
+_P = "'[a-z0-9]+(?:''[a-z0-9]+)*'"
+_BLOCKS = rf"""
+WITH raw AS (SELECT unnest(string_split(text, chr(10))) AS line FROM documents),
+bodies AS (SELECT regexp_replace(trim(line, E' \t\r\n'), '(?is)^(?:SCENE_OVERVIEW|VISUAL_DETAILS|DIALOGUE|OTHER_SOUNDS)\s*:?\s*(.*)$', '\1') AS line FROM raw),
+blocks AS (SELECT t FROM (SELECT list_filter(regexp_extract_all(lower(line), {_P}), lambda x: x <> 'none') AS t FROM bodies) WHERE len(t) > 0),
+words AS (SELECT unnest(t) AS word FROM blocks),
+pairs AS (SELECT t[i] || ' ' || t[i + 1] AS bigram FROM (SELECT t, unnest(range(1, len(t))) AS i FROM blocks))
+"""
+_CLIPS = f"""
+WITH tok AS (SELECT doc_id, unnest(t) AS tag, generate_subscripts(t, 1) AS p FROM (
+  SELECT doc_id, list_filter(regexp_extract_all(lower(text), {_P}), lambda x: x <> 'none' AND length(x) >= 4) AS t FROM documents)),
+firsts AS (SELECT doc_id, tag, min(p) AS p FROM tok GROUP BY ALL),
+kept AS (SELECT doc_id, tag FROM firsts QUALIFY row_number() OVER (PARTITION BY doc_id ORDER BY p) <= 8),
+clips AS (SELECT doc_id, lang || '/doc_' || doc_id || '.mp4' AS clip_relpath, lang || '-' || source AS source_id FROM documents),
+tagged AS (SELECT clip_relpath, source_id, tag FROM clips JOIN kept USING (doc_id))
+"""
+_SPANS = """
+WITH frames AS (
+  SELECT user_id AS video, row_number() OVER w - 1 AS frame, value / 500 AS score, count(*) OVER (PARTITION BY user_id) AS duration
+  FROM events WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id)
+), hot AS (
+  SELECT *, frame - row_number() OVER (PARTITION BY video ORDER BY frame) AS run FROM frames WHERE score >= 0.35
+), unsafe AS (
+  SELECT video, greatest(0.0, min(frame) - 1.25)::DOUBLE AS start, least(any_value(duration), max(frame) + 1 + 1.25)::DOUBLE AS "end" FROM hot GROUP BY video, run
+), flagged AS (
+  SELECT *, max("end") OVER (PARTITION BY video ORDER BY start, "end" ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS before FROM unsafe
+), islands AS (
+  SELECT *, sum(CASE WHEN before IS NULL OR start > before + 1e-9 THEN 1 ELSE 0 END) OVER (PARTITION BY video ORDER BY start, "end" ROWS UNBOUNDED PRECEDING) AS n FROM flagged
+), merged AS (
+  SELECT video, min(start) AS start, max("end") AS "end" FROM islands GROUP BY video, n
+), lengths AS (SELECT DISTINCT video, duration::DOUBLE AS duration FROM frames),
+gaps AS (
+  SELECT video, lag("end", 1, 0.0) OVER (PARTITION BY video ORDER BY start) AS start, start AS "end" FROM merged
+  UNION ALL SELECT video, coalesce(m, 0.0), duration FROM lengths LEFT JOIN (SELECT video, max("end") AS m FROM merged GROUP BY video) USING (video)
+), safe AS (SELECT * FROM gaps WHERE "end" - start > 1e-9)
+"""
+_SIZES = """
+WITH sizes AS (SELECT (p_size * 64)::INT AS width, ((p_partkey % 25 + 1) * 64)::INT AS height, (p_partkey % 121 + 1)::INT AS frames FROM part),
+features AS (SELECT width, height, frames, count(*) AS weight FROM sizes GROUP BY ALL)
+"""
+_CHOSEN = "(VALUES (512, 512, 33), (768, 448, 17), (448, 768, 65), (1024, 576, 97))"
+_DURATIONS = """
+WITH d AS (SELECT p_partkey, (p_partkey % 700 / 10.0)::DOUBLE AS duration, CASE WHEN p_partkey % 5 <> 0 THEN (p_partkey % 3 * 6 + 12)::DOUBLE END AS fps,
+  CASE WHEN p_partkey % 7 <> 0 THEN p_partkey % 400 END AS total_frames, p_partkey % 4 <> 0 AS has_audio FROM part)
+"""
+_LOG = """
+WITH log AS (
+  SELECT printf('v%05d', user_id) AS video_id, CASE event_type WHEN 'purchase' THEN 'accepted' WHEN 'error' THEN 'error' WHEN 'click' THEN 'rejected' ELSE 'pending' END AS status,
+    CASE WHEN event_id % 5 <> 0 THEN value END AS motion_score, CASE WHEN event_id % 3 = 0 AND user_id % 2 = 0 THEN user_id ELSE 0 END AS discovered_order,
+    CASE WHEN event_id % 2 = 0 THEN event_id END AS seen_order, event_id AS line_no
+  FROM events
+), last AS (SELECT * FROM log QUALIFY row_number() OVER (PARTITION BY video_id ORDER BY line_no DESC) = 1),
+given AS (SELECT video_id, discovered_order FROM log WHERE discovered_order <> 0 QUALIFY row_number() OVER (PARTITION BY video_id ORDER BY line_no DESC) = 1),
+seen AS (SELECT video_id, min(line_no) AS f FROM log GROUP BY 1),
+fresh AS (SELECT video_id, row_number() OVER (ORDER BY f, video_id) AS n FROM seen WHERE video_id NOT IN (SELECT video_id FROM given)),
+states AS (
+  SELECT l.video_id, l.status, l.motion_score, l.seen_order, CAST(coalesce(g.discovered_order, (SELECT coalesce(max(discovered_order), 0) FROM given) + f.n) AS BIGINT) AS discovered_order
+  FROM last l LEFT JOIN given g USING (video_id) LEFT JOIN fresh f USING (video_id)
+), queue AS (
+  SELECT *, row_number() OVER (ORDER BY seen_order IS NULL, seen_order, CASE WHEN seen_order IS NULL THEN motion_score END NULLS LAST, discovered_order, video_id) AS position FROM states
+)
+"""
+
+
+# Words
+
+
+@query(_BLOCKS + "SELECT word, cnt, row_number() OVER (ORDER BY cnt DESC, word) AS rank FROM (SELECT word, count(*) AS cnt FROM words GROUP BY 1) ORDER BY cnt DESC, word LIMIT 25")
+def word_topk(spark, sf_dir):
+    return words.top_counts(words.word_counts(b.captions(spark, sf_dir)), "word", 25)
+
+
+@query(_BLOCKS + "SELECT bigram, cnt, row_number() OVER (ORDER BY cnt DESC, bigram) AS rank FROM (SELECT bigram, count(*) AS cnt FROM pairs GROUP BY 1) ORDER BY cnt DESC, bigram LIMIT 25")
+def bigram_topk(spark, sf_dir):
+    return words.top_counts(words.bigram_counts(b.captions(spark, sf_dir)), "bigram", 25)
+
+
+@query(_BLOCKS + "SELECT word, count(*) AS cnt FROM words GROUP BY 1")
+def word_counts(spark, sf_dir):
+    return words.word_counts(b.captions(spark, sf_dir))
+
+
+@query(_BLOCKS + "SELECT bigram, count(*) AS cnt FROM pairs GROUP BY 1")
+def bigram_counts(spark, sf_dir):
+    return words.bigram_counts(b.captions(spark, sf_dir))
+
+
+@query(
+    _BLOCKS
+    + "SELECT 1::BIGINT AS manifests, (SELECT count(*) FROM documents) AS caption_rows, (SELECT count(DISTINCT word) FROM words) AS unique_words, (SELECT count(DISTINCT bigram) FROM pairs) AS unique_bigrams"
+)
+def text_summary(spark, sf_dir):
+    return words.summary(b.captions(spark, sf_dir))
+
+
+@query()
+def text_report(spark, sf_dir):
+    return words.report(b.captions(spark, sf_dir), 10)
+
+
+@query(r"""
+WITH raw AS (SELECT doc_id, unnest(string_split(text, chr(10))) AS line, generate_subscripts(string_split(text, chr(10)), 1) AS n FROM documents),
+bare AS (SELECT doc_id, n, trim(line, E' \t\r\n') AS line FROM raw),
+body AS (SELECT doc_id, n, CASE WHEN regexp_matches(line, '^`{3,}\s*$') THEN '' ELSE replace(trim(regexp_replace(trim(regexp_replace(line, '(?s)^\s*(?:SCENE_OVERVIEW|VISUAL_DETAILS|DIALOGUE|OTHER_SOUNDS|VISUAL|AUDIO)\s*:?\s*(.*)$', '\1'), E' \t\r\n'), '^(?:[-*+]\s+|\d+\.\s+)', ''), E' \t\r\n'), '`', '') END AS line FROM bare WHERE line <> ''),
+text AS (SELECT doc_id, nullif(trim(regexp_replace(string_agg(line, ' ' ORDER BY n) FILTER (WHERE line <> ''), '\s+', ' ', 'g')), '') AS caption FROM body GROUP BY 1)
+SELECT doc_id, caption FROM documents LEFT JOIN text USING (doc_id)""")
+def caption_normalize(spark, sf_dir):
+    return b.table(spark, sf_dir, "documents").select("doc_id", text.normalize_caption(F.col("text")).alias("caption"))
+
+
+@query("""
+SELECT 'documents' AS manifest, count(*) AS n_rows FROM documents UNION ALL SELECT 'benchmark', count(*) FROM benchmark""")
+def union_manifests(spark, sf_dir):
+    both = b.table(spark, sf_dir, "documents").select(F.lit("documents").alias("manifest"), "text").unionByName(
+        b.table(spark, sf_dir, "benchmark").select(F.lit("benchmark").alias("manifest"), "text")
+    )
+    return both.groupBy("manifest").agg(F.count("*").alias("n_rows"))
+
+
+@query()
+def slug_query(spark, sf_dir):
+    return b.table(spark, sf_dir, "part").select("p_partkey", text.slug(F.col("p_name")).alias("slug"))
+
+
+@query("SELECT p_partkey, CASE WHEN p_partkey % 3 = 0 THEN p_name || ' order:score' ELSE p_name || ' order:id_desc' END AS query FROM part")
+def ordered_query(spark, sf_dir):
+    asked = F.when(F.col("p_partkey") % 3 == 0, F.concat("p_name", F.lit(" order:score"))).otherwise(F.col("p_name"))
+    return b.table(spark, sf_dir, "part").select("p_partkey", text.ordered_query(asked).alias("query"))
+
+
+# Tags and sources
+
+
+@query(_CLIPS + "SELECT tag, count(*) AS cnt FROM tagged GROUP BY 1")
+def tag_counts(spark, sf_dir):
+    return tags.tag_counts(b.clips(spark, sf_dir))
+
+
+@query(_CLIPS + "SELECT count(DISTINCT tag) AS unique_tags FROM tagged")
+def unique_tags(spark, sf_dir):
+    return tags.unique_tags(b.clips(spark, sf_dir))
+
+
+@query(_CLIPS + "SELECT CAST(sum(c * c) AS BIGINT) AS balance_penalty FROM (SELECT count(*) AS c FROM tagged GROUP BY tag)")
+def balance_penalty(spark, sf_dir):
+    return tags.balance_penalty(b.clips(spark, sf_dir))
+
+
+@query(_CLIPS + """SELECT source_id, (SELECT count(*) FROM clips c WHERE c.source_id = s.source_id) AS clip_count, unique_tags, tag_mass
+FROM (SELECT c.source_id, count(DISTINCT tag) AS unique_tags, count(tag) AS tag_mass FROM clips c LEFT JOIN tagged t USING (clip_relpath) GROUP BY 1) s""")
+def source_stats(spark, sf_dir):
+    return tags.source_stats(b.clips(spark, sf_dir))
+
+
+@query(_CLIPS + "SELECT source_id, tag, count(*) AS cnt FROM tagged GROUP BY ALL")
+def source_tag_counts(spark, sf_dir):
+    return tags.source_tag_counts(b.clips(spark, sf_dir))
+
+
+@query(_CLIPS + """, c AS (SELECT tag, count(*) AS cnt FROM tagged GROUP BY 1), s AS (SELECT tag, count(*) AS cnt FROM tagged WHERE source_id = 'en-src1' GROUP BY 1)
+SELECT tag, c.cnt - coalesce(s.cnt, 0) AS cnt FROM c LEFT JOIN s USING (tag) WHERE c.cnt - coalesce(s.cnt, 0) > 0""")
+def subtracted_counts(spark, sf_dir):
+    clips = b.clips(spark, sf_dir)
+    return tags.subtracted(tags.tag_counts(clips), tags.tag_counts(clips.where("source_id = 'en-src1'")))
+
+
+@query("SELECT CAST(CASE WHEN count(*) < 2 THEN 0 ELSE sum(c) - min(c) END AS BIGINT) AS max_val_count FROM (SELECT count(*) AS c FROM documents GROUP BY lang || '-' || source)")
+def max_val_count(spark, sf_dir):
+    return tags.largest_validation(b.clips(spark, sf_dir))
+
+
+@query("""SELECT CAST(least(greatest(1, round_even((SELECT count(*) FROM documents) * 0.1, 0)), sum(c) - min(c)) AS BIGINT) AS target_count
+FROM (SELECT count(*) AS c FROM documents GROUP BY lang || '-' || source)""")
+def target_count(spark, sf_dir):
+    return tags.target_count(b.clips(spark, sf_dir), 0.1)
+
+
+_DISTANCE = _CLIPS + """, side AS (SELECT clip_relpath, source_id LIKE '%src1%' AS one FROM clips),
+n AS (SELECT count(*) FILTER (WHERE one) AS n1, count(*) FILTER (WHERE NOT one) AS n2 FROM side),
+f AS (SELECT tag, count(*) FILTER (WHERE source_id LIKE '%src1%') AS c1, count(*) FILTER (WHERE source_id NOT LIKE '%src1%') AS c2 FROM tagged GROUP BY 1)
+"""
+
+
+@query(_DISTANCE + "SELECT sum(abs(c1 * n2 - c2 * n1)) / any_value(n1 * n2)::DOUBLE AS distance FROM f, n")
+def l1_distance(spark, sf_dir):
+    clips = b.clips(spark, sf_dir)
+    one = F.col("source_id").contains("src1")
+    return tags.distribution_distance(clips.where(one), clips.where(~one))
+
+
+@query(_CLIPS + """, picks AS (SELECT clip_relpath, row_number() OVER (ORDER BY clip_relpath) AS rank FROM clips WHERE source_id LIKE '%src1%' QUALIFY rank <= 100),
+target AS (SELECT tag, count(*) / (SELECT count(*) FROM clips WHERE source_id NOT LIKE '%src1%')::DOUBLE AS f FROM tagged WHERE source_id NOT LIKE '%src1%' GROUP BY 1),
+occurs AS (SELECT rank, tag FROM picks JOIN tagged USING (clip_relpath)),
+upto AS (SELECT p.rank, o.tag, count(*) AS c FROM picks p JOIN occurs o ON o.rank <= p.rank GROUP BY ALL),
+parts AS (SELECT rank, sum(abs(c / rank::DOUBLE - coalesce(f, 0)) - coalesce(f, 0)) AS d FROM upto LEFT JOIN target USING (tag) GROUP BY 1)
+SELECT rank, round((SELECT sum(f) FROM target) + coalesce(d, 0), 9) AS distribution_distance FROM picks LEFT JOIN parts USING (rank)""")
+def prefix_l1_distance(spark, sf_dir):
+    clips = b.clips(spark, sf_dir)
+    one = F.col("source_id").contains("src1")
+    first = clips.where(one).orderBy("clip_relpath").limit(100)  # as a validation subset's picks
+    ranked = first.withColumn("rank", F.row_number().over(Window.orderBy("clip_relpath")))
+    return tags.prefix_distances(ranked, clips.where(~one)).withColumn("distribution_distance", F.round("distribution_distance", 9))
+
+
+@query(_CLIPS + "SELECT clip_relpath, list_sort(list(tag)) AS hints FROM (SELECT clip_relpath, tag FROM tagged WHERE tag NOT IN ('general', 'sensitive', 'questionable', 'explicit')) GROUP BY 1")
+def tag_hints(spark, sf_dir):
+    none = F.lit(None).cast("array<string>")
+    found = b.clips(spark, sf_dir).select("clip_relpath", tags.hints(F.col("tags"), none, none)["general"].alias("hints"))
+    return found.where(F.size("hints") > 0).withColumn("hints", F.array_sort("hints"))
+
+
+@query("""SELECT doc_id, list_sort(list(DISTINCT w)) AS tags FROM (SELECT doc_id, unnest(string_split(substr(text, 1, 200), ' ')) AS w FROM documents)
+WHERE trim(w, E' \t\r\n') <> '' GROUP BY 1""")
+def tag_dedupe(spark, sf_dir):
+    listed = tags.deduped(F.split(F.substring("text", 1, 200), " "), stripped=False)
+    some = b.table(spark, sf_dir, "documents").select("doc_id", F.array_sort(F.filter(listed, lambda t: text.strip(t) != "")).alias("tags"))
+    return some.where(F.size("tags") > 0)
+
+
+# Manifests
+
+
+@query("""SELECT o_orderkey, coalesce(nullif(trim(o_orderstatus), 'F'), c.c_name, 'order') AS source_id FROM orders LEFT JOIN customer c ON o_custkey = c_custkey AND c_custkey % 3 <> 0""")
+def source_lookup_join(spark, sf_dir):
+    orders = b.table(spark, sf_dir, "orders").select("o_orderkey", F.col("o_custkey").cast("string").alias("clip_relpath"), F.nullif("o_orderstatus", F.lit("F")).alias("source_path"))
+    rows = b.table(spark, sf_dir, "customer").where("c_custkey % 3 <> 0").select(F.col("c_custkey").cast("string").alias("clip_relpath"), F.col("c_custkey").alias("line_no"), F.col("c_name").alias("source_path"))
+    found = manifests.with_source(orders, manifests.source_lookup(rows))
+    return found.select("o_orderkey", F.when(F.col("source_id") == F.col("clip_relpath"), "order").otherwise(F.col("source_id")).alias("source_id"))
+
+
+@query("""WITH h AS (SELECT doc_id, quality, toxic FROM labels)
+SELECT d.doc_id, coalesce('q' || CASE WHEN d.doc_id % 2 = 0 THEN h.quality END, 't' || CASE WHEN d.doc_id % 3 = 0 THEN h.toxic END) AS hints FROM documents d LEFT JOIN h USING (doc_id)""")
+def tag_hints_join(spark, sf_dir):
+    docs = b.table(spark, sf_dir, "documents").select("doc_id", F.concat(F.lit("/in/"), "doc_id").alias("clip_path"), F.col("doc_id").cast("string").alias("clip_relpath"))
+    labels = b.table(spark, sf_dir, "labels")
+    even = labels.where("doc_id % 2 = 0").select(F.concat(F.lit("/in/"), "doc_id").alias("clip_path"), F.lit(None).cast("string").alias("clip_relpath"), F.concat(F.lit("q"), "quality").alias("hints"), F.col("doc_id").alias("line_no"))
+    third = labels.where("doc_id % 3 = 0").select(F.lit(None).cast("string").alias("clip_path"), F.col("doc_id").cast("string").alias("clip_relpath"), F.concat(F.lit("t"), "toxic").alias("hints"), F.col("doc_id").alias("line_no"))
+    return manifests.with_hints(docs, even.unionByName(third)).select("doc_id", "hints")
+
+
+@query("SELECT doc_id FROM documents d WHERE lang || '-' || source NOT IN (SELECT lang || '-' || source FROM documents WHERE doc_id % 97 = 0)")
+def source_disjoint_antijoin(spark, sf_dir):
+    docs = b.table(spark, sf_dir, "documents").select("doc_id", F.concat("lang", F.lit("-"), "source").alias("source_id"))
+    return manifests.source_disjoint(docs, docs.where("doc_id % 97 = 0")).select("doc_id")
+
+
+@query("SELECT doc_id FROM documents WHERE doc_id NOT IN (SELECT doc_id FROM labels)")
+def missing_labels(spark, sf_dir):
+    return manifests.missing(b.table(spark, sf_dir, "documents"), b.table(spark, sf_dir, "labels"), "doc_id")
+
+
+@query("SELECT o_custkey, count(*) AS n_rows FROM orders GROUP BY 1 HAVING count(*) > 1")
+def duplicate_rows(spark, sf_dir):
+    return manifests.duplicates(b.table(spark, sf_dir, "orders"), "o_custkey")
+
+
+def _export(spark, sf_dir):
+    docs, labels = b.table(spark, sf_dir, "documents"), b.table(spark, sf_dir, "labels")
+    rows = docs.join(labels, "doc_id").select(
+        F.col("doc_id").alias("line_no"),
+        F.concat(F.when(F.col("doc_id") % 2 == 0, "clips/../").otherwise("/in/train/"), "doc_id", F.lit(".mp4")).alias("clip_path"),
+        F.substring("text", 1, 40).alias("caption"),
+        F.when(F.col("quality") == 1, "captioned").otherwise("failed").alias("status"),
+    )
+    listing = docs.where("doc_id % 3 <> 0").select(F.concat("doc_id", F.lit(".mp4")).alias("media_path"))
+    return manifests.export_rows(rows, listing, "train", "/in/train")
+
+
+@query("""SELECT substr(text, 1, 40) AS caption, doc_id || '.mp4' AS media_path FROM documents JOIN labels USING (doc_id)
+WHERE quality = 1 AND doc_id % 3 <> 0 AND trim(substr(text, 1, 40), E' \t\r\n') <> ''""")
+def export_rows(spark, sf_dir):
+    return _export(spark, sf_dir)[0]
+
+
+@query("""WITH r AS (SELECT doc_id, CASE WHEN quality <> 1 THEN 'status' WHEN trim(substr(text, 1, 40), E' \t\r\n') = '' THEN 'empty caption' WHEN doc_id % 3 = 0 THEN 'unknown clip' END AS rule
+  FROM documents JOIN labels USING (doc_id)),
+good AS (SELECT doc_id FROM r WHERE rule IS NULL)
+SELECT rule, count(*) AS cnt FROM (SELECT rule FROM r WHERE rule IS NOT NULL
+  UNION ALL SELECT 'missing caption' FROM documents WHERE doc_id % 3 <> 0 AND doc_id NOT IN (SELECT doc_id FROM good)) GROUP BY 1""")
+def export_violations(spark, sf_dir):
+    return _export(spark, sf_dir)[1].groupBy("rule").agg(F.count("*").alias("cnt"))
+
+
+@query("SELECT event_type AS status, count(*) AS cnt FROM events GROUP BY 1")
+def status_summary(spark, sf_dir):
+    return review.status_summary(b.table(spark, sf_dir, "events").select(F.col("event_type").alias("status")))
+
+
+@query("SELECT 'rows=' || count(*) || ' users=' || count(DISTINCT user_id) AS summary FROM events")
+def summary_line(spark, sf_dir):
+    return sinks.summary_line(b.table(spark, sf_dir, "events").agg(F.count("*").alias("rows"), F.countDistinct("user_id").alias("users")))
+
+
+# Spans
+
+
+@query(_SPANS + 'SELECT video, round(start, 6) AS start, round("end", 6) AS "end" FROM unsafe')
+def unsafe_spans(spark, sf_dir):
+    return spans.unsafe_spans(b.frames(spark, sf_dir), 0.35, 0.25).select("video", F.round("start", 6).alias("start"), F.round("end", 6).alias("end"))
+
+
+@query(_SPANS + 'SELECT video, round(start, 6) AS start, round("end", 6) AS "end" FROM merged')
+def merged_spans(spark, sf_dir):
+    found = spans.merged_spans(spans.unsafe_spans(b.frames(spark, sf_dir), 0.35, 0.25))
+    return found.select("video", F.round("start", 6).alias("start"), F.round("end", 6).alias("end"))
+
+
+@query(_SPANS + 'SELECT video, round(start, 6) AS start, round("end", 6) AS "end" FROM safe')
+def safe_spans(spark, sf_dir):
+    found = spans.safe_spans(b.frames(spark, sf_dir), b.videos(spark, sf_dir), 0.35, 0.25, 0.0)
+    return found.select("video", F.round("start", 6).alias("start"), F.round("end", 6).alias("end"))
+
+
+@query(_SPANS + 'SELECT video, round(start, 6) AS start, round("end", 6) AS "end" FROM safe WHERE "end" - start + 1e-9 >= 2')
+def safe_spans_filtered(spark, sf_dir):
+    found = spans.safe_spans(b.frames(spark, sf_dir), b.videos(spark, sf_dir), 0.35, 0.25, 2.0)
+    return found.select("video", F.round("start", 6).alias("start"), F.round("end", 6).alias("end"))
+
+
+@query(_SPANS + """, slots AS (SELECT video, start + unnest(range(0, floor(("end" - start - 1.5 + 1e-9) / 1.75)::BIGINT + 1)) * 1.75 AS start FROM safe WHERE "end" - start + 1e-9 >= 1.5),
+numbered AS (SELECT *, row_number() OVER (PARTITION BY video ORDER BY start) AS clip_index FROM slots)
+SELECT video, clip_index, round(start, 6) AS start, round(start + 1.5, 6) AS "end",
+  video || '/clip_' || clip_index || '_' || round_even(start * 1000, 0)::BIGINT || '_' || round_even((start + 1.5) * 1000, 0)::BIGINT || '.mp4' AS clip FROM numbered""")
+def tiled_clips_fixed(spark, sf_dir):
+    found = spans.safe_spans(b.frames(spark, sf_dir), b.videos(spark, sf_dir), 0.35, 0.25, 1.5)
+    tiles = spans.tiled_fixed(found, 1.5, 0.25)
+    return tiles.select("video", "clip_index", F.round("start", 6).alias("start"), F.round("end", 6).alias("end"), "clip")
+
+
+@query()
+def tiled_clips_seeded(spark, sf_dir):
+    found = spans.safe_spans(b.frames(spark, sf_dir), b.videos(spark, sf_dir), 0.35, 0.25, 1.0)
+    return spans.tiled_seeded(found, 0, 1.0, 5.0, 0.25)
+
+
+@query("SELECT user_id AS video, sum(CASE WHEN value >= 175 THEN 1 ELSE 0 END) AS hot FROM events GROUP BY 1")
+def combined_scores(spark, sf_dir):
+    heads = b.frames(spark, sf_dir).groupBy("video").agg(F.array_sort(F.collect_list(F.struct("frame", "score"))).alias("s"))
+    one = F.transform("s", lambda x: F.when(x["frame"] % 2 == 0, x["score"]).otherwise(0.0))
+    other = F.transform("s", lambda x: F.when(x["frame"] % 2 == 1, x["score"]).otherwise(0.0))
+    both = heads.select("video", spans.combined_scores(one, other).alias("s"))
+    return both.select("video", F.size(F.filter("s", lambda x: x >= 0.35)).cast("long").alias("hot"))
+
+
+# Buckets
+
+
+@query(_SIZES + "SELECT * FROM features")
+def feature_points(spark, sf_dir):
+    return buckets.feature_points(b.clip_sizes(spark, sf_dir))
+
+
+@query("""SELECT DISTINCT f AS frames, CASE WHEN f <= 1 THEN 1 WHEN f - ((f - 1) // 8 * 8 + 1) <= 4 THEN (f - 1) // 8 * 8 + 1 ELSE (f - 1) // 8 * 8 + 9 END::BIGINT AS quantized
+FROM (SELECT (p_partkey % 121 + 1)::INT AS f FROM part)""")
+def quantize_frames(spark, sf_dir):
+    return b.clip_sizes(spark, sf_dir).select("frames", numbers.quantized_frames(F.col("frames")).alias("quantized")).distinct()
+
+
+_PROJECTED = _SIZES + """, ratios AS (SELECT DISTINCT width / height AS aspect FROM features),
+centers AS (SELECT aspect, greatest(1, round_even(512 * sqrt(aspect) / 32, 0)::BIGINT) AS cw, greatest(1, round_even(512 / sqrt(aspect) / 32, 0)::BIGINT) AS ch FROM ratios),
+ws AS (SELECT aspect, ch, unnest(range(greatest(1, cw - 16), cw + 17)) * 32 AS w FROM centers),
+grid AS (SELECT aspect, w, unnest(range(greatest(1, ch - 16), ch + 17)) * 32 AS h FROM ws),
+projected AS (SELECT aspect, w AS bucket_width, h AS bucket_height FROM grid
+  QUALIFY row_number() OVER (PARTITION BY aspect ORDER BY abs(ln(w / h / aspect)), abs(w * h - 262144), w, h) = 1)
+"""
+
+
+@query(_PROJECTED + """SELECT f.*, bucket_width::INT AS bucket_width, bucket_height::INT AS bucket_height,
+  CASE WHEN frames <= 1 THEN 1 WHEN frames - ((frames - 1) // 8 * 8 + 1) <= 4 THEN (frames - 1) // 8 * 8 + 1 ELSE (frames - 1) // 8 * 8 + 9 END::BIGINT AS bucket_frames
+FROM features f JOIN projected p ON f.width / f.height = p.aspect""")
+def bucket_projection(spark, sf_dir):
+    return buckets.projected(buckets.feature_points(b.clip_sizes(spark, sf_dir)), 512)
+
+
+@query(_SIZES + """, costs AS (SELECT a.width, a.height, a.frames, sum((abs(ln((a.width / a.height) / (o.width / o.height))) + abs(ln(a.frames / o.frames))) * o.weight) AS cost
+  FROM features a CROSS JOIN features o GROUP BY ALL)
+SELECT width, height, frames, round(cost, 3) AS cost FROM costs ORDER BY round(cost, 9), width / height, frames, width, height LIMIT 1""")
+def bucket_seed(spark, sf_dir):
+    return buckets.seed(buckets.feature_points(b.clip_sizes(spark, sf_dir))).withColumn("cost", F.round("cost", 3))
+
+
+def _chosen(spark):
+    return spark.createDataFrame([(512, 512, 33), (768, 448, 17), (448, 768, 65), (1024, 576, 97)], "bucket_width int, bucket_height int, bucket_frames int")
+
+
+@query(_SIZES + f""", b AS (SELECT * FROM {_CHOSEN} v(bucket_width, bucket_height, bucket_frames)),
+near AS (SELECT f.*, b.* FROM features f CROSS JOIN b QUALIFY row_number() OVER (PARTITION BY width, height, frames
+  ORDER BY round(abs(ln((bucket_width / bucket_height) / (width / height))) + abs(ln(bucket_frames / frames)), 12), bucket_width / bucket_height, bucket_frames, bucket_width, bucket_height) = 1)
+SELECT b.*, CAST(coalesce(sum(weight), 0) AS BIGINT) AS weight FROM b LEFT JOIN near USING (bucket_width, bucket_height, bucket_frames) GROUP BY ALL""")
+def bucket_assign(spark, sf_dir):
+    return buckets.assigned(buckets.feature_points(b.clip_sizes(spark, sf_dir)), _chosen(spark))
+
+
+@query("SELECT '448x768x65;512x512x33;768x448x17;1024x576x97' AS buckets")
+def bucket_list(spark, sf_dir):
+    return buckets.listed(_chosen(spark))
+
+
+@query()
+def bucket_greedy(spark, sf_dir):
+    return buckets.greedy(buckets.feature_points(b.clip_sizes(spark, sf_dir)), 512, 6)
+
+
+# Splits
+
+
+@query()
+def balanced_subset(spark, sf_dir):
+    return splits.balanced_subset(b.clips(spark, sf_dir), 100)
+
+
+@query()
+def validation_subset(spark, sf_dir):
+    return splits.validation_subset(b.clips(spark, sf_dir), 5)
+
+
+@query()
+def split_summary(spark, sf_dir):
+    train, validation = splits.split(b.clips(spark, sf_dir), 4, 40)
+    both = train.select(F.lit("train").alias("split"), "selection_rank", "new_tags_added", F.lit(None).cast("double").alias("distribution_distance")).unionByName(
+        validation.select(F.lit("val").alias("split"), "selection_rank", "new_tags_added", "distribution_distance")
+    )
+    return both.groupBy("split").agg(F.count("*").alias("clips"), F.sum("new_tags_added").alias("tags"), F.max_by("distribution_distance", "selection_rank").alias("distance"))
+
+
+@query("SELECT count(*) AS clips, count(DISTINCT source_id) AS sources, 5 * count(*) AS tag_rows FROM (SELECT range // 5 AS source_id FROM range(3500))")
+def synthetic_clips(spark, sf_dir):
+    made = jsonl.synthetic_clips(spark, 3500)
+    return made.agg(F.count("*").alias("clips"), F.countDistinct("source_id").alias("sources"), F.sum(F.size(F.array_distinct("tags"))).cast("long").alias("tag_rows"))
+
+
+# Review
+
+
+@query(_LOG + "SELECT * FROM states")
+def review_latest_state(spark, sf_dir):
+    return review.latest_states(b.review_log(spark, sf_dir))
+
+
+@query(_LOG + "SELECT position, video_id FROM queue")
+def review_queue_order(spark, sf_dir):
+    return review.queue(review.latest_states(b.review_log(spark, sf_dir))).select("position", "video_id")
+
+
+@query(_LOG + """SELECT coalesce((SELECT video_id FROM queue WHERE status = 'pending' AND seen_order IS NULL ORDER BY position LIMIT 1),
+  (SELECT video_id FROM states WHERE status = 'pending' ORDER BY seen_order, discovered_order, video_id LIMIT 1), (SELECT video_id FROM queue ORDER BY position DESC LIMIT 1)) AS video_id""")
+def review_start(spark, sf_dir):
+    return review.start(review.latest_states(b.review_log(spark, sf_dir)))
+
+
+@query(_LOG + "SELECT position, video_id, lag(video_id, 1, video_id) OVER (ORDER BY position) AS previous, lead(video_id, 1, video_id) OVER (ORDER BY position) AS next FROM queue")
+def review_neighbours(spark, sf_dir):
+    return review.neighbours(review.queue(review.latest_states(b.review_log(spark, sf_dir))))
+
+
+@query(_LOG + "SELECT position, video_id FROM queue WHERE abs(position - 20) <= 8 ORDER BY abs(position - 20), position < 20 LIMIT 8")
+def preview_candidates(spark, sf_dir):
+    return review.preview_candidates(review.queue(review.latest_states(b.review_log(spark, sf_dir))), 20)
+
+
+@query(_LOG + "SELECT CAST(max(discovered_order) AS BIGINT) AS max_discovered, coalesce(max(seen_order), 0) AS max_seen FROM states")
+def review_marks(spark, sf_dir):
+    return review.order_marks(review.latest_states(b.review_log(spark, sf_dir)))
+
+
+@query(_LOG + "SELECT video_id, CASE WHEN status = 'pending' AND seen_order IS NOT NULL THEN 'accepted' ELSE status END AS shown FROM states")
+def review_shown(spark, sf_dir):
+    return review.latest_states(b.review_log(spark, sf_dir)).select("video_id", media.shown_state(F.col("status"), F.col("seen_order")).alias("shown"))
+
+
+@query(_LOG + "SELECT printf('v%05d', c_custkey) AS video_id, printf('/in/v%05d.mp4', c_custkey) AS path FROM customer WHERE printf('v%05d', c_custkey) NOT IN (SELECT video_id FROM states)")
+def review_new_videos(spark, sf_dir):
+    listing = b.table(spark, sf_dir, "customer").select(F.format_string("v%05d", "c_custkey").alias("video_id"), F.format_string("/in/v%05d.mp4", "c_custkey").alias("path"))
+    return review.newly_found(review.latest_states(b.review_log(spark, sf_dir)), listing)
+
+
+@query(_LOG + """SELECT video_id, CASE WHEN status = 'pending' AND c_custkey IS NOT NULL THEN '/new/' || video_id ELSE '/old/' || video_id END AS current_path
+FROM states LEFT JOIN (SELECT c_custkey, printf('v%05d', c_custkey) AS video_id FROM customer WHERE c_custkey % 2 = 0) USING (video_id)""")
+def review_scan(spark, sf_dir):
+    states = review.latest_states(b.review_log(spark, sf_dir)).withColumn("current_path", F.concat(F.lit("/old/"), "video_id"))
+    name = F.format_string("v%05d", "c_custkey")
+    listing = b.table(spark, sf_dir, "customer").where("c_custkey % 2 = 0").select(name.alias("video_id"), F.concat(F.lit("/new/"), name).alias("path"))
+    return review.scanned(states, listing).select("video_id", "current_path")
+
+
+@query("""WITH e AS (SELECT label AS video_id, vec_id, embedding, lag(embedding) OVER (PARTITION BY label ORDER BY vec_id) AS before FROM embeddings)
+SELECT video_id::BIGINT AS video_id, round(coalesce(avg(list_sum(list_transform(list_zip(embedding, before), lambda p: abs(p[1]::DOUBLE - p[2]::DOUBLE))) / len(embedding)) FILTER (WHERE before IS NOT NULL), 0) / 255, 9) AS motion_score FROM e GROUP BY 1""")
+def motion_score(spark, sf_dir):
+    frames = b.table(spark, sf_dir, "embeddings").select(F.col("label").cast("long").alias("video_id"), F.col("vec_id").alias("frame"), F.col("embedding").alias("luma"))
+    return review.motion_scores(frames).withColumn("motion_score", F.round("motion_score", 9))
+
+
+# Clip plans
+
+
+@query(_DURATIONS + """SELECT p_partkey, least(2.0, duration)::DOUBLE AS length, greatest((duration - least(2.0, duration)) / 2, 0)::DOUBLE AS start FROM d""")
+def preview_window(spark, sf_dir):
+    d = b.durations(spark, sf_dir)
+    return d.select("p_partkey", numbers.preview_length(F.col("duration")).alias("length"), numbers.preview_start(F.col("duration")).alias("start"))
+
+
+@query(_DURATIONS + "SELECT p_partkey, least(duration * 0.5, greatest(duration - 0.001, 0.0))::DOUBLE AS frame_time FROM d")
+def frame_time(spark, sf_dir):
+    return b.durations(spark, sf_dir).select("p_partkey", numbers.frame_time(F.col("duration")).alias("frame_time"))
+
+
+@query(_DURATIONS + """SELECT p_partkey, CASE WHEN total_frames > 0 THEN least(greatest(12, ceil(total_frames * 0.5)), total_frames) WHEN fps > 0 THEN NULL ELSE 12 END::BIGINT AS frames,
+  CASE WHEN coalesce(total_frames, 0) = 0 AND fps > 0 THEN fps * 0.5 END AS fps FROM d""")
+def frame_plan(spark, sf_dir):
+    plan = b.durations(spark, sf_dir).select("p_partkey", media.frame_plan(F.col("total_frames"), F.col("fps")).alias("plan"))
+    return plan.select("p_partkey", "plan.frames", "plan.fps")
+
+
+@query(_DURATIONS + """SELECT p_partkey, CASE WHEN NOT has_audio THEN 'clip has no audio track' WHEN p_partkey % 9 = 0 THEN 'model does not support audio input'
+  WHEN duration > 30 THEN 'clip audio exceeds 30s limit' END AS reason, CASE WHEN duration > 60 THEN 'clip duration exceeds 60s video limit' END AS error FROM d""")
+def audio_plan(spark, sf_dir):
+    d = b.durations(spark, sf_dir)
+    return d.select("p_partkey", media.audio_plan(F.col("has_audio"), F.col("p_partkey") % 9 != 0, F.col("duration")).alias("reason"), media.length_error(F.col("duration")).alias("error"))
+
+
+@query("""SELECT p_partkey, (p_size * 64)::BIGINT AS width, CASE WHEN p_partkey % 6 <> 0 THEN 480 END::BIGINT AS height, p_retailprice / 1000 AS duration,
+  CASE WHEN p_partkey % 4 = 0 THEN 30.0 ELSE 24.0 END::DOUBLE AS fps, CASE WHEN p_partkey % 3 = 0 AND p_partkey > 0 THEN p_partkey ELSE greatest(1, round_even(p_retailprice / 1000 * CASE WHEN p_partkey % 4 = 0 THEN 30 ELSE 24 END, 0)) END::BIGINT AS frames,
+  p_partkey % 2 = 0 AS has_audio FROM part""")
+def probe_json(spark, sf_dir):
+    part, key = b.table(spark, sf_dir, "part"), F.col("p_partkey")
+    json = F.concat(
+        F.lit('{"format":{"duration":"'), F.col("p_retailprice") / 1000, F.lit('"},"streams":['),
+        F.when(key % 2 == 0, '{"codec_type":"audio"},').otherwise(""),
+        F.lit('{"codec_type":"video","width":"'), F.col("p_size") * 64, F.lit('","height":"'), F.when(key % 6 != 0, "480").otherwise("N/A"),
+        F.lit('","avg_frame_rate":"'), F.when(key % 4 == 0, "0/0").otherwise("24/1"), F.lit('","r_frame_rate":"30/1","nb_frames":"'),
+        F.when(key % 3 == 0, key.cast("string")).otherwise("N/A"), F.lit('"}]}'),
+    )
+    return part.select("p_partkey", media.probe(json).alias("p")).select("p_partkey", "p.*")
+
+
+@query("""SELECT p_partkey, CASE WHEN p_partkey % 4 = 0 THEN NULL WHEN p_partkey % 4 = 1 THEN p_retailprice WHEN p_partkey % 4 = 2 THEN NULL ELSE NULL END AS x,
+  CASE WHEN p_partkey % 3 = 0 THEN NULL ELSE p_size / (p_partkey % 3)::DOUBLE END AS f FROM part""")
+def lenient_numbers(spark, sf_dir):
+    part, key = b.table(spark, sf_dir, "part"), F.col("p_partkey")
+    value = F.when(key % 4 == 0, "N/A").when(key % 4 == 1, F.concat(F.lit(" "), F.col("p_retailprice"))).when(key % 4 == 2, F.concat(F.lit("-"), F.col("p_retailprice"))).otherwise("NaN")
+    return part.select("p_partkey", numbers.safe_float(value).alias("x"), numbers.fraction(F.concat("p_size", F.lit("/"), key % 3)).alias("f"))
+
+
+_PROMPT = r"""'Describe this video clip in one paragraph, in the order in which things happen.' || chr(10) || 'State only what can be seen or heard; no labels, lists or other formatting.' || chr(10)"""
+
+
+@query(_CLIPS + f"""SELECT c.clip_relpath, {_PROMPT} || CASE WHEN any_value(k.tag) IS NULL THEN '' ELSE 'Tags that a separate model suggests; trust the clip where they disagree.' || chr(10)
+  || 'Visual hints: ' || string_agg(k.tag, ', ' ORDER BY f.p) || chr(10) END || CASE WHEN c.doc_id % 2 = 0 THEN 'Name speech, music and other sounds where they occur.' ELSE 'Describe only what can be seen.' END AS prompt
+FROM clips c LEFT JOIN kept k USING (doc_id) LEFT JOIN firsts f ON f.doc_id = k.doc_id AND f.tag = k.tag WHERE k.tag IS NULL OR k.tag NOT IN ('general', 'sensitive', 'questionable', 'explicit') GROUP BY c.doc_id, c.clip_relpath""")
+def prompt_text(spark, sf_dir):
+    clips = b.clips(spark, sf_dir)
+    none = F.lit(None).cast("array<string>")
+    even = F.regexp_extract("clip_relpath", r"(\d+)\.mp4$", 1).cast("long") % 2 == 0
+    found = clips.withColumn("h", tags.hints(F.col("tags"), none, none))
+    return found.select("clip_relpath", media.prompt(even, F.col("h.general"), F.col("h.character")).alias("prompt"))
+
+
+@query(f"""SELECT doc_id, 2::BIGINT AS n_messages, lang || '/doc_' || doc_id || '.mp4' AS video, {_PROMPT} || 'Describe only what can be seen.' AS said FROM documents""")
+def chat_messages(spark, sf_dir):
+    docs, none = b.table(spark, sf_dir, "documents"), F.array().cast("array<string>")
+    path = F.concat("lang", F.lit("/doc_"), "doc_id", F.lit(".mp4"))
+    sent = docs.select("doc_id", media.messages(path, media.prompt(F.lit(False), none, none)).alias("m"))
+    user = F.element_at("m", 2)["content"]
+    return sent.select("doc_id", F.size("m").cast("long").alias("n_messages"), F.element_at(user, 1)["video"].alias("video"), F.element_at(user, 2)["text"].alias("said"))
+
+
+@query("SELECT p_partkey AS id, CASE p_partkey % 3 WHEN 0 THEN 'mp4' ELSE 'webm' END AS file_ext, p_size::BIGINT AS file_size FROM part WHERE p_partkey % 3 < 2 ORDER BY p_partkey DESC LIMIT 50")
+def feed_filter(spark, sf_dir):
+    part, key = b.table(spark, sf_dir, "part"), F.col("p_partkey")
+    ext = F.when(key % 3 == 0, "MP4").when(key % 3 == 1, "webm").otherwise("png")
+    xml = F.concat(F.lit('<posts><post id="'), key, F.lit('" file_ext="'), ext, F.lit('" file_url="u" file_size="'), F.col("p_size"), F.lit('" tags="a b"/></posts>'))
+    return jsonl.matching_posts(jsonl.posts(part.select(xml.alias("xml"))), 50).select("id", "file_ext", "file_size")
+
+
+@query("""SELECT p_partkey, CASE WHEN p_partkey % 3 = 0 THEN 'complete' WHEN p_partkey % 3 = 1 THEN 'part-complete' END AS found FROM part""")
+def existing_downloads(spark, sf_dir):
+    size, key = F.col("p_size") + 1, F.col("p_partkey")
+    return b.table(spark, sf_dir, "part").select("p_partkey", sinks.existing_download(size, F.when(key % 3 == 0, size), F.when(key % 3 == 1, size)).alias("found"))
