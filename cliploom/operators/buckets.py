@@ -105,7 +105,7 @@ def greedy(features: DataFrame, resolution: int, most: int = MOST_BUCKETS) -> Da
     spark = features.sparkSession
     points = projected(features, resolution).persist()
     first = seed(features).first()
-    if first is None:
+    if first is None or first["width"] is None:
         return spark.createDataFrame([], "bucket_width int, bucket_height int, bucket_frames long, pick int")
     picks = [points.where((F.col("width") == first["width"]) & (F.col("height") == first["height"]) & (F.col("frames") == first["frames"])).first()]
     while len(picks) < most:

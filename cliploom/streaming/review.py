@@ -31,6 +31,7 @@ def first_seen(log: DataFrame) -> DataFrame:
 
 def windowed_counts(events: DataFrame, width: str = "1 day", late: str = "1 hour") -> DataFrame:
     """events: ts, event_type. Counts by window and type; rows later than late are dropped."""
+    events = events.withColumn("ts", F.col("ts").cast("timestamp"))
     counted = events.withWatermark("ts", late).groupBy(F.window("ts", width), "event_type").agg(F.count("*").alias("cnt"))
     return counted.select(F.col("window.start").alias("window_start"), "event_type", "cnt")
 
