@@ -33,6 +33,14 @@ def staged(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def fresh(name: str, columns: list[str]) -> str:
+    """The name, or the name with as many underscores behind it that no column has it."""
+    taken = {c.lower() for c in columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def held_out(doc_id: Column, modulus: int, remainder: int) -> Column:
     """Whether crc32 of the id as text falls into the fold kept from learning. A null id does not."""
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % modulus == remainder, F.lit(False))

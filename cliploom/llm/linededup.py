@@ -23,7 +23,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import WORD, staged
+from .common import WORD, fresh, staged
 
 LEAST_WORDS = 50
 #: Whose characters at a line's ends do not matter.
@@ -114,24 +114,24 @@ def later_copies(docs: DataFrame, least_words: int = LEAST_WORDS) -> DataFrame:
     return gone.groupBy(*KEY).agg(F.array_sort(F.collect_set("i")).alias("gone"))
 
 
-def remove_repeats(docs: DataFrame, least_words: int = LEAST_WORDS) -> DataFrame:
-    """The documents without later copies of runs, plus _lines and _gone: lines that aren't blank, and of those removed."""
-    gone = staged(later_copies(docs, least_words), "later-copies")
-    joined = docs.withColumns({"_d": _id(), "_t": F.xxhash64("text")}).join(
-        gone.select(F.col("d").alias("_d"), F.col("t").alias("_t"), "gone").hint("shuffle_hash"), ["_d", "_t"], "left"
-    )
+def remove_repeats(docs: DataFrame, least_words: int = LEAST_WORDS, lines: str = "_lines", gone: str = "_gone") -> DataFrame:
+    """The documents without later copies of runs, plus two columns, named so that no column of docs is hidden: lines
+    that aren't blank, and of those removed."""
+    dropped = staged(later_copies(docs.select("doc_id", "text"), least_words), "later-copies")
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), "text", _id().alias("d"), F.xxhash64("text").alias("t"))
+    joined = rows.join(dropped.hint("shuffle_hash"), KEY, "left")
     # a line that isn't blank is numbered by how many such lines stand before it
-    blank = F.transform(_lines(), lambda x: F.regexp_replace(x, _ENDS, "") == "")
     numbered = F.aggregate(
-        "_blank",
+        "blank",
         F.struct(F.lit(0).alias("n"), F.array().cast("array<int>").alias("at")),
         lambda a, b: F.struct(F.when(b, a["n"]).otherwise(a["n"] + 1).alias("n"), F.array_append(a["at"], F.when(b, -1).otherwise(a["n"])).alias("at")),
     )
-    kept = F.filter(F.arrays_zip(_lines().alias("line"), F.col("_at.at").alias("at")), lambda x: ~F.array_contains("gone", x["at"]))
-    text = F.array_join(F.transform(kept, lambda x: x["line"]), "\n")
+    kept = F.filter(F.arrays_zip(_lines().alias("line"), F.col("numbers.at").alias("at")), lambda x: ~F.array_contains("gone", x["at"]))
     touched = F.col("gone").isNotNull()
-    count = F.size(F.filter("_blank", lambda b: ~b))
-    out = joined.withColumn("_blank", blank).withColumn("_lines", F.greatest(count, F.lit(0)))
-    out = out.withColumn("_at", F.when(touched, numbered)).withColumn("_gone", F.when(touched, F.size("gone")).otherwise(0))
-    text = F.when(~touched, F.col("text")).when(F.col("_gone") == F.col("_lines"), "").otherwise(text)
-    return out.withColumn("_new", text).select(*[F.col("_new").alias(c) if c == "text" else c for c in docs.columns], "_lines", "_gone")
+    out = joined.withColumn("blank", F.transform(_lines(), lambda x: F.regexp_replace(x, _ENDS, "") == ""))
+    out = out.withColumn("n_lines", F.greatest(F.size(F.filter("blank", lambda b: ~b)), F.lit(0))).withColumn("n_gone", F.when(touched, F.size("gone")).otherwise(0))
+    out = out.withColumn("numbers", F.when(touched, numbered))
+    rest = F.array_join(F.transform(kept, lambda x: x["line"]), "\n")
+    text = F.when(~touched, F.col("text")).when(F.col("n_gone") == F.col("n_lines"), "").otherwise(rest)
+    columns = [text.alias(c) if c == "text" else F.col("row").getField(c).alias(c) for c in docs.columns]
+    return out.select(*columns, F.col("n_lines").alias(fresh(lines, docs.columns)), F.col("n_gone").alias(fresh(gone, docs.columns)))

@@ -312,7 +312,7 @@ def host_wrappers(pages: DataFrame, html: str = "html") -> DataFrame:
 
 def main_texts(pages: DataFrame, html: str = "html", url: str = "url") -> DataFrame:
     """Replaces html by text, the article's."""
-    kept = [c for c in pages.columns if c not in (html, "text", "host", "wrapper")]
+    kept = [c for c in pages.columns if c not in (html, "text", "host", "wrapper", "_wrapper_salt")]
     hosted = pages.select(*kept, html).withColumn("host", host_of(F.col(url)))
     wrappers = staged(host_wrappers(hosted, html), "wrappers")
     schema = T.StructType([*(pages.schema[c] for c in kept), T.StructField("text", T.StringType())])
@@ -321,8 +321,8 @@ def main_texts(pages: DataFrame, html: str = "html", url: str = "url") -> DataFr
         shared = pages.sparkSession.sparkContext.broadcast({r[0]: r[1] for r in wrappers.toLocalIterator()})
         joined, given = hosted, shared
     else:
-        spread = wrappers.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-        joined = hosted.withColumn("salt", F.pmod(F.xxhash64(html), F.lit(SALTS)).cast("int")).join(spread, ["host", "salt"], "left")
+        spread = wrappers.withColumn("_wrapper_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+        joined = hosted.withColumn("_wrapper_salt", F.pmod(F.xxhash64(html), F.lit(SALTS)).cast("int")).join(spread, ["host", "_wrapper_salt"], "left")
         given = None
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:

@@ -23,8 +23,10 @@ def toxicity_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 def line_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Removes later copies of line runs; a document that consists of them goes. n_chars follows the text."""
-    out = linededup.remove_repeats(docs).where("_gone = 0 or _gone < _lines")
-    size = F.when(F.col("_gone") > 0, F.length("text").cast(docs.schema["n_chars"].dataType)).otherwise(F.col("n_chars"))
+    out = linededup.remove_repeats(docs)
+    lines, gone = (F.col(c) for c in out.columns[-2:])
+    out = out.where((gone == 0) | (gone < lines))
+    size = F.when(gone > 0, F.length("text").cast(docs.schema["n_chars"].dataType)).otherwise(F.col("n_chars"))
     return out.withColumn("n_chars", size).select(*docs.columns)
 
 
