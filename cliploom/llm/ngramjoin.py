@@ -10,8 +10,8 @@ signatures misses no partner. Signatures of more than MOST_SHARING documents are
 What remains without that proof (short sets, and large families of near copies, all of whose signatures are frequent)
 is joined exactly in another way: among themselves, by their rarest shingles, as many as any partner must share one of.
 
-Either way gives groups of sets that may be similar. Within a group each is compared with the group's smallest first;
-pairs are compared further only where they are not in one component by then. Every link is verified on whole sets.
+Either way gives groups of sets that may be similar. Within a group each is compared with its most typical set first;
+pairs are compared further only where they are not in one component by then and no proof keeps them apart. Every link is verified on whole sets.
 Documents of equal sets are one class throughout, so copies are never paired.
 
 Defined cases: texts without a word, and null texts, have no shingles and are linked with nothing; with fewer than five
@@ -43,7 +43,9 @@ N2, K2 = 3, 2
 SPOILED = comb(N2 - 1, N2 - K2 - 1)
 #: Mean shingles of a sub-partition for the largest sets of a band.
 FILL = 2.8
-MOST_SHARING = 100
+MOST_SHARING = 16
+#: Times that sets with too few shared signatures are taken out.
+PEELS = 2
 #: Sets to verify are picked by a broadcast of up to so many ids; more are joined by shuffle.
 BROADCAST_IDS = 1_000_000
 CACHE_WORDS = 400_000
@@ -63,7 +65,8 @@ class Shingler(dict):
     """Hashes of a text's distinct shingles, sorted; words are hashed once."""
 
     def __missing__(self, word: bytes) -> int:
-        self[word] = out = int.from_bytes(hashlib.blake2b(word, digest_size=8).digest(), "little")
+        # short words are their own number; the shingle's hash mixes them
+        self[word] = out = int.from_bytes(word if len(word) < 8 else hashlib.blake2b(word, digest_size=8).digest(), "little")
         return out
 
     def __call__(self, text: str | None) -> np.ndarray:
@@ -114,6 +117,14 @@ def signatures(h: np.ndarray, level: int) -> np.ndarray:
     return np.concatenate(out)
 
 
+def usable(h: np.ndarray, level: int) -> int:
+    """How many signatures a set has for a band."""
+    n1 = partitions(level)
+    cell = (_mix(h + np.uint64(level + 1)) >> np.uint64(16)) % np.uint64(n1 * N2)
+    some = np.bincount(cell.astype(np.int64), minlength=n1 * N2).reshape(n1, N2) > 0
+    return sum(int(some[:, kept].any(1).sum()) for kept in combinations(range(N2), N2 - K2))
+
+
 def levels(size: int) -> list[int]:
     """The set's band, and the next if a similar set may be there."""
     own = band(size)
@@ -127,8 +138,7 @@ def _spare(size: int, level: int, usable: int) -> int:
 
 
 def _documents(docs: DataFrame) -> DataFrame:
-    """doc_id, n_shingles, cls, own and up: spare signatures in the band and in the next one (0 if it has none there:
-    one more than nothing is needed, so 1 stands for no need)."""
+    """doc_id, n_shingles, cls, own and up: spare signatures in the band and in the next one, null if it has none there."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         shingles = Shingler()
@@ -137,12 +147,12 @@ def _documents(docs: DataFrame) -> DataFrame:
             for doc, text in zip(batch["doc_id"], batch["text"], strict=True):
                 h = shingles(text)
                 if not len(h):
-                    out.append((doc, 0, 0, 1, 1))
+                    out.append((doc, 0, 0, None, None))
                     continue
-                spare = [_spare(len(h), x, len(signatures(h, x))) for x in levels(len(h))]
-                out.append((doc, len(h), class_of(h), spare[0], spare[1] if len(spare) > 1 else 2**30))
+                spare = [_spare(len(h), x, usable(h, x)) for x in levels(len(h))]
+                out.append((doc, len(h), class_of(h), *spare, *[None] * (2 - len(spare))))
             frame = pd.DataFrame(out, columns=["doc_id", "n_shingles", "cls", "own", "up"])
-            yield frame.astype({"doc_id": "Int64"})
+            yield frame.astype({"doc_id": "Int64", "own": "Int64", "up": "Int64"})
 
     return docs.select(F.col("doc_id").cast("long"), "text").mapInPandas(run, "doc_id long, n_shingles long, cls long, own long, up long")
 
@@ -180,6 +190,15 @@ def _class(mark: Column) -> Column:
     return F.shiftright(mark, 1) + F.lit(2**62)
 
 
+def _peeled(groups: DataFrame, level: DataFrame) -> DataFrame:
+    """groups (sig, cls, up) without what cannot hold a link: a set shares with any similar one at least the signatures
+    that their differences cannot spoil (need), so a set with fewer goes, and then signatures that one class is left with."""
+    counts = groups.groupBy("cls", "up").agg(F.count("*").alias("n")).join(level, ["cls", "up"]).where("n >= need")
+    kept = staged(groups.join(counts.select("cls", "up"), ["cls", "up"], "left_semi"), "peeled")
+    several = kept.groupBy("sig").agg(F.min("cls").alias("lo"), F.max("cls").alias("hi")).where("lo < hi").select("sig")
+    return staged(kept.join(several, "sig", "left_semi"), "peeled")
+
+
 def _sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
     """cls, h: the sets of the classes in wanted (cls, rep: the id of one of its documents)."""
 
@@ -187,7 +206,8 @@ def _sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
         shingles = Shingler()
         for batch in batches:
             sets = [shingles(t) for t in batch["text"]]
-            yield pd.DataFrame({"cls": [class_of(h) for h in sets], "want": batch["want"], "h": [h.view(np.int64) for h in sets]})
+            if sets:
+                yield pd.DataFrame({"cls": [class_of(h) for h in sets], "want": batch["want"], "h": [h.view(np.int64) for h in sets]})
 
     few = wanted.limit(BROADCAST_IDS + 1).count() <= BROADCAST_IDS
     ids = wanted.select(F.col("rep").alias("id"), F.col("cls").alias("want"))
@@ -197,30 +217,58 @@ def _sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
     return staged(found, "sets").dropDuplicates(["cls"])
 
 
-def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """Of pairs a, b of classes, those that are similar enough."""
+def _measured(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """Pairs a, b of classes whose sizes may fit, with the distance d of their sets and whether they are linked."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            keep = []
+            far, linked = [], []
             for x, y in zip(batch["ha"], batch["hb"], strict=True):
                 both = len(np.intersect1d(x, y, assume_unique=True))
-                keep.append(ALL * both >= COMMON * (len(x) + len(y) - both))
-            yield batch.loc[keep, ["a", "b"]]
-
-    x = sets.select(F.col("cls").alias("a"), F.col("h").alias("ha"))
-    y = sets.select(F.col("cls").alias("b"), F.col("h").alias("hb"))
-    fits = F.least(F.size("ha"), F.size("hb")) * ALL >= F.greatest(F.size("ha"), F.size("hb")) * COMMON
-    return pairs.join(x, "a").join(y, "b").where(fits).select("a", "b", "ha", "hb").mapInPandas(run, "a long, b long")
+                either = len(x) + len(y) - both
+                far.append(1 - both / either)
+                linked.append(ALL * both >= COMMON * either)
+            if far:
+                yield batch[["a", "b"]].assign(d=far, linked=linked)
+
+    # sizes first: they rule out many pairs before any set is moved
+    x, y = (sets.select(F.col("cls").alias(c), F.size("h").alias(f"n{c}")) for c in "ab")
+    fits = F.least("na", "nb") * ALL >= F.greatest("na", "nb") * COMMON
+    pairs = staged(pairs.join(x, "a").join(y, "b").where(fits).select("a", "b"), "fitting-pairs")
+    x, y = (sets.select(F.col("cls").alias(c), F.col("h").alias(f"h{c}")) for c in "ab")
+    found = pairs.join(x, "a").join(y, "b").select("a", "b", "ha", "hb").mapInPandas(run, "a long, b long, d double, linked boolean")
+    return staged(found, "measured")
+
+
+def _still_open(named: DataFrame, measured: DataFrame) -> DataFrame:
+    """Pairs a, b in one group but not in one component that may be linked. Three proofs spare the rest: their distances
+    to the group's typical set differ by more than a link's distance; a rare shingle stands too far back in their sets to be
+    the first that they share; or they have been measured."""
+    open_ = named.groupBy("g").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo < hi")
+    far = measured.select(F.col("a").alias("pivot"), F.col("b").alias("cls"), "d")
+    left = named.join(open_.select("g"), "g").join(far, ["pivot", "cls"], "left")
+    left = left.withColumn("d", F.when(F.col("cls") == F.col("pivot"), 0.0).otherwise(F.col("d")))
+    left = staged(left, "open-groups")
+    x = left.select("g", *[F.col(c).alias(f"{c}_a") for c in ("cls", "root", "d", "pos", "n")])
+    y = left.select("g", *[F.col(c).alias(f"{c}_b") for c in ("cls", "root", "d", "pos", "n")])
+    # the least that similar sets share
+    common = F.ceil((F.col("n_a") + F.col("n_b")) * COMMON / (ALL + COMMON))
+    early = (F.col("n_a") - F.col("pos_a") >= common) & (F.col("n_b") - F.col("pos_b") >= common)
+    near = F.abs(F.col("d_a") - F.col("d_b")) <= 1 - COMMON / ALL + 1e-9
+    rule = (F.col("root_a") != F.col("root_b")) & (F.col("cls_a") < F.col("cls_b")) & F.coalesce(near, F.lit(True)) & F.coalesce(early, F.lit(True))
+    pairs = x.join(y, "g").where(rule).select(F.col("cls_a").alias("a"), F.col("cls_b").alias("b")).distinct()
+    return staged(pairs.join(measured.select("a", "b"), ["a", "b"], "left_anti"), "more-pairs")
 
 
 def _rare_groups(sets: DataFrame) -> DataFrame:
-    """g, cls: classes by their rarest shingles, as many as a similar set must share one of."""
+    """g, cls, pos, n, typical: classes by their rarest shingles, as many as a similar set must share one of; pos: how many
+    of its n shingles are rarer; typical: how many sets share one of its shingles on average."""
     parts = staged(sets.select("cls", F.size("h").alias("n"), F.explode("h").alias("g")), "shingles")
     seen = parts.groupBy("g").agg(F.count("*").alias("df"))
-    ordered = parts.join(seen, "g").groupBy("cls").agg(F.array_sort(F.collect_list(F.struct("df", "g"))).alias("o"), F.first("n").alias("n"))
+    ordered = parts.join(seen, "g").groupBy("cls").agg(F.array_sort(F.collect_list(F.struct("df", "g"))).alias("o"), F.first("n").alias("n"), F.avg("df").alias("typical"))
     prefix = F.col("n") - F.ceil(F.col("n") * COMMON / ALL) + 1
-    return ordered.select("cls", F.explode(F.slice("o", F.lit(1), prefix.cast("int"))).alias("x")).where("x.df > 1").select(F.col("x.g").alias("g"), "cls")
+    rare = ordered.select("cls", "n", "typical", F.posexplode(F.slice("o", F.lit(1), prefix.cast("int"))).alias("pos", "x"))
+    return rare.where("x.df > 1").select(F.col("x.g").alias("g"), "cls", "pos", "n", "typical")
 
 
 def components(docs: DataFrame) -> DataFrame:
@@ -241,32 +289,30 @@ def components(docs: DataFrame) -> DataFrame:
     shared = staged(shared.select("sig", _class(F.col("mark")).alias("cls"), F.col("mark").bitwiseAND(1).alias("up"), (F.col("n") > MOST_SHARING).alias("hot")).distinct(), "signatures")
     spark.catalog.dropTempView("_signatures")
     hot = shared.where("hot").groupBy("cls").agg(F.sum(1 - F.col("up")).alias("hot_own"), F.sum("up").alias("hot_up"))
-    unproven = staged(
-        classes.join(hot, "cls", "left")
-        .where((F.col("own") - F.coalesce("hot_own", F.lit(0)) <= 0) | (F.col("up") - F.coalesce("hot_up", F.lit(0)) <= 0))
-        .select("cls"),
-        "unproven",
-    )
-    groups = shared.where("not hot").select(F.col("sig").alias("g"), "cls").distinct()
-    wanted = groups.select("cls").unionByName(unproven).distinct().join(classes.select("cls", "rep"), "cls")
+    spare = F.col("own") - F.coalesce("hot_own", F.lit(0)), F.col("up") - F.coalesce("hot_up", F.lit(0))
+    needs = staged(classes.join(hot, "cls", "left").select("cls", "rep", spare[0].alias("own"), spare[1].alias("up")), "needs")
+    unproven = needs.where("own <= 0 or up <= 0").select("cls")
+    level = needs.select("cls", F.lit(0).alias("up"), F.col("own").alias("need")).unionByName(needs.where("up is not null").select("cls", F.lit(1).alias("up"), F.col("up").alias("need")))
+    groups = shared.where("not hot").select("sig", "cls", "up")
+    for _ in range(PEELS):
+        groups = _peeled(groups, level)
+    groups = groups.select(F.col("sig").alias("g"), "cls").distinct()
+    wanted = groups.select("cls").unionByName(unproven).distinct().join(needs.select("cls", "rep"), "cls")
     sets = _sets(docs, staged(wanted, "wanted"))
     sets = staged(sets, "class-sets")
     rare = _rare_groups(sets.join(unproven, "cls", "left_semi"))
+    groups = groups.withColumns({"pos": F.lit(None).cast("int"), "n": F.lit(None).cast("int"), "typical": F.lit(0.0)})
     groups = staged(groups.unionByName(rare), "groups")
-    first = groups.groupBy("g").agg(F.min("cls").alias("a"))
-    pairs = staged(groups.join(first, "g").where("cls <> a").select("a", F.col("cls").alias("b")).distinct(), "pairs")
-    links = staged(_verified(pairs, sets), "links")
+    # a family's most typical set is likeliest to be linked with all of it
+    first = groups.groupBy("g").agg(F.max_by("cls", F.struct("typical", -F.col("cls"))).alias("pivot"))
+    groups = staged(groups.join(first, "g").drop("typical"), "groups")
+    pairs = groups.where("cls <> pivot").select(F.col("pivot").alias("a"), F.col("cls").alias("b")).distinct()
+    measured = _measured(pairs, sets)
+    links = measured.where("linked").select("a", "b")
     labels = connected(links)
-    # groups that still hold several components
-    named = groups.join(labels.withColumnRenamed("node", "cls"), "cls", "left").select("g", "cls", F.coalesce("root", "cls").alias("root"))
-    named = staged(named, "named-groups")
-    open_ = named.groupBy("g").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo < hi").select("g")
-    left = named.join(open_, "g", "left_semi")
-    x = left.select("g", F.col("cls").alias("a"), F.col("root").alias("ra"))
-    y = left.select("g", F.col("cls").alias("b"), F.col("root").alias("rb"))
-    more = x.join(y, "g").where("ra <> rb and a < b").select("a", "b").distinct()
-    more = staged(more.join(pairs, ["a", "b"], "left_anti"), "more-pairs")
-    labels = connected(links.unionByName(_verified(more, sets)))
+    named = groups.join(labels.withColumnRenamed("node", "cls"), "cls", "left").withColumn("root", F.coalesce("root", "cls"))
+    more = _measured(_still_open(staged(named, "named-groups"), measured), sets)
+    labels = connected(links.unionByName(more.where("linked").select("a", "b")))
     # ids: the smallest of a component's documents
     member = known.join(labels.withColumnRenamed("node", "cls"), "cls", "left")
     member = staged(member.select("doc_id", "n_shingles", F.when(F.col("n_shingles") > 0, F.coalesce("root", "cls")).alias("root")), "members")
