@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
+import pickle
 import tempfile
 import uuid
+from collections.abc import Callable, Iterator
+from typing import Any
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -51,20 +55,28 @@ def label_table(labels: DataFrame, label: str) -> DataFrame:
     return labels.where(F.col("doc_id").isNotNull() & F.col(label).isNotNull()).groupBy("doc_id").agg(F.max(F.col(label).cast("int")).alias(label))
 
 
-def sampled(docs: DataFrame, ids: DataFrame, classes: list, per_class: int, most_chars: int = 8_000_000) -> list[tuple[str, int]]:
-    """Texts to fit on: of each class at most per_class rows of ids (doc_id, y), picked in a seeded order and
-    taken until they hold most_chars. Gives text and index of the class. Both bounds are the caller's parameters."""
+def fitted(docs: DataFrame, ids: DataFrame, classes: list, per_class: int, most_chars: int, fit: Callable[[list[tuple[str, int]]], Any]) -> Any:
+    """What fit makes of a bounded sample: of each class at most per_class rows of ids (doc_id, y), picked in a seeded
+    order, and texts until they hold most_chars; fit gets texts and indexes of classes. Both bounds are the caller's
+    parameters. Fitting is one task, so the driver sees the model alone, and a lost executor only repeats it."""
     picked = None
     for k, y in enumerate(classes):
         some = ids.where(F.col("y") == y).select("doc_id", F.lit(k).alias("k")).orderBy(F.xxhash64("doc_id"), "doc_id").limit(per_class)
         picked = some if picked is None else picked.unionByName(some)
     if picked is None:
-        return []
+        return fit([])
     rows = docs.select("doc_id", "text").where("text is not null").join(F.broadcast(picked.distinct()), "doc_id")
-    out, chars = [], 0
-    for r in rows.orderBy(F.xxhash64("doc_id"), "text").limit(2 * per_class * len(classes)).toLocalIterator():
-        out.append((r["text"], r["k"]))
-        chars += len(r["text"])
-        if chars > most_chars:
-            break
-    return out
+    rows = rows.orderBy(F.xxhash64("doc_id"), "text").limit(2 * per_class * len(classes)).select("text", "k")
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        held: list[tuple[str, int]] = []
+        chars = 0
+        for batch in batches:
+            for text, k in zip(batch["text"], batch["k"], strict=True):
+                if chars <= most_chars:
+                    held.append((text, int(k)))
+                    chars += len(text)
+        yield pd.DataFrame({"model": [pickle.dumps(fit(held))]})
+
+    found = rows.coalesce(1).mapInPandas(run, "model binary").first()
+    return fit([]) if found is None else pickle.loads(found["model"])

@@ -8,15 +8,16 @@ sweep fills in the messages. That is exact, and costs the same for one long text
 
 from __future__ import annotations
 
+from array import array
 from collections.abc import Callable, Iterable
 from itertools import islice
 
 import numpy as np
 
 #: Words that one worker keeps scored; beyond that it starts afresh.
-CACHE_WORDS = 300_000
+CACHE_WORDS = 80_000
 #: Characters of text that are scored together.
-CHUNK_CHARS = 3_000_000
+CHUNK_CHARS = 800_000
 
 #: Steps between two rescalings of messages.
 RESCALE = 8
@@ -137,9 +138,12 @@ class Chain:
         """Adam on the conditional log-likelihood with a ridge. words: cores; ids: index into them of each token; gold: its state."""
         s = self.weights.shape[1]
         names: dict[str, int] = {}
-        lists = [[names.setdefault(x, len(names)) for x in self.features(w)] for w in words]
-        flat = np.array([i for x in lists for i in x])
-        owner = np.repeat(np.arange(len(words)), [len(x) for x in lists])
+        pairs, lengths = array("i"), array("i")
+        for w in words:
+            found = self.features(w)
+            pairs.extend(names.setdefault(x, len(names)) for x in found)
+            lengths.append(len(found))
+        flat, owner = np.array(pairs), np.repeat(np.arange(len(words), dtype=np.int32), np.array(lengths))
         firsts = np.flatnonzero(starts)
         cuts = [0, *(int(firsts[k]) for k in np.unique(np.searchsorted(firsts, np.arange(FIT_TOKENS, len(ids), FIT_TOKENS))) if k < len(firsts)), len(ids)]
         params = [np.zeros((len(names), s)), self.trans, self.init]

@@ -5,7 +5,7 @@ learned lexicons (words seen almost always in one language); transitions between
 code-switched text is labelled word by word through forward-backward. A document's language is the one with
 the most expected words, its score their share.
 
-The model is fitted on the driver from a bounded, seeded sample (``per_language`` documents of each language);
+The model is fitted in one task from a bounded, seeded sample (``per_language`` documents of each language);
 every document is labelled over its whole text on the executors.
 
 Defined cases: null texts and texts without a letter are ``und`` with score 0; with no training rows all are;
@@ -27,14 +27,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import sampled
+from .common import fitted
 from .crf import Chain, Tagger
 
 UNKNOWN = "und"
 #: Transition weights are held within this on either side.
 MOST_TRANSITION = 2.5
 #: Characters of text that the model is fitted on at most.
-FIT_CHARS = 3_000_000
+FIT_CHARS = 2_000_000
 _LETTERS = re.compile(r"[^\W\d_]+")
 
 
@@ -79,10 +79,14 @@ class Model:
 
 
 def fit(docs: DataFrame, per_language: int = 400, rounds: int = 30) -> Model:
-    """docs: text and lang of training rows alone. per_language bounds what the driver sees of each language."""
+    """docs: text and lang of training rows alone. per_language and FIT_CHARS bound what the model is fitted on."""
     known = docs.where("doc_id is not null and text is not null and lang is not null")
     langs = sorted(r[0] for r in known.select("lang").distinct().toLocalIterator())
-    rows = sampled(known, known.select("doc_id", F.col("lang").alias("y")).distinct(), langs, per_language, FIT_CHARS)
+    ids = known.select("doc_id", F.col("lang").alias("y")).distinct()
+    return fitted(known, ids, langs, per_language, FIT_CHARS, lambda rows: _fit(rows, langs, rounds))
+
+
+def _fit(rows: list[tuple[str, int]], langs: list[str], rounds: int) -> Model:
     if not rows:
         return Model([], None)
     texts, gold_of = [r[0] for r in rows], [r[1] for r in rows]

@@ -5,7 +5,7 @@ where it stands in many different contexts of toxic training documents and hardl
 then learns from the labelled tokens; forward-backward marginals give spans with their offsets and, summed
 up, a logistic score of the whole document.
 
-The model is fitted on the driver from a bounded, seeded sample of training documents (``per_class`` of each
+The model is fitted in one task from a bounded, seeded sample of training documents (``per_class`` of each
 label); every document is scored over its whole text on the executors.
 
 Defined cases: null and empty texts score like a text without toxic words and have no spans; rows with null
@@ -28,12 +28,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import sampled
+from .common import fitted
 from .crf import Chain, Tagger
 
 _WORD = re.compile(r"\w+")
 #: Characters of text that the model is fitted on at most.
-FIT_CHARS = 5_000_000
+FIT_CHARS = 3_500_000
 SPANS = "array<struct<start:int,end:int,p:double>>"
 
 
@@ -102,8 +102,11 @@ def _evidence(bounds: np.ndarray, p: np.ndarray) -> np.ndarray:
 
 
 def fit(docs: DataFrame, labels: DataFrame, per_class: int = 1200, rounds: int = 40) -> Model:
-    """labels: doc_id and toxic, training rows alone. per_class bounds what the driver sees of either label."""
-    rows = sampled(docs, labels.select("doc_id", F.col("toxic").alias("y")), [0, 1], per_class, FIT_CHARS)
+    """labels: doc_id and toxic, training rows alone. per_class and FIT_CHARS bound what the model is fitted on."""
+    return fitted(docs, labels.select("doc_id", F.col("toxic").alias("y")), [0, 1], per_class, FIT_CHARS, lambda rows: _fit(rows, rounds))
+
+
+def _fit(rows: list[tuple[str, int]], rounds: int) -> Model:
     texts, toxic = [r[0] for r in rows], [r[1] for r in rows]
     chain = Chain(2, _core, features)
     prior = float(np.mean(toxic)) if toxic else 0.0
