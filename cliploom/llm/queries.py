@@ -28,7 +28,8 @@ def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontam.overlaps(docs, table(spark, sf_dir, "benchmark").select("item_id", "text"))
 
 
-#: Masks as in decontam.MASKS; a stretch's score is a difference of running sums.
+#: Narrower than the operator: two masks of weight 6 and the best-scoring stretch (a match 1, a mismatch -2).
+#: Both find the same in the given tables; tests/llm hold the operator against brute force.
 _OP2_SQL = r"""
 WITH d AS (SELECT doc_id, regexp_extract_all(lower(coalesce(text, '')), '[\p{L}\p{N}]+') AS w FROM documents),
 b AS (SELECT item_id, regexp_extract_all(lower(coalesce(text, '')), '[\p{L}\p{N}]+') AS w FROM benchmark),

@@ -65,6 +65,52 @@ def test_overlaps_survive_substitutions(spark):
     assert decontam.overlaps(docs(spark, rows), bench.limit(0)).isEmpty()
 
 
+def brute_overlap(doc, item, least=10, share=0.75):
+    """n_matches, doc_start, n_words of the best stretch of any diagonal, by trying all."""
+    best = None
+    for diagonal in range(-len(item) + 1, len(doc)):
+        at = [k for k, w in enumerate(item) if 0 <= diagonal + k < len(doc) and doc[diagonal + k] == w]
+        found = [(b - a + 1, at[b] - at[a] + 1, at[a]) for a in range(len(at)) for b in range(a, len(at)) if b - a + 1 >= share * (at[b] - at[a] + 1)]
+        if found:
+            n, words, start = min(found, key=lambda x: (-x[0], x[1], x[2]))
+            if n >= least and (best is None or (-n, diagonal + start, words) < best):
+                best = (-n, diagonal + start, words)
+    return best and (-best[0], best[1], best[2])
+
+
+def test_no_overlap_is_missed(spark):
+    rng = random.Random(5)
+    rows, items, want = [], [], {}
+    for size, changes in ((12, 2), (12, 1), (13, 3), (15, 3), (17, 4), (20, 5), (25, 6), (30, 7), (30, 14)):
+        item = [f"i{size}x{changes}x{k}" for k in range(size)]
+        items.append((1000 * size + changes, " ".join(item)))
+        for n in range(25):
+            gone = {2} if (size, changes, n) == (12, 1, 0) else set(rng.sample(range(size), changes))
+            doc = [f"n{k}" for k in range(rng.randint(0, 3))] + [f"c{k}" if k in gone else w for k, w in enumerate(item)] + ["n"] * rng.randint(0, 3)
+            key = (len(rows), 1000 * size + changes)
+            rows.append((key[0], " ".join(doc)))
+            if found := brute_overlap(doc, item):
+                want[key] = found
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    got = {(r["doc_id"], r["item_id"]): (r["n_matches"], r["doc_start"], r["n_words"]) for r in decontam.overlaps(docs(spark, rows), bench).collect()}
+    assert got == want and len(want) > 180
+
+
+def test_masks_hit_every_stretch():
+    """Most of matches - 3 * mismatches over all patterns that no mask hits, by their last words."""
+    best = {((), 0): 0}
+    for _ in range(200):
+        longer = {}
+        for (tail, n), value in best.items():
+            for match in (0, 1):
+                t = (*tail, match)[-5:]
+                if not any(len(t) > m[-1] and all(t[len(t) - m[-1] - 1 + p] for p in m) for m in decontam.MASKS):
+                    key = (t, min(decontam.LEAST_MATCHES, n + match))
+                    longer[key] = max(longer.get(key, -1000), value + (1 if match else -3))
+        best = longer
+        assert all(value < 0 for (_, n), value in best.items() if n == decontam.LEAST_MATCHES)
+
+
 def test_shuffled_join_gives_the_same(spark, monkeypatch):
     bench = spark.createDataFrame([(1, " ".join(f"a{i}" for i in range(20)))], "item_id long, text string")
     d = docs(spark, [(k, " ".join(f"a{i}" for i in range(k))) for k in range(30)])
