@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import pickle
+import re
 import tempfile
 import uuid
 from collections.abc import Callable, Iterator
@@ -21,20 +22,43 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share; set here only where the cluster names none (tests)."""
+    """The folder that driver and executors share. Where the session names none, a local master gets a temporary one
+    (as in tests); on a cluster that is an error, as executors would write to disks of their own."""
     path = spark.conf.get("spark.checkpoint.dir", None)
     if not path:
+        if not re.match(r"local(\[|$)", spark.sparkContext.master):
+            raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
         path = tempfile.mkdtemp(prefix="cliploom-")
         spark.conf.set("spark.checkpoint.dir", path)
     return path.rstrip("/")
 
 
-def staged(df: DataFrame, label: str) -> DataFrame:
-    """Write df to the shared folder and read it back: cuts lineage, survives lost executors, computed once."""
-    spark = df.sparkSession
-    path = f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
+def _written(df: DataFrame, path: str) -> DataFrame:
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def staged(df: DataFrame, label: str) -> DataFrame:
+    """Write df to the shared folder and read it back: cuts lineage, survives lost executors, computed once. The table
+    stays; it is for what a result still reads."""
+    return _written(df, f"{shared_dir(df.sparkSession)}/{label}-{uuid.uuid4().hex}")
+
+
+class Workspace:
+    """Staged tables that are needed only while a function runs: ``close`` removes them together, once what the function
+    gives has been staged elsewhere."""
+
+    def __init__(self, spark: SparkSession, label: str):
+        self.spark, self.path, self.n = spark, f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}", 0
+
+    def __call__(self, df: DataFrame, label: str) -> DataFrame:
+        self.n += 1
+        return _written(df, f"{self.path}/{self.n}-{label}")
+
+    def close(self) -> None:
+        jvm = self.spark._jvm
+        path = jvm.org.apache.hadoop.fs.Path(self.path)
+        path.getFileSystem(self.spark._jsparkSession.sessionState().newHadoopConf()).delete(path, True)
 
 
 def fresh(name: str, columns: list[str]) -> str:

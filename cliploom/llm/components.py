@@ -1,6 +1,7 @@
 """Connected components of an edge table, by hooking to the smallest neighbour and contracting.
 
-Nothing is collected: every round stages its tables in the shared folder. A node without edges is no row.
+Nothing is collected: every round stages its tables in the shared folder. A node without edges is no row; edges with a
+null end, and edges of a node to itself, are left out; repeated edges count once; no edges give no rows.
 """
 
 from __future__ import annotations
@@ -8,11 +9,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import staged
+from .common import Workspace
 
 
-def connected(edges: DataFrame) -> DataFrame:
-    """edges: a, b (long). Gives node, root: the smallest node that can be reached, itself included."""
+def connected(edges: DataFrame, staged: Workspace) -> DataFrame:
+    """edges: a, b (long). Gives node, root: the smallest node that can be reached, itself included. The tables of all
+    rounds, and the result, are in the workspace."""
     edges = staged(edges.where("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "edges")
     labels = None
     while not edges.isEmpty():

@@ -216,6 +216,7 @@ def near_copies(rng, n_families, sizes, edits):
 @pytest.mark.parametrize("sharing", [2, 100])
 def test_links_against_brute_force(spark, monkeypatch, sharing):
     monkeypatch.setattr(ngramjoin, "MOST_SHARING", sharing)
+    monkeypatch.setattr(ngramjoin, "SIDE", 3)
     rng = random.Random(9)
     texts = near_copies(rng, 4, (3, 6, 9, 14, 25, 60, 130, 300), (0.0, 0.01, 0.02, 0.03, 0.04, 0.05, 0.06))
     passage = " ".join(f"p{i}" for i in range(40))
