@@ -12,6 +12,7 @@ from typing import Any
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 #: A word, wherever an operator counts words: a run of anything but ASCII white space.
 WORD = r"[^\x20\x09-\x0D]+"
@@ -81,26 +82,35 @@ def label_table(labels: DataFrame, label: str) -> DataFrame:
 
 def fitted(docs: DataFrame, ids: DataFrame, classes: list, per_class: int, most_chars: int, fit: Callable[[list[tuple[str, int]]], Any]) -> Any:
     """What fit makes of a bounded sample: of each class at most per_class rows of ids (doc_id, y), picked in a seeded
-    order, and texts until they hold most_chars; fit gets texts and indexes of classes. Both bounds are the caller's
-    parameters. Fitting is one task, so the driver sees the model alone, and a lost executor only repeats it."""
+    order, and of their texts as many, in that order, as begin within most_chars, the last one cut there; fit gets texts
+    and indexes of classes. Both bounds are the caller's parameters, and no more than they allow goes to one task, which
+    fits; so the driver sees the model alone, and a lost executor only repeats it."""
     picked = None
     for k, y in enumerate(classes):
         some = ids.where(F.col("y") == y).select("doc_id", F.lit(k).alias("k")).orderBy(F.xxhash64("doc_id"), "doc_id").limit(per_class)
         picked = some if picked is None else picked.unionByName(some)
     if picked is None:
         return fit([])
+    work = Workspace(docs.sparkSession, "sample")
     rows = docs.select("doc_id", "text").where("text is not null").join(F.broadcast(picked.distinct()), "doc_id")
-    rows = rows.orderBy(F.xxhash64("doc_id"), "text").limit(2 * per_class * len(classes)).select("text", "k")
+    key = ["o", "t", "k"]
+    rows = work(rows.select(F.xxhash64("doc_id").alias("o"), F.xxhash64("text").alias("t"), "k", F.length("text").alias("n"), "text"), "sample")
+    # sizes are summed up without the texts, of a bounded number of rows
+    first = rows.select(*key, "n").orderBy(*key).limit(2 * per_class * len(classes))
+    upto = first.withColumn("before", F.sum("n").over(Window.orderBy(*key).rowsBetween(Window.unboundedPreceding, -1)))
+    chosen = upto.where(F.coalesce("before", F.lit(0)) < most_chars).select(*key).distinct()
+    rows = rows.join(F.broadcast(chosen), key).select(*key, "text").coalesce(1).sortWithinPartitions(*key)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         held: list[tuple[str, int]] = []
         chars = 0
         for batch in batches:
             for text, k in zip(batch["text"], batch["k"], strict=True):
-                if chars <= most_chars:
-                    held.append((text, int(k)))
-                    chars += len(text)
+                if chars < most_chars:
+                    held.append((text[: most_chars - chars], int(k)))
+                    chars += len(held[-1][0])
         yield pd.DataFrame({"model": [pickle.dumps(fit(held))]})
 
-    found = rows.coalesce(1).mapInPandas(run, "model binary").first()
+    found = rows.select("text", "k").mapInPandas(run, "model binary").first()
+    work.close()
     return fit([]) if found is None else pickle.loads(found["model"])

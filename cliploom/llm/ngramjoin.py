@@ -56,11 +56,11 @@ PEELS = 2
 BROADCAST_IDS = 1_000_000
 #: Members of a group that are paired in one task; larger groups are split.
 SIDE = 512
-CACHE_WORDS = 400_000
+CACHE_WORDS = 200_000
 #: Classes whose signatures a task remembers to have given.
-CACHE_CLASSES = 200_000
+CACHE_CLASSES = 100_000
 #: Characters of text that are shingled together.
-CHUNK_CHARS = 1_000_000
+CHUNK_CHARS = 500_000
 NULL_ID = -(2**63)
 
 _P = np.uint64(0x9E3779B97F4A7C15)
