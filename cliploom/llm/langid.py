@@ -1,22 +1,22 @@
 """Language of every word, and of a document, by a linear-chain conditional random field.
 
 States are the languages of the training rows. A word's features are its affixes, character n-grams and
-learned lexicons (words seen almost always in one language); transitions between languages are learned, so
-code-switched text is labelled word by word through forward-backward. A document's language is the one with
-the most expected words, its score their share.
+learned lexicons (words seen almost always in one language). Training documents have one language each, so they are
+also spliced: pieces of different documents in a row make code-switched sequences, from which the transitions are
+learned along with the rest. Text is labelled word by word through forward-backward; a document's language is the one
+with the most expected words, its score their share.
 
 The model is fitted in one task from a bounded, seeded sample (``per_language`` documents of each language);
 every document is labelled over its whole text on the executors.
 
 Defined cases: null texts and texts without a letter are ``und`` with score 0; with no training rows all are;
-rows with null ids are labelled, too; repeated rows give repeated results; an empty table gives no rows;
-columns besides ``doc_id`` and ``text`` pass through.
+rows with null ids are labelled, too; repeated rows give repeated results; an empty table gives no rows; other
+columns pass through, and the added ones are named so that none of them is hidden; a very long text is labelled whole.
 """
 
 from __future__ import annotations
 
 import re
-from array import array
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -27,44 +27,23 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import fitted
-from .crf import Chain, Tagger
+from .common import fitted, fresh
+from .crf import Chain, Tagger, Words
 
 UNKNOWN = "und"
-#: Transition weights are held within this on either side.
-MOST_TRANSITION = 2.5
 #: Characters of text that the model is fitted on at most.
 FIT_CHARS = 2_000_000
-_LETTERS = re.compile(r"[^\W\d_]+")
-
-
-def _core(token: str) -> str:
-    m = _LETTERS.search(token)
-    return m[0].lower() if m else ""
-
-
-class Features:
-    """Features of a word; lexicon: word to language number."""
-
-    def __init__(self, lexicon: dict[str, int]):
-        self.lexicon = lexicon
-
-    def __call__(self, core: str) -> list[str]:
-        if not core:
-            return ["none"]
-        w = f"<{core[:40]}>"
-        n = len(w)
-        known = self.lexicon.get(core)
-        out = ["bias", *[w[:k] for k in range(2, min(6, n))], *[w[-k:] for k in range(2, min(6, n))], *[w[i : i + 3] for i in range(1, n - 3)]]
-        out += [*set(core[:40])]
-        return out if known is None else [*out, f"lexicon {known}"]
+#: Words of a spliced piece, and pieces of a spliced sequence.
+PIECE, PIECES = (4, 16), 8
+#: A word, wherever it stands in a token: a run of letters; longer runs are several.
+_LETTERS = re.compile(r"[^\W\d_]{1,40}")
 
 
 def lexicon(texts: list[str], langs: list[int], most: int = 50_000) -> dict[str, int]:
     """Words in five training texts or more of which nine in ten are of one language."""
     seen: Counter[tuple[str, int]] = Counter()
     for text, y in zip(texts, langs, strict=True):
-        seen.update((w, y) for w in {_core(t) for t in text.split()} if w)
+        seen.update((w, y) for w in {w.lower() for w in _LETTERS.findall(text)})
     total: Counter[str] = Counter()
     for (w, _), n in seen.items():
         total[w] += n
@@ -78,62 +57,67 @@ class Model:
     chain: Chain | None
 
 
-def fit(docs: DataFrame, per_language: int = 400, rounds: int = 30) -> Model:
-    """docs: text and lang of training rows alone. per_language and FIT_CHARS bound what the model is fitted on."""
+def fit(docs: DataFrame, per_language: int = 400, most_chars: int = FIT_CHARS, rounds: int = 30) -> Model:
+    """docs: text and lang of training rows alone. per_language and most_chars bound what the model is fitted on."""
     known = docs.where("doc_id is not null and text is not null and lang is not null")
     langs = sorted(r[0] for r in known.select("lang").distinct().toLocalIterator())
     ids = known.select("doc_id", F.col("lang").alias("y")).distinct()
-    return fitted(known, ids, langs, per_language, FIT_CHARS, lambda rows: _fit(rows, langs, rounds))
+    return fitted(known, ids, langs, per_language, most_chars, lambda rows: _fit(rows, langs, rounds))
+
+
+def spliced(flat: np.ndarray, bounds: np.ndarray, gold: np.ndarray, seed: int = 5) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """A piece of each text, shuffled and put together to sequences of several: words, whether a sequence begins, labels."""
+    rng = np.random.default_rng(seed)
+    words, labels, starts = [np.zeros(0, int)], [np.zeros(0, int)], [np.zeros(0, bool)]
+    for k, text in enumerate(rng.permutation(len(gold))):
+        size = bounds[text + 1] - bounds[text]
+        piece = min(size, int(rng.integers(*PIECE)))
+        at = bounds[text] + int(rng.integers(size - piece + 1))
+        words.append(flat[at : at + piece])
+        labels.append(np.full(piece, gold[text]))
+        starts.append((np.arange(piece) == 0) & (k % PIECES == 0))
+    found = np.concatenate(words), np.concatenate(starts), np.concatenate(labels)
+    if len(found[1]):
+        found[1][0] = True
+    return found
 
 
 def _fit(rows: list[tuple[str, int]], langs: list[str], rounds: int) -> Model:
-    if not rows:
+    texts, gold = [r[0] for r in rows], np.array([r[1] for r in rows], int)
+    words = Words(_LETTERS)
+    flat, bounds = words(texts)
+    if not len(flat):
         return Model([], None)
-    texts, gold_of = [r[0] for r in rows], [r[1] for r in rows]
-    words_of = lexicon(texts, gold_of)
-    chain = Chain(len(langs), _core, Features(words_of))
-    ids: dict[str, int] = {}
-    flat, gold, starts = array("i"), array("i"), array("b")
-    for text, y in zip(texts, gold_of, strict=True):
-        fresh = True
-        for token in text.split():
-            if w := _core(token):
-                flat.append(ids.setdefault(w, len(ids)))
-                gold.append(y)
-                starts.append(fresh)
-                fresh = False
-    if flat:
-        chain.fit(list(ids), np.array(flat), np.array(starts, bool), np.array(gold), rounds)
-        # a training document has one label for all its words, so a switch was never seen: keep it possible
-        chain.trans = np.clip(chain.trans, -MOST_TRANSITION, MOST_TRANSITION)
-    return Model(langs, chain if flat else None)
+    chain = Chain(len(langs), _LETTERS, lexicon(texts, list(gold)), len(langs))
+    starts = np.zeros(len(flat), bool)
+    starts[bounds[:-1][np.diff(bounds) > 0]] = True
+    parts = [(flat, starts, np.repeat(gold, np.diff(bounds))), spliced(flat, bounds, gold)]
+    chain.fit(list(words.rows), *(np.concatenate(x) for x in zip(*parts, strict=True)), rounds)
+    return Model(langs, chain)
 
 
 def label(docs: DataFrame, model: Model, words: bool = False) -> DataFrame:
     """Adds lang_pred and score, and with words=True word_langs: the likeliest language of every word."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
-    added = ["lang_pred", "score", *["word_langs"] * words]
-    kept = [c for c in docs.columns if c not in added]
-    schema = T.StructType([docs.schema[c] for c in kept]).add("lang_pred", T.StringType()).add("score", T.DoubleType())
+    added = [fresh(c, docs.columns) for c in ("lang_pred", "score", *["word_langs"] * words)]
+    schema = T.StructType([*docs.schema]).add(added[0], T.StringType()).add(added[1], T.DoubleType())
     if words:
-        schema = schema.add("word_langs", T.ArrayType(T.StringType()))
+        schema = schema.add(added[2], T.ArrayType(T.StringType()))
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         m = shared.value
-        tagger = Tagger(m.chain, bool) if m.chain else None
+        tagger = Tagger(m.chain) if m.chain else None
         for batch in batches:
             texts = ["" if t is None else t for t in batch["text"]]
             pred, score = [UNKNOWN] * len(texts), np.zeros(len(texts))
             tags: list[list[str]] = [[] for _ in texts]
             for at, _, bounds, p in tagger(texts) if tagger else ():
                 sums = np.diff(np.vstack([np.zeros((1, p.shape[1])), np.cumsum(p, 0)])[bounds], axis=0)
-                for k, total in enumerate(sums):
-                    if (all_ := total.sum()) > 0.5:
-                        best = int(total.argmax())
-                        pred[at + k], score[at + k] = m.langs[best], min(1.0, total[best] / all_)
+                for k in np.flatnonzero(np.diff(bounds)):
+                    best = int(sums[k].argmax())
+                    pred[at + k], score[at + k] = m.langs[best], min(1.0, sums[k][best] / sums[k].sum())
                     if words:
                         tags[at + k] = [m.langs[i] for i in p[bounds[k] : bounds[k + 1]].argmax(1)]
-            out = batch[kept].assign(lang_pred=pred, score=score)
-            yield out.assign(word_langs=tags) if words else out
+            yield batch.assign(**dict(zip(added, [pred, score, *[tags] * words], strict=True)))
 
-    return docs.select(*kept).mapInPandas(run, schema)
+    return docs.mapInPandas(run, schema)

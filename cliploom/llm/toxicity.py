@@ -10,14 +10,13 @@ label); every document is scored over its whole text on the executors.
 
 Defined cases: null and empty texts score like a text without toxic words and have no spans; rows with null
 ids are scored, too; repeated rows give repeated results; an empty table gives no rows; without training rows
-of both labels every score is the share of toxic labels (0 without labels); columns besides ``doc_id`` and
-``text`` pass through.
+of both labels every score is the share of toxic labels (0 without labels); other columns pass through, and the added
+ones are named so that none of them is hidden (``score_`` where there is a ``score``); a very long text is scored whole.
 """
 
 from __future__ import annotations
 
 import re
-from array import array
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -28,35 +27,24 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import fitted
-from .crf import Chain, Tagger
+from .common import fitted, fresh
+from .crf import Chain, Tagger, Words
 
-_WORD = re.compile(r"\w+")
+#: A word, wherever it stands in a token; longer runs are several.
+_WORD = re.compile(r"\w{1,40}")
+#: Sizes of a word's n-grams.
+NGRAMS = (2, 3, 4, 5, 6)
 #: Characters of text that the model is fitted on at most.
 FIT_CHARS = 3_500_000
 SPANS = "array<struct<start:int,end:int,p:double>>"
 
 
-def _core(token: str) -> str:
-    m = _WORD.search(token)
-    return m[0].lower() if m else ""
-
-
-def features(core: str) -> list[str]:
-    """The word, its length, beginnings of 2 to 7 and endings of 2 to 5 letters."""
-    if not core:
-        return ["none"]
-    w = f"<{core[:40]}>"
-    n = len(w)
-    return ["bias", w, f"{min(n, 22)}", *[w[:k] for k in range(3, min(9, n))], *[w[-k:] for k in range(3, min(7, n))]]
-
-
 def lexicon(texts: list[str], toxic: list[int]) -> set[str]:
     """Words and beginnings of 4 to 6 letters that mark toxic texts: by distinct contexts, z of 4 at least."""
     counts: list[Counter[str]] = [Counter(), Counter()]
     known: list[set[int]] = [set(), set()]
     for text, y in zip(texts, toxic, strict=True):
-        words = [""] + [_core(t) for t in text.split()] + [""]
+        words = ["", *(w.lower() for w in _WORD.findall(text)), ""]
         for a, w, b in zip(words, words[1:], words[2:]):
             if len(w) > 2 and (c := hash((a, w, b))) not in known[y]:
                 known[y].add(c)
@@ -101,31 +89,29 @@ def _evidence(bounds: np.ndarray, p: np.ndarray) -> np.ndarray:
     return np.stack([np.ones(len(n)), np.log1p(total), np.log1p(1000 * total / np.maximum(n, 1)), top], 1)
 
 
-def fit(docs: DataFrame, labels: DataFrame, per_class: int = 1200, rounds: int = 40) -> Model:
-    """labels: doc_id and toxic, training rows alone. per_class and FIT_CHARS bound what the model is fitted on."""
-    return fitted(docs, labels.select("doc_id", F.col("toxic").alias("y")), [0, 1], per_class, FIT_CHARS, lambda rows: _fit(rows, rounds))
+def fit(docs: DataFrame, labels: DataFrame, per_class: int = 1200, most_chars: int = FIT_CHARS, rounds: int = 40) -> Model:
+    """labels: doc_id and toxic, training rows alone. per_class and most_chars bound what the model is fitted on."""
+    return fitted(docs, labels.select("doc_id", F.col("toxic").alias("y")), [0, 1], per_class, most_chars, lambda rows: _fit(rows, rounds))
 
 
 def _fit(rows: list[tuple[str, int]], rounds: int) -> Model:
-    texts, toxic = [r[0] for r in rows], [r[1] for r in rows]
-    chain = Chain(2, _core, features)
-    prior = float(np.mean(toxic)) if toxic else 0.0
+    texts, toxic = [r[0] for r in rows], np.array([r[1] for r in rows], int)
+    chain = Chain(2, _WORD, sizes=NGRAMS)
+    prior = float(np.mean(toxic)) if len(toxic) else 0.0
     if len(set(toxic)) < 2:
         return Model(chain, np.zeros(4), prior, False)
-    marks = lexicon(texts, toxic)
-    ids: dict[str, int] = {}
-    flat, gold, starts = array("i"), array("b"), array("b")
-    for text, y in rows:
-        for k, token in enumerate(text.split()):
-            w = _core(token)
-            flat.append(ids.setdefault(w, len(ids)))
-            gold.append(int(y and _marked(w, marks)))
-            starts.append(k == 0)
-    if not any(gold):
+    marks = lexicon(texts, list(toxic))
+    words = Words(_WORD)
+    flat, bounds = words(texts)
+    marked = np.array([_marked(w, marks) for w in words.rows])
+    gold = (marked[flat] & (np.repeat(toxic, np.diff(bounds)) == 1)).astype(int)
+    if not gold.any():
         return Model(chain, np.zeros(4), prior, False)
-    chain.fit(list(ids), np.array(flat), np.array(starts, bool), np.array(gold), rounds)
+    starts = np.zeros(len(flat), bool)
+    starts[bounds[:-1][np.diff(bounds) > 0]] = True
+    chain.fit(list(words.rows), flat, starts, gold, rounds)
     found = np.vstack([_evidence(bounds, p) for _, _, bounds, p in Tagger(chain)(texts)])
-    return Model(chain, _logistic(found, np.array(toxic, float)), prior, True)
+    return Model(chain, _logistic(found, toxic.astype(float)), prior, True)
 
 
 def _logistic(x: np.ndarray, y: np.ndarray, ridge: float = 0.1, rounds: int = 30) -> np.ndarray:
@@ -138,35 +124,21 @@ def _logistic(x: np.ndarray, y: np.ndarray, ridge: float = 0.1, rounds: int = 30
     return w
 
 
-def _spans(text: str, words: list[str], p: np.ndarray, least: float = 0.5) -> list[dict]:
+def _spans(text: str, p: np.ndarray, least: float = 0.5) -> list[dict]:
     """Runs of words whose marginal reaches least, as code point offsets."""
     hot = np.flatnonzero(p >= least)
-    out: list[dict] = []
     if not len(hot):
-        return out
-    at, k, last = 0, 0, -2
-    for i in hot:
-        while k <= i:
-            at = text.index(words[k], at)
-            end = at + len(words[k])
-            if k < i:
-                at = end
-            k += 1
-        if i == last + 1:
-            out[-1]["end"] = end
-            out[-1]["p"] = max(out[-1]["p"], float(p[i]))
-        else:
-            out.append({"start": at, "end": end, "p": float(p[i])})
-        at, last = end, i
-    return out
+        return []
+    at = [m.span() for m in _WORD.finditer(text)]
+    parts = np.split(hot, np.flatnonzero(np.diff(hot) != 1) + 1)
+    return [{"start": at[x[0]][0], "end": at[x[-1]][1], "p": float(p[x].max())} for x in parts]
 
 
 def score(docs: DataFrame, model: Model) -> DataFrame:
-    """Adds score and toxic_spans to every row."""
+    """Adds two columns to every row: the score and the toxic spans."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
-    kept = [c for c in docs.columns if c not in ("score", "toxic_spans")]
-    schema = T.StructType([docs.schema[c] for c in kept])
-    schema = schema.add("score", T.DoubleType()).add("toxic_spans", T._parse_datatype_string(SPANS))
+    added = fresh("score", docs.columns), fresh("toxic_spans", docs.columns)
+    schema = T.StructType([*docs.schema]).add(added[0], T.DoubleType()).add(added[1], T._parse_datatype_string(SPANS))
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         m = shared.value
@@ -174,10 +146,10 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
         for batch in batches:
             texts = ["" if t is None else t for t in batch["text"]]
             scores, spans = np.zeros(len(texts)), [[] for _ in texts]
-            for at, words, bounds, p in tagger(texts):
-                scores[at : at + len(words)] = m.score(_evidence(bounds, p))
-                for k in range(len(words)) if m.fitted else ():
-                    spans[at + k] = _spans(texts[at + k], words[k], p[bounds[k] : bounds[k + 1], 1])
-            yield batch[kept].assign(score=scores, toxic_spans=spans)
+            for at, upto, bounds, p in tagger(texts):
+                scores[at:upto] = m.score(_evidence(bounds, p))
+                for k in range(at, upto) if m.fitted else ():
+                    spans[k] = _spans(texts[k], p[bounds[k - at] : bounds[k - at + 1], 1])
+            yield batch.assign(**{added[0]: scores, added[1]: spans})
 
-    return docs.select(*kept).mapInPandas(run, schema)
+    return docs.mapInPandas(run, schema)
