@@ -2,20 +2,27 @@
 
 A page is a stream of block tags and text. Streams of one host are aligned one after the other: equal tags unify,
 neighbours that repeat become a repeated element or group, tags that only some pages have become optional, and texts
-become slots with the number of pages, their characters and whether they ever differ. The finished wrapper says
-which slots belong to the article; every page is then matched against its host's wrapper and its slots are read.
+become slots with the number of pages that have them, their characters and whether they ever differ between pages.
+
+The finished wrapper says which slots are the article. Text that stays the same over the host's pages is template. From the
+page down, the wrapper is followed into the block that holds most of the text that varies, until none does; that block is
+the article, without its constant slots and without elements that HTML or their names, recurring over the host's
+pages, mark as menus, notices and the like. Every page is then matched against its host's wrapper and its slots are read.
 
 Each task aligns the pages that it reads into one wrapper per host; only wrappers are shuffled, first over salted
-hosts, so a host with a third of all pages is neither collected nor read by one task.
+hosts, so a host with a third of all pages is neither collected nor read by one task. A wrapper holds no texts, only digests.
 
 Defined cases: null and empty pages and pages without an article's text give an empty text; pages with a null or
-odd url share the host ''; unclosed, misnested and cut-off markup is closed as HTML's rules imply; elements nested
-deeper than DEPTH are taken as neighbours at that depth; repeated rows give repeated results; an empty table gives
-no rows; other columns pass through unless they bear the name of an added one.
+odd url share the host ''; unclosed, misnested and cut-off markup is closed as HTML's rules imply; elements nested deeper
+than DEPTH are taken as neighbours at that depth, still outside or inside an article as their ancestors are; on hosts of
+fewer than TEMPLATE_PAGES pages, or whose pages are all the same, nothing is taken for constant; repeated rows give
+repeated results; an empty table gives no rows; other columns pass through unless they bear the name of an added one; a
+very long page is read whole.
 """
 
 from __future__ import annotations
 
+import hashlib
 import html as entities
 import json
 import re
@@ -31,13 +38,16 @@ from .common import staged
 
 # What HTML calls void or raw, tags that do not break a block, tags and names of what is no article.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-RAW = "script|style|noscript|template|svg|math|iframe|object|canvas|textarea|title|audio|video"
+RAW = "script|style|noscript|iframe|textarea|title"
+MEDIA = frozenset("svg math object canvas audio video template picture map".split())
 INLINE = frozenset("a abbr b bdi bdo big cite code data del dfn em font i ins kbd label mark q s samp small span strike strong sub sup time tt u var".split())
-OUTSIDE = frozenset("head nav header footer aside form button select option dialog menu".split())
+OUTSIDE = MEDIA - {"picture", "map"} | frozenset("head nav header footer aside form button select option dialog menu".split())
 OUTSIDE_NAMES = frozenset(
     "ad ads advert advertisement adverts banner breadcrumb breadcrumbs comment comments consent cookie cookies footer header login menu modal nav navbar navigation newsletter"
     " notice notices popup promo promoted reactions related replies share sharing sidebar signup social sponsor sponsored subscribe toolbar widget".split()
 )
+#: Elements that hold one block of text: only a name of their own, not a part of one, marks them.
+TEXTUAL = frozenset("p h1 h2 h3 h4 h5 h6 blockquote pre figcaption dt dd td th caption".split())
 ARTICLE_NAMES = frozenset("article articlebody content entry main post story".split())
 CLOSED_BY = {
     "p": frozenset(
@@ -53,10 +63,14 @@ DEPTH = 100
 GROUP = 4
 #: Hosts' wrappers go to as many tasks before they meet.
 SALTS = 32
+#: Hosts whose wrappers a task keeps while it reads pages.
+HOSTS = 2000
 #: Wrappers of up to so many characters in all are sent to every executor; more are joined by host.
 BROADCAST_CHARS = 16_000_000
-#: A slot whose text never differs over as many pages is part of the template.
-CONSTANT_PAGES = 5
+#: Hosts need so many pages before a text counts as constant; it must stand on half of them, too.
+TEMPLATE_PAGES = 3
+#: Share of a block's varying text that one of its elements must hold to stand for all of it.
+DENSE = 0.7
 
 _TOKEN = re.compile(
     rf"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<(?P<raw>{RAW})(?=[\s/>])[^>]*>.*?(?:</(?P=raw)\s*>|\Z)"
@@ -65,8 +79,9 @@ _TOKEN = re.compile(
 )
 _NAMES = re.compile(r"""\b(?:class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
 
-# A node is [key, many, optional, content, children]; a text slot has the key "#" and [pages, characters, text or None
-# once it differs] for children; a repeated group has the key "(". Pages have plain strings for text nodes.
+# A node is [key, many, optional, pages, children]; a text slot has the key "#", whether it is content for pages, and
+# [pages, characters, digest or None once texts differ between pages] for children; a repeated group has the key
+# "(". The root's pages are all of the host's. Pages have plain strings for text nodes.
 
 
 def _key(tag: str, attrs: str) -> str:
@@ -79,7 +94,13 @@ def _named(key: str) -> set[str]:
 
 
 def outside(key: str) -> bool:
-    return key.split(" ", 1)[0] in OUTSIDE or (" " in key and not OUTSIDE_NAMES.isdisjoint(_named(key)))
+    """Whether HTML or its names mark an element as no part of an article."""
+    tag, *names = key.split(" ")
+    return tag in OUTSIDE or (bool(names) and not OUTSIDE_NAMES.isdisjoint(names if tag in TEXTUAL else _named(key)))
+
+
+def _digest(text: str) -> str:
+    return hashlib.blake2b(text.encode("utf-8", "surrogatepass"), digest_size=9).hexdigest()
 
 
 def page_tree(html: str | None) -> list:
@@ -87,6 +108,8 @@ def page_tree(html: str | None) -> list:
     root: list = ["", []]
     stack, text, at = [root], [], 0
     html = html or ""
+    kinds = [""]  # of the open elements: what they and their ancestors make of their text
+    closed: dict[str, int] = {}
 
     def flush() -> None:
         if text and (block := " ".join(entities.unescape("".join(text)).split())):
@@ -107,11 +130,14 @@ def page_tree(html: str | None) -> list:
             for k in range(len(stack) - 1, 0, -1):
                 if stack[k][0].split(" ", 1)[0] == tag:
                     flush()
-                    del stack[k:]
+                    del stack[k:], kinds[k:]
                     break
             continue
         key = _key(tag, m["attrs"])
-        if tag in VOID:
+        if tag in MEDIA and tag not in closed:
+            closed[tag] = html.lower().rfind(f"</{tag}")
+        # media that close themselves, or that nothing closes, hold nothing
+        if tag in VOID or (tag in MEDIA and (m["attrs"].endswith("/") or closed[tag] < at)):
             text.append(" ")
             continue
         if tag in INLINE and not outside(key):
@@ -119,9 +145,14 @@ def page_tree(html: str | None) -> list:
         flush()
         while len(stack) > 1 and tag in CLOSED_BY.get(stack[-1][0].split(" ", 1)[0], ()):
             stack.pop()
-        node: list = [key, []]
+            kinds.pop()
+        kind = kinds[-1] or ("aside" if outside(key) else "")
+        kind = "article" if not kind and tag == "article" else kind
+        kind = "aside" if kind == "article" and outside(key) else kind
+        node: list = [key if len(stack) < DEPTH else kind or key, []]
         (stack[-1] if len(stack) < DEPTH else stack[DEPTH - 1])[1].append(node)
         stack.append(node)
+        kinds.append(kind)
     text.append(html[at:])
     flush()
     return root
@@ -129,19 +160,22 @@ def page_tree(html: str | None) -> list:
 
 def _lift(children: list) -> list:
     """A page's children as wrapper nodes, repeats folded."""
-    return _fold([["#", 0, 0, 0, [1, len(c), c]] if isinstance(c, str) else [c[0], 0, 0, 0, _lift(c[1])] for c in children])
+    return _fold([["#", 0, 0, 0, [1, len(c), _digest(c)]] if isinstance(c, str) else [c[0], 0, 0, 1, _lift(c[1])] for c in children])
 
 
 def _keys(nodes: list) -> list:
     return [n[0] if n[0] != "(" else ("(", *_keys(n[4])) for n in nodes]
 
 
-def _unify(a: list, b: list) -> list:
+def _unify(a: list, b: list, within: bool = False) -> list:
+    """One node that covers both; within: they are neighbours on the same pages, so a slot's digest is of both texts."""
     many, optional = a[1] | b[1], a[2] | b[2]
+    pages = max if within else int.__add__
     if a[0] == "#":
         (n, c, t), (m, d, u) = a[4], b[4]
-        return ["#", many, optional, 0, [n + m, c + d, t if t == u else None]]
-    return [a[0], many, optional, 0, _align(a[4], b[4])]
+        text = _digest(t + u) if within and t and u else t if t == u else None
+        return ["#", many, optional, 0, [pages(n, m), c + d, text]]
+    return [a[0], many, optional, pages(a[3], b[3]), _align(a[4], b[4], within)]
 
 
 def _fold(nodes: list) -> list:
@@ -149,7 +183,7 @@ def _fold(nodes: list) -> list:
     out: list = []
     for n in nodes:
         if out and out[-1][0] == n[0] != "(":
-            out[-1] = _unify(out[-1], n)
+            out[-1] = _unify(out[-1], n, True)
             out[-1][1] = 1
         else:
             out.append(n)
@@ -157,10 +191,10 @@ def _fold(nodes: list) -> list:
         k, keys = 0, _keys(out)
         while k + 2 * size <= len(out):
             if keys[k : k + size] == keys[k + size : k + 2 * size] and not any(n[0] == "(" for n in out[k : k + size]):
-                group = ["(", 1, 0, 0, out[k : k + size]]
+                group = ["(", 1, 0, 1, out[k : k + size]]
                 upto = k + size
                 while keys[upto : upto + size] == keys[k : k + size]:
-                    group[4] = [_unify(a, b) for a, b in zip(group[4], out[upto : upto + size], strict=True)]
+                    group[4] = [_unify(a, b, True) for a, b in zip(group[4], out[upto : upto + size], strict=True)]
                     upto += size
                 out[k:upto] = [group]
                 keys = _keys(out)
@@ -175,68 +209,84 @@ def _grouped(nodes: list, others: list) -> list:
         keys = _keys(nodes)
         while k + len(want) <= len(nodes):
             if keys[k : k + len(want)] == want:
-                nodes = [*nodes[:k], ["(", 0, 0, 0, nodes[k : k + len(want)]], *nodes[k + len(want) :]]
+                nodes = [*nodes[:k], ["(", 0, 0, 1, nodes[k : k + len(want)]], *nodes[k + len(want) :]]
                 keys = _keys(nodes)
             k += 1
     return nodes
 
 
-def _align(a: list, b: list) -> list:
+def _align(a: list, b: list, within: bool) -> list:
     """One stream that covers both: what matches unifies, what doesn't is optional."""
     a, b = _grouped(a, b), _grouped(b, a)
     ka, kb = _keys(a), _keys(b)
     if ka == kb:
-        return [_unify(x, y) for x, y in zip(a, b, strict=True)]
+        return [_unify(x, y, within) for x, y in zip(a, b, strict=True)]
     out = []
     for op, a0, a1, b0, b1 in SequenceMatcher(None, ka, kb, autojunk=False).get_opcodes():
         if op == "equal":
-            out += [_unify(x, y) for x, y in zip(a[a0:a1], b[b0:b1], strict=True)]
+            out += [_unify(x, y, within) for x, y in zip(a[a0:a1], b[b0:b1], strict=True)]
         else:
-            out += [[n[0], n[1], 1, 0, n[4]] for n in (*a[a0:a1], *b[b0:b1])]
+            out += [[n[0], n[1], 1, n[3], n[4]] for n in (*a[a0:a1], *b[b0:b1])]
     return _fold(out)
 
 
 def infer(wrapper: list | None, tree: list) -> list:
     """The wrapper after one more page."""
-    page = ["", 0, 0, 0, _lift(tree[1])]
+    page = ["", 0, 0, 1, _lift(tree[1])]
     return page if wrapper is None else _unify(wrapper, page)
 
 
-def _article_level(key: str) -> int:
-    """0: an article element, 1: main, 2: named like an article, 3: none of these."""
-    tag, names = key.split(" ", 1)[0], _named(key)
-    return 0 if tag == "article" else 1 if tag == "main" or "main" in names else 2 if not ARTICLE_NAMES.isdisjoint(names) else 3
+def _articlelike(key: str) -> bool:
+    return key.split(" ", 1)[0] in ("article", "main") or not ARTICLE_NAMES.isdisjoint(key.split()[1:])
 
 
 def mark(wrapper: list) -> list:
-    """Sets content where a slot belongs to the article: inside the most telling container that has text outside
-    menus and the like; with no container, everywhere outside them but in slots that never differ."""
-    best, pages = 3, 0
+    """Sets for every slot whether it is content."""
+    pages = wrapper[3]
 
-    def look(n: list, level: int, out: bool) -> None:
-        nonlocal best, pages
-        if n[0] == "#":
-            pages = max(pages, n[4][0])
-            if not out:
-                best = min(best, level)
-            return
-        if n[0] not in ("", "("):
-            level, out = min(level, _article_level(n[0])), out or outside(n[0])
-        for c in n[4]:
-            look(c, level, out)
+    def part_of_template(n: list) -> bool:
+        tag = n[0].split(" ", 1)[0]
+        # a name that one page alone has says something about its article, not about the template
+        return n[0] not in ("", "(") and outside(n[0]) and (tag in OUTSIDE or n[3] > 1 or pages < TEMPLATE_PAGES)
+
+    def fixed(slot: list) -> bool:
+        return pages >= TEMPLATE_PAGES and slot[2] is not None and slot[0] >= TEMPLATE_PAGES and 2 * slot[0] >= pages
 
-    def put(n: list, level: int, out: bool) -> None:
+    def mass(n: list, constant: bool) -> int:
+        """Characters outside menus and the like that vary, or with constant=True all of them."""
         if n[0] == "#":
-            fixed = best == 3 and pages >= CONSTANT_PAGES and n[4][0] >= CONSTANT_PAGES and n[4][2] is not None
-            n[3] = int(not out and level <= best and not fixed)
+            return 0 if fixed(n[4]) and not constant else n[4][1]
+        return 0 if part_of_template(n) else sum(mass(c, constant) for c in n[4])
+
+    constant = mass(wrapper, False) == 0
+    block, total = wrapper, mass(wrapper, constant)
+    while total and not (block[0].split(" ", 1)[0] == "article"):
+        parts = [c for n in block[4] for c in ([n] if n[0] != "(" else n[4])]
+        held = [(mass(c, constant), c) for c in parts]
+        most, best = max(held, key=lambda x: (x[0], _articlelike(x[1][0])), default=(0, None))
+        rest = [c for m, c in held if m and c is not best]
+        whole = any(c[0] == "#" or c[0].split(" ", 1)[0] in TEXTUAL or _articlelike(c[0]) for c in rest)
+        named = best is not None and _articlelike(best[0]) and best[0].split(" ", 1)[0] in ("article", "main")
+        if best is None or best[0] == "#" or best[0].split(" ", 1)[0] in TEXTUAL | {"ul", "ol", "dl", "li", "table"}:
+            # an article element counts although something else is longer
+            best = next((c for m, c in held if m and c[0].split(" ", 1)[0] == "article"), None)
+            if best is None:
+                break
+        elif not named and (most < DENSE * total or whole):
+            best = next((c for m, c in held if m and c[0].split(" ", 1)[0] in ("article", "main")), None)
+            if best is None:
+                break
+        block, total = best, mass(best, constant)
+
+    def put(n: list, inside: bool, out: bool) -> None:
+        inside = inside or n is block
+        if n[0] == "#":
+            n[3] = int(inside and not out and (constant or not fixed(n[4])))
             return
-        if n[0] not in ("", "("):
-            level, out = min(level, _article_level(n[0])), out or outside(n[0])
         for c in n[4]:
-            put(c, level, out)
+            put(c, inside, out or part_of_template(n))
 
-    look(wrapper, 3, False)
-    put(wrapper, 3, False)
+    put(wrapper, False, False)
     return wrapper
 
 
@@ -275,15 +325,25 @@ def host_of(url: Column) -> Column:
     return F.coalesce(F.lower(F.regexp_extract(url, r"^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]*)", 1)), F.lit(""))
 
 
+WRAPPER = "host string, wrapper string"
+
+
+def _frame(held: dict[str, list]) -> pd.DataFrame:
+    return pd.DataFrame({"host": list(held), "wrapper": [json.dumps(w) for w in held.values()]}, dtype=object)
+
+
 def _joined(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """One wrapper per host of what a task reads."""
+    """One wrapper per host of what a task reads in the order of hosts; one host is held at a time."""
     held: dict[str, list] = {}
     for batch in batches:
         for host, w in zip(batch["host"], batch["wrapper"], strict=True):
+            if held and host not in held:
+                yield _frame(held)
+                held = {}
             w = json.loads(w)
             held[host] = w if host not in held else _unify(held[host], w)
     if held:
-        yield pd.DataFrame({"host": list(held), "wrapper": [json.dumps(w) for w in held.values()]}, dtype=object)
+        yield _frame(held)
 
 
 def host_wrappers(pages: DataFrame, html: str = "html") -> DataFrame:
@@ -294,20 +354,19 @@ def host_wrappers(pages: DataFrame, html: str = "html") -> DataFrame:
         for batch in batches:
             for host, page in zip(batch["host"], batch[html], strict=True):
                 held[host] = infer(held.get(host), page_tree(page))
-            if len(held) > 2000:
-                yield pd.DataFrame({"host": list(held), "wrapper": [json.dumps(w) for w in held.values()]}, dtype=object)
+            if len(held) > HOSTS:
+                yield _frame(held)
                 held = {}
         if held:
-            yield pd.DataFrame({"host": list(held), "wrapper": [json.dumps(w) for w in held.values()]}, dtype=object)
+            yield _frame(held)
 
     def finish(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in _joined(batches):
             yield batch.assign(wrapper=[json.dumps(mark(json.loads(w))) for w in batch["wrapper"]])
 
-    schema = "host string, wrapper string"
-    parts = pages.select("host", html).mapInPandas(induce, schema)
-    met = parts.repartition("host", F.pmod(F.xxhash64("wrapper"), F.lit(SALTS))).mapInPandas(_joined, schema)
-    return met.repartition("host").mapInPandas(finish, schema)
+    parts = pages.select("host", html).mapInPandas(induce, WRAPPER)
+    met = parts.repartition("host", F.pmod(F.xxhash64("wrapper"), F.lit(SALTS))).sortWithinPartitions("host").mapInPandas(_joined, WRAPPER)
+    return met.repartition("host").sortWithinPartitions("host").mapInPandas(finish, WRAPPER)
 
 
 def main_texts(pages: DataFrame, html: str = "html", url: str = "url") -> DataFrame:
@@ -332,7 +391,7 @@ def main_texts(pages: DataFrame, html: str = "html", url: str = "url") -> DataFr
             texts = []
             for host, page, w in zip(batch["host"], batch[html], stated, strict=True):
                 if host not in known:
-                    if len(known) > 2000:
+                    if len(known) > HOSTS:
                         known.clear()
                     known[host] = json.loads(w) if isinstance(w, str) else None
                 texts.append(extract(page_tree(page), known[host]))
