@@ -5,12 +5,16 @@ words: every pattern can give its size once for free, and again for a cost that
 every source takes its quota. The cheapest flow says how many words of each pattern each source takes, and
 documents are selected to match, whole, in a seeded order.
 
-Only patterns reach the driver. Selection needs no sort of a source: seeded ranks fall into buckets whose sizes
-are summed, the bucket in which a quota ends is found from those sums, and only its documents are ordered.
+Only patterns reach the driver: one row each, and the flow runs there over them, so its memory grows with the number of
+distinct sets of sources and not with the documents. Selection needs no sort of a source: seeded ranks fall into buckets
+whose sizes are summed, the bucket in which a quota ends is found from those sums, and only its documents are ordered. What
+a cut leaves of a quota is filled with the largest document that fits, then with further ones that fit by rank, until none
+does; each round at least halves what is left.
 
 Defined cases: a null text has size 0; documents of size 0 and documents without any source take 0 words; a null
 source is a source of its own, placed last; repeated rows are documents of their own, but rows of one
-id that fall on the cut are taken alike; an empty table gives no rows; further columns are ignored.
+id that fall on the cut are taken alike; a very long text is a size like others; an empty table gives no rows;
+further columns are ignored.
 """
 
 from __future__ import annotations
@@ -32,8 +36,8 @@ WEIGHTS = (5, 2, 1)
 MOST_COPIES = 3
 #: Buckets of seeded ranks.
 BUCKETS = 4096
-#: Rounds in which the largest document that still fits is added to a quota's rest.
-FILL_ROUNDS = 2
+#: Plans of patterns are broadcast up to so many; more are joined by shuffle.
+BROADCAST_ROWS = 500_000
 
 
 def words(text: Column) -> Column:
@@ -113,8 +117,10 @@ def cheapest_flow(patterns: Sequence[tuple[tuple, int]], quotas: dict, most: int
     return flow
 
 
-#: What one membership pattern takes: copies of all its documents, and once more those up to the cut and the fill.
-PLAN = "_pattern long, _copies long, _rest long, _bucket_cut int, _rank_cut long, _id_cut long, _fill array<struct<size:long,rank:long,id:long>>"
+#: What one membership pattern takes: copies of all its documents, and once more those of up to a size that come up to a
+#: cut in the order of buckets, ranks and ids, and single ones.
+#: left: words that it could still take.
+PLAN = "_pattern long, _copies long, _left long, _cuts array<struct<most:long,bucket:int,rank:long,id:long>>, _fill array<struct<size:long,rank:long,id:long>>"
 
 
 def mix(
@@ -123,8 +129,8 @@ def mix(
     """docs: doc_id, an array of sources, a size. Gives them with taken (long): words of the document that the mix
     takes, a multiple of its size; and by source its size and target.
 
-    Documents are chosen by pattern, in the order of a seeded hash of their id, until the next would be too many;
-    then the largest that still fit. The driver holds one row per pattern; documents stay with the executors."""
+    Documents are chosen by pattern, in the order of a seeded hash of their id, until the next would be too many; then
+    those that still fit. The driver holds one row per pattern; documents stay with the executors."""
     spark = docs.sparkSession
     named = F.transform("_members", lambda m: F.struct(m.isNull(), F.coalesce(m, F.lit(""))))
     rank = F.xxhash64(F.lit(seed), "doc_id")
@@ -150,38 +156,62 @@ def mix(
     plan = {}
     for p, r in enumerate(rows):
         copies, rest = divmod(into[p], r["n"]) if r["n"] else (0, 0)
-        plan[r["_pattern"]] = [r["_pattern"], copies, rest, -1, 0, 0, []]
+        plan[r["_pattern"]] = [r["_pattern"], copies, rest, [], []]
 
     def planned() -> DataFrame:
-        return base.where("_size > 0").join(F.broadcast(spark.createDataFrame([*map(tuple, plan.values())], PLAN)), "_pattern")
-
-    sums = planned().where("_rest > 0").groupBy("_pattern", "_bucket", "_rest").agg(F.sum("_size").alias("n"))
-    w = Window.partitionBy("_pattern").orderBy("_bucket")
-    edges = sums.withColumn("upto", F.sum("n").over(w)).where("upto > _rest and upto - n <= _rest").select("_pattern", "_bucket", (F.col("upto") - F.col("n")).alias("before"))
-    before = {}
-    for r in edges.collect():  # one row a pattern
-        plan[r["_pattern"]][3], plan[r["_pattern"]][4] = r["_bucket"], -(2**63)
-        plan[r["_pattern"]][5], before[r["_pattern"]] = -(2**63), r["before"]
-    inner = Window.partitionBy("_pattern").orderBy("_rank", "_id", "_size").rowsBetween(Window.unboundedPreceding, 0)
-    started = F.broadcast(spark.createDataFrame([*before.items()], "_pattern long, before long"))
-    edge = planned().where("_bucket = _bucket_cut").join(started, "_pattern").withColumn("upto", F.col("before") + F.sum("_size").over(inner)).where("upto <= _rest")
-    for r in edge.groupBy("_pattern").agg(F.max(F.struct("upto", "_rank", "_id")).alias("x")).collect():
-        plan[r["_pattern"]][4:6] = r["x"]["_rank"], r["x"]["_id"]
-        before[r["_pattern"]] = r["x"]["upto"]
-    for _ in range(FILL_ROUNDS):
-        left = F.broadcast(spark.createDataFrame([(k, plan[k][2] - x) for k, x in before.items()], "_pattern long, left long"))
-        fits = planned().join(left, "_pattern").where((F.col("_size") <= F.col("left")) & ~_once_more())
-        for r in fits.groupBy("_pattern").agg(F.max(F.struct("_size", "_rank", "_id")).alias("x")).collect():
-            plan[r["_pattern"]][6].append(tuple(r["x"]))
-            before[r["_pattern"]] += r["x"]["_size"]
+        known = spark.createDataFrame([*map(tuple, plan.values())], PLAN)
+        return base.join(F.broadcast(known) if len(plan) <= BROADCAST_ROWS else known, "_pattern", "left")
+
+    def fitting() -> DataFrame:
+        return planned().where((F.col("_size") > 0) & (F.col("_size") <= F.col("_left")) & ~_once_more())
+
+    def cut() -> None:
+        """Takes what fits in the order of ranks, up to the first document that would be too much."""
+        sums = fitting().groupBy("_pattern", "_bucket", "_left").agg(F.sum("_size").alias("n"))
+        w = Window.partitionBy("_pattern").orderBy("_bucket")
+        upto = sums.withColumn("upto", F.sum("n").over(w))
+        # the bucket in which the quota ends, or else the last one
+        ends = upto.groupBy("_pattern").agg(
+            F.min(F.when(F.col("upto") > F.col("_left"), F.struct("_bucket", (F.col("upto") - F.col("n")).alias("before")))).alias("x"), F.sum("n").alias("n")
+        )
+        before, started = {}, []
+        for r in ends.collect():  # one row a pattern
+            k = r["_pattern"]
+            most = plan[k][2]
+            if r["x"] is None:
+                plan[k][3].append((most, BUCKETS, 0, 0))
+                plan[k][2] -= r["n"]
+            else:
+                before[k] = [r["x"]["before"], (most, r["x"]["_bucket"], -(2**63), -(2**63))]
+                started.append((k, r["x"]["_bucket"], r["x"]["before"]))
+        known = spark.createDataFrame(started, "_pattern long, _bucket int, _before long")
+        known = F.broadcast(known) if len(started) <= BROADCAST_ROWS else known
+        inner = Window.partitionBy("_pattern").orderBy("_rank", "_id", "_size").rowsBetween(Window.unboundedPreceding, 0)
+        edge = fitting().join(known, ["_pattern", "_bucket"]).withColumn("upto", F.col("_before") + F.sum("_size").over(inner)).where("upto <= _left")
+        for r in edge.groupBy("_pattern").agg(F.max(F.struct("upto", "_rank", "_id")).alias("x")).collect():
+            before[r["_pattern"]][0] = r["x"]["upto"]
+            before[r["_pattern"]][1] = (*before[r["_pattern"]][1][:2], r["x"]["_rank"], r["x"]["_id"])
+        for k, (n, last) in before.items():
+            plan[k][3].append(last)
+            plan[k][2] -= n
+
+    cut()
+    while largest := fitting().groupBy("_pattern").agg(F.max(F.struct("_size", "_rank", "_id")).alias("x")).collect():
+        for r in largest:
+            plan[r["_pattern"]][4].append(tuple(r["x"]))
+            plan[r["_pattern"]][2] -= r["x"]["_size"]
+        cut()
     taken = F.when(F.col("_size") > 0, F.col("_size") * (F.col("_copies") + F.when(_once_more(), 1).otherwise(0))).otherwise(0).cast("long")
-    out = base.join(F.broadcast(spark.createDataFrame([*map(tuple, plan.values())], PLAN)), "_pattern", "left")
-    out = out.select("doc_id", F.col("_members").alias(members), F.col("_size").alias(size), F.coalesce(taken, F.lit(0)).cast("long").alias("taken"))
+    out = planned().select("doc_id", F.col("_members").alias(members), F.col("_size").alias(size), F.coalesce(taken, F.lit(0)).cast("long").alias("taken"))
     return out, {s: (sizes[s], aims[s]) for s in sizes}
 
 
 def _once_more() -> Column:
-    """Whether a document lies before its pattern's cut or fills the rest."""
-    cut = (F.col("_rank") < F.col("_rank_cut")) | ((F.col("_rank") == F.col("_rank_cut")) & (F.col("_id") <= F.col("_id_cut")))
+    """Whether a document comes up to one of its pattern's cuts or fills the rest."""
+
+    def reached(c: Column) -> Column:
+        here = (F.col("_rank") < c["rank"]) | ((F.col("_rank") == c["rank"]) & (F.col("_id") <= c["id"]))
+        return (F.col("_size") <= c["most"]) & ((F.col("_bucket") < c["bucket"]) | ((F.col("_bucket") == c["bucket"]) & here))
+
     fill = F.exists("_fill", lambda x: (x["size"] == F.col("_size")) & (x["rank"] == F.col("_rank")) & (x["id"] == F.col("_id")))
-    return (F.col("_bucket") < F.col("_bucket_cut")) | ((F.col("_bucket") == F.col("_bucket_cut")) & cut) | fill
+    return F.coalesce(F.exists("_cuts", reached) | fill, F.lit(False))
