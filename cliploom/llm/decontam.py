@@ -7,12 +7,16 @@ one with most matches is kept if they are enough. The two masks miss no such str
 at most one mismatch to three matches, has four equal words in a row or three with a fourth behind a gap of one
 (tests/llm go through all patterns).
 
-Nothing but results is shuffled while the benchmark is small enough to broadcast, which is counted first.
+Items of fewer words than LEAST_MATCHES match as a whole, on all their words in a row; those of fewer than the masks pick
+name no passage, as so few words stand together by chance anywhere.
 
-Defined cases: words are runs of letters and digits, lower-cased; null and empty texts, and items with fewer words
-than the widest mask, overlap with nothing; null ids are ids like others; rows with one id are one document, of
-which the best stretch counts; repeated items give one row each by id; empty tables give no rows; further columns
-are ignored, and kept by ``clean``.
+Windows are narrow rows: a document's id, a place and a hash. They meet the benchmark's by broadcast while it is small
+enough, which is counted first; only distinct diagonals are shuffled, and go back to the texts for the comparison.
+
+Defined cases: words are runs of letters and digits, lower-cased; null and empty texts, and items of fewer words than the
+masks pick, overlap with nothing; null ids are ids like others; rows with one id are one document, of which the best
+stretch counts; repeated items give one row each by id; a very long text costs as many narrow rows as it has words; empty
+tables give no rows; further columns are ignored, and kept by ``clean``.
 """
 
 from __future__ import annotations
@@ -29,8 +33,9 @@ from .common import staged
 MASKS = ((0, 1, 2, 3), (0, 1, 2, 4))
 LEAST_MATCHES = 10
 LEAST_IDENTITY = 0.75
-#: Seeds of the benchmark, and contaminated ids, up to so many rows are broadcast; more are joined by shuffle.
-BROADCAST_ROWS = 1_000_000
+#: Seeds of the benchmark, diagonals and contaminated ids up to so many rows are broadcast, items up to so many words in
+#: all; more are joined by shuffle.
+BROADCAST_ROWS, BROADCAST_WORDS = 1_000_000, 4_000_000
 
 TOKEN = r"[\p{L}\p{N}]+"
 
@@ -40,34 +45,46 @@ def word_hashes(text: Column) -> Column:
     return F.transform(words, lambda w: F.xxhash64(w))
 
 
-def _seeds(words: str, masks: Sequence[Sequence[int]]) -> Column:
-    """For every window, in turn for every mask, the hash of the words it picks; masks differ in their hash, too."""
-    span = max(m[-1] for m in masks) + 1
+def _seeds(words: Column, masks: Sequence[Sequence[int]]) -> Column:
+    """Of every mask and every window that it fits into, the place and the hash of the words it picks; masks differ in
+    their hash, too."""
 
     def of(k: int, mask: Sequence[int]) -> Column:
-        at = F.sequence(F.lit(0), F.size(words) - span)
-        return F.transform(at, lambda i: F.xxhash64(F.lit(k), *[F.get(words, i + p) for p in mask]))
+        seeds = F.transform(
+            F.sequence(F.lit(0), F.size(words) - mask[-1] - 1),
+            lambda i: F.struct(i.alias("at"), F.xxhash64(F.lit(k), *[F.get(words, i + p) for p in mask]).alias("seed")),
+        )
+        return F.when(F.size(words) > mask[-1], seeds).otherwise(F.array().cast("array<struct<at:int,seed:bigint>>"))
+
+    return F.inline(F.concat(*[of(k, m) for k, m in enumerate(masks)]))
 
-    return F.when(F.size(words) >= span, F.concat(*[of(k, m) for k, m in enumerate(masks)]))
+
+def _few(df: DataFrame) -> DataFrame:
+    return F.broadcast(df) if df.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS else df
 
 
 def overlaps(
     docs: DataFrame, benchmark: DataFrame, masks: Sequence[Sequence[int]] = MASKS, least_matches: int = LEAST_MATCHES, least_identity: float = LEAST_IDENTITY
 ) -> DataFrame:
     """doc_id, item_id, and their best stretch: doc_start (words before it), n_words, n_matches."""
-    span = max(m[-1] for m in masks) + 1
-    width = F.size("words") - span + 1
-    items = benchmark.select("item_id", word_hashes(F.col("text")).alias("words"))
-    seeds = items.select("item_id", F.col("words").alias("item"), width.alias("width"), F.posexplode(_seeds("words", masks)).alias("k", "seed"))
-    seeds = seeds.select("item_id", "item", (F.col("k") / F.col("width")).cast("int").alias("mask"), (F.col("k") % F.col("width")).alias("item_at"), "seed")
-    seeds = F.broadcast(seeds) if seeds.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS else seeds
-    windows = docs.select("doc_id", word_hashes(F.col("text")).alias("words"))
-    windows = windows.select("doc_id", "words", width.alias("width"), F.posexplode(_seeds("words", masks)).alias("k", "seed"))
-    windows = windows.select("doc_id", "words", (F.col("k") % F.col("width")).alias("at"), "seed")
-    hits = windows.join(seeds, "seed").where(~_again(masks))
-    hits = hits.select("doc_id", "item_id", "words", "item", (F.col("at") - F.col("item_at")).alias("diagonal"))
-    # a generator is not merged with its neighbours, so each hit's stretch is found once
-    best = hits.select("doc_id", "item_id", "diagonal", F.inline(F.array(_stretch(least_identity)))).where(F.col("n_matches") >= least_matches)
+    items = benchmark.select("item_id", word_hashes(F.col("text")).alias("item"))
+    seeds = _few(items.select("item_id", _seeds(F.col("item"), masks)).withColumnRenamed("at", "item_at"))
+    words = docs.select("doc_id", word_hashes(F.col("text")).alias("words"))
+    hits = words.select("doc_id", _seeds(F.col("words"), masks)).join(seeds, "seed")
+    hits = staged(hits.select("doc_id", "item_id", (F.col("at") - F.col("item_at")).alias("diagonal")).distinct(), "diagonals")
+    held = items.agg(F.coalesce(F.sum(F.size("item")), F.lit(0))).first()[0]
+    wanted = hits.join(F.broadcast(items) if held <= BROADCAST_WORDS else items, hits["item_id"].eqNullSafe(items["item_id"])).select(
+        F.col("doc_id").alias("_doc"), hits["item_id"], "item", "diagonal"
+    )
+    ids = _few(hits.select(F.col("doc_id").alias("_id")).distinct())
+    some = words.join(ids, words["doc_id"].eqNullSafe(ids["_id"]), "left_semi")
+    met = some.join(wanted, some["doc_id"].eqNullSafe(wanted["_doc"]))
+    here = F.col("diagonal")
+    at = F.filter(F.sequence(F.lit(0), F.size("item") - 1), lambda k: (here + k >= 0) & (F.get("words", F.greatest(here + k, F.lit(0))) == F.get("item", k)))
+    need = F.least(F.lit(least_matches), F.size("item"))
+    met = met.select("doc_id", "item_id", "diagonal", need.alias("need"), at.alias("places")).where(F.size("places") >= F.col("need"))
+    # a generator is not merged with its neighbours, so each diagonal's stretch is found once
+    best = met.select("doc_id", "item_id", "diagonal", "need", F.inline(F.array(_stretch(least_identity)))).where("n_matches >= need")
     start = F.col("diagonal") + F.col("start")
     order = F.struct((-F.col("n_matches")).alias("n"), start.alias("doc_start"), F.col("n_words"))
     return (
@@ -83,31 +100,14 @@ def overlaps(
     )
 
 
-def _again(masks: Sequence[Sequence[int]]) -> Column:
-    """Whether the hit's mask also hits a word earlier on the diagonal, so that the earlier hit stands for both."""
-
-    def equal(p: int) -> Column:
-        return F.coalesce(F.get("words", F.col("at") + (p - 1)) == F.get("item", F.col("item_at") + (p - 1)), F.lit(False))
-
-    out = F.lit(False)
-    for k, mask in enumerate(masks):
-        same = F.lit(True)
-        for p in mask:
-            same = same & equal(p)
-        out = out | ((F.col("mask") == k) & same)
-    return (F.col("at") > 0) & (F.col("item_at") > 0) & out
-
-
 def _stretch(least_identity: float) -> Column:
-    """Of the item's stretches on the diagonal whose share of matches is least_identity or more, the one with most
-    matches, of equal ones the shortest, then the first. Null without a match.
+    """Of the item's stretches on the diagonal, given the places that match, whose share of matches is least_identity or
+    more, the one with most matches, of equal ones the shortest, then the first. Null without a match.
 
     With m matches among the first k words, a stretch qualifies where m - least_identity * k is no less at its end than
     at its start. So starts and ends, which are matches, are sorted by that, and each end takes the first of the starts
     before it in this order.
     """
-    equal = F.transform("item", lambda w, k: F.coalesce((F.col("diagonal") + k >= 0) & (F.get("words", F.greatest(F.col("diagonal") + k, F.lit(0))) == w), F.lit(False)))
-    places = F.filter(F.transform(equal, lambda e, k: F.when(e, k)), lambda k: k.isNotNull())
     share = Fraction(str(least_identity))
 
     def level(m: Column, k: Column) -> Column:
@@ -116,8 +116,8 @@ def _stretch(least_identity: float) -> Column:
     def event(value: Column, kind: int, m: Column, k: Column) -> Column:
         return F.struct(value.alias("level"), F.lit(kind).alias("kind"), m.alias("m"), k.alias("k"))
 
-    starts = F.transform(places, lambda k, m: event(level(m, k), 0, m, k))
-    ends = F.transform(places, lambda k, m: event(level(m + 1, k + 1), 1, m, k))
+    starts = F.transform("places", lambda k, m: event(level(m, k), 0, m, k))
+    ends = F.transform("places", lambda k, m: event(level(m + 1, k + 1), 1, m, k))
 
     def stretch(n: Column, words: Column, start: Column) -> Column:
         return F.struct(n.alias("n_matches"), (-words).alias("short"), (-start).alias("before"))
@@ -144,5 +144,5 @@ def _stretch(least_identity: float) -> Column:
 def clean(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The documents that overlap with no item."""
     hit = staged(overlaps(docs, benchmark).select(F.col("doc_id").alias("_hit")).distinct(), "overlaps")
-    hit = F.broadcast(hit) if hit.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS else hit
+    hit = _few(hit)
     return docs.join(hit, docs["doc_id"].eqNullSafe(hit["_hit"]), "left_anti")

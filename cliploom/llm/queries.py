@@ -28,40 +28,34 @@ def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontam.overlaps(docs, table(spark, sf_dir, "benchmark").select("item_id", "text"))
 
 
-#: Narrower than the operator: two masks of weight 6 and the best-scoring stretch (a match 1, a mismatch -2).
-#: Both find the same in the given tables; tests/llm hold the operator against brute force.
 _OP2_SQL = r"""
 WITH d AS (SELECT doc_id, regexp_extract_all(lower(coalesce(text, '')), '[\p{L}\p{N}]+') AS w FROM documents),
 b AS (SELECT item_id, regexp_extract_all(lower(coalesce(text, '')), '[\p{L}\p{N}]+') AS w FROM benchmark),
-dp AS (SELECT doc_id, w, unnest(range(1, len(w) - 8)) AS p FROM d),
-bp AS (SELECT item_id, w, unnest(range(1, len(w) - 8)) AS p FROM b),
+dp AS (SELECT doc_id, w, unnest(range(1, len(w) - 2)) AS p FROM d),
+bp AS (SELECT item_id, w, unnest(range(1, len(w) - 2)) AS p FROM b),
 ds AS (
-  SELECT doc_id, p, concat_ws(' ', 0, w[p], w[p+1], w[p+3], w[p+4], w[p+7], w[p+9]) AS s FROM dp
-  UNION ALL SELECT doc_id, p, concat_ws(' ', 1, w[p], w[p+2], w[p+3], w[p+5], w[p+8], w[p+9]) FROM dp
+  SELECT doc_id, p, concat_ws(' ', 0, w[p], w[p+1], w[p+2], w[p+3]) AS s FROM dp
+  UNION ALL SELECT doc_id, p, concat_ws(' ', 1, w[p], w[p+1], w[p+2], w[p+4]) FROM dp WHERE p + 4 <= len(w)
 ), bs AS (
-  SELECT item_id, p, concat_ws(' ', 0, w[p], w[p+1], w[p+3], w[p+4], w[p+7], w[p+9]) AS s FROM bp
-  UNION ALL SELECT item_id, p, concat_ws(' ', 1, w[p], w[p+2], w[p+3], w[p+5], w[p+8], w[p+9]) FROM bp
+  SELECT item_id, p, concat_ws(' ', 0, w[p], w[p+1], w[p+2], w[p+3]) AS s FROM bp
+  UNION ALL SELECT item_id, p, concat_ws(' ', 1, w[p], w[p+1], w[p+2], w[p+4]) FROM bp WHERE p + 4 <= len(w)
 ), hits AS (
   SELECT DISTINCT doc_id, item_id, ds.p - bs.p AS diagonal FROM ds JOIN bs USING (s)
-), cells AS (
-  SELECT h.*, b.w AS bw, d.w AS dw, unnest(range(1, len(b.w) + 1)) AS k
+), equal AS (
+  SELECT h.*, least(10, len(b.w)) AS need,
+    list_filter(range(greatest(1, 1 - diagonal), least(len(b.w), len(d.w) - diagonal) + 1), lambda k: d.w[diagonal + k] = b.w[k]) AS at
   FROM hits h JOIN b USING (item_id) JOIN d USING (doc_id)
-), scored AS (
-  SELECT doc_id, item_id, diagonal, k, (diagonal + k >= 1 AND coalesce(dw[diagonal + k], '') = bw[k])::INT AS e FROM cells
-), sums AS (
-  SELECT *, sum(3 * e - 2) OVER w AS s, sum(e) OVER w AS m
-  FROM scored WINDOW w AS (PARTITION BY doc_id, item_id, diagonal ORDER BY k ROWS UNBOUNDED PRECEDING)
-), starts AS (
-  SELECT a.doc_id, a.item_id, a.diagonal, a.k AS upto, a.s - x.s AS score, x.k AS start, a.m - x.m AS n_matches
-  FROM sums a JOIN (SELECT doc_id, item_id, diagonal, k, s, m FROM sums UNION ALL SELECT doc_id, item_id, diagonal, 0, 0, 0 FROM hits) x
-    USING (doc_id, item_id, diagonal)
-  WHERE x.k < a.k
+), ends AS (
+  SELECT *, unnest(range(1, len(at) + 1)) AS j FROM equal WHERE len(at) >= need
+), stretches AS (
+  SELECT *, unnest(range(1, j - need + 2)) AS i FROM ends WHERE j >= need
 ), best AS (
-  SELECT * FROM starts QUALIFY row_number() OVER (PARTITION BY doc_id, item_id, diagonal ORDER BY score DESC, upto, start DESC) = 1
+  SELECT doc_id, item_id, diagonal, j - i + 1 AS n, at[j] - at[i] + 1 AS words, at[i] - 1 AS start FROM stretches
+  WHERE 4 * (j - i + 1) >= 3 * (at[j] - at[i] + 1)
+  QUALIFY row_number() OVER (PARTITION BY doc_id, item_id, diagonal ORDER BY n DESC, words, start) = 1
 )
-SELECT doc_id, item_id, CAST(diagonal + start AS BIGINT) AS doc_start, CAST(upto - start AS BIGINT) AS n_words, CAST(n_matches AS BIGINT) AS n_matches
-FROM best WHERE n_matches >= 10 AND n_matches >= 0.75 * (upto - start)
-QUALIFY row_number() OVER (PARTITION BY doc_id, item_id ORDER BY n_matches DESC, diagonal + start, upto - start) = 1
+SELECT doc_id, item_id, CAST(diagonal + start AS BIGINT) AS doc_start, CAST(words AS BIGINT) AS n_words, CAST(n AS BIGINT) AS n_matches
+FROM best QUALIFY row_number() OVER (PARTITION BY doc_id, item_id ORDER BY n DESC, diagonal + start, words) = 1
 """
 
 
@@ -84,8 +78,9 @@ def mixed(docs: DataFrame) -> DataFrame:
     out, sources = mixing.mix(sized)
     # one row per source, which the mix has already held on the driver
     known = docs.sparkSession.createDataFrame([(s, *x) for s, x in sources.items()], "source string, source_size long, target double")
+    known = F.broadcast(known) if len(sources) <= mixing.BROADCAST_ROWS else known
     out = out.withColumn("source", F.element_at("sources", 1))
-    return out.join(F.broadcast(known), out["source"].eqNullSafe(known["source"])).select("doc_id", "size", "source_size", "target", "taken")
+    return out.join(known, out["source"].eqNullSafe(known["source"])).select("doc_id", "size", "source_size", "target", "taken")
 
 
 def op4_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -118,7 +113,9 @@ WITH lines AS (
   SELECT r.doc_id, r.a, r.b, string_agg(c.x, chr(10) ORDER BY c.i) AS k
   FROM runs r JOIN cum c ON c.doc_id = r.doc_id AND c.i BETWEEN r.a AND r.b GROUP BY ALL
 ), later AS (
-  SELECT *, row_number() OVER (PARTITION BY k ORDER BY doc_id, a) > 1 AS again FROM keyed
+  SELECT doc_id, b, row_number() OVER w > 1 AS again,
+    CASE WHEN first_value(doc_id) OVER w = doc_id THEN greatest(a, first_value(b) OVER w + 1) ELSE a END AS a
+  FROM keyed WINDOW w AS (PARTITION BY k ORDER BY doc_id, a)
 ), gone AS (
   SELECT DISTINCT c.doc_id, c.n FROM later l JOIN cum c ON c.doc_id = l.doc_id AND c.i BETWEEN l.a AND l.b WHERE l.again
 ), rest AS (

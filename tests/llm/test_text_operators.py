@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import hashlib
 import random
 
 import pytest
 from cliploom.llm import chat, decontam, linededup, ngramjoin
+from cliploom.llm.common import Workspace
+from cliploom.llm.components import connected
 from pyspark.sql import functions as F
 
 TURNS = "conv_id long, turn long, role string, text string"
@@ -44,6 +47,8 @@ def test_ties_nulls_and_empty_tables(spark):
     got = {r["conv_id"]: (r["n_turns"], r["loss_chars"]) for r in chat.digest(chat.prefix_target_examples(df)).collect()}
     assert got == {None: (2, 0), 1: (2, 2)}
     assert chat.digest(chat.prefix_target_examples(df.limit(0))).isEmpty()
+    long = chat.digest(chat.prefix_target_examples(spark.createDataFrame([(1, 0, "user", "u" * 10), (1, 1, "assistant", "</s>y" * 100_000)], TURNS))).first()
+    assert long["loss_chars"] == 500_000 and long["loss_sha256"] == hashlib.sha256(b"</s>y" * 100_000).hexdigest()
 
 
 # Decontamination
@@ -56,11 +61,14 @@ def test_overlaps_survive_substitutions(spark):
     changed = [w if i not in (4, 13, 22) else "other" for i, w in enumerate(item)]
     noise = rng.choices(vocab, k=200)
     rows = [(1, " ".join([*noise[:50], *item, *noise[50:]])), (2, " ".join([*noise[:20], *changed, *noise[20:]])), (3, " ".join(noise)), (4, " ".join(item[:8])), (5, None), (6, ""), (None, " ".join(item).upper())]
-    bench = spark.createDataFrame([(7, " ".join(item)), (8, "too short"), (9, None)], "item_id long, text string")
-    got = {r["doc_id"]: (r["item_id"], r["doc_start"], r["n_words"], r["n_matches"]) for r in decontam.overlaps(docs(spark, rows, ("words", "item", "seed")), bench).collect()}
-    assert got == {1: (7, 50, 30, 30), 2: (7, 20, 30, 27), None: (7, 0, 30, 30)}
+    rows += [(10, "a b Who wrote this book? c"), (11, "who wrote that book"), (12, "tiny item words"), (13, "w " * 60000 + " ".join(item)), (1, rows[0][1])]
+    items = [(7, " ".join(item)), (8, "tiny item words"), (9, None), (14, "Who wrote this book"), (14, "Who wrote this book"), (15, "q w e r t y u i o")]
+    rows += [(16, "x q w e r t y u i o x"), (17, "x q w e r t y u i")]
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    got = {(r["doc_id"], r["item_id"]): (r["doc_start"], r["n_words"], r["n_matches"]) for r in decontam.overlaps(docs(spark, rows, ("words", "item", "seed")), bench).collect()}
+    assert got == {(1, 7): (50, 30, 30), (2, 7): (20, 30, 27), (None, 7): (0, 30, 30), (10, 14): (2, 4, 4), (13, 7): (60000, 30, 30), (16, 15): (1, 9, 9)}
     kept = decontam.clean(docs(spark, rows, ("_hit",)), bench)
-    assert sorted(r["doc_id"] for r in kept.collect()) == [3, 4, 5, 6] and kept.columns == ["doc_id", "text", "_hit"]
+    assert sorted(r["doc_id"] for r in kept.collect()) == [3, 4, 5, 6, 11, 12, 17] and kept.columns == ["doc_id", "text", "_hit"]
     assert decontam.overlaps(docs(spark, rows).limit(0), bench).isEmpty()
     assert decontam.overlaps(docs(spark, rows), bench.limit(0)).isEmpty()
 
@@ -73,15 +81,16 @@ def brute_overlap(doc, item, least=10, share=0.75):
         found = [(b - a + 1, at[b] - at[a] + 1, at[a]) for a in range(len(at)) for b in range(a, len(at)) if b - a + 1 >= share * (at[b] - at[a] + 1)]
         if found:
             n, words, start = min(found, key=lambda x: (-x[0], x[1], x[2]))
-            if n >= least and (best is None or (-n, diagonal + start, words) < best):
+            if n >= min(least, len(item)) and (best is None or (-n, diagonal + start, words) < best):
                 best = (-n, diagonal + start, words)
     return best and (-best[0], best[1], best[2])
 
 
 def test_no_overlap_is_missed(spark):
     rng = random.Random(5)
-    rows, items, want = [], [], {}
-    for size, changes in ((12, 2), (12, 1), (13, 3), (15, 3), (17, 4), (20, 5), (25, 6), (30, 7), (30, 14)):
+    rows, items, want, made = [], [], {}, []
+    # 0 to a quarter of the words substituted, and beyond
+    for size, changes in ((5, 0), (9, 0), (9, 1), (10, 0), (10, 1), (12, 2), (12, 1), (13, 3), (15, 3), (17, 4), (20, 5), (25, 6), (30, 7), (30, 14)):
         item = [f"i{size}x{changes}x{k}" for k in range(size)]
         items.append((1000 * size + changes, " ".join(item)))
         for n in range(25):
@@ -89,11 +98,15 @@ def test_no_overlap_is_missed(spark):
             doc = [f"n{k}" for k in range(rng.randint(0, 3))] + [f"c{k}" if k in gone else w for k, w in enumerate(item)] + ["n"] * rng.randint(0, 3)
             key = (len(rows), 1000 * size + changes)
             rows.append((key[0], " ".join(doc)))
+            made.append(key)
             if found := brute_overlap(doc, item):
                 want[key] = found
     bench = spark.createDataFrame(items, "item_id long, text string")
     got = {(r["doc_id"], r["item_id"]): (r["n_matches"], r["doc_start"], r["n_words"]) for r in decontam.overlaps(docs(spark, rows), bench).collect()}
-    assert got == want and len(want) > 180
+    assert got == want and len(want) > 250
+    # recall of passages with up to a quarter of their words substituted, of which enough match
+    planted = {(doc, item) for doc, item in ((k, i) for k, i in made if 4 * (i % 1000) <= i // 1000 and i // 1000 - i % 1000 >= 10)}
+    assert len(planted & set(got)) >= 0.9 * len(planted) > 100
 
 
 def test_masks_hit_every_stretch():
@@ -116,7 +129,9 @@ def test_shuffled_join_gives_the_same(spark, monkeypatch):
     d = docs(spark, [(k, " ".join(f"a{i}" for i in range(k))) for k in range(30)])
     want = sorted(map(tuple, decontam.overlaps(d, bench).collect()))
     monkeypatch.setattr(decontam, "BROADCAST_ROWS", 0)
+    monkeypatch.setattr(decontam, "BROADCAST_WORDS", 0)
     assert sorted(map(tuple, decontam.overlaps(d, bench).collect())) == want and len(want) == 20
+    assert sorted(r["doc_id"] for r in decontam.clean(d, bench).collect()) == list(range(10))
 
 
 # Line dedup
@@ -135,9 +150,11 @@ def brute_lines(rows, least):
                 run = tuple(x for _, x in seq[a:b])
                 if sum(len(x.split()) for x in run) >= least:
                     if run in first:
-                        gone.setdefault(d, set()).update(n for n, _ in seq[a:b])
+                        kept, at = first[run]
+                        begin = max(a, at + b - a) if kept == d else a
+                        gone.setdefault(d, set()).update(n for n, _ in seq[begin:b])
                     else:
-                        first[run] = d
+                        first[run] = d, a
     out = {}
     for d, t, seq in seqs:
         if t is None:
@@ -150,16 +167,24 @@ def brute_lines(rows, least):
 
 
 @pytest.mark.parametrize("seed", [1, 2, 3])
-def test_repeated_runs_against_brute_force(spark, seed):
+def test_repeated_runs_against_brute_force(spark, monkeypatch, seed):
     rng = random.Random(seed)
     vocab = ["a b c", "d e", "f", "g h i j", "k", "", " l m "]
     rows = [(i, "\n".join(rng.choices(vocab, k=rng.randint(0, 9)))) for i in range(25)]
-    rows += [(100, None), (101, ""), (None, rows[0][1]), (103, rows[3][1])]
+    rows += [(100, None), (101, ""), (None, rows[0][1]), (103, rows[3][1]), (104, "\n".join(["a b c"] * 7)), (105, "\n".join(["d e", "f g"] * 6))]
+    monkeypatch.setattr(linededup, "HOT", (2000, 4, 0)[seed - 1])
+    monkeypatch.setattr(linededup, "BROADCAST_LINES", (10, 10**6, 0)[seed - 1])
     out = linededup.remove_repeats(docs(spark, rows, ("_gone", "gone", "t")), 6)
     assert out.columns == ["doc_id", "text", "_gone", "gone", "t", "_lines", "_gone_"]
     assert {r["doc_id"]: r["text"] for r in out.collect()} == brute_lines(rows, 6)
 
 
+def test_the_first_copy_stays_whole(spark):
+    line = " ".join(f"w{i}" for i in range(20))
+    got = linededup.remove_repeats(docs(spark, [(1, "\n".join([line] * 6))])).first()
+    assert got["text"] == "\n".join([line] * 3) and got["_gone"] == 3
+
+
 def test_line_dedup_edges(spark):
     same = docs(spark, [(1, "a b c d\nx"), (1, "a b c d\nx"), (1, "a b c d")])
     got = sorted((r["text"], r["_gone"]) for r in linededup.remove_repeats(same, 3).collect())
@@ -222,6 +247,9 @@ def test_links_against_brute_force(spark, monkeypatch, sharing):
     passage = " ".join(f"p{i}" for i in range(40))
     texts += [f"{passage} " + " ".join(f"u{k}x{i}" for i in range(60)) for k in range(40)]
     rows = [*enumerate(texts), (5000, None), (5001, ""), (5002, " \n "), (5003, texts[3]), (5004, texts[3].upper()), (None, texts[40]), (7, texts[7])]
+    if sharing == 2:
+        monkeypatch.setattr(ngramjoin, "BROADCAST_IDS", 0)
+    rows.append((6000, " ".join(f"long{i % 9000}" for i in range(30000))))
     got = sorted(((r["doc_id"], r["n_shingles"], r["component_id"]) for r in ngramjoin.components(docs(spark, rows, ("cls", "n"))).collect()), key=str)
     assert got == brute_join(rows)
 
@@ -238,6 +266,31 @@ def test_one_large_family(spark, monkeypatch):
     assert {r["component_id"] for r in ngramjoin.components(docs(spark, rows)).collect()} == {0}
 
 
+def test_hot_shingles_that_are_no_component(spark, monkeypatch):
+    """Short sets that share most of their few shingles, in several components, in groups that are split."""
+    monkeypatch.setattr(ngramjoin, "MOST_SHARING", 3)
+    monkeypatch.setattr(ngramjoin, "SIDE", 4)
+    head = [f"h{i}" for i in range(9)]
+    rows = [(k, " ".join([*head, *(f"t{k % 6}x{i}" for i in range(k % 4 + 2))])) for k in range(48)]
+    got = sorted(((r["doc_id"], r["n_shingles"], r["component_id"]) for r in ngramjoin.components(docs(spark, rows)).collect()), key=str)
+    assert got == brute_join(rows)
+
+
+def test_components_of_a_graph(spark, tmp_path):
+    rng = random.Random(3)
+    edges = [(rng.randrange(60), rng.randrange(60)) for _ in range(40)] + [(100 + i, 101 + i) for i in range(30)] + [(7, 7), (1, None), (None, None)]
+    work = Workspace(spark, "graph")
+    got = {r["node"]: r["root"] for r in connected(spark.createDataFrame(edges, "a long, b long"), work).collect()}
+    root = {n: n for e in edges for n in e if None not in e and e[0] != e[1]}
+    for _ in root:
+        for a, b in edges:
+            if a in root and b in root:
+                root[a] = root[b] = min(root[a], root[b])
+    assert got == root
+    assert connected(spark.createDataFrame([], "a long, b long"), work).isEmpty()
+    work.close()
+
+
 def test_join_of_nothing(spark):
     assert ngramjoin.components(docs(spark, [(1, "a")]).limit(0)).isEmpty()
     assert [tuple(r) for r in ngramjoin.components(docs(spark, [(1, "a b")])).collect()] == [(1, 1, 1)]
