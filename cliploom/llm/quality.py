@@ -62,7 +62,7 @@ class Model:
     fitted: bool
 
 
-def fit(docs: DataFrame, labels: DataFrame, label: str = "quality", per_class: int = 1200, most_chars: int = FIT_CHARS, size: int = 16, epochs: int = 8, rate: float = 0.1, seed: int = 7) -> Model:
+def fit(docs: DataFrame, labels: DataFrame, label: str = "quality", per_class: int = 1200, most_chars: int = FIT_CHARS, size: int = 16, epochs: int = 12, rate: float = 0.3, seed: int = 7) -> Model:
     """labels: doc_id and the label, training rows alone. per_class and most_chars bound what the model is fitted on."""
     counts = {r[0]: r[1] for r in labels.groupBy(label).count().toLocalIterator()}
     prior = counts.get(1, 0) / max(1, sum(counts.values()))

@@ -121,7 +121,7 @@ def page_tree(html: str | None) -> list:
         at = m.end()
         tag = (m["tag"] or "").lower()
         if not tag:
-            if m["raw"]:
+            if m["raw"] and m["raw"].lower() not in ("script", "style"):  # these show nothing, not even a gap
                 text.append(" ")
             continue
         if m["end"]:
