@@ -14,15 +14,26 @@ TOXIC = 0.7
 
 
 def toxicity_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drops the documents that the tagger, fitted on all labelled rows, scores as toxic. Null texts stay."""
+    """Drops the documents that the tagger, fitted on all labelled rows, scores as toxic.
+
+    Null and empty texts have no toxic word and stay (unless the labels mark nothing but toxic documents); repeated ids and
+    rows are scored each; a very long text is scored whole; an empty table, or one without labels, stays as it is; all
+    columns pass through, whatever their names.
+    """
     labels = label_table(table(spark, sf_dir, "labels"), "toxic")
     # fitted on the unfiltered table: the first stage's input need not hold the labelled documents
     model = toxicity.fit(table(spark, sf_dir, "documents").select("doc_id", "text"), labels)
-    return toxicity.score(docs, model).where(F.col("score") < TOXIC).select(*docs.columns)
+    out = toxicity.score(docs, model)
+    return out.where(F.col(out.columns[-2]) < TOXIC).select(*docs.columns)
 
 
 def line_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Removes later copies of line runs; a document that consists of them goes. n_chars follows the text."""
+    """Removes later copies of line runs; a document that consists of them goes. n_chars follows the text where it changed.
+
+    Null and empty texts stay; rows equal in id and text are one document, rows that share an id alone are not; a null id
+    comes before all others, so its copy is the first; a very long text is one sequence; an empty table stays empty; all
+    columns pass through.
+    """
     out = linededup.remove_repeats(docs)
     lines, gone = (F.col(c) for c in out.columns[-2:])
     out = out.where((gone == 0) | (gone < lines))
@@ -31,7 +42,11 @@ def line_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 
 def ngram_join_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps one document of each group of linked ones, that with the smallest id; unlinked ones stay."""
+    """Keeps one document of each group of linked ones, that with the smallest id; unlinked ones stay.
+
+    Null texts and texts without a word are linked with nothing and stay; a null id is the smallest; rows that share an id
+    stay or go together; a very long text is one set; an empty table stays empty; all columns pass through.
+    """
     linked = ngramjoin.components(docs.select("doc_id", "text"))
     gone = staged(linked.where("not (doc_id <=> component_id)").select(F.col("doc_id").alias("_gone")).distinct(), "dropped")
     few = gone.limit(ngramjoin.BROADCAST_IDS + 1).count() <= ngramjoin.BROADCAST_IDS
@@ -40,12 +55,20 @@ def ngram_join_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 
 def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drops the documents that overlap with a benchmark item."""
+    """Drops the documents that overlap with a benchmark item.
+
+    Null and empty texts overlap with nothing and stay; rows that share an id, null ones too, stay or go together; a very long
+    text is searched whole; with an empty benchmark all stay; an empty table stays empty; all columns pass through.
+    """
     return decontam.clean(docs, table(spark, sf_dir, "benchmark"))
 
 
 def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """What the mix takes of every document that is left."""
+    """What the mix takes of every document that is left: doc_id, size, source_size, target, taken.
+
+    Null and empty texts have size 0 and take nothing; a null source is one of its own, the last; repeated ids and rows are
+    documents of their own; a very long text is a size like others; an empty table gives no rows; other columns go.
+    """
     return mixed(docs.select("doc_id", "text", "source"))
 
 
@@ -65,5 +88,6 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     return STAGES[-1][1](spark, docs, sf_dir)
 
 
-#: The toxicity model is trained, which SQL cannot express; tests/llm hold the pipeline against a brute-force version.
+#: The toxicity model is trained, which SQL cannot express; tests/llm hold every stage against planted cases, and each
+#: stage's operator against brute force.
 ORACLE_SQL = None
