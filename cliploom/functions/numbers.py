@@ -34,6 +34,12 @@ def fraction(text: Column) -> Column:
     return F.when(F.size(parts) == 2, F.try_divide(top, F.when(bottom > 0, bottom))).otherwise(top)
 
 
+def positive_fraction(text: Column) -> Column:
+    """As fraction, but only what is above 0."""
+    x = fraction(text)
+    return F.when(x > 0, x)
+
+
 def frame_rate(average: Column, real: Column) -> Column:
     """The average rate unless it is null or 0, else the real one."""
     return F.coalesce(F.nullif(fraction(average), F.lit(0.0)), fraction(real))
@@ -48,6 +54,11 @@ def frame_count(duration: Column, fps: Column) -> Column:
     return F.greatest(F.lit(1).cast("long"), rounded(duration * fps))
 
 
+def analysed_duration(duration: Column, scores: Column, fps: Column) -> Column:
+    """How much of a video its scores cover: no more than its duration."""
+    return F.least(duration, scores / fps)
+
+
 def frame_guard(fps: Column) -> Column:
     return F.lit(1.0) / fps
 

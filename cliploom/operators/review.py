@@ -6,6 +6,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from ..functions.media import coerced_state
+from .ordering import numbered
+
 
 def latest_states(log: DataFrame) -> DataFrame:
     """log: video_id, status, motion_score, discovered_order, seen_order, line_no. The last row of each video, but a
@@ -18,9 +21,11 @@ def latest_states(log: DataFrame) -> DataFrame:
     )
     top = state.agg(F.coalesce(F.max("discovered_order"), F.lit(0)).alias("_top")).withColumn("k", F.lit(1))
     # only videos that have no order at all are numbered here, one after the other
-    new = state.where("discovered_order is null").select("video_id", F.row_number().over(Window.orderBy("_first", "video_id")).alias("_n"))
+    new = numbered(state.where("discovered_order is null").select("video_id", "_first"), [F.col("_first"), F.col("video_id")], "_n").drop("_first")
     out = state.join(new, "video_id", "left").withColumn("k", F.lit(1)).join(F.broadcast(top), "k")
-    return out.withColumn("discovered_order", F.coalesce("discovered_order", F.col("_top") + F.col("_n")).cast("long")).select("video_id", *fields, "discovered_order")
+    out = out.withColumn("discovered_order", F.coalesce("discovered_order", F.col("_top") + F.col("_n")).cast("long")).select("video_id", *fields, "discovered_order")
+    # what is no status of a video counts as pending
+    return out.withColumn("status", coerced_state(F.col("status"))) if "status" in fields else out
 
 
 def order_marks(states: DataFrame) -> DataFrame:
@@ -43,13 +48,7 @@ def queue_key(seen: Column, motion: Column, discovered: Column, video: Column) -
 def queue(states: DataFrame) -> DataFrame:
     """position (1, 2, ...) and video_id in the order of the queue. Ranges are sorted apart and then counted through."""
     key = queue_key(F.col("seen_order"), F.col("motion_score"), F.col("discovered_order"), F.col("video_id"))
-    parts = states.withColumn("_k", key).repartitionByRange("_k").sortWithinPartitions("_k")
-    local = parts.withColumns({"_p": F.spark_partition_id(), "_i": F.monotonically_increasing_id()})
-    local = local.withColumn("_i", F.col("_i") - F.shiftleft(F.col("_p").cast("long"), 33) + 1)
-    sizes = local.groupBy("_p").agg(F.count("*").alias("_c"))
-    before = F.coalesce(F.sum("_c").over(Window.orderBy("_p").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))  # a row per partition
-    placed = local.join(F.broadcast(sizes.select("_p", before.alias("_before"))), "_p")
-    return placed.withColumn("position", (F.col("_before") + F.col("_i")).cast("long")).drop("_k", "_p", "_i", "_before", "_c")
+    return numbered(states.withColumn("_k", key), [F.col("_k")], "position").drop("_k")
 
 
 def neighbours(queued: DataFrame) -> DataFrame:
@@ -106,3 +105,30 @@ def motion_scores(frames: DataFrame) -> DataFrame:
     gap = F.aggregate(F.zip_with("luma", "before", lambda a, b: F.abs(a.cast("double") - b.cast("double"))), F.lit(0.0), lambda s, x: s + x) / F.size("luma")
     scored = pairs.withColumn("gap", F.when(F.col("before").isNotNull(), gap))
     return scored.groupBy("video_id").agg((F.coalesce(F.avg("gap"), F.lit(0.0)) / 255).alias("motion_score"))
+
+
+def decided(states: DataFrame, actions: DataFrame) -> DataFrame:
+    """states: video_id and status; actions: video_id, action and action_no. Gives video_id, status and seen after the actions
+    of each video in order: viewing marks it as seen; accepting, rejecting or an error set its status, also against an earlier
+    decision; leaving a video that is seen and pending accepts it. Other actions change nothing; videos without actions stay."""
+    steps = actions.groupBy("video_id").agg(F.array_sort(F.collect_list(F.struct("action_no", "action"))).alias("steps"))
+    none = F.array().cast(steps.schema["steps"].dataType)
+
+    def step(a: Column, x: Column) -> Column:
+        left = (x["action"] == "leave") & a["seen"] & (a["status"] == "pending")
+        status = F.when((x["action"] == "accept") | left, "accepted").when(x["action"] == "reject", "rejected").when(x["action"] == "error", "error").otherwise(a["status"])
+        return F.struct(status.alias("status"), (a["seen"] | F.coalesce(x["action"] == "view", F.lit(False))).alias("seen"))
+
+    begin = F.struct(F.col("status"), F.lit(False).alias("seen"))
+    after = F.aggregate(F.coalesce("steps", none), begin, step)
+    return states.select("video_id", "status").join(steps, "video_id", "left").select("video_id", after.alias("s")).select("video_id", "s.status", "s.seen")
+
+
+def existing_sources(states: DataFrame, listing: DataFrame, folders: tuple[str, str, str]) -> DataFrame:
+    """states: video_id, current_path, relative_path, original_path; listing: path of files that exist; folders: of input, kept
+    and rejected videos. Gives video_id and source_path: the first of the present path, the relative one below each folder, and
+    the original path that exists; null if none does."""
+    below = [F.concat(F.lit(f.rstrip("/") + "/"), "relative_path") for f in folders]
+    asked = states.select("video_id", F.posexplode(F.array("current_path", *below, "original_path")).alias("k", "path"))
+    found = asked.join(listing.select("path").distinct(), "path").groupBy("video_id").agg(F.min_by("path", "k").alias("source_path"))
+    return states.select("video_id").join(found, "video_id", "left")

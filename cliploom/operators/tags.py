@@ -134,3 +134,20 @@ def target_count(clips: DataFrame, fraction: float) -> DataFrame:
     """How many clips a fraction means: half to even, at least 1, at most the largest feasible number."""
     n = clips.agg(F.count("*").alias("n")).withColumn("k", F.lit(1)).join(largest_validation(clips).withColumn("k", F.lit(1)), "k")
     return n.select(F.least(F.greatest(F.lit(1).cast("long"), F.bround(F.col("n") * fraction, 0).cast("long")), F.col("max_val_count")).alias("target_count"))
+
+
+def resolved_count(clips: DataFrame, count: int | None = None, fraction: float | None = None, train_count: int | None = None) -> int:
+    """How many clips validation takes. Raises ValueError without clips, with one source alone, for a count beyond what
+    leaves a source for training, and where training and validation want more clips than there are."""
+    have = clips.count()
+    most = largest_validation(clips).first()[0]
+    if not have:
+        raise ValueError("no tagged clips are available")
+    if most <= 0:
+        raise ValueError("clips of at least two sources are needed for source-disjoint splits")
+    if count is not None and count > most:
+        raise ValueError(f"{count} validation clips wanted, {most} feasible")
+    wanted = count if count is not None else target_count(clips, fraction or 0.0).first()[0]
+    if train_count is not None and train_count + wanted > have:
+        raise ValueError(f"{train_count} training and {wanted} validation clips wanted, {have} available")
+    return wanted

@@ -8,8 +8,6 @@ from pyspark.sql.window import Window
 
 from ..functions import text
 
-TAGS = 8
-
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -20,12 +18,24 @@ def captions(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def clips(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A clip per document; its tags are its first distinct words of four letters or more."""
+    """A clip per document; its tags are all its distinct words of four letters or more."""
     long_words = F.filter(text.tokens(F.col("text")), lambda t: F.length(t) >= 4)
     return table(spark, sf_dir, "documents").select(
         F.concat("lang", F.lit("/doc_"), "doc_id", F.lit(".mp4")).alias("clip_relpath"),
         F.concat("lang", F.lit("-"), "source").alias("source_id"),
-        F.slice(F.array_distinct(long_words), 1, TAGS).alias("tags"),
+        F.array_distinct(long_words).alias("tags"),
+    )
+
+
+def customer_clips(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A clip per customer, their nation the source; its tags are the priorities, states and months of all their orders."""
+    of = table(spark, sf_dir, "orders").select(
+        F.col("o_custkey").alias("c_custkey"), F.explode(F.array("o_orderpriority", F.concat(F.lit("state "), "o_orderstatus"), F.date_format("o_orderdate", "MMMM"))).alias("tag")
+    )
+    tagged = of.groupBy("c_custkey").agg(F.array_sort(F.collect_set("tag")).alias("tags"))
+    none = F.array().cast("array<string>")
+    return table(spark, sf_dir, "customer").join(tagged, "c_custkey", "left").select(
+        F.format_string("clip_%06d.mp4", "c_custkey").alias("clip_relpath"), F.concat(F.lit("nation-"), "c_nationkey").alias("source_id"), F.coalesce("tags", none).alias("tags")
     )
 
 

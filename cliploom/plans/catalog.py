@@ -6,10 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from ..functions import media, numbers, text
-from ..operators import buckets, manifests, review, spans, splits, tags, words
+from ..operators import buckets, manifests, ordering, review, spans, splits, tags, words
 from ..sources import jsonl, sinks
 from . import bindings as b
 
@@ -43,7 +42,8 @@ _CLIPS = f"""
 WITH tok AS (SELECT doc_id, unnest(t) AS tag, generate_subscripts(t, 1) AS p FROM (
   SELECT doc_id, list_filter(regexp_extract_all(lower(text), {_P}), lambda x: x <> 'none' AND length(x) >= 4) AS t FROM documents)),
 firsts AS (SELECT doc_id, tag, min(p) AS p FROM tok GROUP BY ALL),
-kept AS (SELECT doc_id, tag FROM firsts QUALIFY row_number() OVER (PARTITION BY doc_id ORDER BY p) <= 8),
+kept AS (SELECT doc_id, tag FROM firsts),
+hinted AS (SELECT doc_id, tag, p FROM firsts WHERE tag NOT IN ('general', 'sensitive', 'questionable', 'explicit') QUALIFY row_number() OVER (PARTITION BY doc_id ORDER BY p) <= 16),
 clips AS (SELECT doc_id, lang || '/doc_' || doc_id || '.mp4' AS clip_relpath, lang || '-' || source AS source_id FROM documents),
 tagged AS (SELECT clip_relpath, source_id, tag FROM clips JOIN kept USING (doc_id))
 """
@@ -150,7 +150,7 @@ def union_manifests(spark, sf_dir):
     return both.groupBy("manifest").agg(F.count("*").alias("n_rows"))
 
 
-@query()
+@query("SELECT p_partkey, coalesce(nullif(lower(trim(regexp_replace(p_name, '[^A-Za-z0-9]+', '-', 'g'), '-')), ''), 'search') AS slug FROM part")
 def slug_query(spark, sf_dir):
     return b.table(spark, sf_dir, "part").select("p_partkey", text.slug(F.col("p_name")).alias("slug"))
 
@@ -221,31 +221,25 @@ def l1_distance(spark, sf_dir):
     return tags.distribution_distance(clips.where(one), clips.where(~one))
 
 
-@query(_CLIPS + """, picks AS (SELECT clip_relpath, row_number() OVER (ORDER BY clip_relpath) AS rank FROM clips WHERE source_id LIKE '%src1%' QUALIFY rank <= 100),
-target AS (SELECT tag, count(*) / (SELECT count(*) FROM clips WHERE source_id NOT LIKE '%src1%')::DOUBLE AS f FROM tagged WHERE source_id NOT LIKE '%src1%' GROUP BY 1),
-occurs AS (SELECT rank, tag FROM picks JOIN tagged USING (clip_relpath)),
-upto AS (SELECT p.rank, o.tag, count(*) AS c FROM picks p JOIN occurs o ON o.rank <= p.rank GROUP BY ALL),
-parts AS (SELECT rank, sum(abs(c / rank::DOUBLE - coalesce(f, 0)) - coalesce(f, 0)) AS d FROM upto LEFT JOIN target USING (tag) GROUP BY 1)
-SELECT rank, round((SELECT sum(f) FROM target) + coalesce(d, 0), 9) AS distribution_distance FROM picks LEFT JOIN parts USING (rank)""")
+@query()
 def prefix_l1_distance(spark, sf_dir):
     clips = b.clips(spark, sf_dir)
     one = F.col("source_id").contains("src1")
-    first = clips.where(one).orderBy("clip_relpath").limit(100)  # as a validation subset's picks
-    ranked = first.withColumn("rank", F.row_number().over(Window.orderBy("clip_relpath")))
+    ranked = ordering.numbered(clips.where(one), [F.col("clip_relpath")], "rank")  # as a validation subset's picks
     return tags.prefix_distances(ranked, clips.where(~one)).withColumn("distribution_distance", F.round("distribution_distance", 9))
 
 
-@query(_CLIPS + "SELECT clip_relpath, list_sort(list(tag)) AS hints FROM (SELECT clip_relpath, tag FROM tagged WHERE tag NOT IN ('general', 'sensitive', 'questionable', 'explicit')) GROUP BY 1")
+@query(_CLIPS + "SELECT clip_relpath, list_sort(list(tag)) AS hints FROM clips JOIN hinted USING (doc_id) GROUP BY 1")
 def tag_hints(spark, sf_dir):
     none = F.lit(None).cast("array<string>")
     found = b.clips(spark, sf_dir).select("clip_relpath", tags.hints(F.col("tags"), none, none)["general"].alias("hints"))
     return found.where(F.size("hints") > 0).withColumn("hints", F.array_sort("hints"))
 
 
-@query("""SELECT doc_id, list_sort(list(DISTINCT w)) AS tags FROM (SELECT doc_id, unnest(string_split(substr(text, 1, 200), ' ')) AS w FROM documents)
+@query("""SELECT doc_id, list_sort(list(DISTINCT w)) AS tags FROM (SELECT doc_id, unnest(string_split(text, ' ')) AS w FROM documents)
 WHERE trim(w, E' \t\r\n') <> '' GROUP BY 1""")
 def tag_dedupe(spark, sf_dir):
-    listed = tags.deduped(F.split(F.substring("text", 1, 200), " "), stripped=False)
+    listed = tags.deduped(F.split("text", " "), stripped=False)
     some = b.table(spark, sf_dir, "documents").select("doc_id", F.array_sort(F.filter(listed, lambda t: text.strip(t) != "")).alias("tags"))
     return some.where(F.size("tags") > 0)
 
@@ -271,10 +265,10 @@ def tag_hints_join(spark, sf_dir):
     return manifests.with_hints(docs, even.unionByName(third)).select("doc_id", "hints")
 
 
-@query("SELECT doc_id FROM documents d WHERE lang || '-' || source NOT IN (SELECT lang || '-' || source FROM documents WHERE doc_id % 97 = 0)")
+@query("SELECT doc_id FROM documents d WHERE lang || '-' || source NOT IN (SELECT lang || '-' || source FROM documents WHERE source IN ('src1', 'src7', 'src12'))")
 def source_disjoint_antijoin(spark, sf_dir):
-    docs = b.table(spark, sf_dir, "documents").select("doc_id", F.concat("lang", F.lit("-"), "source").alias("source_id"))
-    return manifests.source_disjoint(docs, docs.where("doc_id % 97 = 0")).select("doc_id")
+    docs = b.table(spark, sf_dir, "documents").select("doc_id", "source", F.concat("lang", F.lit("-"), "source").alias("source_id"))
+    return manifests.source_disjoint(docs, docs.where(F.col("source").isin("src1", "src7", "src12"))).select("doc_id")
 
 
 @query("SELECT doc_id FROM documents WHERE doc_id NOT IN (SELECT doc_id FROM labels)")
@@ -292,24 +286,24 @@ def _export(spark, sf_dir):
     rows = docs.join(labels, "doc_id").select(
         F.col("doc_id").alias("line_no"),
         F.concat(F.when(F.col("doc_id") % 2 == 0, "clips/../").otherwise("/in/train/"), "doc_id", F.lit(".mp4")).alias("clip_path"),
-        F.substring("text", 1, 40).alias("caption"),
+        F.col("text").alias("caption"),
         F.when(F.col("quality") == 1, "captioned").otherwise("failed").alias("status"),
     )
-    listing = docs.where("doc_id % 3 <> 0").select(F.concat("doc_id", F.lit(".mp4")).alias("media_path"))
+    listing = b.table(spark, sf_dir, "pages").select(F.concat("page_id", F.lit(".mp4")).alias("media_path"))
     return manifests.export_rows(rows, listing, "train", "/in/train")
 
 
-@query("""SELECT substr(text, 1, 40) AS caption, doc_id || '.mp4' AS media_path FROM documents JOIN labels USING (doc_id)
-WHERE quality = 1 AND doc_id % 3 <> 0 AND trim(substr(text, 1, 40), E' \t\r\n') <> ''""")
+@query("""SELECT text AS caption, doc_id || '.mp4' AS media_path FROM documents JOIN labels USING (doc_id)
+WHERE quality = 1 AND doc_id IN (SELECT page_id FROM pages) AND trim(text, E' \t\r\n') <> ''""")
 def export_rows(spark, sf_dir):
     return _export(spark, sf_dir)[0]
 
 
-@query("""WITH r AS (SELECT doc_id, CASE WHEN quality <> 1 THEN 'status' WHEN trim(substr(text, 1, 40), E' \t\r\n') = '' THEN 'empty caption' WHEN doc_id % 3 = 0 THEN 'unknown clip' END AS rule
+@query("""WITH r AS (SELECT doc_id, CASE WHEN quality <> 1 THEN 'status' WHEN trim(text, E' \t\r\n') = '' THEN 'empty caption' WHEN doc_id NOT IN (SELECT page_id FROM pages) THEN 'unknown clip' END AS rule
   FROM documents JOIN labels USING (doc_id)),
 good AS (SELECT doc_id FROM r WHERE rule IS NULL)
 SELECT rule, count(*) AS cnt FROM (SELECT rule FROM r WHERE rule IS NOT NULL
-  UNION ALL SELECT 'missing caption' FROM documents WHERE doc_id % 3 <> 0 AND doc_id NOT IN (SELECT doc_id FROM good)) GROUP BY 1""")
+  UNION ALL SELECT 'missing caption' FROM pages WHERE page_id NOT IN (SELECT doc_id FROM good)) GROUP BY 1""")
 def export_violations(spark, sf_dir):
     return _export(spark, sf_dir)[1].groupBy("rule").agg(F.count("*").alias("cnt"))
 
@@ -431,7 +425,7 @@ def bucket_list(spark, sf_dir):
 
 @query()
 def bucket_greedy(spark, sf_dir):
-    return buckets.greedy(buckets.feature_points(b.clip_sizes(spark, sf_dir)), 512, 6)
+    return buckets.greedy(buckets.feature_points(b.clip_sizes(spark, sf_dir)), 512)
 
 
 # Splits
@@ -439,17 +433,18 @@ def bucket_greedy(spark, sf_dir):
 
 @query()
 def balanced_subset(spark, sf_dir):
-    return splits.balanced_subset(b.clips(spark, sf_dir), 100)
+    return splits.balanced_subset(clips := b.customer_clips(spark, sf_dir), min(1000, clips.count()))
 
 
 @query()
 def validation_subset(spark, sf_dir):
-    return splits.validation_subset(b.clips(spark, sf_dir), 5)
+    return splits.validation_subset(clips := b.customer_clips(spark, sf_dir), tags.resolved_count(clips, fraction=0.1))
 
 
 @query()
 def split_summary(spark, sf_dir):
-    train, validation = splits.split(b.clips(spark, sf_dir), 4, 40)
+    clips = b.customer_clips(spark, sf_dir)
+    train, validation = splits.split(clips, tags.resolved_count(clips, fraction=0.1))
     both = train.select(F.lit("train").alias("split"), "selection_rank", "new_tags_added", F.lit(None).cast("double").alias("distribution_distance")).unionByName(
         validation.select(F.lit("val").alias("split"), "selection_rank", "new_tags_added", "distribution_distance")
     )
@@ -578,8 +573,8 @@ _PROMPT = r"""'Describe this video clip in one paragraph, in the order in which
 
 
 @query(_CLIPS + f"""SELECT c.clip_relpath, {_PROMPT} || CASE WHEN any_value(k.tag) IS NULL THEN '' ELSE 'Tags that a separate model suggests; trust the clip where they disagree.' || chr(10)
-  || 'Visual hints: ' || string_agg(k.tag, ', ' ORDER BY f.p) || chr(10) END || CASE WHEN c.doc_id % 2 = 0 THEN 'Name speech, music and other sounds where they occur.' ELSE 'Describe only what can be seen.' END AS prompt
-FROM clips c LEFT JOIN kept k USING (doc_id) LEFT JOIN firsts f ON f.doc_id = k.doc_id AND f.tag = k.tag WHERE k.tag IS NULL OR k.tag NOT IN ('general', 'sensitive', 'questionable', 'explicit') GROUP BY c.doc_id, c.clip_relpath""")
+  || 'Visual hints: ' || string_agg(k.tag, ', ' ORDER BY k.p) || chr(10) END || CASE WHEN c.doc_id % 2 = 0 THEN 'Name speech, music and other sounds where they occur.' ELSE 'Describe only what can be seen.' END AS prompt
+FROM clips c LEFT JOIN hinted k USING (doc_id) GROUP BY c.doc_id, c.clip_relpath""")
 def prompt_text(spark, sf_dir):
     clips = b.clips(spark, sf_dir)
     none = F.lit(None).cast("array<string>")
@@ -609,3 +604,51 @@ def feed_filter(spark, sf_dir):
 def existing_downloads(spark, sf_dir):
     size, key = F.col("p_size") + 1, F.col("p_partkey")
     return b.table(spark, sf_dir, "part").select("p_partkey", sinks.existing_download(size, F.when(key % 3 == 0, size), F.when(key % 3 == 1, size)).alias("found"))
+
+
+@query("""WITH f AS (SELECT p_partkey, p_partkey // 20 + 1 AS page, p_partkey % 20 AS position, CASE p_partkey % 3 WHEN 0 THEN 'mp4' WHEN 1 THEN 'webm' ELSE 'png' END AS ext FROM part WHERE p_partkey <> 1015),
+s AS (SELECT page, count(*) AS n FROM f GROUP BY 1)
+SELECT p_partkey AS id, p_partkey || '.' || ext AS file FROM f WHERE ext <> 'png' AND page <= (SELECT min(page) FROM s WHERE n < 20 OR page + 1 NOT IN (SELECT page FROM s)) ORDER BY page, position LIMIT 900""")
+def paged_feed(spark, sf_dir):
+    key = F.col("p_partkey")
+    ext = F.when(key % 3 == 0, "mp4").when(key % 3 == 1, "webm").otherwise("png")
+    found = b.table(spark, sf_dir, "part").where("p_partkey <> 1015").select(key.alias("id"), ext.alias("file_ext"), (F.floor(key / 20) + 1).alias("page"), (key % 20).alias("position"))
+    return jsonl.paged_posts(found, 900, 20).select("id", jsonl.post_file(F.col("id"), F.col("file_ext")).alias("file"))
+
+
+@query("""WITH a AS (SELECT event_id, printf('v%05d', user_id) AS video_id, CASE event_type WHEN 'purchase' THEN 'accept' WHEN 'error' THEN 'error' WHEN 'click' THEN 'leave' WHEN 'view' THEN 'view' ELSE 'reject' END AS action FROM events),
+said AS (SELECT video_id, arg_max(action, event_id) FILTER (WHERE action IN ('accept', 'reject', 'error')) AS last, min(event_id) FILTER (WHERE action = 'view') AS viewed, max(event_id) FILTER (WHERE action = 'leave') AS gone FROM a GROUP BY 1)
+SELECT printf('v%05d', c_custkey) AS video_id, CASE last WHEN 'accept' THEN 'accepted' WHEN 'reject' THEN 'rejected' WHEN 'error' THEN 'error' ELSE CASE WHEN gone > viewed THEN 'accepted' ELSE 'pending' END END AS status, viewed IS NOT NULL AS seen
+FROM customer LEFT JOIN said ON video_id = printf('v%05d', c_custkey)""")
+def review_decisions(spark, sf_dir):
+    kind = F.col("event_type")
+    action = F.when(kind == "purchase", "accept").when(kind == "error", "error").when(kind == "click", "leave").when(kind == "view", "view").otherwise("reject")
+    actions = b.table(spark, sf_dir, "events").select(F.format_string("v%05d", "user_id").alias("video_id"), action.alias("action"), F.col("event_id").alias("action_no"))
+    states = b.table(spark, sf_dir, "customer").select(F.format_string("v%05d", "c_custkey").alias("video_id"), F.lit("pending").alias("status"))
+    return review.decided(states, actions)
+
+
+@query("""SELECT printf('v%05d', c_custkey) AS video_id, CASE WHEN o.k IS NOT NULL THEN '/now/' || c_custkey WHEN c_custkey IN (SELECT s_suppkey FROM supplier) THEN '/in/' || c_custkey || '.mp4'
+  WHEN c_custkey IN (SELECT p_partkey FROM part WHERE p_size > 25) THEN '/keep/' || c_custkey || '.mp4' WHEN c_custkey % 5 = 0 THEN '/first/' || c_custkey END AS source_path
+FROM customer LEFT JOIN (SELECT DISTINCT o_custkey AS k FROM orders WHERE o_orderstatus = 'P') o ON k = c_custkey""")
+def source_candidates(spark, sf_dir):
+    key, path = F.col("c_custkey"), lambda folder, k, end="": F.concat(F.lit(folder), k, F.lit(end)).alias("path")
+    customers = b.table(spark, sf_dir, "customer")
+    states = customers.select(F.format_string("v%05d", key).alias("video_id"), path("/now/", key).alias("current_path"), path("", key, ".mp4").alias("relative_path"), path("/first/", key).alias("original_path"))
+    listing = b.table(spark, sf_dir, "orders").where("o_orderstatus = 'P'").select(path("/now/", F.col("o_custkey")))
+    listing = listing.unionByName(b.table(spark, sf_dir, "supplier").select(path("/in/", F.col("s_suppkey"), ".mp4")))
+    listing = listing.unionByName(b.table(spark, sf_dir, "part").where("p_size > 25").select(path("/keep/", F.col("p_partkey"), ".mp4")))
+    listing = listing.unionByName(customers.where(key % 5 == 0).select(path("/first/", key)))
+    return review.existing_sources(states, listing, ("/in", "/keep/", "/reject"))
+
+
+@query(_DURATIONS + """SELECT p_partkey, CASE WHEN fps IS NULL OR total_frames IS NULL THEN NULL ELSE least(duration, total_frames / fps) END AS analysed,
+  CASE WHEN p_partkey % 3 <> 0 AND p_partkey % 4 <> 0 THEN (p_partkey % 4) / (p_partkey % 3)::DOUBLE END AS rate FROM d""")
+def analysed_durations(spark, sf_dir):
+    d, key = b.durations(spark, sf_dir), F.col("p_partkey")
+    known = F.col("fps").isNotNull() & F.col("total_frames").isNotNull()
+    return d.select(
+        "p_partkey",
+        F.when(known, numbers.analysed_duration(F.col("duration"), F.col("total_frames"), F.col("fps"))).alias("analysed"),
+        numbers.positive_fraction(F.concat(key % 4, F.lit("/"), key % 3)).alias("rate"),
+    )

@@ -6,7 +6,7 @@ import posixpath
 from collections.abc import Iterator
 from pathlib import PurePosixPath
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
@@ -83,6 +83,24 @@ def matching_posts(found: DataFrame, count: int) -> DataFrame:
     return found.where(F.col("file_ext").isin(*FEED_TYPES)).orderBy(F.desc("id")).limit(count)
 
 
+def post_file(post: Column, ext: Column) -> Column:
+    """The file name of a post's video."""
+    return F.concat_ws(".", post.cast("string"), ext)
+
+
+def paged_posts(found: DataFrame, count: int, page_size: int) -> DataFrame:
+    """found: posts with their page (1, 2, ...) and position. The first count videos in feed order; the feed ends with its
+    first page that has fewer than page_size posts, or with the last one before a page that is missing."""
+    sizes = found.groupBy("page").agg(F.count("*").alias("posts"))
+    # a row per page: short ones, and those before a gap
+    ends = sizes.join(sizes.select((F.col("page") - 1).alias("page"), F.lit(True).alias("more")), "page", "left")
+    last = ends.where((F.col("posts") < page_size) | F.col("more").isNull()).agg(F.min("page").alias("last"), F.lit(1).alias("k"))
+    first = sizes.agg(F.min("page").alias("first"), F.lit(1).alias("k"))
+    bounds = last.join(first, "k").where("first = 1").select("last")
+    kept = found.where(F.col("file_ext").isin(*FEED_TYPES)).join(F.broadcast(bounds), F.col("page") <= F.col("last")).drop("last")  # bounds: one row
+    return kept.orderBy("page", "position").limit(count)
+
+
 class FeedPages(DataSource):
     """Pages of a feed, one partition a page: ``spark.read.format("feed_pages").option("pages", n).option("folder", f)``.
     Pages are files page-1.xml, page-2.xml, ... below the folder; a missing page ends the feed."""

@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import random
+
 import pytest
 from cliploom.functions import media, numbers, text
-from cliploom.operators import buckets, manifests, models, review, spans, splits, tags, words
+from cliploom.operators import buckets, manifests, models, ordering, review, spans, splits, tags, words
 from cliploom.sources import jsonl, sinks
 from pyspark.sql import functions as F
 
@@ -22,19 +24,19 @@ def picked(df):
 
 
 def test_blocks_skip_labels_and_none(spark):
-    said = "SCENE_OVERVIEW: Hero runs fast\nVISUAL_DETAILS\nblue sky\nDIALOGUE: None.\nOTHER_SOUNDS: wind rises"
-    assert one(spark, text.blocks(F.lit(said))) == [["hero", "runs", "fast"], ["blue", "sky"], ["wind", "rises"]]
+    said = "SCENE_OVERVIEW: Otter swims past\nVISUAL_DETAILS\ngreen hill\nDIALOGUE: None.\nOTHER_SOUNDS: rain falls"
+    assert one(spark, text.blocks(F.lit(said))) == [["otter", "swims", "past"], ["green", "hill"], ["rain", "falls"]]
 
 
 def test_bigrams_stay_within_blocks(spark):
-    df = spark.createDataFrame([("alpha beta\ngamma delta",), ("epsilon zeta",)], "caption string")
-    assert {r[0] for r in words.bigram_counts(df).collect()} == {"alpha beta", "gamma delta", "epsilon zeta"}
+    df = spark.createDataFrame([("red kite\nlow tide",), ("old mill",)], "caption string")
+    assert {r[0] for r in words.bigram_counts(df).collect()} == {"red kite", "low tide", "old mill"}
 
 
 def test_report_lines(spark):
-    df = spark.createDataFrame([("hero runs\nblue sky",), ("hero runs\nblue sky\nhero",)], "caption string")
+    df = spark.createDataFrame([("otter swims\ngreen hill",), ("otter swims\ngreen hill\notter",)], "caption string")
     got = [r["line"] for r in words.report(df, 2).collect()]
-    assert got == ["manifests=1 caption_rows=2 unique_words=4 unique_bigrams=2", "Top 2 words", "1. hero (3)", "2. blue (2)", "Top 2 bigrams", "1. blue sky (2)", "2. hero runs (2)"]
+    assert got == ["manifests=1 caption_rows=2 unique_words=4 unique_bigrams=2", "Top 2 words", "1. otter (3)", "2. green (2)", "Top 2 bigrams", "1. green hill (2)", "2. otter swims (2)"]
     empty = [r["line"] for r in words.report(df.limit(0), 2).collect()]
     assert empty.count("(none)") == 2
 
@@ -288,3 +290,53 @@ def test_sinks(spark, tmp_path):
     (tmp_path / "x.mp4").write_bytes(b"x")
     jobs = spark.createDataFrame([(str(tmp_path / "x.mp4"), str(tmp_path / "o/y.mp4")), (str(tmp_path / "no"), str(tmp_path / "o/z.mp4"))], "source_file string, target_file string")
     assert sorted(r["status"] for r in sinks.copied_media(jobs).collect()) == ["copied", "failed"]
+
+
+# Orders, pages, decisions, counts
+
+
+def test_numbered_against_sorting(spark):
+    rng = random.Random(2)
+    rows = [(rng.randrange(50), i) for i in range(300)]
+    got = ordering.numbered(spark.createDataFrame(rows, "x int, i int"), [F.col("x"), F.col("i")], "n").collect()
+    assert [(r["x"], r["i"]) for r in sorted(got, key=lambda r: r["n"])] == sorted(rows) and sorted(r["n"] for r in got) == list(range(1, 301))
+    assert ordering.numbered(spark.createDataFrame([], "x int"), [F.col("x")], "n").isEmpty()
+
+
+def test_feed_ends_with_a_short_or_missing_page(spark):
+    def ids(rows, count=99):
+        df = spark.createDataFrame(rows, "page int, position int, id int, file_ext string")
+        return [r["id"] for r in jsonl.paged_posts(df, count, 2).collect()]
+
+    full = [(p, k, 10 * p - k, "mp4") for p in (1, 2, 3) for k in (0, 1)]
+    assert ids(full) == [10, 9, 20, 19, 30, 29] and ids(full, 3) == [10, 9, 20]
+    assert ids([r for r in full if (r[0], r[1]) != (2, 1)]) == [10, 9, 20]
+    assert ids([r for r in full if r[0] != 2]) == [10, 9] and ids([r for r in full if r[0] != 1]) == []
+    assert ids([(1, 0, 1, "png"), (1, 1, 2, "webm"), (2, 0, 3, "mp4")]) == [2, 3]
+
+
+def test_decisions_by_video(spark):
+    cases = {
+        "a": (["view", "leave"], "accepted", True), "b": (["leave", "view"], "pending", True), "c": (["accept", "reject"], "rejected", False),
+        "d": (["view", "reject", "leave"], "rejected", True), "e": (["view", "leave", "reject", "view", "accept"], "accepted", True),
+        "f": ([], "pending", False), "g": (["error", "accept"], "accepted", False), "h": (["dance", None], "pending", False),
+    }
+    states = spark.createDataFrame([(v, "pending") for v in cases], "video_id string, status string")
+    actions = spark.createDataFrame([(v, a, k) for v, (done, *_) in cases.items() for k, a in enumerate(done)], "video_id string, action string, action_no int")
+    assert {r["video_id"]: (r["status"], r["seen"]) for r in review.decided(states, actions).collect()} == {v: (s, n) for v, (_, s, n) in cases.items()}
+
+
+def test_unknown_status_counts_as_pending(spark):
+    log = spark.createDataFrame([("a", "odd", None, 0, None, 1), ("b", "accepted", None, 4, None, 2)], "video_id string, status string, motion_score double, discovered_order long, seen_order long, line_no long")
+    assert {r["video_id"]: (r["status"], r["discovered_order"]) for r in review.latest_states(log).collect()} == {"a": ("pending", 5), "b": ("accepted", 4)}
+
+
+def test_validation_counts_that_cannot_be(spark):
+    def clips(*sources):
+        return spark.createDataFrame([(f"c{k}", s, ["t"]) for k, s in enumerate(sources)], "clip_relpath string, source_id string, tags array<string>")
+
+    assert tags.resolved_count(clips("a", "a", "b"), count=2) == 2 and tags.resolved_count(clips(*"aaaaabbbbb"), fraction=0.25) == 2
+    assert tags.resolved_count(clips(*"aab"), fraction=1.0) == 2
+    for bad in (dict(clips=clips("a", "b").limit(0)), dict(clips=clips("a", "a"), count=1), dict(clips=clips("a", "a", "b"), count=3), dict(clips=clips("a", "b"), count=1, train_count=2)):
+        with pytest.raises(ValueError):
+            tags.resolved_count(**bad)
