@@ -43,15 +43,15 @@ ds AS (
   SELECT DISTINCT doc_id, item_id, ds.p - bs.p AS diagonal FROM ds JOIN bs USING (s)
 ), equal AS (
   SELECT h.*, least(10, len(b.w)) AS need,
-    list_filter(range(greatest(1, 1 - diagonal), least(len(b.w), len(d.w) - diagonal) + 1), lambda k: d.w[diagonal + k] = b.w[k]) AS at
+    list_filter(range(greatest(1, 1 - diagonal), least(len(b.w), len(d.w) - diagonal) + 1), lambda k: d.w[diagonal + k] = b.w[k]) AS places
   FROM hits h JOIN b USING (item_id) JOIN d USING (doc_id)
 ), ends AS (
-  SELECT *, unnest(range(1, len(at) + 1)) AS j FROM equal WHERE len(at) >= need
+  SELECT *, unnest(range(1, len(places) + 1)) AS j FROM equal WHERE len(places) >= need
 ), stretches AS (
   SELECT *, unnest(range(1, j - need + 2)) AS i FROM ends WHERE j >= need
 ), best AS (
-  SELECT doc_id, item_id, diagonal, j - i + 1 AS n, at[j] - at[i] + 1 AS words, at[i] - 1 AS start FROM stretches
-  WHERE 4 * (j - i + 1) >= 3 * (at[j] - at[i] + 1)
+  SELECT doc_id, item_id, diagonal, j - i + 1 AS n, places[j] - places[i] + 1 AS words, places[i] - 1 AS start FROM stretches
+  WHERE 4 * (j - i + 1) >= 3 * (places[j] - places[i] + 1)
   QUALIFY row_number() OVER (PARTITION BY doc_id, item_id, diagonal ORDER BY n DESC, words, start) = 1
 )
 SELECT doc_id, item_id, CAST(diagonal + start AS BIGINT) AS doc_start, CAST(words AS BIGINT) AS n_words, CAST(n AS BIGINT) AS n_matches
