@@ -1,7 +1,8 @@
 """Resolution and frame-count buckets for clips: projection, seed, greedy selection, assignment.
 
-Feature points are distinct (width, height, frames) with the number of their clips. Costs compare points with points;
-the compared side is sent out in blocks of BLOCK points, so memory stays bounded and no pairs are materialised.
+Feature points are distinct (width, height, frames) with the number of their clips. Total costs add up by axis, from running
+sums. Gains compare candidates with points in blocks of both, in executors; no pairs are materialised. Gains only fall as
+picks are made, so a pass over all candidates serves many picks: the driver holds the HELD best of it.
 """
 
 from __future__ import annotations
@@ -14,11 +15,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.numbers import quantized_frames, rounded
+from .ordering import running
 
 # Fixed values of the bucket grid.
 MULTIPLE, RADIUS, MOST_BUCKETS, LEAST_GAIN = 32, 16, 30, 1e-12
-BLOCK = 20_000
+BLOCK = 10_000
+HELD = 256
 FEATURE = ["width", "height", "frames", "weight"]
+BUCKET = ["bucket_width", "bucket_height", "bucket_frames"]
 
 
 def feature_points(clips: DataFrame) -> DataFrame:
@@ -56,96 +60,128 @@ def projected(features: DataFrame, resolution: int) -> DataFrame:
     )
 
 
-def blocks(points: DataFrame, columns: list[str]) -> Iterator[np.ndarray]:
-    """Rows of a table as arrays of at most BLOCK rows, fetched a partition at a time."""
-    held: list[tuple] = []
-    for row in points.select(*columns).toLocalIterator():
-        held.append(tuple(row))
-        if len(held) == BLOCK:
-            yield np.array(held, float)
-            held = []
-    if held:
-        yield np.array(held, float)
-
-
 def _logs(width: np.ndarray, height: np.ndarray, frames: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return np.log(width / height), np.log(frames)
 
 
-def total_costs(candidates: DataFrame, features: DataFrame) -> DataFrame:
-    """candidates with cost: the summed weighted distance to all features."""
-    schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in candidates.schema) + ", cost double"
-    parts = None
-    for block in blocks(features, FEATURE):
-        shared = candidates.sparkSession.sparkContext.broadcast(block)
+def _axis_costs(features: DataFrame, value: Column, name: str) -> DataFrame:
+    """name (a distinct value) and name_cost: the summed weighted distance of its logarithm to those of all features."""
+    log = F.ln(name)
+    at = features.groupBy(value.alias(name)).agg(F.sum("weight").alias("weight"))
+    summed = running(at, [F.col(name)], {"below": F.col("weight"), "mass": F.col("weight") * log})
+    whole = at.agg(F.sum("weight").alias("all"), F.sum(F.col("weight") * log).alias("all_mass"), F.lit(1).alias("k"))
+    both = summed.withColumn("k", F.lit(1)).join(F.broadcast(whole), "k")  # one row
+    cost = log * (2 * F.col("below") - F.col("all")) + F.col("all_mass") - 2 * F.col("mass")
+    return both.select(name, cost.alias(f"{name}_cost"))
 
-        def run(batches: Iterator[pd.DataFrame], shared=shared) -> Iterator[pd.DataFrame]:
-            b = shared.value
-            la, lf = _logs(b[:, 0], b[:, 1], b[:, 2])
-            for batch in batches:
-                ca, cf = _logs(*(batch[c].to_numpy(float) for c in FEATURE[:3]))
-                yield batch.assign(cost=[float(((np.abs(x - la) + np.abs(y - lf)) * b[:, 3]).sum()) for x, y in zip(ca, cf, strict=True)])
 
-        one = candidates.mapInPandas(run, schema)
-        parts = one if parts is None else parts.unionByName(one)
-    if parts is None:
-        return candidates.withColumn("cost", F.lit(0.0))
-    return parts.groupBy(*candidates.columns).agg(F.sum("cost").alias("cost"))
+def total_costs(features: DataFrame) -> DataFrame:
+    """features with cost: the summed weighted distance to all features, axis by axis."""
+    aspect = F.col("width") / F.col("height")
+    aspects, frames = _axis_costs(features, aspect, "aspect"), _axis_costs(features, F.col("frames"), "frames")
+    out = features.withColumn("aspect", aspect).join(aspects, "aspect").join(frames, "frames")
+    return out.select(*features.columns, (F.col("aspect_cost") + F.col("frames_cost")).alias("cost"))
 
 
 def seed(features: DataFrame) -> DataFrame:
     """The feature with the lowest total cost; ties by aspect, frames, width, height."""
     key = F.struct(F.round("cost", 9).alias("c"), (F.col("width") / F.col("height")).alias("a"), "frames", "width", "height")
-    return total_costs(features, features).agg(F.min_by(F.struct("width", "height", "frames", "cost"), key).alias("x")).select("x.*")
+    return total_costs(features).agg(F.min_by(F.struct("width", "height", "frames", "cost"), key).alias("x")).select("x.*")
 
 
 def greedy(features: DataFrame, resolution: int, most: int = MOST_BUCKETS) -> DataFrame:
     """bucket_width, bucket_height, bucket_frames, pick: the seed, then each time the feature whose bucket lowers the
-    total distance most. A pick is one pass over the features, with their present costs; the driver holds the picks."""
+    total distance most. The driver holds the picks and the HELD best candidates of the last pass over all; these are
+    measured again for each pick, and all are when none of them stays ahead of the first that was left out."""
     spark = features.sparkSession
     points = projected(features, resolution).persist()
+    size = points.count()
     first = seed(features).first()
     if first is None or first["width"] is None:
         return spark.createDataFrame([], "bucket_width int, bucket_height int, bucket_frames long, pick int")
     picks = [points.where((F.col("width") == first["width"]) & (F.col("height") == first["height"]) & (F.col("frames") == first["frames"])).first()]
+    held: list = []
+    bound = np.inf  # the largest gain that a candidate which is not held can have
     while len(picks) < most:
-        chosen = np.array([[p["width"], p["height"], p["frames"]] for p in picks], float)
-        taken = {(p["bucket_width"], p["bucket_height"], p["bucket_frames"]) for p in picks}
-        best = _best_gain(points, chosen, taken)
+        taken = {tuple(p[c] for c in BUCKET) for p in picks}
+        near = _with_distance(points, picks)
+        held = [c for c in held if tuple(c[x] for x in BUCKET) not in taken]
+        best = _best(_held_gains(near, held), held) if held else None
+        if bound > LEAST_GAIN and (best is None or round(best[1], 9) <= round(bound, 9)):
+            held, bound = _leading(_all_gains(near, taken, size))
+            best = _best([c["gain"] for c in held], held)
         if best is None:
             break
-        picks.append(best)
+        picks.append(best[0])
     points.unpersist()
-    rows = [(p["bucket_width"], p["bucket_height"], p["bucket_frames"], k) for k, p in enumerate(picks, 1)]
+    rows = [(*(p[c] for c in BUCKET), k) for k, p in enumerate(picks, 1)]
     return spark.createDataFrame(rows, "bucket_width int, bucket_height int, bucket_frames long, pick int")
 
 
-def _best_gain(points: DataFrame, chosen: np.ndarray, taken: set):
-    """The candidate with the largest gain over the chosen features, by the tie order; None if none gains."""
-    columns = [*FEATURE, "bucket_width", "bucket_height", "bucket_frames"]
-    free = points.select(*columns).where(~F.struct("bucket_width", "bucket_height", "bucket_frames").isin([F.struct(F.lit(w), F.lit(h), F.lit(f).cast("long")) for w, h, f in taken]))
-    schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in free.schema) + ", gain double"
-    ca, cf = _logs(chosen[:, 0], chosen[:, 1], chosen[:, 2])
-    parts = None
-    for block in blocks(points, FEATURE):
-        la, lf = _logs(block[:, 0], block[:, 1], block[:, 2])
-        now = np.full(len(la), np.inf)
-        for x, y in zip(ca, cf, strict=True):
-            now = np.minimum(now, np.abs(x - la) + np.abs(y - lf))
-        shared = points.sparkSession.sparkContext.broadcast((la, lf, block[:, 3], now))
-
-        def run(batches: Iterator[pd.DataFrame], shared=shared) -> Iterator[pd.DataFrame]:
-            la, lf, weight, now = shared.value
-            for batch in batches:
-                xs, ys = _logs(*(batch[c].to_numpy(float) for c in FEATURE[:3]))
-                yield batch.assign(gain=[float((np.maximum(now - np.abs(x - la) - np.abs(y - lf), 0) * weight).sum()) for x, y in zip(xs, ys, strict=True)])
-
-        one = free.mapInPandas(run, schema)
-        parts = one if parts is None else parts.unionByName(one)
-    gains = parts.groupBy(*columns).agg(F.sum("gain").alias("gain")).where(F.col("gain") > LEAST_GAIN)
+def _with_distance(points: DataFrame, picks: list) -> DataFrame:
+    """points with near: the distance to the nearest picked feature (MOST_BUCKETS at most)."""
     aspect = F.col("width") / F.col("height")
-    order = F.struct((-F.round("gain", 9)).alias("g"), (F.col("bucket_width") / F.col("bucket_height")).alias("ba"), "bucket_frames", "bucket_width", "bucket_height", aspect.alias("a"), "frames", "width", "height")
-    return gains.agg(F.min_by(F.struct(*columns), order).alias("x")).where("x is not null").select("x.*").first()
+    far = [F.abs(F.ln(F.lit(p["width"] / p["height"]) / aspect)) + F.abs(F.ln(F.lit(float(p["frames"])) / F.col("frames"))) for p in picks]
+    return points.withColumn("near", F.array_min(F.array(*far)))
+
+
+def _gains(candidates: pd.DataFrame, points: pd.DataFrame) -> list[float]:
+    xs, ys = _logs(*(candidates[c].to_numpy(float) for c in FEATURE[:3]))
+    la, lf = _logs(*(points[c].to_numpy(float) for c in FEATURE[:3]))
+    near, weight = points["near"].to_numpy(), points["weight"].to_numpy(float)
+    return [float((np.maximum(near - np.abs(x - la) - np.abs(y - lf), 0) * weight).sum()) for x, y in zip(xs, ys, strict=True)]
+
+
+def _held_gains(near: DataFrame, held: list) -> list[float]:
+    """The gain of each held candidate, from sums by task."""
+    shared = near.sparkSession.sparkContext.broadcast(pd.DataFrame([[c[x] for x in FEATURE] for c in held], columns=FEATURE))
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        total = np.zeros(len(shared.value))
+        for batch in batches:
+            total += _gains(shared.value, batch)
+        yield pd.DataFrame({"at": range(len(total)), "gain": total})
+
+    sums = near.select(*FEATURE, "near").mapInPandas(run, "at int, gain double").groupBy("at").agg(F.sum("gain").alias("gain"))
+    found = {r["at"]: r["gain"] for r in sums.collect()}
+    return [found.get(k, 0.0) for k in range(len(held))]
+
+
+def _all_gains(near: DataFrame, taken: set, size: int) -> DataFrame:
+    """Candidates (features whose bucket is not taken) with their gain; blocks of both sides meet in a group."""
+    n = -(-size // BLOCK)
+    block, every = F.pmod(F.xxhash64(*FEATURE[:3]), F.lit(n)), F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
+    columns = [*FEATURE, *BUCKET]
+    free = near.where(~F.struct(*BUCKET).isin([F.struct(F.lit(w), F.lit(h), F.lit(f).cast("long")) for w, h, f in taken]))
+    left = free.select(*columns, block.cast("int").alias("i"), every.alias("j"))
+    right = near.select(*FEATURE, "near", block.cast("int").alias("j"), every.alias("i"))
+    left, right = (side.toDF(*side.columns) for side in (left, right))  # columns of their own, as both come from one table
+    types = dict(free.dtypes)
+
+    def run(candidates: pd.DataFrame, points: pd.DataFrame) -> pd.DataFrame:
+        return candidates[columns].assign(gain=_gains(candidates, points))
+
+    parts = left.groupBy("i", "j").cogroup(right.groupBy("i", "j")).applyInPandas(run, ", ".join(f"{c} {types[c]}" for c in columns) + ", gain double")
+    return parts.groupBy(*columns).agg(F.sum("gain").alias("gain"))
+
+
+def _leading(gains: DataFrame) -> tuple[list, float]:
+    """The HELD first candidates by gain and tie order, and the gain of the first one left out (0 if none is)."""
+    bucket_aspect, aspect = F.col("bucket_width") / F.col("bucket_height"), F.col("width") / F.col("height")
+    order = [F.desc(F.round("gain", 9)), bucket_aspect, "bucket_frames", "bucket_width", "bucket_height", aspect, "frames", "width", "height"]
+    top = gains.where(F.col("gain") > LEAST_GAIN).orderBy(*order).limit(HELD + 1).collect()
+    return top[:HELD], top[HELD]["gain"] if len(top) > HELD else 0.0
+
+
+def _best(gains: list[float], held: list):
+    """The held candidate with the largest gain, by the tie order, and that gain; None if none gains."""
+
+    def order(k: int) -> tuple:
+        c = held[k]
+        return -round(gains[k], 9), c["bucket_width"] / c["bucket_height"], c["bucket_frames"], c["bucket_width"], c["bucket_height"], c["width"] / c["height"], c["frames"], c["width"], c["height"]
+
+    able = [k for k in range(len(held)) if gains[k] > LEAST_GAIN]
+    return (held[k], gains[k]) if able and (k := min(able, key=order)) is not None else None
 
 
 def assigned(features: DataFrame, buckets: DataFrame) -> DataFrame:

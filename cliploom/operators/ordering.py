@@ -26,14 +26,32 @@ def shared_folder(df: DataFrame) -> str:
     return path.rstrip("/")
 
 
-def numbered(rows: DataFrame, order: list[Column], name: str) -> DataFrame:
-    """Adds 1, 2, ... in the given order, which must tell all rows apart to be the same on every run. Ranges are sorted
-    apart and written once, so that counting them and numbering their rows see the same ranges."""
+def _ranges(rows: DataFrame, order: list[Column]) -> DataFrame:
+    """Rows with their range and place (_range, _at). Ranges are sorted apart and written once, so that what is computed over
+    ranges and over their rows sees the same ones."""
     sorted_ = rows.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("_at", F.monotonically_increasing_id())
-    path = f"{shared_folder(rows)}/numbered-{uuid.uuid4().hex}"
+    path = f"{shared_folder(rows)}/ranges-{uuid.uuid4().hex}"
     sorted_.write.parquet(path)
-    placed = rows.sparkSession.read.schema(sorted_.schema).parquet(path).withColumn("_range", F.shiftright("_at", ROW_BITS))
-    before = F.coalesce(F.sum("_size").over(Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))  # a row per range
-    sizes = placed.groupBy("_range").agg(F.count("*").alias("_size")).select("_range", before.alias("_before"))
+    return rows.sparkSession.read.schema(sorted_.schema).parquet(path).withColumn("_range", F.shiftright("_at", ROW_BITS))
+
+
+def _sum_before(column: str) -> Column:
+    """Over one row per range."""
+    return F.coalesce(F.sum(column).over(Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+
+
+def numbered(rows: DataFrame, order: list[Column], name: str) -> DataFrame:
+    """Adds 1, 2, ... in the given order, which must tell all rows apart to be the same on every run."""
+    placed = _ranges(rows, order)
+    sizes = placed.groupBy("_range").agg(F.count("*").alias("_size")).select("_range", _sum_before("_size").alias("_before"))
     within = F.col("_at") - F.shiftleft(F.col("_range"), ROW_BITS) + 1
     return placed.join(F.broadcast(sizes), "_range").withColumn(name, (F.col("_before") + within).cast("long")).drop("_at", "_range", "_before")
+
+
+def running(rows: DataFrame, order: list[Column], sums: dict[str, Column]) -> DataFrame:
+    """Adds running sums (name: what is summed) in the given order, each row's own included."""
+    placed = _ranges(rows.select("*", *[c.alias(n) for n, c in sums.items()]), order)
+    whole = placed.groupBy("_range").agg(*[F.sum(n).alias(n) for n in sums])
+    before = whole.select("_range", *[_sum_before(n).alias(f"_{n}") for n in sums])
+    within = Window.partitionBy("_range").orderBy("_at")
+    return placed.join(F.broadcast(before), "_range").select(*rows.columns, *[(F.col(f"_{n}") + F.sum(n).over(within)).alias(n) for n in sums])

@@ -3,12 +3,10 @@
 from __future__ import annotations
 
 import posixpath
-from collections.abc import Iterator
-from pathlib import PurePosixPath
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
+from pyspark.sql.window import Window
 
 from ..functions.media import FEED_TYPES, VIDEO_TYPES
 from ..functions.text import strip
@@ -17,10 +15,17 @@ POST = "_id bigint, _file_ext string, _file_url string, _file_size bigint, _tags
 
 
 def numbered_lines(spark: SparkSession, path: str) -> DataFrame:
-    """file, line_no (from 1), line; blank lines are left out but counted. A manifest is read as one row per file, as line
-    numbers need it: manifests of a curation run are small next to the media they list."""
-    whole = spark.read.text(path, wholetext=True).select(F.input_file_name().alias("file"), F.posexplode(F.split("value", "\n")).alias("p", "line"))
-    return whole.select("file", (F.col("p") + 1).alias("line_no"), "line").where(strip(F.col("line")) != "")
+    """file, line_no (from 1), line; blank lines are left out but counted. Splits of a file are read and counted apart; a
+    line's number is its place in its split and the lines of the splits before."""
+    part = ["file", "start"]
+    read = spark.read.text(path, lineSep="\n").select(
+        F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("start"), F.monotonically_increasing_id().alias("at"), F.col("value").alias("line")
+    )
+    sizes = read.groupBy(*part).agg(F.count("*").alias("lines"))  # a row per split
+    earlier = Window.partitionBy("file").orderBy("start").rowsBetween(Window.unboundedPreceding, -1)
+    before = sizes.select(*part, F.coalesce(F.sum("lines").over(earlier), F.lit(0)).alias("before"))
+    placed = read.withColumn("n", F.row_number().over(Window.partitionBy(*part).orderBy("at"))).join(before, part)
+    return placed.select("file", (F.col("before") + F.col("n")).alias("line_no"), "line").where(strip(F.col("line")) != "")
 
 
 def read_strict(spark: SparkSession, path: str, schema: str) -> tuple[DataFrame, DataFrame]:
@@ -101,34 +106,14 @@ def paged_posts(found: DataFrame, count: int, page_size: int) -> DataFrame:
     return kept.orderBy("page", "position").limit(count)
 
 
-class FeedPages(DataSource):
-    """Pages of a feed, one partition a page: ``spark.read.format("feed_pages").option("pages", n).option("folder", f)``.
-    Pages are files page-1.xml, page-2.xml, ... below the folder; a missing page ends the feed."""
-
-    @classmethod
-    def name(cls) -> str:
-        return "feed_pages"
-
-    def schema(self) -> str:
-        return "page int, xml string"
-
-    def reader(self, schema) -> DataSourceReader:
-        return _FeedReader(self.options)
-
-
-class _FeedReader(DataSourceReader):
-    def __init__(self, options):
-        self.folder, self.pages = options["folder"], int(options.get("pages", "1"))
-
-    def partitions(self) -> list[InputPartition]:
-        return [InputPartition(k) for k in range(1, self.pages + 1)]
-
-    def read(self, partition: InputPartition) -> Iterator[tuple]:
-        try:
-            with open(PurePosixPath(self.folder) / f"page-{partition.value}.xml", encoding="utf-8") as f:
-                yield partition.value, f.read()
-        except FileNotFoundError:
-            return
+def feed_pages(spark: SparkSession, folder: str) -> DataFrame:
+    """page and xml of the files page-1.xml, page-2.xml, ... in a folder; a missing page ends the feed."""
+    name = F.col("_metadata.file_name")
+    read = spark.read.text(f"{folder.rstrip('/')}/page-*.xml", wholetext=True).select(F.regexp_extract(name, r"^page-(\d+)\.xml$", 1).cast("int").alias("page"), F.col("value").alias("xml"))
+    pages = read.select("page")
+    after = pages.select((F.col("page") + 1).alias("page")).unionByName(spark.range(1).select(F.lit(1).alias("page")))
+    missing = after.join(pages, "page", "left_anti").agg(F.min("page").alias("missing"))
+    return read.join(F.broadcast(missing), F.col("page") < F.col("missing")).drop("missing")  # one row
 
 
 def synthetic_clips(spark: SparkSession, clips: int, per_source: int = 5, tag_pool: int = 80, tags_per_clip: int = 5, seed: int = 0) -> DataFrame:

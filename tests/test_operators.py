@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 import random
 
 import pytest
@@ -204,6 +205,34 @@ def test_buckets(spark):
     assert buckets.greedy(f.limit(0), 512, 2).isEmpty()
 
 
+@pytest.mark.parametrize(("held", "block"), [(256, 10_000), (3, 7)])
+def test_greedy_buckets_against_plain_greedy(spark, monkeypatch, held, block):
+    monkeypatch.setattr(buckets, "HELD", held)
+    monkeypatch.setattr(buckets, "BLOCK", block)
+    rng = random.Random(4)
+    rows = sorted({(64 * rng.randint(4, 20), 64 * rng.randint(4, 20), rng.randint(1, 90)) for _ in range(40)})
+    rows = [(*r, rng.randint(1, 9)) for r in rows]
+    f = spark.createDataFrame(rows, "width int, height int, frames int, weight long")
+    bucket = {tuple(r[:3]): tuple(r[4:]) for r in buckets.projected(f, 512).select("width", "height", "frames", "weight", *buckets.BUCKET).collect()}
+
+    def far(a, b):
+        return abs(math.log(a[0] / a[1] / (b[0] / b[1]))) + abs(math.log(a[2] / b[2]))
+
+    def ties(a):
+        w, h, n = bucket[a[:3]]
+        return w / h, n, w, h, a[0] / a[1], a[2], a[0], a[1]
+
+    costs = {r: sum(far(r, o) * o[3] for o in rows) for r in rows}
+    got = {tuple(r[:4]): r["cost"] for r in buckets.total_costs(f).collect()}
+    assert all(got[r] == pytest.approx(c) for r, c in costs.items())
+    picks = [min(rows, key=lambda r: (round(costs[r], 9), r[0] / r[1], r[2], r[0], r[1]))]
+    while len(picks) < 12:
+        near = {o: min(far(p, o) for p in picks) for o in rows}
+        gain = {r: sum(max(near[o] - far(r, o), 0) * o[3] for o in rows) for r in rows if bucket[r[:3]] not in {bucket[p[:3]] for p in picks}}
+        picks.append(min(gain, key=lambda r: (-round(gain[r], 9), *ties(r))))
+    assert [tuple(r[:3]) for r in buckets.greedy(f, 512, 12).orderBy("pick").collect()] == [bucket[p[:3]] for p in picks]
+
+
 def test_export_checks(spark, tmp_path):
     listing = spark.createDataFrame([("nested/a.mp4",), ("z.mp4",)], "media_path string")
     schema = "line_no long, clip_path string, caption string, status string"
@@ -252,6 +281,20 @@ def test_manifest_reading(spark, tmp_path):
     assert jsonl.read_or_empty(spark, str(tmp_path / "none.jsonl"), "caption string").isEmpty()
 
 
+def test_lines_are_numbered_across_splits(spark, tmp_path):
+    said = {f"{k}.jsonl": ["" if i % 7 == 0 else f"{k} {i}" for i in range(400 * k)] for k in (1, 2)}
+    for name, lines in said.items():
+        (tmp_path / name).write_text("\n".join(lines))
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "500")
+    try:
+        got = jsonl.numbered_lines(spark, str(tmp_path)).collect()
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+    want = [(name, i, x) for name, lines in said.items() for i, x in enumerate(lines, 1) if x]
+    assert sorted((r["file"].rsplit("/", 1)[1], r["line_no"], r["line"]) for r in got) == sorted(want)
+
+
 def test_video_listing(spark, tmp_path):
     for name in ("a.mp4", "sub/B.MKV", "sub/c.txt", "out/d.webm"):
         (tmp_path / name).parent.mkdir(exist_ok=True)
@@ -264,8 +307,8 @@ def test_feed(spark, tmp_path):
     page = '<posts><post id="{}" file_ext="{}" file_url="u" tags="t"/><post id="{}" file_ext="MP4" file_url="u" file_size="5"/><post id="9"/></posts>'
     (tmp_path / "page-1.xml").write_text(page.format(101, "jpg", 102))
     (tmp_path / "page-2.xml").write_text(page.format(201, "webm", 202))
-    spark.dataSource.register(jsonl.FeedPages)
-    feed = spark.read.format("feed_pages").option("folder", str(tmp_path)).option("pages", 3).load()
+    (tmp_path / "page-4.xml").write_text(page.format(401, "webm", 402))  # behind a missing page
+    feed = jsonl.feed_pages(spark, str(tmp_path))
     got = jsonl.matching_posts(jsonl.posts(feed), 2)
     assert [(r["id"], r["file_ext"], r["file_size"]) for r in got.collect()] == [(202, "mp4", 5), (201, "webm", 0)]
 
