@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from ..functions import media, numbers, text
 from ..operators import buckets, manifests, ordering, review, spans, splits, tags, words
 from ..sources import jsonl, sinks
+from ..streaming import review as stream
 from . import bindings as b
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -126,7 +127,11 @@ def text_summary(spark, sf_dir):
     return words.summary(b.captions(spark, sf_dir))
 
 
-@query()
+@query(_BLOCKS + """, w AS (SELECT word AS k, count(*) AS cnt, row_number() OVER (ORDER BY count(*) DESC, word) AS rank FROM words GROUP BY word),
+p AS (SELECT bigram AS k, count(*) AS cnt, row_number() OVER (ORDER BY count(*) DESC, bigram) AS rank FROM pairs GROUP BY bigram)
+SELECT 0::INT AS line_no, 'manifests=1 caption_rows=' || (SELECT count(*) FROM documents) || ' unique_words=' || (SELECT count(*) FROM w) || ' unique_bigrams=' || (SELECT count(*) FROM p) AS line
+UNION ALL SELECT 2, 'Top 10 words' UNION ALL SELECT (2 + rank)::INT, rank || '. ' || k || ' (' || cnt || ')' FROM w WHERE rank <= 10 UNION ALL SELECT 3, '(none)' WHERE NOT EXISTS (SELECT 1 FROM w)
+UNION ALL SELECT 14, 'Top 10 bigrams' UNION ALL SELECT (14 + rank)::INT, rank || '. ' || k || ' (' || cnt || ')' FROM p WHERE rank <= 10 UNION ALL SELECT 15, '(none)' WHERE NOT EXISTS (SELECT 1 FROM p)""")
 def text_report(spark, sf_dir):
     return words.report(b.captions(spark, sf_dir), 10)
 
@@ -518,6 +523,26 @@ def motion_score(spark, sf_dir):
     return review.motion_scores(frames).withColumn("motion_score", F.round("motion_score", 9))
 
 
+# What the streams compute, over the whole log at once
+
+
+@query(_LOG + """SELECT l.video_id, l.status, '/in/' || l.video_id AS current_path, l.motion_score, l.seen_order, g.discovered_order, l.line_no
+FROM last l LEFT JOIN given g USING (video_id)""")
+def stream_latest(spark, sf_dir):
+    return stream.latest(b.review_log(spark, sf_dir).withColumn("current_path", F.concat(F.lit("/in/"), "video_id")))
+
+
+@query(_LOG + "SELECT DISTINCT video_id FROM log")
+def stream_first_seen(spark, sf_dir):
+    return stream.first_seen(b.review_log(spark, sf_dir)).select("video_id")
+
+
+@query("SELECT strftime(date_trunc('hour', ts), '%Y-%m-%d %H:00') AS hour, event_type, count(*) AS cnt FROM events GROUP BY ALL")
+def stream_windowed_counts(spark, sf_dir):
+    counted = stream.windowed_counts(b.table(spark, sf_dir, "events"), "1 hour")
+    return counted.select(F.date_format("window_start", "yyyy-MM-dd HH:mm").alias("hour"), "event_type", "cnt")
+
+
 # Clip plans
 
 
