@@ -88,6 +88,6 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     return STAGES[-1][1](spark, docs, sf_dir)
 
 
-#: The toxicity model is trained, which SQL cannot express; tests/llm hold every stage against planted cases, and each
-#: stage's operator against brute force.
+#: The toxicity model is trained, which SQL cannot express; tests/llm hold every stage against planted cases, and run()
+#: against a plain second implementation of all stages.
 ORACLE_SQL = None
