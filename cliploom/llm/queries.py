@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, decontam, langid, linededup, mixing, mpeg, ngramjoin, quality, toxicity, wrappers
+from . import chat, decontam, fim, langid, licenses, linededup, mixing, mpeg, ngramjoin, quality, toxicity, whitening, wrappers
 from .common import held_out, label_table, table
 
 
@@ -158,6 +158,78 @@ def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", held_out(F.col("doc_id"), 4, 2).alias("held_out"), "lang_pred", "score")
 
 
+def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
+    model = whitening.fit(vectors)
+    out = whitening.by_component(
+        whitening.apply(vectors, model), model, "vec_id", F.lit(model.n if model else 0).cast("long").alias("n"), F.col("deviation").try_cast("long").alias("deviation")
+    )
+    return out.withColumn("identity_error", F.lit(whitening.identity_error(vectors, model)).cast("double"))
+
+
+def op12_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = licenses.scan(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    base = F.filter("licenses", lambda x: x["label"].isin(*[label for label, _ in licenses.BASE]))
+    places = F.transform(base, lambda x: x["place"])
+
+    def said(found: Column) -> Column:
+        return F.array_join(F.array_sort(F.array_distinct(F.transform(found, lambda x: x["label"]))), ",")
+
+    words = F.array_max(F.transform("licenses", lambda x: x["words"]))
+    return out.select(
+        "doc_id",
+        F.col("license_words").alias("n_words"),
+        F.size(base).cast("long").alias("n_base"),
+        F.array_min(places).alias("first_word"),
+        F.array_max(places).alias("last_word"),
+        said(base).alias("base_labels"),
+        said(F.col("licenses")).alias("labels"),
+        # grows with the verified words of the best template
+        F.coalesce(words / (words + 2.0), F.lit(0.0)).alias("score"),
+    )
+
+
+_OP12_SQL = licenses.oracle()
+
+
+def op13_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = fim.transformed(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+    def digest(text: Column) -> Column:
+        return F.sha2(text.cast("binary"), 256)
+
+    return out.select(
+        "doc_id",
+        F.col("fim_units").alias("n"),
+        F.col("fim_form").alias("form"),
+        F.col("fim_prefix_chars").alias("prefix_chars"),
+        F.col("fim_middle_chars").alias("middle_chars"),
+        digest(F.col("fim_text")).alias("output_sha256"),
+        digest(fim.restored(F.col("fim_text"), F.col("fim_form"))).alias("restored_sha256"),
+    )
+
+
+_OP13_SQL = r"""
+WITH d AS (
+  SELECT doc_id, coalesce(text, '') AS t, sha256('42:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS h FROM documents
+), cut AS (
+  SELECT *, list_transform(regexp_extract_all(t, '[\x20\x09-\x0D]*[^\x20\x09-\x0D]+|[\x20\x09-\x0D]+'), lambda u: length(u)) AS units,
+    ('0x' || h[1:8])::BIGINT AS h1, ('0x' || h[9:16])::BIGINT AS h2, ('0x' || h[17:24])::BIGINT AS h3, ('0x' || h[25:32])::BIGINT AS h4 FROM d
+), placed AS (
+  SELECT *, len(units) AS n, least(h1 % (len(units) + 1), h2 % (len(units) + 1)) AS lo, greatest(h1 % (len(units) + 1), h2 % (len(units) + 1)) AS hi,
+    CASE WHEN t = '' OR contains(t, '<P>') OR contains(t, '<S>') OR contains(t, '<M>') OR h3 % 100 >= 50 THEN 'plain' WHEN h4 % 100 < 80 THEN 'spm' ELSE 'psm' END AS form
+  FROM cut
+), parts AS (
+  SELECT *, CAST(coalesce(list_sum(units[1:lo]), 0) AS BIGINT) AS a, CAST(coalesce(list_sum(units[1:hi]), 0) AS BIGINT) AS b FROM placed
+)
+SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN a END AS prefix_chars, CASE WHEN form <> 'plain' THEN b - a END AS middle_chars,
+  sha256(CASE form WHEN 'plain' THEN t WHEN 'spm' THEN '<S>' || substr(t, b + 1) || '<P>' || substr(t, 1, a) || '<M>' || substr(t, a + 1, b - a)
+    ELSE '<P>' || substr(t, 1, a) || '<S>' || substr(t, b + 1) || '<M>' || substr(t, a + 1, b - a) END) AS output_sha256,
+  sha256(t) AS restored_sha256
+FROM parts
+"""
+
+
 #: formatted_chars follows from the template: 4 + role + 1 code points before a reply, 11 + role + 1 before others, 4 or 12 behind.
 _OP1_SQL = r"""
 WITH rows AS (
@@ -196,8 +268,11 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_html_text": op8_html_text,
         "op9_mpeg_audio": op9_mpeg_audio,
         "op10_language": op10_language,
+        "op11_whitening": op11_whitening,
+        "op12_licenses": op12_licenses,
+        "op13_fill_in_middle": op13_fill_in_middle,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_chat_examples": _OP1_SQL, "op2_decontamination": _OP2_SQL, "op5_line_dedup": _OP5_SQL}
+    return {"op1_chat_examples": _OP1_SQL, "op2_decontamination": _OP2_SQL, "op5_line_dedup": _OP5_SQL, "op12_licenses": _OP12_SQL, "op13_fill_in_middle": _OP13_SQL}
