@@ -125,12 +125,10 @@ def _sums(rows: DataFrame, name: str, scale: int, shift: int) -> tuple[int, int,
                 )
 
     summed = rows.select(name).mapInArrow(run, f"dims int, i int, n long, s {WHOLE}").groupBy("dims", "i").agg(F.sum("n").alias("n"), F.sum("s").cast(WHOLE).alias("s"))
-    # as many rows as there are dimensions, of the one length that is used
-    best = summed.where("i = 0").orderBy(F.desc("n"), F.desc("dims")).first()
-    if best is None:
-        return 0, 0, []
-    found = summed.where(F.col("dims") == best["dims"]).orderBy("i").collect()
-    return best["dims"], best["n"], [int(r["s"]) for r in found]
+    # an entry per dimension, and of all lengths the one row that is used
+    by_length = summed.groupBy("dims").agg(F.max("n").alias("n"), F.array_sort(F.collect_list(F.struct("i", "s"))).alias("s"))
+    best = by_length.orderBy(F.desc("n"), F.desc("dims")).first()
+    return (best["dims"], best["n"], [int(r["s"]) for r in best["s"]]) if best is not None else (0, 0, [])
 
 
 def _products(rows: DataFrame, name: str, dims: int, n: int, sums: list[int], scale: int, shift: int) -> list[list[int]]:
