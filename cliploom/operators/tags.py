@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from ..functions.text import strip
+from .ordering import running
 
 # Ratings, and how many hints a caption model gets.
 RATINGS = ("general", "sensitive", "questionable", "explicit")
@@ -116,9 +117,9 @@ def prefix_distances(ranked: DataFrame, target: DataFrame) -> DataFrame:
     )
     steps = events.where("e.r is not null").groupBy(F.col("e.r").alias("rank")).agg(F.sum("e.a").alias("a"), F.sum("e.b").alias("b"))
     ranks = ranked.select("rank").distinct().join(steps, "rank", "left")
-    run = Window.orderBy("rank").rowsBetween(Window.unboundedPreceding, 0)  # a row per pick
     mass = tag_counts(target).agg(F.coalesce(F.sum("cnt"), F.lit(0)).alias("mass")).withColumn("k", F.lit(1)).join(n.withColumn("k", F.lit(1)), "k")
-    sums = ranks.select("rank", F.sum(F.coalesce("a", F.lit(0))).over(run).alias("a"), F.sum(F.coalesce("b", F.lit(0))).over(run).alias("b"), F.lit(1).alias("k"))
+    none = F.lit(0).cast("long")
+    sums = running(ranks.select("rank", F.coalesce("a", none).alias("_a"), F.coalesce("b", none).alias("_b")), [F.col("rank")], {"a": F.col("_a"), "b": F.col("_b")}).withColumn("k", F.lit(1))
     out = sums.join(F.broadcast(mass), "k")
     whole = F.when(F.col("n") > 0, ((F.col("mass") + F.col("b")) * F.col("rank") + F.col("a") * F.col("n")) / (F.col("n") * F.col("rank")))
     return out.select("rank", whole.alias("distribution_distance"))

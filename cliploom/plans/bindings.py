@@ -27,18 +27,6 @@ def clips(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def customer_clips(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A clip per customer, their nation the source; its tags are the priorities, states and months of all their orders."""
-    of = table(spark, sf_dir, "orders").select(
-        F.col("o_custkey").alias("c_custkey"), F.explode(F.array("o_orderpriority", F.concat(F.lit("state "), "o_orderstatus"), F.date_format("o_orderdate", "MMMM"))).alias("tag")
-    )
-    tagged = of.groupBy("c_custkey").agg(F.array_sort(F.collect_set("tag")).alias("tags"))
-    none = F.array().cast("array<string>")
-    return table(spark, sf_dir, "customer").join(tagged, "c_custkey", "left").select(
-        F.format_string("clip_%06d.mp4", "c_custkey").alias("clip_relpath"), F.concat(F.lit("nation-"), "c_nationkey").alias("source_id"), F.coalesce("tags", none).alias("tags")
-    )
-
-
 def frames(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A video per user, a frame per event in order of time, one frame a second."""
     w = Window.partitionBy("user_id").orderBy("ts", "event_id")

@@ -438,17 +438,17 @@ def bucket_greedy(spark, sf_dir):
 
 @query()
 def balanced_subset(spark, sf_dir):
-    return splits.balanced_subset(clips := b.customer_clips(spark, sf_dir), min(1000, clips.count()))
+    return splits.balanced_subset(clips := b.clips(spark, sf_dir), min(1000, clips.count()))
 
 
 @query()
 def validation_subset(spark, sf_dir):
-    return splits.validation_subset(clips := b.customer_clips(spark, sf_dir), tags.resolved_count(clips, fraction=0.1))
+    return splits.validation_subset(clips := b.clips(spark, sf_dir), tags.resolved_count(clips, fraction=0.1))
 
 
 @query()
 def split_summary(spark, sf_dir):
-    clips = b.customer_clips(spark, sf_dir)
+    clips = b.clips(spark, sf_dir)
     train, validation = splits.split(clips, tags.resolved_count(clips, fraction=0.1))
     both = train.select(F.lit("train").alias("split"), "selection_rank", "new_tags_added", F.lit(None).cast("double").alias("distribution_distance")).unionByName(
         validation.select(F.lit("val").alias("split"), "selection_rank", "new_tags_added", "distribution_distance")

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import math
 import random
+from collections import Counter
+from fractions import Fraction
 
 import pytest
 from cliploom.functions import media, numbers, text
@@ -165,6 +167,61 @@ def test_validation_subset(spark):
         splits.validation_subset(clips(spark, ("a", "s", ["x"]), ("b", "s", ["y"])), 1)
 
 
+def plain_validation(rows, n, train_n=None):
+    """By the definition, in fractions: every pick looks at every clip."""
+    sizes, tags_of = {}, {}
+    for _, s, t in rows:
+        sizes[s] = sizes.get(s, 0) + 1
+        for x in t:
+            tags_of.setdefault(s, Counter())[x] += 1
+    pool, left, seen, opened, out = Counter(x for _, _, t in rows for x in t), len(rows), Counter(), set(), []
+    drafted = plain_greedy(rows, train_n) if train_n else []
+    draft, hits = Counter(x for p, _, t in rows if p in drafted for x in t), Counter(s for p, s, _ in rows if p in drafted)
+    todo = list(rows)
+    for rank in range(1, n + 1):
+        keys = {}
+        for p, s, t in todo:
+            fresh = s not in opened
+            m = left - sizes[s] if fresh else left
+            if m <= 0 or (fresh and train_n and m < train_n):
+                continue
+            target = {x: Fraction(c, train_n) for x, c in draft.items()} if train_n else {x: Fraction(pool[x] - (tags_of.get(s, {}).get(x, 0) if fresh else 0), m) for x in pool}
+            mine = seen + Counter(t)
+            far = sum((abs(Fraction(mine[x], rank) - target.get(x, 0)) for x in {*mine, *target}), Fraction(0))
+            cost = (hits[s] if train_n else 0, sum((target.get(x, 0) for x in tags_of.get(s, {})), Fraction(0))) if fresh else (-1, 0)
+            keys[p] = (far, *cost, s, -sum(x not in seen for x in t), sum(2 * seen[x] + 1 for x in t), int(fresh), sum(x in seen for x in t), p)
+        best = min(keys, key=keys.get)
+        p, s, t = next(r for r in todo if r[0] == best)
+        todo.remove((p, s, t))
+        out.append(p)
+        if s not in opened:
+            opened.add(s)
+            left -= sizes[s]
+            pool = pool - tags_of.get(s, Counter())
+        seen.update(t)
+    return out
+
+
+@pytest.mark.parametrize(("train_n", "wide", "seed"), [(None, False, 1), (None, True, 2), (12, False, 3), (12, True, 4)])
+def test_validation_subset_against_plain_greedy(spark, monkeypatch, train_n, wide, seed):
+    rng = random.Random(seed)
+    rows = [(f"c{i:03d}", f"s{min(i // 3, 9)}", rng.sample([f"t{k}" for k in range(12)], rng.randint(0, 5))) for i in range(48)]
+    monkeypatch.setattr(splits, "BLOCK_CLIPS", 4)
+    if wide:  # as with counts beyond 64 bits
+        monkeypatch.setattr(splits, "WIDE", 0)
+    assert picked(splits.validation_subset(clips(spark, *rows), 18, train_n)) == plain_validation(rows, 18, train_n)
+
+
+def test_splits_of_odd_rows(spark):
+    df = spark.createDataFrame([(None, None, ["x"]), ("a", None, None), ("a", "s", ["x", "y", "x"]), ("a", "s", ["x", "y"]), ("b", "r", [])], "clip_relpath string, source_id string, tags array<string>").withColumns({"row": F.lit(1), "clip_no": F.lit(2), "id": F.lit(3)})
+    got = [(r["clip_relpath"], r["source_id"], r["new_tags_added"]) for r in splits.balanced_subset(df, 5).orderBy("selection_rank").collect()]
+    assert sorted(got, key=repr) == sorted([("a", "s", 2), ("b", "r", 0), ("a", None, 0), (None, None, 0), ("a", "s", 0)], key=repr)
+    assert splits.validation_subset(df, 4).count() == 4
+    with pytest.raises(ValueError):
+        splits.validation_subset(df, 5)
+    assert splits.balanced_subset(df.limit(0), 0).isEmpty()
+
+
 def test_split_is_source_disjoint(spark):
     rows = [(f"c{i}", f"s{i // 2}", [f"t{i % 3}", "general"]) for i in range(8)]
     train, val = splits.split(clips(spark, *rows), 2, 2)
