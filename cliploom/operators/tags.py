@@ -119,7 +119,7 @@ def prefix_distances(ranked: DataFrame, target: DataFrame) -> DataFrame:
     ranks = ranked.select("rank").distinct().join(steps, "rank", "left")
     mass = tag_counts(target).agg(F.coalesce(F.sum("cnt"), F.lit(0)).alias("mass")).withColumn("k", F.lit(1)).join(n.withColumn("k", F.lit(1)), "k")
     none = F.lit(0).cast("long")
-    sums = running(ranks.select("rank", F.coalesce("a", none).alias("_a"), F.coalesce("b", none).alias("_b")), [F.col("rank")], {"a": F.col("_a"), "b": F.col("_b")}).withColumn("k", F.lit(1))
+    sums = running(ranks.select("rank", F.coalesce("a", none).alias("rise"), F.coalesce("b", none).alias("less")), [F.col("rank")], {"a": F.col("rise"), "b": F.col("less")}).withColumn("k", F.lit(1))
     out = sums.join(F.broadcast(mass), "k")
     whole = F.when(F.col("n") > 0, ((F.col("mass") + F.col("b")) * F.col("rank") + F.col("a") * F.col("n")) / (F.col("n") * F.col("rank")))
     return out.select("rank", whole.alias("distribution_distance"))
