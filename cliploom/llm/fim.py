@@ -33,10 +33,10 @@ def unit_ends(text: Column, pattern: str = UNIT) -> Column:
     @F.arrow_udf("array<int>")
     def ends(texts: pa.Array) -> pa.Array:
         split = pre_tokenizers.Split(Regex(pattern), behavior="isolated")
-        found = [[end for _, (_, end) in split.pre_tokenize_str(t)] for t in texts.to_pylist()]
+        # a text's pieces are let go once their ends are in an array
+        found = [np.array([end for _, (_, end) in split.pre_tokenize_str(t.as_py())], np.int32) for t in texts]
         upto = np.cumsum([0, *map(len, found)]).astype(np.int32)
-        flat = np.fromiter((e for one in found for e in one), np.int32, int(upto[-1]))
-        return pa.ListArray.from_arrays(pa.array(upto), pa.array(flat))
+        return pa.ListArray.from_arrays(pa.array(upto), pa.array(np.concatenate([*found, np.zeros(0, np.int32)])))
 
     return ends(F.coalesce(text, F.lit("")))
 

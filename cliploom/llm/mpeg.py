@@ -203,17 +203,19 @@ def parse(data: bytes | None) -> dict:
 
 
 def _table(data: bytes, at: int, h: tuple, size: int) -> tuple[int, int | None, list[int]] | None:
-    """Of a Xing, Info or VBRI table in this frame: frames and bytes that it states (-1 and None where it doesn't), and the
+    """Of a Xing, Info or VBRI table in this frame, which only Layer III has: frames and bytes that it states (-1 and None where it doesn't), and the
     stream's offsets at its seek points. None without a table."""
-    here, frame = at + 4 + 2 * h[2] + _side(h[0], h[7]), data[at : at + size]
-    if data[here : here + 4] in (b"Xing", b"Info"):
-        flags, here = data[here + 7], here + 8
+    if h[1] != 3:
+        return None
+    here, frame = 4 + 2 * h[2] + _side(h[0], h[7]), data[at : at + size]
+    if frame[here : here + 4] in (b"Xing", b"Info") and len(frame) >= here + 8:
+        flags, here = frame[here + 7], here + 8
         frames = total = None
         if flags & 1:
-            frames, here = int.from_bytes(data[here : here + 4], "big"), here + 4
+            frames, here = int.from_bytes(frame[here : here + 4], "big"), here + 4
         if flags & 2:
-            total, here = int.from_bytes(data[here : here + 4], "big"), here + 4
-        points = data[here : here + 100] if flags & 4 and total is not None else b""
+            total, here = int.from_bytes(frame[here : here + 4], "big"), here + 4
+        points = frame[here : here + 100] if flags & 4 and total is not None else b""
         return -1 if frames is None else frames, total, [at + p * total // 256 for p in points]
     if frame[36:40] == b"VBRI" and len(frame) >= 62:
         total, frames, entries, scale, width, _ = struct.unpack_from(">IIHHHH", frame, 46)
@@ -304,8 +306,8 @@ def encode(payload: bytes) -> bytes:
 
 
 def damaged(media: bytes, offsets: list[int]) -> bytes:
-    """A stream of encode() with a wrong bit in its middle frame, and noise that looks like a header behind it."""
-    at = offsets[len(offsets) // 2]
+    """A stream of encode() with a wrong bit in a frame that a hash of it picks, and noise that looks like a header behind it."""
+    at = offsets[zlib.crc32(media) % len(offsets)]
     return media[: at + 8] + bytes([media[at + 8] ^ 1]) + media[at + 9 : at + FRAME] + b"\xff\xfb\x90noise" + media[at + FRAME :]
 
 

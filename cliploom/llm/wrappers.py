@@ -6,8 +6,9 @@ become slots with the number of pages that have them, their characters and wheth
 
 The finished wrapper says which slots are the article. Text that stays the same over the host's pages is template. From the
 page down, the wrapper is followed into the block that holds most of the text that varies, until none does; that block is
-the article, without its constant slots and without elements that HTML or their names, recurring over the host's
-pages, mark as menus, notices and the like. Every page is then matched against its host's wrapper and its slots are read.
+the article, without elements that HTML or their names mark as menus, notices and the like. Constant text stays where it stands
+between text that varies; before the first and behind the last such text it is template, but headings and quotations stay,
+and in an article element everything but constant elements that are no block of text. Every page is then matched against its host's wrapper and its slots are read.
 
 Each task aligns the pages that it reads into one wrapper per host; only wrappers are shuffled, first over salted
 hosts, so a host with a third of all pages is neither collected nor read by one task. A wrapper holds no texts, only digests.
@@ -16,8 +17,8 @@ Defined cases: null and empty pages and pages without an article's text give an
 odd url share the host ''; unclosed, misnested and cut-off markup is closed as HTML's rules imply; elements nested deeper
 than DEPTH are taken as neighbours at that depth, still outside or inside an article as their ancestors are; on hosts of
 fewer than TEMPLATE_PAGES pages, or whose pages are all the same, nothing is taken for constant; repeated rows give
-repeated results; an empty table gives no rows; other columns pass through unless they bear the name of an added one; a
-very long page is read whole.
+repeated results; an empty table gives no rows; other columns pass through, one named text is replaced; a very long page is
+read whole, in time that grows with its blocks.
 """
 
 from __future__ import annotations
@@ -26,6 +27,7 @@ import hashlib
 import html as entities
 import json
 import re
+from bisect import bisect_left
 from collections.abc import Iterator
 from difflib import SequenceMatcher
 
@@ -34,7 +36,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import staged
+from .common import fresh, staged
 
 # What HTML calls void or raw, tags that do not break a block, tags and names of what is no article.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -48,6 +50,13 @@ OUTSIDE_NAMES = frozenset(
 )
 #: Elements that hold one block of text: only a name of their own, not a part of one, marks them.
 TEXTUAL = frozenset("p h1 h2 h3 h4 h5 h6 blockquote pre figcaption dt dd td th caption".split())
+#: At an edge of an article these stay although every page has them.
+KEPT = frozenset("h1 h2 h3 h4 h5 h6 blockquote pre figcaption".split())
+#: Words of a name that say nothing of what an element holds.
+PLAIN_NAMES = frozenset(
+    "0 area bar block body bottom box btn button buttons card col column container content group inner item items layer left line link links list main media module outer panel"
+    " right row section site slot text title top unit wrap wrapper zone".split()
+)
 ARTICLE_NAMES = frozenset("article articlebody content entry main post story".split())
 CLOSED_BY = {
     "p": frozenset(
@@ -61,6 +70,8 @@ CLOSED_BY = {
 DEPTH = 100
 #: Longest repeated group of neighbours.
 GROUP = 4
+#: Streams up to so many keys, by so many, are aligned by their longest common runs; in longer ones a key is looked for so far ahead.
+NEAR = 400
 #: Hosts' wrappers go to as many tasks before they meet.
 SALTS = 32
 #: Hosts whose wrappers a task keeps while it reads pages.
@@ -89,14 +100,19 @@ def _key(tag: str, attrs: str) -> str:
     return " ".join([tag, *dict.fromkeys(re.sub(r"\d+", "0", names.lower()).split())])
 
 
-def _named(key: str) -> set[str]:
-    return {x for name in key.split()[1:] for x in (name, *re.split(r"[-_]+", name))}
+def _marks(name: str) -> bool:
+    """Whether a name is one of the list, or made of one and of words that say nothing else: what it ends with, or what it begins
+    with before plain words only, so comment-list and site-header count, and notice-of-method does not."""
+    words = [w for w in re.split(r"[-_]+", name) if w]
+    while len(words) > 1 and words[-1] in PLAIN_NAMES:
+        words.pop()
+    return name in OUTSIDE_NAMES or (bool(words) and words[-1] in OUTSIDE_NAMES)
 
 
 def outside(key: str) -> bool:
     """Whether HTML or its names mark an element as no part of an article."""
     tag, *names = key.split(" ")
-    return tag in OUTSIDE or (bool(names) and not OUTSIDE_NAMES.isdisjoint(names if tag in TEXTUAL else _named(key)))
+    return tag in OUTSIDE or (not OUTSIDE_NAMES.isdisjoint(names) if tag in TEXTUAL else any(map(_marks, names)))
 
 
 def _digest(text: str) -> str:
@@ -188,46 +204,73 @@ def _fold(nodes: list) -> list:
         else:
             out.append(n)
     for size in range(2, GROUP + 1):
-        k, keys = 0, _keys(out)
-        while k + 2 * size <= len(out):
-            if keys[k : k + size] == keys[k + size : k + 2 * size] and not any(n[0] == "(" for n in out[k : k + size]):
+        k, keys, rest = 0, _keys(out), []
+        while k < len(out):
+            if k + 2 * size <= len(out) and keys[k : k + size] == keys[k + size : k + 2 * size] and not any(n[0] == "(" for n in out[k : k + size]):
                 group = ["(", 1, 0, 1, out[k : k + size]]
                 upto = k + size
                 while keys[upto : upto + size] == keys[k : k + size]:
                     group[4] = [_unify(a, b, True) for a, b in zip(group[4], out[upto : upto + size], strict=True)]
                     upto += size
-                out[k:upto] = [group]
-                keys = _keys(out)
-            k += 1
+                rest.append(group)
+                k = upto
+            else:
+                rest.append(out[k])
+                k += 1
+        out = rest
     return out
 
 
 def _grouped(nodes: list, others: list) -> list:
     """Runs that another stream has as a repeated group become such a group here."""
-    for g in (n for n in others if n[0] == "("):
-        want, k = _keys(g[4]), 0
-        keys = _keys(nodes)
-        while k + len(want) <= len(nodes):
-            if keys[k : k + len(want)] == want:
-                nodes = [*nodes[:k], ["(", 0, 0, 1, nodes[k : k + len(want)]], *nodes[k + len(want) :]]
-                keys = _keys(nodes)
-            k += 1
-    return nodes
+    wanted = {tuple(_keys(n[4])) for n in others if n[0] == "("}
+    sizes = sorted({len(w) for w in wanted}, reverse=True)
+    if not sizes:
+        return nodes
+    keys, out, k = _keys(nodes), [], 0
+    while k < len(nodes):
+        size = next((s for s in sizes if tuple(keys[k : k + s]) in wanted), 0)
+        out.append(["(", 0, 0, 1, nodes[k : k + size]] if size else nodes[k])
+        k += size or 1
+    return out
+
+
+def _matches(a: list, b: list) -> list[tuple[int, int]]:
+    """Places of equal keys in two streams, ascending in both. Ends that agree are matched first; what is left, if it is long,
+    goes on with the nearest equal key, up to NEAR places ahead, so that time grows with the length."""
+    first, last = 0, 0
+    while first < min(len(a), len(b)) and a[first] == b[first]:
+        first += 1
+    while last < min(len(a), len(b)) - first and a[-1 - last] == b[-1 - last]:
+        last += 1
+    x, y = a[first : len(a) - last], b[first : len(b) - last]
+    pairs = [(k, k) for k in range(first)]
+    if len(x) * len(y) <= NEAR**2:
+        pairs += [(first + m.a + k, first + m.b + k) for m in SequenceMatcher(None, x, y, autojunk=False).get_matching_blocks() for k in range(m.size)]
+    else:
+        at: dict = {}
+        for j, key in enumerate(y):
+            at.setdefault(key, []).append(j)
+        after = 0
+        for i, key in enumerate(x):
+            places = at.get(key, [])
+            k = bisect_left(places, after)
+            if k < len(places) and places[k] < after + NEAR:
+                pairs.append((first + i, first + places[k]))
+                after = places[k] + 1
+    return pairs + [(len(a) - k, len(b) - k) for k in range(last, 0, -1)]
 
 
 def _align(a: list, b: list, within: bool) -> list:
     """One stream that covers both: what matches unifies, what doesn't is optional."""
     a, b = _grouped(a, b), _grouped(b, a)
-    ka, kb = _keys(a), _keys(b)
-    if ka == kb:
-        return [_unify(x, y, within) for x, y in zip(a, b, strict=True)]
-    out = []
-    for op, a0, a1, b0, b1 in SequenceMatcher(None, ka, kb, autojunk=False).get_opcodes():
-        if op == "equal":
-            out += [_unify(x, y, within) for x, y in zip(a[a0:a1], b[b0:b1], strict=True)]
-        else:
-            out += [[n[0], n[1], 1, n[3], n[4]] for n in (*a[a0:a1], *b[b0:b1])]
-    return _fold(out)
+    out, i, j = [], 0, 0
+    for x, y in [*_matches(_keys(a), _keys(b)), (len(a), len(b))]:
+        out += [[n[0], n[1], 1, n[3], n[4]] for n in (*a[i:x], *b[j:y])]
+        if x < len(a):
+            out.append(_unify(a[x], b[y], within))
+        i, j = x + 1, y + 1
+    return out if len(out) == len(a) == len(b) else _fold(out)
 
 
 def infer(wrapper: list | None, tree: list) -> list:
@@ -278,15 +321,28 @@ def mark(wrapper: list) -> list:
                 break
         block, total = best, mass(best, constant)
 
-    def put(n: list, inside: bool, out: bool) -> None:
-        inside = inside or n is block
+    slots: list[tuple[list, str, bool]] = []  # of the block in order, with the element that holds them and whether that is the block
+
+    def put(n: list, tag: str, direct: bool, inside: bool, out: bool) -> None:
         if n[0] == "#":
-            n[3] = int(inside and not out and (constant or not fixed(n[4])))
+            n[3] = 0
+            if inside and not out:
+                slots.append((n, tag, direct))
             return
+        if n[0] != "(":
+            tag, direct = n[0].split(" ", 1)[0], n is block
         for c in n[4]:
-            put(c, inside, out or part_of_template(n))
+            put(c, tag, direct, inside or n is block, out or part_of_template(n))
+
+    def template(tag: str, direct: bool) -> bool:
+        named = block[0].split(" ", 1)[0] == "article"
+        return not direct and tag not in TEXTUAL if named else tag not in KEPT
 
-    put(wrapper, False, False)
+    put(wrapper, "", True, False, False)
+    varies = [k for k, (n, *_) in enumerate(slots) if not fixed(n[4])]
+    for k, (n, tag, direct) in enumerate(slots):
+        edge = not constant and not varies[0] <= k <= varies[-1] if varies else False
+        n[3] = int(not (edge and template(tag, direct)))
     return wrapper
 
 
@@ -346,13 +402,13 @@ def _joined(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         yield _frame(held)
 
 
-def host_wrappers(pages: DataFrame, html: str = "html") -> DataFrame:
+def host_wrappers(pages: DataFrame) -> DataFrame:
     """pages: host and html. Gives host and wrapper (JSON, marked)."""
 
     def induce(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         held: dict[str, list] = {}
         for batch in batches:
-            for host, page in zip(batch["host"], batch[html], strict=True):
+            for host, page in zip(batch["host"], batch["html"], strict=True):
                 held[host] = infer(held.get(host), page_tree(page))
             if len(held) > HOSTS:
                 yield _frame(held)
@@ -364,37 +420,38 @@ def host_wrappers(pages: DataFrame, html: str = "html") -> DataFrame:
         for batch in _joined(batches):
             yield batch.assign(wrapper=[json.dumps(mark(json.loads(w))) for w in batch["wrapper"]])
 
-    parts = pages.select("host", html).mapInPandas(induce, WRAPPER)
+    parts = pages.select("host", "html").mapInPandas(induce, WRAPPER)
     met = parts.repartition("host", F.pmod(F.xxhash64("wrapper"), F.lit(SALTS))).sortWithinPartitions("host").mapInPandas(_joined, WRAPPER)
     return met.repartition("host").sortWithinPartitions("host").mapInPandas(finish, WRAPPER)
 
 
 def main_texts(pages: DataFrame, html: str = "html", url: str = "url") -> DataFrame:
     """Replaces html by text, the article's."""
-    kept = [c for c in pages.columns if c not in (html, "text", "host", "wrapper", "_wrapper_salt")]
-    hosted = pages.select(*kept, html).withColumn("host", host_of(F.col(url)))
-    wrappers = staged(host_wrappers(hosted, html), "wrappers")
+    kept = [c for c in pages.columns if c not in (html, "text")]
+    host, stated, salt = (fresh(x, pages.columns) for x in ("host", "wrapper", "salt"))
+    hosted = pages.select(*kept, html).withColumn(host, host_of(F.col(url)))
+    wrappers = staged(host_wrappers(hosted.select(F.col(host).alias("host"), F.col(html).alias("html"))), "wrappers")
     schema = T.StructType([*(pages.schema[c] for c in kept), T.StructField("text", T.StringType())])
     held = wrappers.agg(F.coalesce(F.sum(F.length("wrapper")), F.lit(0))).first()[0]
     if held <= BROADCAST_CHARS:
         shared = pages.sparkSession.sparkContext.broadcast({r[0]: r[1] for r in wrappers.toLocalIterator()})
         joined, given = hosted, shared
     else:
-        spread = wrappers.withColumn("_wrapper_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-        joined = hosted.withColumn("_wrapper_salt", F.pmod(F.xxhash64(html), F.lit(SALTS)).cast("int")).join(spread, ["host", "_wrapper_salt"], "left")
+        spread = wrappers.select(F.col("host").alias(host), F.col("wrapper").alias(stated), F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias(salt))
+        joined = hosted.withColumn(salt, F.pmod(F.xxhash64(html), F.lit(SALTS)).cast("int")).join(spread, [host, salt], "left")
         given = None
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         known: dict[str, list | None] = {}
         for batch in batches:
-            stated = batch["wrapper"] if given is None else batch["host"].map(given.value.get)
+            found = batch[stated] if given is None else batch[host].map(given.value.get)
             texts = []
-            for host, page, w in zip(batch["host"], batch[html], stated, strict=True):
-                if host not in known:
+            for name, page, w in zip(batch[host], batch[html], found, strict=True):
+                if name not in known:
                     if len(known) > HOSTS:
                         known.clear()
-                    known[host] = json.loads(w) if isinstance(w, str) else None
-                texts.append(extract(page_tree(page), known[host]))
+                    known[name] = json.loads(w) if isinstance(w, str) else None
+                texts.append(extract(page_tree(page), known[name]))
             yield batch[kept].assign(text=texts)
 
     return joined.mapInPandas(run, schema)

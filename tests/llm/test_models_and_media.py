@@ -6,6 +6,7 @@ import hashlib
 import itertools
 import random
 import struct
+import time
 import zlib
 from pathlib import Path
 
@@ -289,7 +290,7 @@ def test_pages(spark):
     df = spark.createDataFrame(rows, "page_id long, url string, html string").withColumn("text", F.lit("x")).withColumn("wrapper", F.lit("y"))
     out = wrappers.main_texts(df)
     got = {r["page_id"]: r["text"] for r in out.collect()}
-    assert out.columns == ["page_id", "url", "text"] and out.count() == 9
+    assert out.columns == ["page_id", "url", "wrapper", "text"] and out.count() == 9 and out.where("wrapper = 'y'").count() == 9
     assert got[1] == "A & B one two three four" and got[2] == "C x y i j" and got[3] == "D" and got[4] == "only <this>"
     assert got[5] == got[6] == "" and got[7] == "cut &am" and got[8] == ("long " * 40000).strip()
     assert wrappers.main_texts(df.limit(0)).isEmpty()
@@ -316,6 +317,44 @@ def test_alignment_decides(spark):
     assert got[100] == f"Home About us {plain_article(3)} Share this page now All rights reserved by us"
 
 
+def extracted(bodies):
+    """Texts of one host's pages, through its wrapper."""
+    trees, w = [wrappers.page_tree(b) for b in bodies], None
+    for t in trees:
+        w = wrappers.infer(w, t)
+    w = wrappers.mark(w)
+    return [wrappers.extract(t, w) for t in trees]
+
+
+@pytest.mark.parametrize("n", [1, 2, 3, 12])
+def test_recurring_blocks_of_an_article_stay(n):
+    said = [f"<h2>Background</h2><h1>Title {k}</h1><h2>Method</h2><p>first {k} of its own</p><blockquote>As all say</blockquote><h2>Conclusion</h2><p>last {k}</p><blockquote>The same end</blockquote>" for k in range(n)]
+    want = [f"Background Title {k} Method first {k} of its own As all say Conclusion last {k} The same end" for k in range(n)]
+    assert extracted([f"<div>Home</div><article>{x}</article>" for x in said]) == want
+    if n >= 3:  # without such an element, too
+        assert extracted([f"<div class=t>Home</div><div class=x>{x}</div><div class=f>Imprint</div>" for x in said]) == want
+    sections = [f"<article><h1>Title {k}</h1><div class='notice-of-method'><p>how {k}</p></div><div id='comments-on-style'>so {k}</div><div class=comment-list>c {k}</div><div class=site-notice_0>n</div></article>" for k in range(n)]
+    assert extracted(sections) == [f"Title {k} how {k} so {k}" for k in range(n)]
+
+
+def test_alignment_decides_inside_articles():
+    """An element without a name that says so, behind the article's own text: other pages have it, too."""
+    pages = [f"<article><h1>Title {k}</h1><p>its text {k}</p><p>Constant paragraph</p><div class=x9><div>Share this page</div><div>Read more of us</div></div></article>" for k in range(6)]
+    assert extracted(pages) == [f"Title {k} its text {k} Constant paragraph" for k in range(6)]
+    assert extracted(pages[:1])[0].endswith("Share this page Read more of us")
+
+
+def test_long_pages_take_time_in_proportion():
+    rng = random.Random(2)
+
+    def long_page(k, n):
+        return "<article>" + "".join(f"<{t} class=c{rng.randrange(9)}x>w{k} {i}</{t}>" for i, t in enumerate(rng.choices(["h2", "p", "h3", "div", "blockquote"], k=n))) + "</article>"
+
+    began = time.perf_counter()
+    bodies = [long_page(k, 20_000) for k in range(2)]
+    assert [x.count("w") for x in extracted(bodies)] == [20_000, 20_000] and time.perf_counter() - began < 60
+
+
 def test_recall_and_precision_on_known_articles(spark):
     rng = random.Random(12)
     layouts = [
@@ -447,6 +486,43 @@ def test_audio_checksums_of_layers_one_and_two(head, size, bits):
     assert mpeg.parse(frame * 2 + frame[:6] + bytes([frame[6] ^ 128]) + frame[7:])["crc_failed"] == 1
 
 
+def test_audio_of_any_bytes():
+    """Whatever the bytes: no exception, and frames lie inside the stream."""
+    late = bytes([255, 255, 20, 0]) + bytes(28) + bytes([255, 255, 20, 0]) + b"Xing"
+    rng = random.Random(7)
+    whole = mpeg.encode(bytes(range(192)) * 3)
+    cases = [late, b"Xing", b"ID3", b"TAG" + bytes(125), whole[:400] + b"Xing", bytes([255, 251, 0x90, 0]) + b"Xing"]
+    for _ in range(3000):
+        x = bytearray(rng.choice([whole, late * 4, bytes(rng.randrange(256) for _ in range(300))]))
+        for _ in range(rng.randint(1, 12)):
+            at = rng.randrange(len(x))
+            kind = rng.randrange(4)
+            if kind == 0:
+                x[at] = rng.randrange(256)
+            elif kind == 1:
+                del x[at : at + rng.randint(1, 60)]
+            elif kind == 2:
+                x[at:at] = rng.choice([b"Xing", b"Info\0\0\0\x07", b"VBRI", b"\xff\xfb\x90\x64", b"\xff\xff\x14\x00", b"TAG", b"ID3\4\0\0\0\0\0\5"])
+            else:
+                x = x[: max(at, 1)]
+        cases.append(bytes(x))
+    for x in cases:
+        found = mpeg.parse(x)
+        assert all(0 <= o < len(x) for o in found["offsets"]) and found["frames"] == len(found["offsets"])
+
+
+def test_audio_feature_by_definition(spark):
+    texts = ["", "a" * 192, "a" * 193, "word " * 900]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    for r in mpeg.stored_texts(df).collect():
+        n = max(1, -(-len(texts[r["doc_id"]]) // 192))
+        points = [(n + 1) * mpeg.FRAME * (256 * (1 + n * k // 100) // (n + 1)) // 256 for k in range(100)]
+        found = mpeg.parse(mpeg.encode((texts[r["doc_id"]] + " " * (192 * n - len(texts[r["doc_id"]]))).encode()))
+        first = found["offsets"][0]
+        seeks = [first + k * mpeg.FRAME for k in range(0, n, mpeg.SEEK_EVERY)] + [first - mpeg.FRAME + p for p in points]
+        assert r["feature"] == f"ms={1000 * 1152 * n // 48000};frames={n};crc_failed=0;seek={zlib.crc32(struct.pack(f'>{len(seeks)}Q', *seeks)):08x}"
+
+
 def test_audio_free_format_and_tables():
     frame = b"\xff\xfb\x04\xc0" + bytes(296)
     found = mpeg.parse(frame * 4)
