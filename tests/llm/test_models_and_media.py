@@ -495,6 +495,7 @@ def test_audio_of_any_bytes():
     for _ in range(3000):
         x = bytearray(rng.choice([whole, late * 4, bytes(rng.randrange(256) for _ in range(300))]))
         for _ in range(rng.randint(1, 12)):
+            x = x or bytearray(1)
             at = rng.randrange(len(x))
             kind = rng.randrange(4)
             if kind == 0:
