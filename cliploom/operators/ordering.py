@@ -5,9 +5,12 @@ from __future__ import annotations
 import re
 import tempfile
 import uuid
+from collections.abc import Iterator
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
 #: Bits of monotonically_increasing_id() that count rows within a partition.
@@ -55,3 +58,39 @@ def running(rows: DataFrame, order: list[Column], sums: dict[str, Column]) -> Da
     before = whole.select("_range", *[_sum_before(n).alias(f"_{n}") for n in sums])
     within = Window.partitionBy("_range").orderBy("_at")
     return placed.join(F.broadcast(before), "_range").select(*rows.columns, *[(F.col(f"_{n}") + F.sum(n).over(within)).alias(n) for n in sums])
+
+
+def walked(rows: DataFrame, order: list[Column], step: Column, begin: int, least: int, most: int, name: str) -> DataFrame:
+    """Adds where a walk from begin stands before each row, in the given order; a row's step moves it, but not beyond least and
+    most. Steps between bounds compose to x -> min(max(x + a, low), high), so ranges are summed up apart, a triple each; the
+    driver composes the triples, and a second pass over the ranges walks from where each begins. Tasks hold no rows."""
+    placed = _ranges(rows.withColumn("_step", F.coalesce(step, F.lit(0)).cast("long")), order)
+
+    def together(df: DataFrame) -> DataFrame:
+        return df.repartition("_range").sortWithinPartitions("_range", "_at")
+
+    def composed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        held: dict[int, tuple[int, int, int]] = {}
+        for batch in batches:
+            for k, s in zip(batch["_range"], batch["_step"], strict=True):
+                a, low, high = held.get(k, (0, least, most))
+                held[k] = a + s, min(max(low + s, least), most), min(max(high + s, least), most)
+        yield pd.DataFrame([(k, *x) for k, x in held.items()], columns=["_range", "a", "low", "high"])
+
+    triples = together(placed.select("_range", "_at", "_step")).mapInPandas(composed, "_range long, a long, low long, high long").collect()  # a row a range
+    begins, at = {}, min(max(begin, least), most)
+    for r in sorted(triples, key=lambda r: r["_range"]):
+        begins[r["_range"]] = at
+        at = min(max(at + r["a"], r["low"]), r["high"])
+
+    def walk(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        now: dict[int, int] = {}
+        for batch in batches:
+            stands = []
+            for k, s in zip(batch["_range"], batch["_step"], strict=True):
+                x = now.get(k, begins[k])
+                stands.append(x)
+                now = {k: min(max(x + s, least), most)}
+            yield batch.drop(columns=["_range", "_at", "_step"]).assign(**{name: stands})
+
+    return together(placed).mapInPandas(walk, T.StructType([*rows.schema.fields, T.StructField(name, T.LongType())]))

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from ..functions.media import coerced_state
-from .ordering import numbered
+from .ordering import numbered, walked
 
 
 def latest_states(log: DataFrame) -> DataFrame:
@@ -107,21 +107,65 @@ def motion_scores(frames: DataFrame) -> DataFrame:
     return scored.groupBy("video_id").agg((F.coalesce(F.avg("gap"), F.lit(0.0)) / 255).alias("motion_score"))
 
 
+DECISIONS = {"accept": "accepted", "reject": "rejected", "error": "error"}
+
+
 def decided(states: DataFrame, actions: DataFrame) -> DataFrame:
     """states: video_id and status; actions: video_id, action and action_no. Gives video_id, status and seen after the actions
     of each video in order: viewing marks it as seen; accepting, rejecting or an error set its status, also against an earlier
-    decision; leaving a video that is seen and pending accepts it. Other actions change nothing; videos without actions stay."""
-    steps = actions.groupBy("video_id").agg(F.array_sort(F.collect_list(F.struct("action_no", "action"))).alias("steps"))
-    none = F.array().cast(steps.schema["steps"].dataType)
-
-    def step(a: Column, x: Column) -> Column:
-        left = (x["action"] == "leave") & a["seen"] & (a["status"] == "pending")
-        status = F.when((x["action"] == "accept") | left, "accepted").when(x["action"] == "reject", "rejected").when(x["action"] == "error", "error").otherwise(a["status"])
-        return F.struct(status.alias("status"), (a["seen"] | F.coalesce(x["action"] == "view", F.lit(False))).alias("seen"))
-
-    begin = F.struct(F.col("status"), F.lit(False).alias("seen"))
-    after = F.aggregate(F.coalesce("steps", none), begin, step)
-    return states.select("video_id", "status").join(steps, "video_id", "left").select("video_id", after.alias("s")).select("video_id", "s.status", "s.seen")
+    decision; leaving a video that is seen and pending accepts it. Other actions change nothing; videos without actions stay.
+
+    So the last decision counts; without one, a pending video is accepted if it was left after it was first viewed. These are
+    partial aggregates: a video with most of all actions is one row a task. An action without a number is before all others."""
+    no = F.coalesce("action_no", F.lit(-(2**63)).cast("long"))
+    said = actions.groupBy("video_id").agg(
+        F.max_by("action", F.when(F.col("action").isin(*DECISIONS), F.struct(no.alias("n"), F.col("action")))).alias("said"),
+        F.min(F.when(F.col("action") == "view", no)).alias("viewed"),
+        F.max(F.when(F.col("action") == "leave", no)).alias("gone"),
+    )
+    to = F.coalesce(*[F.when(F.col("said") == k, v) for k, v in DECISIONS.items()])
+    left = F.when((F.col("status") == "pending") & (F.col("gone") > F.col("viewed")), "accepted")
+    return states.select("video_id", "status").join(said, "video_id", "left").select("video_id", F.coalesce(to, left, "status").alias("status"), F.col("viewed").isNotNull().alias("seen"))
+
+
+#: How far an action takes a reviewer along the queue.
+STEPS = {"accept": 1, "reject": 1, "next": 1, "previous": -1}
+
+
+def session_queue(states: DataFrame) -> DataFrame:
+    """position, video_id and current, of a session's queue: where it starts counts as seen, the last of those that are."""
+    begin = start(states).select(F.col("video_id").alias("_begin"))
+    top = states.agg((F.coalesce(F.max("seen_order"), F.lit(0)) + 1).alias("_top"))
+    at = begin.withColumn("k", F.lit(1)).join(top.withColumn("k", F.lit(1)), "k")  # one row
+    current = F.col("video_id").eqNullSafe(F.col("_begin"))
+    marked = states.withColumn("k", F.lit(1)).join(F.broadcast(at), "k").withColumn("seen_order", F.when(current, F.coalesce("seen_order", "_top")).otherwise(F.col("seen_order")))
+    return queue(marked.withColumn("current", current)).select("position", "video_id", "current")
+
+
+def replayed(states: DataFrame, actions: DataFrame) -> DataFrame:
+    """A session's actions (action_no, action) in order: action_no, action, the video that it was done to, and moved_to, the
+    video that is shown after it. Accepting and rejecting go on to the next video of the queue, next and previous go one along;
+    at an end they stay; others stay, too. A video that is gone on to counts as seen from then on, behind those that are, and so keeps its
+    place: the order is fixed, and where the reviewer stands is a walk between its ends. No videos: no rows."""
+    queued = session_queue(states)
+    size = queued.count()
+    if not size:
+        return actions.limit(0).select("action_no", "action", F.lit(None).cast("string").alias("video_id"), F.lit(None).cast("string").alias("moved_to"))
+    begin = queued.where("current").first()["position"]
+    step = F.coalesce(*[F.when(F.col("action") == k, v) for k, v in STEPS.items()], F.lit(0))
+    rows = walked(actions.select("action_no", "action"), [F.col("action_no"), F.col("action")], step, begin, 1, size, "position")
+    after = F.least(F.greatest(F.col("position") + step, F.lit(1)), F.lit(size)).cast("long")
+    at, to = (queued.select(F.col("position").alias(p), F.col("video_id").alias(v)) for p, v in (("position", "video_id"), ("_after", "moved_to")))
+    return rows.withColumn("_after", after).join(at, "position").join(to, "_after").select("action_no", "action", "video_id", "moved_to")
+
+
+def session_states(states: DataFrame, replay: DataFrame) -> DataFrame:
+    """video_id, status and seen after a replayed session: what was decided, and what was left while pending is accepted."""
+    begin = start(states).select("video_id", F.lit("view").alias("action"), F.lit(None).cast("long").alias("action_no"))
+    moved = ~F.col("video_id").eqNullSafe(F.col("moved_to"))
+    done = replay.select("video_id", F.when(F.col("action").isin("next", "previous"), F.when(moved, "leave")).otherwise(F.col("action")).alias("action"), "action_no")
+    views = replay.where(moved).select(F.col("moved_to").alias("video_id"), F.lit("view").alias("action"), "action_no")
+    return decided(states, begin.unionByName(done).unionByName(views))
 
 
 def existing_sources(states: DataFrame, listing: DataFrame, folders: tuple[str, str, str]) -> DataFrame:

@@ -653,6 +653,48 @@ def review_decisions(spark, sf_dir):
     return review.decided(states, actions)
 
 
+_SESSION = _LOG.replace("WITH log", "WITH RECURSIVE log", 1) + """, begin AS (
+  SELECT coalesce((SELECT video_id FROM queue WHERE status = 'pending' AND seen_order IS NULL ORDER BY position LIMIT 1),
+    (SELECT video_id FROM states WHERE status = 'pending' ORDER BY seen_order, discovered_order, video_id LIMIT 1), (SELECT video_id FROM queue ORDER BY position DESC LIMIT 1)) AS begin
+), marked AS (
+  SELECT s.* REPLACE (CASE WHEN video_id = begin AND seen_order IS NULL THEN (SELECT coalesce(max(seen_order), 0) + 1 FROM states) ELSE seen_order END AS seen_order) FROM states s, begin
+), ordered AS (
+  SELECT video_id, row_number() OVER (ORDER BY seen_order IS NULL, seen_order, CASE WHEN seen_order IS NULL THEN motion_score END NULLS LAST, discovered_order, video_id) AS position FROM marked
+), acts AS (
+  SELECT event_id AS action_no, row_number() OVER (ORDER BY event_id) AS k,
+    CASE event_type WHEN 'purchase' THEN 'accept' WHEN 'error' THEN 'error' WHEN 'click' THEN 'next' WHEN 'view' THEN 'previous' ELSE 'reject' END AS action FROM events
+), steps AS (SELECT *, CASE action WHEN 'error' THEN 0 WHEN 'previous' THEN -1 ELSE 1 END AS step FROM acts),
+walk AS (
+  SELECT 1::BIGINT AS k, (SELECT position FROM ordered JOIN begin ON video_id = begin) AS position
+  UNION ALL SELECT w.k + 1, greatest(1, least((SELECT count(*) FROM ordered), w.position + s.step)) FROM walk w JOIN steps s ON s.k = w.k
+), replay AS (
+  SELECT s.action_no, s.action, a.video_id, b.video_id AS moved_to FROM steps s JOIN walk w USING (k) JOIN walk v ON v.k = w.k + 1
+  JOIN ordered a ON a.position = w.position JOIN ordered b ON b.position = v.position
+)
+"""
+
+
+def _session(spark, sf_dir):
+    kind = F.col("event_type")
+    action = F.when(kind == "purchase", "accept").when(kind == "error", "error").when(kind == "click", "next").when(kind == "view", "previous").otherwise("reject")
+    states = review.latest_states(b.review_log(spark, sf_dir))
+    return states, review.replayed(states, b.table(spark, sf_dir, "events").select(F.col("event_id").alias("action_no"), action.alias("action")))
+
+
+@query(_SESSION + "SELECT * FROM replay")
+def review_session(spark, sf_dir):
+    return _session(spark, sf_dir)[1]
+
+
+@query(_SESSION + """, done AS (
+  SELECT video_id, arg_max(action, action_no) FILTER (WHERE action IN ('accept', 'reject', 'error')) AS said, max(action_no) FILTER (WHERE action IN ('next', 'previous') AND video_id <> moved_to) AS gone FROM replay GROUP BY 1
+), views AS (SELECT video_id, min(n) AS viewed FROM (SELECT moved_to AS video_id, action_no AS n FROM replay WHERE moved_to <> video_id UNION ALL SELECT begin, -1 FROM begin) GROUP BY 1)
+SELECT video_id, CASE said WHEN 'accept' THEN 'accepted' WHEN 'reject' THEN 'rejected' WHEN 'error' THEN 'error' ELSE CASE WHEN status = 'pending' AND gone > viewed THEN 'accepted' ELSE status END END AS status, viewed IS NOT NULL AS seen
+FROM states LEFT JOIN done USING (video_id) LEFT JOIN views USING (video_id)""")
+def review_session_states(spark, sf_dir):
+    return review.session_states(*_session(spark, sf_dir))
+
+
 @query("""SELECT printf('v%05d', c_custkey) AS video_id, CASE WHEN o.k IS NOT NULL THEN '/now/' || c_custkey WHEN c_custkey IN (SELECT s_suppkey FROM supplier) THEN '/in/' || c_custkey || '.mp4'
   WHEN c_custkey IN (SELECT p_partkey FROM part WHERE p_size > 25) THEN '/keep/' || c_custkey || '.mp4' WHEN c_custkey % 5 = 0 THEN '/first/' || c_custkey END AS source_path
 FROM customer LEFT JOIN (SELECT DISTINCT o_custkey AS k FROM orders WHERE o_orderstatus = 'P') o ON k = c_custkey""")

@@ -3,12 +3,14 @@
 from __future__ import annotations
 
 import shutil
+import uuid
 from collections.abc import Iterator
 from pathlib import Path
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.media import VIDEO_TYPES
 from ..operators import manifests
 
 
@@ -32,6 +34,69 @@ def write_splits(rows: DataFrame, path: str) -> None:
     rows.write.mode("errorifexists").partitionBy("split").json(path)
 
 
+def _holds(fs, path, names: tuple[str, ...]) -> str | None:
+    """What lies below a folder, or its parent's folders, that an export must not be written over."""
+    if not fs.exists(path):
+        return None
+    files = fs.listFiles(path, True)
+    while files.hasNext():
+        name = files.next().getPath()
+        if name.getName().lower().endswith(tuple(VIDEO_TYPES)) or name.getName() in names:
+            return name.toString()
+    return None
+
+
+def check_target(spark: SparkSession, path: str, names: tuple[str, ...] = ("tags.jsonl",)) -> None:
+    """Raises ValueError if there are videos, or files of these names, in or below a folder that is to be written."""
+    hadoop = spark._jvm.org.apache.hadoop.fs.Path(path)
+    found = _holds(hadoop.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()), hadoop, names)
+    if found:
+        raise ValueError(f"{path} holds {found}")
+
+
+def write_together(splits: dict[str, DataFrame], paths: dict[str, str]) -> None:
+    """Writes all splits as JSON Lines, each into its folder, or nothing into any.
+
+    One job writes them below a folder beside the first target, so a task that fails leaves no split; Spark commits that job as a
+    whole. Then the folders are moved to their places, which a store does at once; should one move fail, those before it are moved
+    back. Raises FileExistsError if a target is there, before anything is written."""
+    if not splits:
+        return
+    spark = next(iter(splits.values())).sparkSession
+    conf = spark._jsparkSession.sessionState().newHadoopConf()
+    at = {name: spark._jvm.org.apache.hadoop.fs.Path(paths[name]) for name in splits}
+    fs = {name: p.getFileSystem(conf) for name, p in at.items()}
+    taken = [paths[name] for name in splits if fs[name].exists(at[name])]
+    if taken:
+        raise FileExistsError(f"{taken[0]} is there already")
+    order = {name: k for k, name in enumerate(splits)}
+    rows = None
+    for name, df in splits.items():
+        one = json_lines(df).withColumn("_split", F.lit(order[name]))
+        rows = one if rows is None else rows.unionByName(one)
+    beside = paths[next(iter(splits))].rstrip("/")
+    staging = f"{beside}.writing-{uuid.uuid4().hex}"
+    base = spark._jvm.org.apache.hadoop.fs.Path(staging)
+    store = base.getFileSystem(conf)
+    moved: list[str] = []
+    try:
+        rows.write.partitionBy("_split").text(staging)
+        for name in splits:
+            source = spark._jvm.org.apache.hadoop.fs.Path(f"{staging}/_split={order[name]}")
+            fs[name].mkdirs(at[name].getParent())
+            if not store.exists(source):  # a split without rows
+                store.mkdirs(source)
+            if not store.rename(source, at[name]):
+                raise OSError(f"{paths[name]} can't be written")
+            moved.append(name)
+    except BaseException:
+        for name in moved:
+            fs[name].delete(at[name], True)
+        raise
+    finally:
+        store.delete(base, True)
+
+
 def write_export(splits: dict[str, tuple[DataFrame, DataFrame]], paths: dict[str, str]) -> None:
     """Writes the exports of all splits, or, with a violation in any, raises before the first is written."""
     bad = None
@@ -39,8 +104,7 @@ def write_export(splits: dict[str, tuple[DataFrame, DataFrame]], paths: dict[str
         bad = violations if bad is None else bad.unionByName(violations)
     if bad is not None and (message := manifests.first_violation(bad)):
         raise ValueError(message)
-    for name, (rows, _) in splits.items():
-        write_json_lines(rows, paths[name])
+    write_together({name: rows for name, (rows, _) in splits.items()}, paths)
 
 
 def existing_download(size: Column, target: Column, part: Column) -> Column:

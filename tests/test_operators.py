@@ -426,6 +426,141 @@ def test_decisions_by_video(spark):
     assert {r["video_id"]: (r["status"], r["seen"]) for r in review.decided(states, actions).collect()} == {v: (s, n) for v, (_, s, n) in cases.items()}
 
 
+class PlainSession:
+    """A reviewer's session, one action after the other."""
+
+    def __init__(self, rows):
+        self.v = {r[0]: dict(zip(("status", "motion", "found", "seen"), r[1:], strict=True)) for r in rows}
+        new = [k for k in self.order() if self.v[k]["status"] == "pending" and self.v[k]["seen"] is None]
+        old = sorted((k for k in self.v if self.v[k]["status"] == "pending"), key=lambda k: (self.v[k]["seen"] or math.inf, self.v[k]["found"], k))
+        self.at = (new or old or self.order()[-1:])[0]
+        self.view(self.at)
+
+    def order(self):
+        seen = sorted((k for k in self.v if self.v[k]["seen"] is not None), key=lambda k: (self.v[k]["seen"], self.v[k]["found"], k))
+        return seen + sorted((k for k in self.v if self.v[k]["seen"] is None), key=lambda k: (self.v[k]["motion"] is None, self.v[k]["motion"] or 0, self.v[k]["found"], k))
+
+    def view(self, k):
+        if self.v[k]["seen"] is None:
+            self.v[k]["seen"] = max([0, *(x["seen"] or 0 for x in self.v.values())]) + 1
+
+    def act(self, action):
+        now = self.v[self.at]
+        if action in review.DECISIONS:
+            now["status"] = review.DECISIONS[action]
+        ids = self.order()
+        to = max(0, min(len(ids) - 1, ids.index(self.at) + review.STEPS.get(action, 0)))
+        if ids[to] != self.at:
+            if action in ("next", "previous") and now["status"] == "pending":
+                now["status"] = "accepted"
+            self.at = ids[to]
+            self.view(self.at)
+        return self.at
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_session_against_one_action_after_the_other(spark, seed):
+    rng = random.Random(seed)
+    rows = [(f"v{k:02d}", rng.choice(["pending", "pending", "accepted", "rejected"]), rng.choice([None, rng.random(), 0.5]), k + 1, rng.choice([None, None, 100 - k])) for k in range(9)]
+    states = spark.createDataFrame(rows, "video_id string, status string, motion_score double, discovered_order long, seen_order long")
+    actions = [(k, rng.choice(["accept", "reject", "next", "next", "previous", "previous", "error", "dance"])) for k in range(80)]
+    session, want = PlainSession(rows), []
+    for k, action in actions:
+        want.append((k, action, session.at, session.act(action)))
+    replay = review.replayed(states, spark.createDataFrame(actions, "action_no long, action string").repartition(5))
+    assert sorted(map(tuple, replay.collect())) == want
+    assert {r["video_id"]: r["status"] for r in review.session_states(states, replay).collect()} == {k: x["status"] for k, x in session.v.items()}
+    assert review.replayed(states.limit(0), spark.createDataFrame(actions, "action_no long, action string")).isEmpty()
+
+
+def test_walk_between_bounds(spark):
+    rng = random.Random(8)
+    steps = [rng.choice([-7, -2, -1, 1, 1, 2, 7]) for _ in range(500)]
+    df = spark.createDataFrame(list(enumerate(steps)), "k long, s int")
+    x, want = 5, []
+    for s in steps:
+        want.append(x)
+        x = min(max(x + s, 1), 9)
+    assert [r["x"] for r in sorted(ordering.walked(df, [F.col("k")], F.col("s"), 5, 1, 9, "x").collect())] == want
+
+
+def test_export_writes_all_or_nothing(spark, tmp_path):
+    good = spark.createDataFrame([(1, "a"), (2, "b")], "n int, s string")
+    fails = spark.range(4).select(F.when(F.col("id") == 3, F.raise_error(F.lit("no"))).otherwise(F.col("id")).cast("int").alias("n"))
+    paths = {k: str(tmp_path / "out" / k) for k in ("train", "val")}
+    with pytest.raises(Exception, match="no"):
+        sinks.write_together({"train": good, "val": fails}, paths)
+    assert list((tmp_path / "out").iterdir()) == [] if (tmp_path / "out").exists() else True
+    sinks.write_together({"train": good, "val": good.limit(0)}, paths)
+    assert sorted(p.name for p in (tmp_path / "out").iterdir()) == ["train", "val"]
+    assert sorted(r["value"] for r in spark.read.text(paths["train"]).collect()) == ['{"n":1,"s":"a"}', '{"n":2,"s":"b"}']
+    with pytest.raises(FileExistsError):
+        sinks.write_together({"new": good, "train": good}, paths | {"new": str(tmp_path / "out" / "new")})
+    assert not (tmp_path / "out" / "new").exists()
+    blocked = tmp_path / "file"
+    blocked.write_text("x")  # no folder can be made below a file
+    with pytest.raises(Exception):
+        sinks.write_together({"first": good, "second": good}, {"first": str(tmp_path / "out" / "first"), "second": str(blocked / "second")})
+    assert sorted(p.name for p in (tmp_path / "out").iterdir()) == ["train", "val"]
+
+
+def test_export_target_is_checked(spark, tmp_path):
+    sinks.check_target(spark, str(tmp_path / "none"))
+    (tmp_path / "out" / "deep").mkdir(parents=True)
+    sinks.check_target(spark, str(tmp_path / "out"))
+    for name in ("deep/old.MP4", "tags.jsonl"):
+        (tmp_path / "out" / name).write_text("x")
+        with pytest.raises(ValueError, match=name.split("/")[-1]):
+            sinks.check_target(spark, str(tmp_path / "out"))
+        (tmp_path / "out" / name).unlink()
+
+
+def test_boundary_model(spark):
+    """Two heads' scores, the larger counts; spans as from literal scores."""
+    heads = {"/a": ([0, 0.5, 0, 0, 0.1, 0], [[0], [0.2], [0], [0], [0.5], [0]]), "/b": ([0.0] * 4, [0.0] * 4), "/odd": ([0.1], [0.1, 0.2])}
+
+    def load():
+        return lambda paths: [heads[p] for p in paths]
+
+    videos = spark.createDataFrame([("v", "/a", 2.0, 9.0), ("calm", "/b", 2.0, 1.5)], "video string, path string, fps double, duration double")
+    found = models.boundary_scores(videos, load, 1)
+    assert [r["score"] for r in found.where("video = 'v'").orderBy("frame").collect()] == [0, 0.5, 0, 0, 0.5, 0]
+    assert {(r["video"], r["duration"]) for r in found.collect()} == {("v", 3.0), ("calm", 1.5)}
+    lengths = found.select("video", "duration").distinct()
+    got = spans.safe_spans(found, lengths, 0.35, 0.25, 0.1, 0.0)
+    assert pairs(got.where("video = 'v'")) == [(0.0, 0.25), (1.25, 1.75), (2.75, 3.0)] and pairs(got.where("video = 'calm'")) == [(0.0, 1.5)]
+    with pytest.raises(Exception, match="scores of the same frames"):
+        models.boundary_scores(spark.createDataFrame([("o", "/odd", 2.0, 1.0)], videos.schema), load).collect()
+
+
+@pytest.mark.parametrize("knows", [True, False])
+def test_caption_batches_and_fallbacks(spark, tmp_path, knows):
+    calls = tmp_path / "calls"
+
+    def load():
+        def prepare(path, prompt, **options):
+            if options and not knows:
+                raise TypeError("unexpected keyword argument 'thinking'")
+            if path == "unreadable":
+                raise OSError("no file")
+            return f"{prompt} {path}"
+
+        def generate(inputs):
+            with calls.open("a") as f:
+                f.write(f"{len(inputs)}\n")
+            if any("bad" in x for x in inputs):
+                raise RuntimeError("out of memory")
+            return [x.upper() for x in inputs]
+
+        return prepare, generate
+
+    names = ["a", "b", "bad", "c", "unreadable", "d", "e"]
+    clips = spark.createDataFrame([(n, "say") for n in names], "clip_path string, prompt string").coalesce(1)
+    got = {r["clip_path"]: (r["caption"], r["status"], r["error"]) for r in models.captioned(clips, load, 3).collect()}
+    assert got == {n: (f"SAY {n.upper()}", "captioned", "") for n in names if n not in ("bad", "unreadable")} | {"bad": (None, "failed", "out of memory"), "unreadable": (None, "failed", "no file")}
+    assert calls.read_text().split() == ["3", "1", "1", "1", "2", "1"]
+
+
 def test_unknown_status_counts_as_pending(spark):
     log = spark.createDataFrame([("a", "odd", None, 0, None, 1), ("b", "accepted", None, 4, None, 2)], "video_id string, status string, motion_score double, discovered_order long, seen_order long, line_no long")
     assert {r["video_id"]: (r["status"], r["discovered_order"]) for r in review.latest_states(log).collect()} == {"a": ("pending", 5), "b": ("accepted", 4)}
