@@ -7,14 +7,16 @@ one with most matches is kept if they are enough. The two masks miss no such str
 at most one mismatch to three matches, has four equal words in a row or three with a fourth behind a gap of one
 (tests/llm go through all patterns).
 
-Items of fewer words than LEAST_MATCHES match as a whole, on all their words in a row; those of fewer than the masks pick
-name no passage, as so few words stand together by chance anywhere.
+Items of which LEAST_MATCHES words would be more than that share need the share, at least WHOLE words: one word of five to eight may
+differ, two of eight to nine, and so on, which further masks find that are used only if there are such items. Items of WHOLE words
+must match whole. Still shorter ones are whole seeds of their own length, from ``shortest`` words on: by default WHOLE, so they match
+nothing, as so few words stand together by chance anywhere; shortest=1 looks for single words, too.
 
 Windows are narrow rows: a document's id, a place and a hash. They meet the benchmark's by broadcast while it is small
 enough, which is counted first; only distinct diagonals are shuffled, and go back to the texts for the comparison.
 
-Defined cases: words are runs of letters and digits, lower-cased; null and empty texts, and items of fewer words than the
-masks pick, overlap with nothing; null ids are ids like others; rows with one id are one document, of which the best
+Defined cases: words are runs of letters and digits, lower-cased; null and empty texts, and items of fewer words than
+shortest, overlap with nothing; null ids are ids like others; rows with one id are one document, of which the best
 stretch counts; repeated items give one row each by id; a very long text costs as many narrow rows as it has words; empty
 tables give no rows; further columns are ignored, and kept by ``clean``.
 """
@@ -29,9 +31,12 @@ from pyspark.sql import functions as F
 
 from .common import staged
 
-#: Places of a window that are hashed.
+#: Places of a window that are hashed, and those for items that need fewer than LEAST_MATCHES matches.
 MASKS = ((0, 1, 2, 3), (0, 1, 2, 4))
+SHORT_MASKS = ((0, 1, 3, 4), (0, 2, 3, 4), (0, 1, 2, 5))
 LEAST_MATCHES = 10
+#: Items of fewer words match as a whole or not at all.
+WHOLE = 4
 LEAST_IDENTITY = 0.75
 #: Seeds of the benchmark, diagonals and contaminated ids up to so many rows are broadcast, items up to so many words in
 #: all; more are joined by shuffle.
@@ -45,18 +50,26 @@ def word_hashes(text: Column) -> Column:
     return F.transform(words, lambda w: F.xxhash64(w))
 
 
-def _seeds(words: Column, masks: Sequence[Sequence[int]]) -> Column:
+def _seeds(words: Column, masks: Sequence[Sequence[int]], sizes: Sequence[tuple[int, int]] | None = None) -> Column:
     """Of every mask and every window that it fits into, the place and the hash of the words it picks; masks differ in
-    their hash, too."""
+    their hash, too. With sizes, a mask is for lists of so many words, from and to."""
 
-    def of(k: int, mask: Sequence[int]) -> Column:
+    def of(mask: Sequence[int], within: tuple[int, int] | None) -> Column:
         seeds = F.transform(
             F.sequence(F.lit(0), F.size(words) - mask[-1] - 1),
-            lambda i: F.struct(i.alias("at"), F.xxhash64(F.lit(k), *[F.get(words, i + p) for p in mask]).alias("seed")),
+            lambda i: F.struct(i.alias("at"), F.xxhash64(F.lit(",".join(map(str, mask))), *[F.get(words, i + p) for p in mask]).alias("seed")),
         )
-        return F.when(F.size(words) > mask[-1], seeds).otherwise(F.array().cast("array<struct<at:int,seed:bigint>>"))
+        fits = F.size(words) > mask[-1]
+        return F.when(fits & F.size(words).between(*within) if within else fits, seeds).otherwise(F.array().cast("array<struct<at:int,seed:bigint>>"))
 
-    return F.inline(F.concat(*[of(k, m) for k, m in enumerate(masks)]))
+    return F.inline(F.concat(*[of(m, sizes[k] if sizes else None) for k, m in enumerate(masks)]))
+
+
+def _needed(size: Column, least_matches: int, least_identity: float) -> Column:
+    """Matches that an item of so many words needs: all of a short one, else the share, up to least_matches."""
+    share = Fraction(str(least_identity))
+    ceiling = F.floor((size * share.numerator + share.denominator - 1) / share.denominator).cast("int")
+    return F.when(size <= WHOLE, size).otherwise(F.least(F.lit(least_matches), F.greatest(F.lit(WHOLE), ceiling)))
 
 
 def _few(df: DataFrame) -> DataFrame:
@@ -64,11 +77,23 @@ def _few(df: DataFrame) -> DataFrame:
 
 
 def overlaps(
-    docs: DataFrame, benchmark: DataFrame, masks: Sequence[Sequence[int]] = MASKS, least_matches: int = LEAST_MATCHES, least_identity: float = LEAST_IDENTITY
+    docs: DataFrame,
+    benchmark: DataFrame,
+    masks: Sequence[Sequence[int]] = MASKS,
+    least_matches: int = LEAST_MATCHES,
+    least_identity: float = LEAST_IDENTITY,
+    shortest: int = WHOLE,
 ) -> DataFrame:
-    """doc_id, item_id, and their best stretch: doc_start (words before it), n_words, n_matches."""
+    """doc_id, item_id, and their best stretch: doc_start (words before it), n_words, n_matches. shortest: words of the shortest
+    items that are looked for."""
     items = benchmark.select("item_id", word_hashes(F.col("text")).alias("item"))
-    seeds = _few(items.select("item_id", _seeds(F.col("item"), masks)).withColumnRenamed("at", "item_at"))
+    size, most = F.size("item"), 2**31 - 1
+    tight = size.between(WHOLE + 1, most) & (_needed(size, least_matches, least_identity) < least_matches)
+    kinds = items.agg(F.max(F.when(tight, size)).alias("tight"), *[F.max((size == n).cast("int")).alias(f"whole{n}") for n in range(max(shortest, 1), WHOLE)]).first()
+    used = [(m, (WHOLE, most)) for m in masks] + [(m, (WHOLE + 1, kinds["tight"])) for m in SHORT_MASKS if kinds["tight"]]
+    used += [(tuple(range(n)), (n, n)) for n in range(max(shortest, 1), WHOLE) if kinds[f"whole{n}"]]
+    masks = [m for m, _ in used]
+    seeds = _few(items.select("item_id", _seeds(F.col("item"), masks, [s for _, s in used])).withColumnRenamed("at", "item_at"))
     words = docs.select("doc_id", word_hashes(F.col("text")).alias("words"))
     hits = words.select("doc_id", _seeds(F.col("words"), masks)).join(seeds, "seed")
     hits = staged(hits.select("doc_id", "item_id", (F.col("at") - F.col("item_at")).alias("diagonal")).distinct(), "diagonals")
@@ -81,7 +106,7 @@ def overlaps(
     met = some.join(wanted, some["doc_id"].eqNullSafe(wanted["_doc"]))
     here = F.col("diagonal")
     at = F.filter(F.sequence(F.lit(0), F.size("item") - 1), lambda k: (here + k >= 0) & (F.get("words", F.greatest(here + k, F.lit(0))) == F.get("item", k)))
-    need = F.least(F.lit(least_matches), F.size("item"))
+    need = _needed(F.size("item"), least_matches, least_identity)
     met = met.select("doc_id", "item_id", "diagonal", need.alias("need"), at.alias("places")).where(F.size("places") >= F.col("need"))
     # a generator is not merged with its neighbours, so each diagonal's stretch is found once
     best = met.select("doc_id", "item_id", "diagonal", "need", F.inline(F.array(_stretch(least_identity)))).where("n_matches >= need")

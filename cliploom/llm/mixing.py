@@ -118,9 +118,9 @@ def cheapest_flow(patterns: Sequence[tuple[tuple, int]], quotas: dict, most: int
 
 
 #: What one membership pattern takes: copies of all its documents, and once more those of up to a size that come up to a
-#: cut in the order of buckets, ranks and ids, and single ones.
+#: cut in the order of buckets, ranks and ids, and single ones; then a second time more, and so on (again: which time).
 #: left: words that it could still take.
-PLAN = "_pattern long, _copies long, _left long, _cuts array<struct<most:long,bucket:int,rank:long,id:long>>, _fill array<struct<size:long,rank:long,id:long>>"
+PLAN = "_pattern long, _copies long, _left long, _cuts array<struct<most:long,bucket:int,rank:long,id:long,again:int>>, _fill array<struct<size:long,rank:long,id:long,again:int>>"
 
 
 def mix(
@@ -130,7 +130,9 @@ def mix(
     takes, a multiple of its size; and by source its size and target.
 
     Documents are chosen by pattern, in the order of a seeded hash of their id, until the next would be too many; then
-    those that still fit. The driver holds one row per pattern; documents stay with the executors."""
+    those that still fit; when none fits once more, those that fit a second time more, as long as no document has more than
+``most`` copies: so what is left of a pattern is less than any document that could be taken again. The driver holds one
+row per pattern; documents stay with the executors."""
     spark = docs.sparkSession
     named = F.transform("_members", lambda m: F.struct(m.isNull(), F.coalesce(m, F.lit(""))))
     rank = F.xxhash64(F.lit(seed), "doc_id")
@@ -162,12 +164,13 @@ def mix(
         known = spark.createDataFrame([*map(tuple, plan.values())], PLAN)
         return base.join(F.broadcast(known) if len(plan) <= BROADCAST_ROWS else known, "_pattern", "left")
 
-    def fitting() -> DataFrame:
-        return planned().where((F.col("_size") > 0) & (F.col("_size") <= F.col("_left")) & ~_once_more())
+    def fitting(again: int) -> DataFrame:
+        room = (F.col("_size") > 0) & (F.col("_size") <= F.col("_left")) & (F.col("_copies") + again <= most)
+        return planned().where(room & ~_taken_again(again))
 
-    def cut() -> None:
+    def cut(again: int) -> None:
         """Takes what fits in the order of ranks, up to the first document that would be too much."""
-        sums = fitting().groupBy("_pattern", "_bucket", "_left").agg(F.sum("_size").alias("n"))
+        sums = fitting(again).groupBy("_pattern", "_bucket", "_left").agg(F.sum("_size").alias("n"))
         w = Window.partitionBy("_pattern").orderBy("_bucket")
         upto = sums.withColumn("upto", F.sum("n").over(w))
         # the bucket in which the quota ends, or else the last one
@@ -177,41 +180,43 @@ def mix(
         before, started = {}, []
         for r in ends.collect():  # one row a pattern
             k = r["_pattern"]
-            most = plan[k][2]
+            room = plan[k][2]
             if r["x"] is None:
-                plan[k][3].append((most, BUCKETS, 0, 0))
+                plan[k][3].append((room, BUCKETS, 0, 0, again))
                 plan[k][2] -= r["n"]
             else:
-                before[k] = [r["x"]["before"], (most, r["x"]["_bucket"], -(2**63), -(2**63))]
+                before[k] = [r["x"]["before"], (room, r["x"]["_bucket"], -(2**63), -(2**63), again)]
                 started.append((k, r["x"]["_bucket"], r["x"]["before"]))
         known = spark.createDataFrame(started, "_pattern long, _bucket int, _before long")
         known = F.broadcast(known) if len(started) <= BROADCAST_ROWS else known
         inner = Window.partitionBy("_pattern").orderBy("_rank", "_id", "_size").rowsBetween(Window.unboundedPreceding, 0)
-        edge = fitting().join(known, ["_pattern", "_bucket"]).withColumn("upto", F.col("_before") + F.sum("_size").over(inner)).where("upto <= _left")
+        edge = fitting(again).join(known, ["_pattern", "_bucket"]).withColumn("upto", F.col("_before") + F.sum("_size").over(inner)).where("upto <= _left")
         for r in edge.groupBy("_pattern").agg(F.max(F.struct("upto", "_rank", "_id")).alias("x")).collect():
             before[r["_pattern"]][0] = r["x"]["upto"]
-            before[r["_pattern"]][1] = (*before[r["_pattern"]][1][:2], r["x"]["_rank"], r["x"]["_id"])
+            before[r["_pattern"]][1] = (*before[r["_pattern"]][1][:2], r["x"]["_rank"], r["x"]["_id"], again)
         for k, (n, last) in before.items():
             plan[k][3].append(last)
             plan[k][2] -= n
 
-    cut()
-    while largest := fitting().groupBy("_pattern").agg(F.max(F.struct("_size", "_rank", "_id")).alias("x")).collect():
-        for r in largest:
-            plan[r["_pattern"]][4].append(tuple(r["x"]))
-            plan[r["_pattern"]][2] -= r["x"]["_size"]
-        cut()
-    taken = F.when(F.col("_size") > 0, F.col("_size") * (F.col("_copies") + F.when(_once_more(), 1).otherwise(0))).otherwise(0).cast("long")
+    for again in range(1, most + 1):
+        cut(again)
+        while largest := fitting(again).groupBy("_pattern").agg(F.max(F.struct("_size", "_rank", "_id")).alias("x")).collect():
+            for r in largest:
+                plan[r["_pattern"]][4].append((*r["x"], again))
+                plan[r["_pattern"]][2] -= r["x"]["_size"]
+            cut(again)
+    copies = F.col("_copies") + sum((F.when(_taken_again(k), 1).otherwise(0) for k in range(1, most + 1)), F.lit(0))
+    taken = F.when(F.col("_size") > 0, F.col("_size") * copies).otherwise(0).cast("long")
     out = planned().select("doc_id", F.col("_members").alias(members), F.col("_size").alias(size), F.coalesce(taken, F.lit(0)).cast("long").alias("taken"))
     return out, {s: (sizes[s], aims[s]) for s in sizes}
 
 
-def _once_more() -> Column:
-    """Whether a document comes up to one of its pattern's cuts or fills the rest."""
+def _taken_again(again: int) -> Column:
+    """Whether a document comes up to one of its pattern's cuts, or fills the rest, for so many times more."""
 
     def reached(c: Column) -> Column:
         here = (F.col("_rank") < c["rank"]) | ((F.col("_rank") == c["rank"]) & (F.col("_id") <= c["id"]))
-        return (F.col("_size") <= c["most"]) & ((F.col("_bucket") < c["bucket"]) | ((F.col("_bucket") == c["bucket"]) & here))
+        return (c["again"] == again) & (F.col("_size") <= c["most"]) & ((F.col("_bucket") < c["bucket"]) | ((F.col("_bucket") == c["bucket"]) & here))
 
-    fill = F.exists("_fill", lambda x: (x["size"] == F.col("_size")) & (x["rank"] == F.col("_rank")) & (x["id"] == F.col("_id")))
+    fill = F.exists("_fill", lambda x: (x["again"] == again) & (x["size"] == F.col("_size")) & (x["rank"] == F.col("_rank")) & (x["id"] == F.col("_id")))
     return F.coalesce(F.exists("_cuts", reached) | fill, F.lit(False))

@@ -31,18 +31,12 @@ def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 _OP2_SQL = r"""
 WITH d AS (SELECT doc_id, regexp_extract_all(lower(coalesce(text, '')), '[\p{L}\p{N}]+') AS w FROM documents),
 b AS (SELECT item_id, regexp_extract_all(lower(coalesce(text, '')), '[\p{L}\p{N}]+') AS w FROM benchmark),
-dp AS (SELECT doc_id, w, unnest(range(1, len(w) - 2)) AS p FROM d),
-bp AS (SELECT item_id, w, unnest(range(1, len(w) - 2)) AS p FROM b),
-ds AS (
-  SELECT doc_id, p, concat_ws(' ', 0, w[p], w[p+1], w[p+2], w[p+3]) AS s FROM dp
-  UNION ALL SELECT doc_id, p, concat_ws(' ', 1, w[p], w[p+1], w[p+2], w[p+4]) FROM dp WHERE p + 4 <= len(w)
-), bs AS (
-  SELECT item_id, p, concat_ws(' ', 0, w[p], w[p+1], w[p+2], w[p+3]) AS s FROM bp
-  UNION ALL SELECT item_id, p, concat_ws(' ', 1, w[p], w[p+1], w[p+2], w[p+4]) FROM bp WHERE p + 4 <= len(w)
-), hits AS (
-  SELECT DISTINCT doc_id, item_id, ds.p - bs.p AS diagonal FROM ds JOIN bs USING (s)
+dp AS (SELECT doc_id, unnest(w) AS x, generate_subscripts(w, 1) AS p FROM d),
+bp AS (SELECT item_id, unnest(w) AS x, generate_subscripts(w, 1) AS p FROM b WHERE len(w) >= 4),
+hits AS (
+  SELECT doc_id, item_id, dp.p - bp.p AS diagonal FROM dp JOIN bp USING (x) GROUP BY ALL HAVING count(*) >= 4
 ), equal AS (
-  SELECT h.*, least(10, len(b.w)) AS need,
+  SELECT h.*, least(10, greatest(4, CAST(ceil(0.75 * len(b.w)) AS INT))) AS need,
     list_filter(range(greatest(1, 1 - diagonal), least(len(b.w), len(d.w) - diagonal) + 1), lambda k: d.w[diagonal + k] = b.w[k]) AS places
   FROM hits h JOIN b USING (item_id) JOIN d USING (doc_id)
 ), ends AS (

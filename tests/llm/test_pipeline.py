@@ -36,7 +36,7 @@ def plain_toxicity(text, model):
 
 def plain_mix(rows, order):
     """rows: id, text, source; order: id to place. What a mix takes: whole copies of a source, then documents in their
-    order until one does not fit, then the largest that fits and again in their order, until none fits."""
+    order until one does not fit, then the largest that fits and again in their order, until none fits; then so a second time."""
     size = {i: len(re.findall(r"[^\x20\x09-\x0D]+", t or "")) for i, t, _ in rows}
     of = {}
     for i, _, s in rows:
@@ -57,27 +57,28 @@ def plain_mix(rows, order):
     for s in sources:
         target = 3 * held[s] if s in full else unit * weight[s]
         copies, left = divmod(round(target), held[s]) if held[s] else (0, 0)
-        more = set()
+        again, more = 1, set()
 
         def fits():
-            return [i for i in of[s] if 0 < size[i] <= left and i not in more]
+            return [i for i in of[s] if 0 < size[i] <= left and (i, again) not in more and copies + again <= 3]
 
         def in_order():
             nonlocal left
             for i in sorted(fits(), key=order.get):
                 if size[i] > left:
                     return
-                more.add(i)
+                more.add((i, again))
                 left -= size[i]
 
-        in_order()
-        while found := fits():
-            largest = max(found, key=lambda i: (size[i], order[i][1]))
-            more.add(largest)
-            left -= size[largest]
+        for again in (1, 2, 3):
             in_order()
+            while found := fits():
+                largest = max(found, key=lambda i: (size[i], order[i][1]))
+                more.add((largest, again))
+                left -= size[largest]
+                in_order()
         for i in of[s]:
-            out[i] = (size[i], held[s], target, size[i] * (copies + (i in more)))
+            out[i] = (size[i], held[s], target, size[i] * (copies + sum(j == i for j, _ in more)))
     return out
 
 
