@@ -106,10 +106,8 @@ class RandomTiles:
 def tiled_seeded(spans: DataFrame, seed: int, shortest: float, longest: float, gap: float) -> DataFrame:
     """Reproducible clips of random lengths; a video's spans are few, and only they meet in a row."""
     grouped = spans.groupBy("video").agg(F.array_sort(F.collect_list(F.struct("start", "end"))).alias("s"))
-    grouped.sparkSession.udtf.register("random_tiles", RandomTiles)
-    grouped.withColumn("seed", seed_column(seed, F.col("video").cast("string"))).createOrReplaceTempView("_spans")
-    tiles = grouped.sparkSession.sql(
-        f"SELECT video, t.start, t.end FROM _spans, LATERAL random_tiles(seed, s.start, s.end, {float(shortest)}D, {float(longest)}D, {float(gap)}D) t"
-    )
+    seeded = grouped.withColumn("seed", seed_column(seed, F.col("video").cast("string")))
+    given = [F.col(c).outer() for c in ("seed", "s.start", "s.end")]
+    tiles = seeded.lateralJoin(RandomTiles(*given, *[F.lit(float(x)) for x in (shortest, longest, gap)])).select("video", "start", "end")
     index = F.row_number().over(Window.partitionBy("video").orderBy("start"))
     return tiles.withColumn("clip_index", index).withColumn("clip", clip_name(F.col("video").cast("string"), F.col("clip_index"), F.col("start"), F.col("end")))
