@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import media, numbers, text
-from ..operators import buckets, manifests, ordering, review, spans, splits, tags, words
+from ..operators import buckets, manifests, ordering, records, review, spans, splits, tags, words
 from ..sources import jsonl, sinks
 from ..streaming import review as stream
 from . import bindings as b
@@ -270,6 +270,61 @@ def tag_hints_join(spark, sf_dir):
     return manifests.with_hints(docs, even.unionByName(third)).select("doc_id", "hints")
 
 
+# A tags manifest: documents are clips, those with labels were tagged, of which toxic ones failed.
+_TAGGED = """
+WITH r AS (
+  SELECT d.doc_id, '/in/' || d.doc_id || '.mp4' AS clip_path, d.n_chars / 1000.0 AS duration, l.quality, l.toxic, l.doc_id IS NOT NULL AND l.toxic = 0 AS ok, d.lang, d.source
+  FROM documents d LEFT JOIN labels l USING (doc_id)
+)
+"""
+
+
+def _tag_records(spark, sf_dir):
+    docs, labels = b.table(spark, sf_dir, "documents"), b.table(spark, sf_dir, "labels")
+    path = F.concat(F.lit("/in/"), "doc_id", F.lit(".mp4")).alias("clip_path")
+    clips = docs.select(path, F.when(F.col("doc_id") % 2 == 0, F.concat("doc_id", F.lit(".mp4"))).alias("clip_relpath"), (F.col("n_chars") / 1000).alias("duration"), F.lit(0.5).alias("frame_time"))
+    rating = F.when(F.col("quality") == 1, "general").otherwise("sensitive")
+    results = labels.join(docs.select("doc_id", "lang", "source"), "doc_id").select(
+        path, rating.alias("rating"), F.create_map(rating, F.lit(0.75).cast("float")).alias("rating_scores"), F.array("lang").alias("general_tags"), F.create_map("lang", F.lit(0.5)).alias("general_tag_scores"),
+        F.array("source").alias("character_tags"), F.create_map("source", F.lit(0.25)).alias("character_tag_scores"), F.array(rating, F.lit(" "), F.concat(F.lit(" "), "lang"), "lang", "source").alias("all_tags"),
+        F.when(F.col("toxic") == 0, "tagged").otherwise("failed").alias("status"), F.when(F.col("toxic") == 0, "").otherwise("refused").alias("error"),
+    )
+    return records.tag_records(clips, results, "tagger")
+
+
+@query(_TAGGED + """SELECT clip_path, CASE WHEN doc_id % 2 = 0 THEN doc_id || '.mp4' END AS clip_relpath, 'tagger' AS model_repo, duration::DOUBLE AS duration, 0.5::DOUBLE AS frame_time,
+  CASE WHEN ok THEN CASE WHEN quality = 1 THEN 'general' ELSE 'sensitive' END END AS rating, CASE WHEN ok THEN 0.75 END::DOUBLE AS rating_score,
+  CASE WHEN ok THEN [lang] ELSE [] END AS general_tags, CASE WHEN ok THEN [source] ELSE [] END AS character_tags, CASE WHEN ok THEN 1 ELSE 0 END AS n_scores,
+  CASE WHEN ok THEN [CASE WHEN quality = 1 THEN 'general' ELSE 'sensitive' END, lang, source] ELSE [] END AS all_tags,
+  CASE WHEN ok THEN 'tagged' ELSE 'failed' END AS status, CASE WHEN ok THEN '' WHEN toxic IS NULL THEN 'no result' ELSE 'refused' END AS error FROM r""")
+def tag_records(spark, sf_dir):
+    out = _tag_records(spark, sf_dir)
+    return out.withColumn("rating_score", F.try_element_at("rating_scores", F.col("rating"))).withColumn("n_scores", F.size("general_tag_scores")).drop("rating_scores", "general_tag_scores", "character_tag_scores")
+
+
+@query(_TAGGED + "SELECT doc_id AS line_no, clip_path, doc_id || '.mp4' AS clip_relpath, [lang] AS general, [source] AS character FROM r WHERE ok")
+def tag_hint_rows(spark, sf_dir):
+    rows = _tag_records(spark, sf_dir).withColumn("line_no", F.regexp_extract("clip_path", r"(\d+)", 1).cast("long"))
+    # paths as manifests have them: relative ones, and ones that go up and down
+    path = F.when(F.col("line_no") % 3 == 0, F.concat(F.lit("./"), F.substring("clip_path", 5, 99))).when(F.col("line_no") % 3 == 1, F.concat(F.lit("/in/x/.."), F.substring("clip_path", 4, 99))).otherwise(F.col("clip_path"))
+    out = records.hint_rows(rows.withColumn("clip_path", path), "/in/")
+    return out.select("line_no", "clip_path", "clip_relpath", "hints.general", "hints.character")
+
+
+@query("""SELECT '/in/' || doc_id || '.mp4' AS clip_path, 'captioner' AS model_repo, n_chars / 1000.0::DOUBLE AS duration, doc_id % 3 <> 0 AS has_audio_track, doc_id % 3 = 1 AS used_audio,
+  CASE WHEN doc_id % 3 = 0 THEN 'clip has no audio track' END AS audio_skip_reason, CAST(NULL AS VARCHAR) AS scene_overview, CAST(NULL AS VARCHAR) AS visual_details, CAST(NULL AS VARCHAR) AS dialogue, CAST(NULL AS VARCHAR) AS other_sounds,
+  CASE WHEN quality = 1 THEN lang || ' of ' || source END AS caption, CASE WHEN quality = 1 THEN 'captioned' ELSE 'failed' END AS status,
+  CASE WHEN quality = 1 THEN '' WHEN quality = 0 THEN 'the caption is empty' ELSE 'no result' END AS error
+FROM documents LEFT JOIN labels USING (doc_id)""")
+def caption_records(spark, sf_dir):
+    docs, labels = b.table(spark, sf_dir, "documents"), b.table(spark, sf_dir, "labels")
+    path, key = F.concat(F.lit("/in/"), "doc_id", F.lit(".mp4")).alias("clip_path"), F.col("doc_id") % 3
+    clips = docs.select(path, (F.col("n_chars") / 1000).alias("duration"), (key != 0).alias("has_audio_track"), F.when(key > 0, key == 1).alias("used_audio"), F.when(key == 0, "clip has no audio track").alias("audio_skip_reason"))
+    said = F.when(F.col("quality") == 1, F.concat(F.lit("- `"), "lang", F.lit("`\n\n* of  "), "source")).otherwise("```\n `")
+    results = labels.join(docs.select("doc_id", "lang", "source"), "doc_id").select(path, said.alias("caption"), F.lit("captioned").alias("status"), F.lit("").alias("error"))
+    return records.caption_records(clips, results, "captioner")
+
+
 @query("SELECT doc_id FROM documents d WHERE lang || '-' || source NOT IN (SELECT lang || '-' || source FROM documents WHERE source IN ('src1', 'src7', 'src12'))")
 def source_disjoint_antijoin(spark, sf_dir):
     docs = b.table(spark, sf_dir, "documents").select("doc_id", "source", F.concat("lang", F.lit("-"), "source").alias("source_id"))
@@ -359,6 +414,12 @@ def tiled_clips_fixed(spark, sf_dir):
     return tiles.select("video", "clip_index", F.round("start", 6).alias("start"), F.round("end", 6).alias("end"), "clip")
 
 
+@query("SELECT video::VARCHAR AS source_path, '/clips/' || clip AS clip_path, start, \"end\", round(\"end\" - start, 6) AS duration, 0.35::DOUBLE AS boundary_threshold, 0.25::DOUBLE AS boundary_padding, 'high_recall_any' AS boundary_mode, 7 AS seed FROM (" + ORACLES["tiled_clips_fixed"] + ")")
+def extract_records(spark, sf_dir):
+    out = records.extract_records(tiled_clips_fixed(spark, sf_dir), "/clips/", 0.35, 0.25, 7)
+    return out.withColumn("duration", F.round("duration", 6))
+
+
 @query()
 def tiled_clips_seeded(spark, sf_dir):
     found = spans.safe_spans(b.frames(spark, sf_dir), b.videos(spark, sf_dir), 0.35, 0.25, 1.0)
@@ -423,9 +484,12 @@ def bucket_assign(spark, sf_dir):
     return buckets.assigned(buckets.feature_points(b.clip_sizes(spark, sf_dir)), _chosen(spark))
 
 
-@query("SELECT '448x768x65;512x512x33;768x448x17;1024x576x97' AS buckets")
+@query(_PROJECTED + """, found AS (SELECT DISTINCT bucket_width::INT AS w, bucket_height::INT AS h,
+  CASE WHEN frames <= 1 THEN 1 WHEN frames - ((frames - 1) // 8 * 8 + 1) <= 4 THEN (frames - 1) // 8 * 8 + 1 ELSE (frames - 1) // 8 * 8 + 9 END::BIGINT AS f
+  FROM features f JOIN projected p ON f.width / f.height = p.aspect)
+SELECT string_agg(w || 'x' || h || 'x' || f, ';' ORDER BY w / h, f, w, h) AS buckets FROM found""")
 def bucket_list(spark, sf_dir):
-    return buckets.listed(_chosen(spark))
+    return buckets.listed(buckets.projected(buckets.feature_points(b.clip_sizes(spark, sf_dir)), 512))
 
 
 @query()
@@ -456,10 +520,11 @@ def split_summary(spark, sf_dir):
     return both.groupBy("split").agg(F.count("*").alias("clips"), F.sum("new_tags_added").alias("tags"), F.max_by("distribution_distance", "selection_rank").alias("distance"))
 
 
-@query("SELECT count(*) AS clips, count(DISTINCT source_id) AS sources, 5 * count(*) AS tag_rows FROM (SELECT range // 5 AS source_id FROM range(3500))")
+@query("SELECT count(*) AS clips, count(DISTINCT doc_id // 5) AS sources, 5 * count(*) AS tag_rows, min(doc_id // 5)::BIGINT AS first_source FROM documents")
 def synthetic_clips(spark, sf_dir):
-    made = jsonl.synthetic_clips(spark, 3500)
-    return made.agg(F.count("*").alias("clips"), F.countDistinct("source_id").alias("sources"), F.sum(F.size(F.array_distinct("tags"))).cast("long").alias("tag_rows"))
+    made = jsonl.synthetic_clips(b.table(spark, sf_dir, "documents").select(F.col("doc_id").alias("id")))
+    source = F.regexp_extract("source_id", r"(\d+)", 1).cast("long")
+    return made.agg(F.count("*").alias("clips"), F.countDistinct("source_id").alias("sources"), F.sum(F.size(F.array_distinct("tags"))).cast("long").alias("tag_rows"), F.min(source).alias("first_source"))
 
 
 # Review

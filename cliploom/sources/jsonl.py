@@ -116,12 +116,12 @@ def feed_pages(spark: SparkSession, folder: str) -> DataFrame:
     return read.join(F.broadcast(missing), F.col("page") < F.col("missing")).drop("missing")  # one row
 
 
-def synthetic_clips(spark: SparkSession, clips: int, per_source: int = 5, tag_pool: int = 80, tags_per_clip: int = 5, seed: int = 0) -> DataFrame:
-    """Clips with seeded tags from a pool, some to a source: what the split is timed on."""
+def synthetic_clips(ids: DataFrame, per_source: int = 5, tag_pool: int = 80, tags_per_clip: int = 5, seed: int = 0) -> DataFrame:
+    """A clip for each id, with seeded tags from a pool, some to a source: what the split is timed on (spark.range(n) gives ids)."""
     ranked = F.array_sort(F.transform(F.sequence(F.lit(0), F.lit(tag_pool - 1)), lambda t: F.struct(F.xxhash64(F.lit(seed), F.col("id"), t).alias("h"), t.alias("t"))))
     tag_list = F.transform(F.slice(ranked, 1, tags_per_clip), lambda x: F.format_string("tag_%03d", x["t"]))
     source = F.floor(F.col("id") / per_source).cast("int")
-    return spark.range(clips).select(
+    return ids.select(
         F.format_string("source_%05d/clip_%06d.mp4", source, F.col("id")).alias("clip_relpath"),
         F.format_string("source_%05d.mp4", source).alias("source_id"),
         tag_list.alias("tags"),

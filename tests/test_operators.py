@@ -9,7 +9,7 @@ from fractions import Fraction
 
 import pytest
 from cliploom.functions import media, numbers, text
-from cliploom.operators import buckets, manifests, models, ordering, review, spans, splits, tags, words
+from cliploom.operators import buckets, manifests, models, ordering, records, review, spans, splits, tags, words
 from cliploom.sources import jsonl, sinks
 from pyspark.sql import functions as F
 
@@ -575,3 +575,21 @@ def test_validation_counts_that_cannot_be(spark):
     for bad in (dict(clips=clips("a", "b").limit(0)), dict(clips=clips("a", "a"), count=1), dict(clips=clips("a", "a", "b"), count=3), dict(clips=clips("a", "b"), count=1, train_count=2)):
         with pytest.raises(ValueError):
             tags.resolved_count(**bad)
+
+
+# Records
+
+
+def test_records_of_odd_rows(spark):
+    clips = spark.createDataFrame([("/a", None, 1.0, 0.5), ("/b", "b", None, None)], "clip_path string, clip_relpath string, duration double, frame_time double")
+    schema = "clip_path string, rating string, rating_scores map<string,float>, general_tags array<string>, general_tag_scores map<string,float>, character_tags array<string>, character_tag_scores map<string,float>, all_tags array<string>, status string, error string"
+    results = spark.createDataFrame([("/a", "general", {"general": 0.5}, ["x"], None, None, None, ["x", " x", ""], "tagged", None)], schema)
+    got = {r["clip_path"]: r.asDict() for r in records.tag_records(clips, results, "m").collect()}
+    assert got["/a"]["all_tags"] == ["x"] and got["/a"]["rating_scores"] == {"general": 0.5} and got["/a"]["character_tags"] == [] and got["/a"]["error"] == ""
+    assert (got["/b"]["status"], got["/b"]["error"], got["/b"]["general_tags"], got["/b"]["rating"]) == ("failed", "no result", [], None)
+    rows = spark.createDataFrame([(1, "a/../b.mp4", None, ["general", "x"], None, None, "tagged"), (2, "/out/c.mp4", " ", ["y"], None, None, "tagged"), (3, "d.mp4", None, ["general"], [], [], "tagged"), (4, "e.mp4", None, ["z"], None, None, "failed"), (5, None, "f.mp4", None, ["g"], None, "tagged")], "line_no int, clip_path string, clip_relpath string, all_tags array<string>, general_tags array<string>, character_tags array<string>, status string")
+    found = {r["line_no"]: (r["clip_path"], r["clip_relpath"], r["hints"]["general"]) for r in records.hint_rows(rows, "/in/").collect()}
+    assert found == {1: ("/in/b.mp4", "b.mp4", ["x"]), 2: ("/out/c.mp4", None, ["y"]), 5: (None, "f.mp4", ["g"])}
+    asked = spark.createDataFrame([("/in/b.mp4", "b.mp4"), ("/in/f.mp4", "f.mp4"), ("/in/q.mp4", "q.mp4")], "clip_path string, clip_relpath string")
+    hinted = {r["clip_relpath"]: r["hints"] and r["hints"]["general"] for r in manifests.with_hints(asked, records.hint_rows(rows, "/in")).collect()}
+    assert hinted == {"b.mp4": ["x"], "f.mp4": ["g"], "q.mp4": None}
