@@ -1,14 +1,12 @@
-"""JSON-Lines manifests, folders of videos, post feeds and a synthetic table, as DataFrames."""
+"""JSON-Lines manifests, post feeds and a synthetic table, as DataFrames."""
 
 from __future__ import annotations
 
-import posixpath
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from ..functions.media import FEED_TYPES, VIDEO_TYPES
+from ..functions.media import FEED_TYPES
 from ..functions.text import strip
 
 POST = "_id bigint, _file_ext string, _file_url string, _file_size bigint, _tags string"
@@ -51,24 +49,6 @@ def read_or_empty(spark: SparkSession, path: str, schema: str) -> DataFrame:
     return read_manifest(spark, path, schema) if there else spark.createDataFrame([], schema)
 
 
-def videos(spark: SparkSession, folder: str, exclude: tuple[str, ...] = ()) -> DataFrame:
-    """path, relpath, length of the videos below a folder, whatever the case of their suffix; not those below exclude.
-    Names that start with '_' or '.', and empty files, are not listed: Spark's file sources pass over them."""
-    found = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(folder).select("path", "length")
-    base = found.withColumn("path", F.regexp_replace("path", r"^file:/*", "/"))
-    keep = F.lower(F.regexp_extract("path", r"(\.[^./]*)$", 1)).isin(*VIDEO_TYPES)
-    for x in exclude:
-        keep = keep & ~F.col("path").startswith(f"{x.rstrip('/')}/")
-    prefix = f"{posixpath.normpath(folder)}/"
-    rel = F.when(F.col("path").startswith(prefix), F.substring("path", len(prefix) + 1, 2**30)).otherwise(F.col("path"))
-    return base.where(keep).select("path", rel.alias("relpath"), "length")
-
-
-def path_order(path: str):
-    """Sorts paths by their parts, not as text."""
-    return F.split(path, "/")
-
-
 def posts(feed: DataFrame, column: str = "xml") -> DataFrame:
     """Feed pages (one XML text a row) as posts; those without id, type or address go; size 0 by default."""
     one = F.from_xml(F.col(column), f"post array<struct<{POST.replace(' ', ':').replace(',:', ',')}>>")

@@ -10,7 +10,7 @@ from fractions import Fraction
 import pytest
 from cliploom.functions import media, numbers, text
 from cliploom.operators import buckets, manifests, models, ordering, records, review, spans, splits, tags, words
-from cliploom.sources import jsonl, sinks
+from cliploom.sources import jsonl, listing, sinks
 from pyspark.sql import functions as F
 
 
@@ -352,12 +352,22 @@ def test_lines_are_numbered_across_splits(spark, tmp_path):
     assert sorted((r["file"].rsplit("/", 1)[1], r["line_no"], r["line"]) for r in got) == sorted(want)
 
 
-def test_video_listing(spark, tmp_path):
-    for name in ("a.mp4", "sub/B.MKV", "sub/c.txt", "out/d.webm"):
-        (tmp_path / name).parent.mkdir(exist_ok=True)
-        (tmp_path / name).write_bytes(b"x")
-    got = jsonl.videos(spark, str(tmp_path), (str(tmp_path / "out"),))
-    assert sorted(r["relpath"] for r in got.collect()) == ["a.mp4", "sub/B.MKV"]
+@pytest.mark.parametrize("wide", [64, 2])
+def test_video_listing_against_a_walk(spark, tmp_path, monkeypatch, wide):
+    monkeypatch.setattr(listing, "FOLDERS", wide)
+    names = ["a.mp4", "sub/B.MKV", "sub/c.txt", "out/d.webm", "output/e.avi", "_hidden/f.mp4", "sub/.g.mov", "sub/_h.mp4", "sub/deep/er/and/er/i.mp4", ".mp4", "sub/none", "sub!/j.mp4", "s p/k%20.mp4"]
+    for k, name in enumerate(names):
+        (tmp_path / name).parent.mkdir(parents=True, exist_ok=True)
+        (tmp_path / name).write_bytes(b"x" * (k % 3))  # empty ones, too
+    (tmp_path / "empty").mkdir()
+    (tmp_path / "sub/round").symlink_to(tmp_path)
+    out = tmp_path / "out"
+    walked = [f for f in tmp_path.rglob("*") if f.is_file() and f.suffix.lower() in media.VIDEO_TYPES and out not in f.parents and "round" not in f.parts]
+    want = [(str(f), str(f.relative_to(tmp_path)), f.stat().st_size) for f in sorted(walked)]
+    assert len(want) == 9
+    assert [tuple(r) for r in listing.ordered_videos(spark, str(tmp_path), (f"{out}/",)).collect()] == want
+    assert listing.videos(spark, str(tmp_path / "empty")).isEmpty()
+    assert listing.videos(spark, str(tmp_path), (str(tmp_path),)).isEmpty()
 
 
 def test_feed(spark, tmp_path):
