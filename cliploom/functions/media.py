@@ -37,6 +37,25 @@ def probe(json: Column) -> Column:
     )
 
 
+def caption_probe(json: Column) -> Column:
+    """A probe's JSON as struct(duration, has_audio, fps, frames), as captions are planned on: rates of 0 count as unknown,
+    no frames as a number. duration is null where there is no video stream, or none is stated: such a clip can't be captioned."""
+    shape = "struct<format:struct<duration:string>,streams:array<struct<codec_type:string,duration:string,avg_frame_rate:string,r_frame_rate:string,nb_frames:variant>>>"
+    found = F.from_json(json, shape)
+    video = F.get(F.filter(found["streams"], lambda s: s["codec_type"] == "video"), 0)
+    duration = F.coalesce(numbers.safe_float(found["format"]["duration"]), numbers.safe_float(video["duration"]))
+    duration = F.when((duration > 0) & video.isNotNull(), duration)
+    fps = F.coalesce(numbers.positive_fraction(video["avg_frame_rate"]), numbers.positive_fraction(video["r_frame_rate"]))
+    said = video["nb_frames"]
+    stated = F.when(F.schema_of_variant(said) == "STRING", numbers.safe_int(said.try_cast("string"), 0)).otherwise(numbers.truncated_int(said))
+    return F.struct(
+        duration.alias("duration"),
+        F.coalesce(F.exists(found["streams"], lambda s: s["codec_type"] == "audio"), F.lit(False)).alias("has_audio"),
+        fps.alias("fps"),
+        F.coalesce(stated, F.when(duration.isNotNull() & fps.isNotNull(), numbers.frame_count(duration, fps))).alias("frames"),
+    )
+
+
 def audio_plan(has_audio: Column, supported: Column, duration: Column) -> Column:
     """Why a clip's audio is not used; null where it is."""
     return (
@@ -76,6 +95,11 @@ def relative_to(path: Column, folder: Column) -> Column:
     return F.when(path.startswith(prefix), F.substring(path, F.length(prefix) + 1, F.length(path)))
 
 
+def default_relative(path: Column, folder: Column) -> Column:
+    """The path below a folder; outside it, the name alone."""
+    return F.coalesce(relative_to(path, folder), F.element_at(F.split(path, "/"), -1))
+
+
 def hint_lines(general: Column, character: Column) -> Column:
     """Prompt lines that state a tagger's hints; empty without any."""
     some = (F.size(general) > 0) | (F.size(character) > 0)

@@ -22,8 +22,9 @@ def safe_int(value: Column, least: int = 1) -> Column:
 
 
 def truncated_int(value: Column) -> Column:
-    """As safe_int from 0, but numbers with a fraction are cut off."""
-    x = value.try_cast("double").try_cast("long")
+    """A whole number that is not negative, else null; of a variant or a number, a fraction is cut off, of a text it is none."""
+    text = value.try_cast("string")
+    x = F.coalesce(text.try_cast("long"), text.try_cast("double").try_cast("long"))
     return F.when(x >= 0, x)
 
 

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import re
 import unicodedata
 
 import pandas as pd
@@ -62,14 +61,16 @@ def normalize_caption(text: Column) -> Column:
 
 
 @F.pandas_udf(T.StringType())
-def slug(query: pd.Series) -> pd.Series:
-    """Folder name of a search: ASCII after decomposition, other characters as dashes, lower case; 'search' if nothing is left."""
+def _decomposed(text: pd.Series) -> pd.Series:
+    return text.map(lambda t: unicodedata.normalize("NFKD", t).encode("ascii", "ignore").decode(), na_action="ignore")
 
-    def one(q: str) -> str:
-        plain = unicodedata.normalize("NFKD", q or "").encode("ascii", "ignore").decode()
-        return re.sub(r"[^A-Za-z0-9]+", "-", plain).strip("-").lower() or "search"
 
-    return query.map(one)
+def slug(query: Column) -> Column:
+    """Folder name of a search: ASCII after decomposition, other characters as dashes, lower case; 'search' if nothing is left,
+    or for null. Python gets the searches alone that have other characters than ASCII."""
+    plain = F.coalesce(_decomposed(F.when(query.rlike(r"[^\x00-\x7f]"), query)), query)
+    name = F.lower(F.regexp_replace(F.regexp_replace(plain, "[^A-Za-z0-9]+", "-"), "^-|-$", ""))
+    return F.coalesce(F.nullif(name, F.lit("")), F.lit("search"))
 
 
 def ordered_query(query: Column) -> Column:

@@ -14,7 +14,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.numbers import quantized_frames, rounded
+from ..functions.numbers import log_distance, quantized_frames, rounded
 from .ordering import running
 
 # Fixed values of the bucket grid.
@@ -121,7 +121,7 @@ def greedy(features: DataFrame, resolution: int, most: int = MOST_BUCKETS) -> Da
 def _with_distance(points: DataFrame, picks: list) -> DataFrame:
     """points with near: the distance to the nearest picked feature (MOST_BUCKETS at most)."""
     aspect = F.col("width") / F.col("height")
-    far = [F.abs(F.ln(F.lit(p["width"] / p["height"]) / aspect)) + F.abs(F.ln(F.lit(float(p["frames"])) / F.col("frames"))) for p in picks]
+    far = [log_distance(F.lit(p["width"] / p["height"]), F.lit(float(p["frames"])), aspect, F.col("frames")) for p in picks]
     return points.withColumn("near", F.array_min(F.array(*far)))
 
 
@@ -192,7 +192,7 @@ def assigned(features: DataFrame, buckets: DataFrame) -> DataFrame:
 
     def key(b: Column) -> Column:
         aspect = b["bucket_width"] / b["bucket_height"]
-        distance = F.abs(F.ln(aspect / ratio)) + F.abs(F.ln(b["bucket_frames"] / F.col("frames")))
+        distance = log_distance(aspect, b["bucket_frames"], ratio, F.col("frames"))
         return F.struct(F.round(distance, 12).alias("d"), aspect.alias("a"), b["bucket_frames"].alias("f"), b["bucket_width"].alias("w"), b["bucket_height"].alias("h"))
 
     one = features.withColumn("k", F.lit(1)).join(F.broadcast(listed.withColumn("k", F.lit(1))), "k")

@@ -33,10 +33,12 @@ def top_counts(counts: DataFrame, key: str, n: int) -> DataFrame:
 def summary(captions: DataFrame, manifests: int = 1, column: str = "caption") -> DataFrame:
     """manifests, caption_rows, unique_words, unique_bigrams in one row."""
     rows = captions.agg(F.count("*").alias("caption_rows"))
-    words = word_counts(captions, column).agg(F.count("*").alias("unique_words"))
-    pairs = bigram_counts(captions, column).agg(F.count("*").alias("unique_bigrams"))
+    # captions are cut into tokens once for both; only bigrams hold a blank
+    both = caption_blocks(captions, column).select(F.explode(F.concat("block", text.bigrams(F.col("block")))).alias("said")).distinct()
+    pair = F.col("said").contains(" ")
+    unique = both.agg(F.count_if(~pair).alias("unique_words"), F.count_if(pair).alias("unique_bigrams"))
     one = F.lit(1).alias("_one")
-    joined = rows.select("*", one).join(words.select("*", one), "_one").join(pairs.select("*", one), "_one")  # single rows
+    joined = rows.select("*", one).join(unique.select("*", one), "_one")  # single rows
     return joined.select(F.lit(manifests).cast("long").alias("manifests"), "caption_rows", "unique_words", "unique_bigrams")
 
 

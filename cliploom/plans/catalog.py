@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions import media, numbers, text
 from ..operators import buckets, manifests, ordering, records, review, spans, splits, tags, words
-from ..sources import jsonl, sinks
+from ..sources import jsonl, listing, sinks
 from ..streaming import review as stream
 from . import bindings as b
 
@@ -359,6 +359,35 @@ def export_rows(spark, sf_dir):
     return _export(spark, sf_dir)[0]
 
 
+@query("""SELECT split, caption, media_path FROM (
+  SELECT CASE WHEN toxic = 1 THEN 'val' ELSE 'train' END AS split, text AS caption, doc_id || '.mp4' AS media_path FROM documents JOIN labels USING (doc_id) WHERE trim(text, E' \t\r\n') <> '')""")
+def export_of_all_splits(spark, sf_dir):
+    docs = b.table(spark, sf_dir, "documents").join(b.table(spark, sf_dir, "labels"), "doc_id")
+
+    def one(name, own):
+        path = F.concat("doc_id", F.lit(".mp4"))
+        rows = docs.where(own).select(F.col("doc_id").alias("line_no"), F.concat(F.lit(f"/in/{name}/"), path).alias("clip_path"), F.col("text").alias("caption"), F.lit("captioned").alias("status"))
+        return manifests.export_rows(rows, docs.where(own).select(path.alias("media_path")), name, f"/in/{name}")[0]
+
+    val = F.coalesce(F.col("toxic") == 1, F.lit(False))
+    return manifests.all_splits({"train": one("train", ~val), "val": one("val", val)})
+
+
+@query("""SELECT path, row_number() OVER (ORDER BY string_split(path, '/')) AS position FROM (SELECT DISTINCT lang || CASE doc_id % 3 WHEN 0 THEN '/' WHEN 1 THEN '!/' ELSE '' END || source || '/' || doc_id AS path FROM documents WHERE lang IS NOT NULL AND source IS NOT NULL)""")
+def listing_order(spark, sf_dir):
+    kind = F.col("doc_id") % 3
+    path = F.concat("lang", F.when(kind == 0, "/").when(kind == 1, "!/").otherwise(""), "source", F.lit("/"), "doc_id")
+    paths = b.table(spark, sf_dir, "documents").select(path.alias("path")).where("path is not null").distinct()
+    return ordering.numbered(paths, [listing.path_order("path")], "position")
+
+
+@query("""SELECT doc_id, CASE WHEN source IS NULL OR doc_id % 2 = 0 THEN doc_id || '.mp4' ELSE source || '/' || doc_id || '.mp4' END AS relative_path FROM documents""")
+def default_relative_paths(spark, sf_dir):
+    folder = F.when(F.col("source").isNull(), "/away").when(F.col("doc_id") % 2 == 0, F.concat(F.lit("/in-"), "source")).otherwise(F.concat(F.lit("/in/"), "source"))
+    path = F.concat(folder, F.lit("/"), "doc_id", F.lit(".mp4"))
+    return b.table(spark, sf_dir, "documents").select("doc_id", media.default_relative(path, F.lit("/in/")).alias("relative_path"))
+
+
 @query("""WITH r AS (SELECT doc_id, CASE WHEN quality <> 1 THEN 'status' WHEN trim(text, E' \t\r\n') = '' THEN 'empty caption' WHEN doc_id NOT IN (SELECT page_id FROM pages) THEN 'unknown clip' END AS rule
   FROM documents JOIN labels USING (doc_id)),
 good AS (SELECT doc_id FROM r WHERE rule IS NULL)
@@ -651,6 +680,33 @@ def probe_json(spark, sf_dir):
     return part.select("p_partkey", media.probe(json).alias("p")).select("p_partkey", "p.*")
 
 
+@query("""SELECT p_partkey, CASE WHEN p_partkey % 5 <> 0 AND p_size > 0 THEN p_size END::DOUBLE AS duration, p_partkey % 2 = 0 AS has_audio,
+  CASE WHEN p_partkey % 4 = 0 THEN 30.0 WHEN p_partkey % 4 = 1 THEN NULL ELSE 24.0 END::DOUBLE AS fps,
+  CASE p_partkey % 3 WHEN 0 THEN p_partkey WHEN 1 THEN p_partkey ELSE CASE WHEN p_partkey % 4 = 1 OR p_partkey % 5 = 0 OR p_size <= 0 THEN NULL ELSE greatest(1, p_size * CASE WHEN p_partkey % 4 = 0 THEN 30 ELSE 24 END) END END::BIGINT AS frames FROM part""")
+def caption_probe_json(spark, sf_dir):
+    part, key = b.table(spark, sf_dir, "part"), F.col("p_partkey")
+    json = F.concat(
+        F.lit('{"format":{"duration":"'), F.when(key % 5 != 0, F.col("p_size").cast("string")).otherwise("N/A"), F.lit('"},"streams":['),
+        F.when(key % 2 == 0, '{"codec_type":"audio"},').otherwise(""),
+        F.lit('{"codec_type":"video","avg_frame_rate":"'), F.when(key % 4 < 2, "0/1").otherwise("24/1"),
+        F.lit('","r_frame_rate":"'), F.when(key % 4 == 1, "0/0").otherwise("30/1"), F.lit('","nb_frames":'),
+        F.when(key % 3 == 0, F.concat(F.lit('"'), key, F.lit('"'))).when(key % 3 == 1, F.concat(key, F.lit(".75"))).otherwise('"12.5"'), F.lit("}]}"),
+    )
+    return part.select("p_partkey", media.caption_probe(json).alias("p")).select("p_partkey", "p.*")
+
+
+@query(_DURATIONS + "SELECT p_partkey, CASE WHEN total_frames > 0 THEN greatest(40, round_even(duration / total_frames * 1000, 0)) END::BIGINT AS delay_ms FROM d")
+def frame_delay(spark, sf_dir):
+    shown = F.when(F.col("total_frames") > 0, F.col("total_frames"))
+    return b.durations(spark, sf_dir).select("p_partkey", F.when(shown.isNotNull(), numbers.frame_delay_ms(F.col("duration"), shown)).alias("delay_ms"))
+
+
+@query("SELECT doc_id, quality::DOUBLE AS quality, toxic::DOUBLE AS toxic FROM labels")
+def score_maps(spark, sf_dir):
+    scores = F.create_map(F.lit("quality"), F.col("quality").cast("string"), F.lit("toxic"), F.col("toxic").cast("string"))
+    return b.table(spark, sf_dir, "labels").select("doc_id", tags.scores_as_doubles(scores).alias("s")).select("doc_id", F.col("s")["quality"].alias("quality"), F.col("s")["toxic"].alias("toxic"))
+
+
 @query("""SELECT p_partkey, CASE WHEN p_partkey % 4 = 0 THEN NULL WHEN p_partkey % 4 = 1 THEN p_retailprice WHEN p_partkey % 4 = 2 THEN NULL ELSE NULL END AS x,
   CASE WHEN p_partkey % 3 = 0 THEN NULL ELSE p_size / (p_partkey % 3)::DOUBLE END AS f FROM part""")
 def lenient_numbers(spark, sf_dir):

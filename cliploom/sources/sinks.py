@@ -14,9 +14,16 @@ from ..functions.media import VIDEO_TYPES
 from ..operators import manifests
 
 
+def ascii_json(text: Column) -> Column:
+    """JSON with characters beyond printable ASCII as escapes of their UTF-16 units."""
+    others = F.array_distinct(F.regexp_extract_all(text, F.lit(r"([^\x00-\x7e])"), F.lit(1)))
+    escaped = F.aggregate(others, text, lambda said, c: F.replace(said, c, F.regexp_replace(F.lower(F.hex(F.encode(c, "UTF-16BE"))), "(.{4})", r"\\u$1")))
+    return F.when(text.rlike(r"[^\x00-\x7e]"), escaped).otherwise(text)
+
+
 def json_lines(rows: DataFrame) -> DataFrame:
-    """One JSON text a row, nulls kept."""
-    return rows.select(F.to_json(F.struct(*rows.columns), {"ignoreNullFields": "false"}).alias("value"))
+    """One JSON text a row, in ASCII, nulls kept."""
+    return rows.select(ascii_json(F.to_json(F.struct(*rows.columns), {"ignoreNullFields": "false"})).alias("value"))
 
 
 def write_json_lines(rows: DataFrame, path: str, mode: str = "errorifexists") -> None:

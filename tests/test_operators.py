@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 import math
 import random
 from collections import Counter
@@ -57,8 +58,8 @@ def test_normalize_caption(spark, said, want):
 
 
 def test_slug_and_order(spark):
-    df = spark.createDataFrame([("Épée & co",), ("!!",)], "q string")
-    assert [r[0] for r in df.select(text.slug("q")).collect()] == ["epee-co", "search"]
+    df = spark.createDataFrame([("Épée & co",), ("!!",), ("-A  b-",), ("日本",), (None,)], "q string")
+    assert [r[0] for r in df.select(text.slug(F.col("q"))).collect()] == ["epee-co", "search", "a-b", "search", "search"]
     assert one(spark, text.ordered_query(F.lit("cat order:score"))) == "cat order:score"
     assert one(spark, text.ordered_query(F.lit("cat"))) == "cat order:id_desc"
 
@@ -86,6 +87,10 @@ def test_times(spark):
 
 
 def test_plans(spark):
+    assert [one(spark, media.supports_audio(F.lit(x).cast("array<string>"))) for x in (["text", " Audio "], ["video"], [], None)] == [True, False, False, False]
+    assert one(spark, media.caption_probe(F.lit('{"format":{"duration":"3"},"streams":[{"codec_type":"audio"}]}')))["duration"] is None
+    assert one(spark, media.caption_probe(F.lit('{"streams":[{"codec_type":"video","duration":"3","avg_frame_rate":"2","nb_frames":0}]}')))[:] == (3.0, False, 2.0, 0)
+    assert [one(spark, media.default_relative(F.lit(p), F.lit("/in"))) for p in ("/in/a/b.mp4", "/into/b.mp4")] == ["a/b.mp4", "b.mp4"]
     assert one(spark, media.frame_plan(F.lit(96), F.lit(None).cast("double")))["frames"] == 48
     assert one(spark, media.audio_plan(F.lit(True), F.lit(True), F.lit(31.0))) == "clip audio exceeds 30s limit"
     assert one(spark, media.audio_plan(F.lit(True), F.lit(True), F.lit(30.0))) is None
@@ -396,6 +401,9 @@ def test_models_fall_back_row_by_row(spark):
 def test_sinks(spark, tmp_path):
     df = spark.createDataFrame([(1, None)], "a int, b string")
     assert sinks.json_lines(df).first()[0] == '{"a":1,"b":null}'
+    odd = spark.createDataFrame([("é \u007f \U0001f600 é \\u00e9 \"",), (None,)], "c string")
+    lines = [r[0] for r in sinks.json_lines(odd).collect()]
+    assert lines == [json.dumps({"c": r["c"]}, separators=(",", ":")) for r in odd.collect()]
     assert sinks.summary_line(df).first()[0] == "a=1 b=null"
     (tmp_path / "x.mp4").write_bytes(b"x")
     jobs = spark.createDataFrame([(str(tmp_path / "x.mp4"), str(tmp_path / "o/y.mp4")), (str(tmp_path / "no"), str(tmp_path / "o/z.mp4"))], "source_file string, target_file string")
