@@ -45,6 +45,9 @@ SHINGLE = 5
 COMMON, ALL = 75, 100
 #: Sub-partitions of a partition, and how many of them are left out of a signature.
 N2, K2 = 3, 2
+#: A link's distance with what floating point may add, and the width of a ring of distances.
+LINK = 1 - COMMON / ALL + 1e-9
+RING = 1 - COMMON / ALL + 1e-6
 #: Signatures that one differing shingle can spoil.
 SPOILED = comb(N2 - 1, N2 - K2 - 1)
 #: Mean shingles of a sub-partition for the largest sets of a band.
@@ -54,7 +57,7 @@ MOST_SHARING = 16
 PEELS = 2
 #: Ids and classes are broadcast up to so many; more are joined by shuffle.
 BROADCAST_IDS = 1_000_000
-#: Members of a group that are paired in one task; larger groups are split.
+#: Members of a group outside its main component that are paired in one task; more are split.
 SIDE = 512
 CACHE_WORDS = 200_000
 #: Classes whose signatures a task remembers to have given.
@@ -297,24 +300,38 @@ def _measured(pairs: DataFrame, sets: DataFrame, work: Workspace) -> DataFrame:
 
 
 def _still_open(named: DataFrame, measured: DataFrame, work: Workspace) -> DataFrame:
-    """Pairs a, b in one group but not in one component that may be linked. Three proofs spare the rest: their distances
-    to the group's typical set differ by more than a link's distance; a rare shingle stands too far back in their sets to be
-    the first that they share; or they have been measured. Groups of more than SIDE members are split: each member is
-    dealt to one of several parts and meets the others there."""
-    open_ = named.groupBy("g").agg(F.min("root").alias("lo"), F.max("root").alias("hi"), F.count("*").alias("members")).where("lo < hi")
+    """Pairs a, b in one group but not in one component that may be linked. One of the two is outside the component of the
+    group's typical set, so those outside meet all members, and members inside never meet each other. Three proofs spare
+    more: their distances to the typical set differ by more than a link's distance (members meet those of their own and the
+    neighbouring rings around it, or all if that distance isn't known); a rare shingle stands too far back in their sets to
+    be the first that they share; or they have been measured. Of more than SIDE members outside each is dealt to one of
+    several parts and meets the others there."""
+    typical = F.max(F.when(F.col("cls") == F.col("pivot"), F.col("root"))).alias("main")
+    main = named.groupBy("g").agg(typical, F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo < hi").select("g", "main")
     far = measured.select(F.col("a").alias("pivot"), F.col("b").alias("cls"), "d")
-    left = named.join(open_.select("g", F.ceil(F.col("members") / SIDE).cast("int").alias("parts")), "g").join(far, ["pivot", "cls"], "left")
-    left = left.withColumn("d", F.when(F.col("cls") == F.col("pivot"), 0.0).otherwise(F.col("d")))
-    left = work(left, "open-groups")
-    x = left.select("g", F.pmod(F.xxhash64("cls"), F.col("parts")).cast("int").alias("part"), *[F.col(c).alias(f"{c}_a") for c in ("cls", "root", "d", "pos", "n")])
-    y = left.select("g", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"), *[F.col(c).alias(f"{c}_b") for c in ("cls", "root", "d", "pos", "n")])
+    left = named.join(main, "g").join(far, ["pivot", "cls"], "left").withColumn("outside", F.col("root") != F.col("main"))
+    d = F.when(F.col("cls") == F.col("pivot"), 0.0).otherwise(F.col("d"))
+    # a ring is a little wider than a link's distance; -1: of unknown distance
+    left = left.withColumn("d", d).withColumn("ring", F.coalesce(F.floor(F.col("d") / RING), F.lit(-1)).cast("int"))
+    left = work(left.select("g", "cls", "root", "d", "pos", "n", "outside", "ring"), "open-groups")
+    parts = left.where("outside").groupBy("g").agg(F.ceil(F.count("*") / SIDE).cast("int").alias("parts"))
+    ring = F.col("ring")
+    around = F.when(ring < 0, F.sequence(F.lit(-1), F.lit(int(1 / RING)))).otherwise(F.array(F.lit(-1), ring - 1, ring, ring + 1))
+    around = F.array_distinct(around)  # ring 0 has the unknown ones below it
+    left = left.join(parts, "g")
+    columns = ("cls", "root", "d", "pos", "n")
+    x = left.where("outside").select("g", "ring", F.pmod(F.xxhash64("cls"), F.col("parts")).cast("int").alias("part"), *[F.col(c).alias(f"{c}_a") for c in columns])
+    y = left.select("g", F.explode(around).alias("ring"), "parts", "outside", *columns)
+    y = y.select("g", "ring", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"), "outside", *[F.col(c).alias(f"{c}_b") for c in columns])
     # the least that similar sets share
     common = F.ceil((F.col("n_a") + F.col("n_b")) * COMMON / (ALL + COMMON))
     early = (F.col("n_a") - F.col("pos_a") >= common) & (F.col("n_b") - F.col("pos_b") >= common)
-    near = F.abs(F.col("d_a") - F.col("d_b")) <= 1 - COMMON / ALL + 1e-9
-    rule = (F.col("root_a") != F.col("root_b")) & (F.col("cls_a") < F.col("cls_b")) & F.coalesce(near, F.lit(True)) & F.coalesce(early, F.lit(True))
-    pairs = x.join(y, ["g", "part"]).where(rule).select(F.col("cls_a").alias("a"), F.col("cls_b").alias("b")).distinct()
-    return work(pairs.join(measured.select("a", "b"), ["a", "b"], "left_anti"), "more-pairs")
+    near = F.abs(F.col("d_a") - F.col("d_b")) <= LINK
+    once = ~F.col("outside") | (F.col("cls_a") < F.col("cls_b"))
+    rule = (F.col("root_a") != F.col("root_b")) & once & F.coalesce(near, F.lit(True)) & F.coalesce(early, F.lit(True))
+    pairs = x.join(y, ["g", "ring", "part"]).where(rule).select(F.least("cls_a", "cls_b").alias("a"), F.greatest("cls_a", "cls_b").alias("b")).distinct()
+    known = measured.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+    return work(pairs.join(known, ["a", "b"], "left_anti"), "more-pairs")
 
 
 def _rare_groups(sets: DataFrame, work: Workspace) -> DataFrame:
