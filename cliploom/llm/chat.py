@@ -6,13 +6,16 @@ escape, so no text can open or close a turn, and reading back restores the text
 
 Defined cases: a null text or role counts as empty; repeated rows are turns of their own; equal turn
 numbers are ordered by role and text, null turn numbers come first; rows without a conversation id form
-one conversation; an empty table gives no rows; further columns of the input are ignored.
+one conversation; an empty table gives no rows; further columns of the input are ignored. Long texts are kept whole.
+A conversation is put together once, by one task, and every example is cut from it, so a conversation of thousands of
+turns costs what its examples hold, which grows with the square of its turns.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 #: Strings with a meaning to the template.
 CONTROLS = ("<s>", "</s>", "[INST]", "[/INST]", "<<SYS>>", "<</SYS>>")
@@ -47,34 +50,28 @@ def prefix_target_examples(turns: DataFrame, key: str = "conv_id") -> DataFrame:
     ``formatted`` holds the context and the reply; code points ``[loss_start, loss_end)`` are the reply.
     A conversation that does not end with a reply has one more row with its whole text and an empty mask.
     """
-    turn = F.struct(
-        F.col("turn"), F.coalesce("role", F.lit("")).alias("role"), F.coalesce("text", F.lit("")).alias("text")
-    )
-    talks = turns.groupBy(key).agg(F.array_sort(F.collect_list(turn)).alias("turns"))
-    parts = F.transform(
-        "turns",
-        lambda t: F.struct(
-            (t["role"] == TRAINED_ROLE).alias("trained"),
-            _head(t["role"]).alias("head"),
-            escape(t["text"]).alias("body"),
-            _tail(t["role"]).alias("tail"),
-        ),
-    )
-    ends = F.filter(F.sequence(F.lit(1), F.size("parts")), lambda i: F.element_at("parts", i)["trained"] | (i == F.size("parts")))
-    rows = talks.select(key, parts.alias("parts")).select(key, "parts", F.posexplode(ends).alias("example", "upto"))
-    last = F.element_at("parts", F.col("upto"))
-    context = F.concat(
-        F.array_join(F.transform(F.slice("parts", 1, F.col("upto") - 1), lambda p: F.concat(p["head"], p["body"], p["tail"])), ""),
-        last["head"],
-    )
-    start = F.length("context").cast("long")
-    return rows.select(key, "example", context.alias("context"), last.alias("last")).select(
+    role, text = F.coalesce("role", F.lit("")), F.coalesce("text", F.lit(""))
+    pieces = turns.select(key, "turn", role.alias("role"), text.alias("text"), _head(role).alias("head"), escape(text).alias("body"), _tail(role).alias("tail"))
+    piece = F.concat("head", "body", "tail")
+    so_far = Window.partitionBy(key).orderBy("turn", "role", "text").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    begin = F.col("end") - F.length(piece) + F.length("head")
+    pieces = pieces.withColumn("end", F.sum(F.length(piece)).over(so_far)).select(
         key,
-        "example",
-        F.concat("context", "last.body", "last.tail").alias("formatted"),
-        start.alias("loss_start"),
-        (start + F.when(F.col("last.trained"), F.length("last.body")).otherwise(0)).alias("loss_end"),
+        F.struct(
+            "end",  # first, as no piece is empty: the order of the turns
+            begin.alias("loss_start"),
+            (begin + F.when(F.col("role") == TRAINED_ROLE, F.length("body")).otherwise(0)).alias("loss_end"),
+            (F.col("role") == TRAINED_ROLE).alias("trained"),
+            piece.alias("piece"),
+        ).alias("turn"),
     )
+    talks = pieces.groupBy(key).agg(F.array_sort(F.collect_list("turn")).alias("turns"))
+    marks = F.transform("turns", lambda t: t.dropFields("piece"))
+    ends = F.filter(marks, lambda t: t["trained"] | (t["end"] == F.element_at("turns", -1)["end"]))
+    talks = talks.select(key, F.array_join(F.transform("turns", lambda t: t["piece"]), "").alias("whole"), ends.alias("ends"))
+    rows = talks.select(key, "whole", F.posexplode("ends").alias("example", "upto"))
+    cut = F.substring("whole", F.lit(1), F.col("upto.end").cast("int"))
+    return rows.select(key, "example", cut.alias("formatted"), "upto.loss_start", "upto.loss_end")
 
 
 def read_turns(formatted: Column) -> Column:

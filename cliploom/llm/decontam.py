@@ -13,7 +13,7 @@ must match whole. Still shorter ones are whole seeds of their own length, from `
 nothing, as so few words stand together by chance anywhere; shortest=1 looks for single words, too.
 
 Windows are narrow rows: a document's id, a place and a hash. They meet the benchmark's by broadcast while it is small
-enough, which is counted first; only distinct diagonals are shuffled, and go back to the texts for the comparison.
+enough, which is counted first; beyond that by shuffle, apart from frequent seeds, which are broadcast still. Only distinct diagonals are shuffled, and go back to the texts for the comparison.
 
 Defined cases: words are runs of letters and digits, lower-cased; null and empty texts, and items of fewer words than
 shortest, overlap with nothing; null ids are ids like others; rows with one id are one document, of which the best
@@ -41,6 +41,8 @@ LEAST_IDENTITY = 0.75
 #: Seeds of the benchmark, diagonals and contaminated ids up to so many rows are broadcast, items up to so many words in
 #: all; more are joined by shuffle.
 BROADCAST_ROWS, BROADCAST_WORDS = 1_000_000, 4_000_000
+#: Seeds of a benchmark beyond the broadcast that more windows have are frequent.
+HOT = 100_000
 
 TOKEN = r"[\p{L}\p{N}]+"
 
@@ -76,6 +78,20 @@ def _few(df: DataFrame) -> DataFrame:
     return F.broadcast(df) if df.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS else df
 
 
+def _met(windows: DataFrame, seeds: DataFrame) -> DataFrame:
+    """Windows with the benchmark's seeds. Where those are too many to broadcast, the frequent ones are, if there are few,
+    so that no task gets all windows of one; they are counted in partial sums before anything is shuffled."""
+    if seeds.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS:
+        return windows.join(F.broadcast(seeds), "seed")
+    hot = windows.groupBy("seed").agg(F.count("*").alias("n")).where(F.col("n") > HOT).join(seeds.select("seed").distinct(), "seed", "left_semi")
+    hot = staged(seeds.join(hot.select("seed"), "seed"), "frequent-seeds")
+    if not 0 < hot.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS:
+        return windows.join(seeds, "seed")
+    keys = F.broadcast(hot.select("seed").distinct())
+    rest = windows.join(keys, "seed", "left_anti").join(seeds.join(keys, "seed", "left_anti"), "seed")
+    return windows.join(F.broadcast(hot), "seed").unionByName(rest)
+
+
 def overlaps(
     docs: DataFrame,
     benchmark: DataFrame,
@@ -93,9 +109,9 @@ def overlaps(
     used = [(m, (WHOLE, most)) for m in masks] + [(m, (WHOLE + 1, kinds["tight"])) for m in SHORT_MASKS if kinds["tight"]]
     used += [(tuple(range(n)), (n, n)) for n in range(max(shortest, 1), WHOLE) if kinds[f"whole{n}"]]
     masks = [m for m, _ in used]
-    seeds = _few(items.select("item_id", _seeds(F.col("item"), masks, [s for _, s in used])).withColumnRenamed("at", "item_at"))
+    seeds = items.select("item_id", _seeds(F.col("item"), masks, [s for _, s in used])).withColumnRenamed("at", "item_at")
     words = docs.select("doc_id", word_hashes(F.col("text")).alias("words"))
-    hits = words.select("doc_id", _seeds(F.col("words"), masks)).join(seeds, "seed")
+    hits = _met(words.select("doc_id", _seeds(F.col("words"), masks)), seeds)
     hits = staged(hits.select("doc_id", "item_id", (F.col("at") - F.col("item_at")).alias("diagonal")).distinct(), "diagonals")
     held = items.agg(F.coalesce(F.sum(F.size("item")), F.lit(0))).first()[0]
     wanted = hits.join(F.broadcast(items) if held <= BROADCAST_WORDS else items, hits["item_id"].eqNullSafe(items["item_id"])).select(

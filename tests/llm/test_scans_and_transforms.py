@@ -19,7 +19,7 @@ DOCS = "doc_id long, text string"
 VECTORS = "vec_id long, embedding array<double>"
 
 
-@pytest.mark.parametrize("name", ["op12_licenses", "op13_fill_in_middle"])
+@pytest.mark.parametrize("name", ["op1_chat_examples", "op2_decontamination", "op5_line_dedup", "op12_licenses", "op13_fill_in_middle"])
 def test_queries_against_their_sql(spark, sf_dir, name):
     con = duckdb.connect()
     con.execute(f"CREATE VIEW documents AS SELECT * FROM '{sf_dir}/documents.parquet'")

@@ -52,6 +52,20 @@ def test_ties_nulls_and_empty_tables(spark):
     assert long["loss_chars"] == 500_000 and long["loss_sha256"] == hashlib.sha256(b"</s>y" * 100_000).hexdigest()
 
 
+def test_conversation_of_thousands_of_turns(spark):
+    rows = [(1, i, ["user", "assistant"][i % 2], f"turn {i}") for i in range(2_000)]
+    examples = chat.prefix_target_examples(spark.createDataFrame(rows, TURNS))
+    pieces = [f"<s>assistant\n{t}</s>" if role == "assistant" else f"<s>[INST] {role}\n{t} [/INST]</s>" for _, _, role, t in rows]
+    upto = [0]
+    for p in pieces:
+        upto.append(upto[-1] + len(p))
+    for r in examples.select("example", "loss_start", "loss_end", F.length("formatted").alias("n"), F.expr("substring(formatted, loss_start + 1, loss_end - loss_start)").alias("reply")).collect():
+        assert r["n"] == upto[2 * r["example"] + 2] and r["reply"] == rows[2 * r["example"] + 1][3]
+    assert examples.count() == 1_000 and examples.where("example = 999").first()["formatted"] == "".join(pieces)
+    got = chat.digest(examples).first()
+    assert got["n_turns"] == 2_000 and got["loss_sha256"] == hashlib.sha256("".join(t for _, _, role, t in rows if role == "assistant").encode()).hexdigest()
+
+
 # Decontamination
 
 
@@ -153,6 +167,11 @@ def test_shuffled_join_gives_the_same(spark, monkeypatch):
     monkeypatch.setattr(decontam, "BROADCAST_WORDS", 0)
     assert sorted(map(tuple, decontam.overlaps(d, bench).collect())) == want and len(want) == 20
     assert sorted(r["doc_id"] for r in decontam.clean(d, bench).collect()) == list(range(10))
+    monkeypatch.setattr(decontam, "BROADCAST_ROWS", 25)  # of 34 seeds the first ones are frequent and few
+    monkeypatch.setattr(decontam, "HOT", 18)
+    frequent = decontam._met(d.select("doc_id", decontam._seeds(decontam.word_hashes(F.col("text")), decontam.MASKS)), bench.select("item_id", decontam._seeds(decontam.word_hashes(F.col("text")), decontam.MASKS)).withColumnRenamed("at", "item_at"))
+    assert "Union" in frequent._jdf.queryExecution().optimizedPlan().toString()
+    assert sorted(map(tuple, decontam.overlaps(d, bench).collect())) == want
 
 
 # Line dedup
