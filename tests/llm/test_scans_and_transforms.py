@@ -22,7 +22,8 @@ VECTORS = "vec_id long, embedding array<double>"
 @pytest.mark.parametrize("name", ["op1_chat_examples", "op2_decontamination", "op5_line_dedup", "op12_licenses", "op13_fill_in_middle"])
 def test_queries_against_their_sql(spark, sf_dir, name):
     con = duckdb.connect()
-    con.execute(f"CREATE VIEW documents AS SELECT * FROM '{sf_dir}/documents.parquet'")
+    for t in ("documents", "benchmark", "conversations"):
+        con.execute(f"CREATE VIEW {t} AS SELECT * FROM '{sf_dir}/{t}.parquet'")
     df = queries.queries()[name](spark, sf_dir)
     got = sorted(map(repr, (tuple(r) for r in df.collect())))
     assert got == sorted(map(repr, con.execute(f"SELECT {', '.join(df.columns)} FROM ({queries.oracle_sql()[name]})").fetchall()))
