@@ -1,8 +1,11 @@
 """Resolution and frame-count buckets for clips: projection, seed, greedy selection, assignment.
 
 Feature points are distinct (width, height, frames) with the number of their clips. Total costs add up by axis, from running
-sums. Gains compare candidates with points in blocks of both, in executors; no pairs are materialised. Gains only fall as
-picks are made, so a pass over all candidates serves many picks: the driver holds the HELD best of it.
+sums. A point's gain falls from its distance to the nearest pick to nothing, evenly on four triangles around it; a triangle
+is two corners of the plane less one, so the gains of all candidates are twelve sums over points below and left of them, in
+near-linear time. These carry rounding errors of all that is added up; so the leading candidates, with a margin for that, are
+measured again pair by pair, in blocks. Gains only fall as picks are made, so a pass over all candidates serves many picks:
+the driver holds the HELD best of it.
 """
 
 from __future__ import annotations
@@ -15,12 +18,15 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.numbers import log_distance, quantized_frames, rounded
+from .dominance import dominance_sums
 from .ordering import running
 
 # Fixed values of the bucket grid.
 MULTIPLE, RADIUS, MOST_BUCKETS, LEAST_GAIN = 32, 16, 30, 1e-12
 BLOCK = 10_000
 HELD = 256
+#: Rounding errors of gains from sums, as a share of all weighted distances that are added up.
+MARGIN = 1e-10
 FEATURE = ["width", "height", "frames", "weight"]
 BUCKET = ["bucket_width", "bucket_height", "bucket_frames"]
 
@@ -95,11 +101,19 @@ def greedy(features: DataFrame, resolution: int, most: int = MOST_BUCKETS) -> Da
     measured again for each pick, and all are when none of them stays ahead of the first that was left out."""
     spark = features.sparkSession
     points = projected(features, resolution).persist()
-    size = points.count()
-    first = seed(features).first()
+    try:
+        picks = _picks(points, seed(features).first(), most)
+    finally:
+        points.unpersist()
+    rows = [(*(p[c] for c in BUCKET), k) for k, p in enumerate(picks, 1)]
+    return spark.createDataFrame(rows, "bucket_width int, bucket_height int, bucket_frames long, pick int")
+
+
+def _picks(points: DataFrame, first, most: int) -> list:
     if first is None or first["width"] is None:
-        return spark.createDataFrame([], "bucket_width int, bucket_height int, bucket_frames long, pick int")
+        return []
     picks = [points.where((F.col("width") == first["width"]) & (F.col("height") == first["height"]) & (F.col("frames") == first["frames"])).first()]
+    size = points.count()
     held: list = []
     bound = np.inf  # the largest gain that a candidate which is not held can have
     while len(picks) < most:
@@ -108,14 +122,12 @@ def greedy(features: DataFrame, resolution: int, most: int = MOST_BUCKETS) -> Da
         held = [c for c in held if tuple(c[x] for x in BUCKET) not in taken]
         best = _best(_held_gains(near, held), held) if held else None
         if bound > LEAST_GAIN and (best is None or round(best[1], 9) <= round(bound, 9)):
-            held, bound = _leading(_all_gains(near, taken, size))
+            held, bound = _leaders(near, taken, size)
             best = _best([c["gain"] for c in held], held)
         if best is None:
             break
         picks.append(best[0])
-    points.unpersist()
-    rows = [(*(p[c] for c in BUCKET), k) for k, p in enumerate(picks, 1)]
-    return spark.createDataFrame(rows, "bucket_width int, bucket_height int, bucket_frames long, pick int")
+    return picks
 
 
 def _with_distance(points: DataFrame, picks: list) -> DataFrame:
@@ -147,14 +159,75 @@ def _held_gains(near: DataFrame, held: list) -> list[float]:
     return [found.get(k, 0.0) for k in range(len(held))]
 
 
-def _all_gains(near: DataFrame, taken: set, size: int) -> DataFrame:
-    """Candidates (features whose bucket is not taken) with their gain; blocks of both sides meet in a group."""
-    n = -(-size // BLOCK)
-    block, every = F.pmod(F.xxhash64(*FEATURE[:3]), F.lit(n)), F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
-    columns = [*FEATURE, *BUCKET]
+def _leaders(near: DataFrame, taken: set, size: int) -> tuple[list, float]:
+    """As _leading, of all candidates (features whose bucket is not taken). Of more than a block, those that the sums show
+    to be behind the HELD first, by more than the sums can err, are not measured."""
     free = near.where(~F.struct(*BUCKET).isin([F.struct(F.lit(w), F.lit(h), F.lit(f).cast("long")) for w, h, f in taken]))
-    left = free.select(*columns, block.cast("int").alias("i"), every.alias("j"))
-    right = near.select(*FEATURE, "near", block.cast("int").alias("j"), every.alias("i"))
+    if size <= BLOCK:
+        return _leading(_measured(near, free, 1, 1))
+    summed = _summed_gains(near, free).persist()
+    try:
+        least, n = summed.orderBy(F.desc("total")).limit(HELD + 1).agg(F.min("total"), F.count("*")).first()
+        x, y = _coordinates()
+        added = near.agg(F.sum(F.col("weight") * (F.col("near") + F.abs(x) + F.abs(y)))).first()[0]
+        ahead = summed if n <= HELD else summed.where(F.col("total") >= least - 2 * MARGIN * added)
+        return _leading(_measured(near, free.join(ahead.select(*FEATURE[:3]), FEATURE[:3]), -(-ahead.count() // BLOCK), -(-size // BLOCK)))
+    finally:
+        summed.unpersist()
+
+
+def _coordinates() -> tuple[Column, Column]:
+    return F.ln(F.col("width") / F.col("height")), F.ln("frames")
+
+
+def _summed_gains(near: DataFrame, free: DataFrame) -> DataFrame:
+    """width, height, frames and total: the gain of each candidate, summed up over points.
+
+    Mirrored by signs, a triangle is x >= a, y >= b, x + y <= a + b + r, with the gain r + a + b - (x + y); that is what
+    meets the first and the last condition, less what misses the second and meets the last, plus what misses the first two.
+    A mirrored condition is strict, so every place is in one triangle.
+    """
+    x, y = _coordinates()
+    r, w = F.col("near"), F.col("weight").cast("double")
+    zero = F.lit(0.0)
+    sides = {True: [], False: []}
+    for sx, sy in ((1, 1), (1, -1), (-1, 1), (-1, -1)):
+        a, b = x * sx, y * sy
+        level = a + b
+        edge = -(level + r)
+        # sign; p of points and of places, and whether equal ones don't count; q and so on
+        corners = [
+            (1, a, a, sx < 0, edge, -level, False),
+            (-1, -b, -b, sy > 0, edge, -level, False),
+            (1, -a, -a, sx > 0, -b, -b, sy > 0),
+        ]
+        for sign, p, p_place, p_strict, q, q_place, q_strict in corners:
+            kind = F.lit(len(sides[True]))
+            # of equal coordinates places come after points, unless equal ones don't count
+            turns = [(F.lit(int(p_strict)), F.lit(int(q_strict))), (F.lit(int(not p_strict)), F.lit(int(not q_strict)))]
+            point = (kind, F.lit(False), p, turns[0][0], q, turns[0][1], sign * w * (r + level), sign * w, zero)
+            place = (kind, F.lit(True), p_place, turns[1][0], q_place, turns[1][1], zero, zero, -level)
+            for asks, row in ((False, point), (True, place)):
+                names = ("kind", "asks", "p", "p_turn", "q", "q_turn", "a", "b", "m")
+                sides[asks].append(F.struct(*[c.alias(n) for c, n in zip(row, names, strict=True)]))
+    keys = FEATURE[:3]
+    points = near.where("near > 0").select(*keys, F.inline(F.array(*sides[False])))
+    places = free.select(*keys, F.inline(F.array(*sides[True])))
+    return dominance_sums(points.unionByName(places), keys, BLOCK)
+
+
+def _measured(near: DataFrame, free: DataFrame, candidate_blocks: int, point_blocks: int) -> DataFrame:
+    """Candidates with their gain, pair by pair; blocks of both sides meet in a group."""
+
+    def block(n: int) -> Column:
+        return F.pmod(F.xxhash64(*FEATURE[:3]), F.lit(max(n, 1))).cast("int")
+
+    def every(n: int) -> Column:
+        return F.explode(F.sequence(F.lit(0), F.lit(max(n, 1) - 1)))
+
+    columns = [*FEATURE, *BUCKET]
+    left = free.select(*columns, block(candidate_blocks).alias("i"), every(point_blocks).alias("j"))
+    right = near.select(*FEATURE, "near", block(point_blocks).alias("j"), every(candidate_blocks).alias("i"))
     left, right = (side.toDF(*side.columns) for side in (left, right))  # columns of their own, as both come from one table
     types = dict(free.dtypes)
 

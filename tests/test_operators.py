@@ -8,9 +8,10 @@ import random
 from collections import Counter
 from fractions import Fraction
 
+import numpy as np
 import pytest
 from cliploom.functions import media, numbers, text
-from cliploom.operators import buckets, manifests, models, ordering, records, review, spans, splits, tags, words
+from cliploom.operators import buckets, dominance, manifests, models, ordering, records, review, spans, splits, tags, words
 from cliploom.sources import jsonl, listing, sinks
 from pyspark.sql import functions as F
 
@@ -267,6 +268,34 @@ def test_buckets(spark):
     assert buckets.greedy(f.limit(0), 512, 2).isEmpty()
 
 
+@pytest.mark.parametrize("seed", range(4))
+def test_dominated_against_all_pairs(seed):
+    rng = np.random.default_rng(seed)
+    n = [0, 1, 37, 300][seed]
+    p, q, asks, values = rng.integers(0, 9, n), rng.permutation(n), rng.random(n) < 0.5, rng.random((2, n))
+    got = dominance.dominated(p, q, asks, values)
+    for k in np.flatnonzero(asks):
+        want = values[:, ~asks & (p < p[k]) & (q < q[k])].sum(axis=1)
+        assert got[:, k] == pytest.approx(want)
+
+
+def test_gains_by_sums_against_all_pairs(spark, monkeypatch):
+    monkeypatch.setattr(buckets, "BLOCK", 50)
+    rng = random.Random(8)
+    # a third has one aspect, and many have equal frames
+    sizes = {(1920, 1080, rng.randint(1, 40)) for _ in range(30)} | {(64 * rng.randint(4, 20), 64 * rng.randint(4, 20), rng.randint(1, 9)) for _ in range(60)}
+    f = spark.createDataFrame([(*s, rng.randint(1, 9)) for s in sorted(sizes)], "width int, height int, frames int, weight long")
+    points = buckets.projected(f, 512)
+    near = buckets._with_distance(points, points.where("frames = 3").collect()[:2])
+    got = {tuple(r[:3]): r["total"] for r in buckets._summed_gains(near, points).collect()}
+    rows = near.collect()
+    assert len(got) == len(rows) == len(sizes)
+    for r in rows:
+        far = [abs(math.log(r["width"] / r["height"] / (o["width"] / o["height"]))) + abs(math.log(r["frames"] / o["frames"])) for o in rows]
+        want = sum(max(o["near"] - d, 0) * o["weight"] for o, d in zip(rows, far, strict=True))
+        assert got[tuple(r[:3])] == pytest.approx(want, abs=1e-8)
+
+
 @pytest.mark.parametrize(("held", "block"), [(256, 10_000), (3, 7)])
 def test_greedy_buckets_against_plain_greedy(spark, monkeypatch, held, block):
     monkeypatch.setattr(buckets, "HELD", held)
