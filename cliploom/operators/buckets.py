@@ -25,6 +25,8 @@ from .ordering import running
 MULTIPLE, RADIUS, MOST_BUCKETS, LEAST_GAIN = 32, 16, 30, 1e-12
 BLOCK = 10_000
 HELD = 256
+#: Up to so many points all gains are measured pair by pair, which takes less time there and gives the same.
+PAIRWISE = 50_000
 #: Rounding errors of gains from sums, as a share of all weighted distances that are added up.
 MARGIN = 1e-10
 FEATURE = ["width", "height", "frames", "weight"]
@@ -160,18 +162,19 @@ def _held_gains(near: DataFrame, held: list) -> list[float]:
 
 
 def _leaders(near: DataFrame, taken: set, size: int) -> tuple[list, float]:
-    """As _leading, of all candidates (features whose bucket is not taken). Of more than a block, those that the sums show
+    """As _leading, of all candidates (features whose bucket is not taken). Of more than PAIRWISE points, those that the sums show
     to be behind the HELD first, by more than the sums can err, are not measured."""
     free = near.where(~F.struct(*BUCKET).isin([F.struct(F.lit(w), F.lit(h), F.lit(f).cast("long")) for w, h, f in taken]))
-    if size <= BLOCK:
-        return _leading(_measured(near, free, 1, 1))
+    blocks = -(-size // BLOCK)
+    if size <= PAIRWISE:
+        return _leading(_measured(near, free, blocks, blocks))
     summed = _summed_gains(near, free).persist()
     try:
         least, n = summed.orderBy(F.desc("total")).limit(HELD + 1).agg(F.min("total"), F.count("*")).first()
         x, y = _coordinates()
         added = near.agg(F.sum(F.col("weight") * (F.col("near") + F.abs(x) + F.abs(y)))).first()[0]
         ahead = summed if n <= HELD else summed.where(F.col("total") >= least - 2 * MARGIN * added)
-        return _leading(_measured(near, free.join(ahead.select(*FEATURE[:3]), FEATURE[:3]), -(-ahead.count() // BLOCK), -(-size // BLOCK)))
+        return _leading(_measured(near, free.join(ahead.select(*FEATURE[:3]), FEATURE[:3]), -(-ahead.count() // BLOCK), blocks))
     finally:
         summed.unpersist()
 

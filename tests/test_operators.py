@@ -296,9 +296,10 @@ def test_gains_by_sums_against_all_pairs(spark, monkeypatch):
         assert got[tuple(r[:3])] == pytest.approx(want, abs=1e-8)
 
 
-@pytest.mark.parametrize(("held", "block"), [(256, 10_000), (3, 7)])
-def test_greedy_buckets_against_plain_greedy(spark, monkeypatch, held, block):
+@pytest.mark.parametrize(("held", "block", "pairwise"), [(256, 10_000, 10_000), (3, 7, 7), (3, 7, 100)])
+def test_greedy_buckets_against_plain_greedy(spark, monkeypatch, held, block, pairwise):
     monkeypatch.setattr(buckets, "HELD", held)
+    monkeypatch.setattr(buckets, "PAIRWISE", pairwise)
     monkeypatch.setattr(buckets, "BLOCK", block)
     rng = random.Random(4)
     rows = sorted({(64 * rng.randint(4, 20), 64 * rng.randint(4, 20), rng.randint(1, 90)) for _ in range(40)})
