@@ -8,11 +8,17 @@ from pyspark.sql import functions as F
 from . import numbers
 from .text import strip
 
-# Limits of the caption model, file types, review states.
+# Limits of the caption model, file types, review states, why audio or a clip is not used, heads of hint lines.
 AUDIO_LIMIT_S = 30.0
 VIDEO_LIMIT_S = 60.0
 VIDEO_TYPES = (".avi", ".mkv", ".mov", ".mp4", ".webm")
 FEED_TYPES = ("mp4", "webm")
+NO_AUDIO = "clip has no audio track"
+NO_AUDIO_INPUT = "model does not support audio input"
+LONG_AUDIO = f"clip audio exceeds {AUDIO_LIMIT_S:.0f}s limit"
+LONG_VIDEO = f"clip duration exceeds {VIDEO_LIMIT_S:.0f}s video limit"
+CHARACTER_HINTS = "Character hints: "
+VISUAL_HINTS = "Visual hints: "
 STATES = ("pending", "accepted", "rejected", "error")
 PROBE = (
     "format struct<duration:string>, streams array<struct<codec_type:string,width:string,height:string,duration:string,"
@@ -59,14 +65,14 @@ def caption_probe(json: Column) -> Column:
 def audio_plan(has_audio: Column, supported: Column, duration: Column) -> Column:
     """Why a clip's audio is not used; null where it is."""
     return (
-        F.when(~has_audio, "clip has no audio track")
-        .when(~supported, "model does not support audio input")
-        .when(duration > AUDIO_LIMIT_S, f"clip audio exceeds {AUDIO_LIMIT_S:.0f}s limit")
+        F.when(~has_audio, NO_AUDIO)
+        .when(~supported, NO_AUDIO_INPUT)
+        .when(duration > AUDIO_LIMIT_S, LONG_AUDIO)
     )
 
 
 def length_error(duration: Column) -> Column:
-    return F.when(duration > VIDEO_LIMIT_S, f"clip duration exceeds {VIDEO_LIMIT_S:.0f}s video limit")
+    return F.when(duration > VIDEO_LIMIT_S, LONG_VIDEO)
 
 
 def frame_plan(total: Column, fps: Column, least: int = 12, ratio: float = 0.5, every: bool = False) -> Column:
@@ -105,8 +111,8 @@ def hint_lines(general: Column, character: Column) -> Column:
     some = (F.size(general) > 0) | (F.size(character) > 0)
     made = F.array_compact(
         F.array(
-            F.when(F.size(character) > 0, F.concat(F.lit("Character hints: "), F.array_join(character, ", "))),
-            F.when(F.size(general) > 0, F.concat(F.lit("Visual hints: "), F.array_join(general, ", "))),
+            F.when(F.size(character) > 0, F.concat(F.lit(CHARACTER_HINTS), F.array_join(character, ", "))),
+            F.when(F.size(general) > 0, F.concat(F.lit(VISUAL_HINTS), F.array_join(general, ", "))),
         )
     )
     intro = F.array(F.lit("Tags that a separate model suggests; trust the clip where they disagree."))
