@@ -1,6 +1,7 @@
 """Resolution and frame-count buckets for clips: projection, seed, greedy selection, assignment.
 
-Feature points are distinct (width, height, frames) with the number of their clips. Total costs add up by axis, from running
+Feature points are distinct (width, height, frames) with the number of their clips; those of one aspect ratio and frame count
+are one position for the greedy picks. Total costs add up by axis, from running
 sums. A point's gain falls from its distance to the nearest pick to nothing, evenly on four triangles around it; a triangle
 is two corners of the plane less one, so the gains of all candidates are twelve sums over points below and left of them, in
 near-linear time. These carry rounding errors of all that is added up; so the leading candidates, with a margin for that, are
@@ -26,7 +27,7 @@ MULTIPLE, RADIUS, MOST_BUCKETS, LEAST_GAIN = 32, 16, 30, 1e-12
 BLOCK = 10_000
 HELD = 256
 #: Up to so many points all gains are measured pair by pair, which takes less time there and gives the same.
-PAIRWISE = 50_000
+PAIRWISE = 200_000
 #: Rounding errors of gains from sums, as a share of all weighted distances that are added up.
 MARGIN = 1e-10
 FEATURE = ["width", "height", "frames", "weight"]
@@ -38,6 +39,14 @@ def feature_points(clips: DataFrame) -> DataFrame:
     return clips.groupBy("width", "height", "frames").agg(F.count("*").alias("weight"))
 
 
+def positions(features: DataFrame) -> DataFrame:
+    """The smallest of the features of one aspect ratio and frame count, with the weight of all: they have the same distances
+    and the same bucket, and the smallest goes before the others."""
+    at = features.groupBy((F.col("width") / F.col("height")).alias("aspect"), "frames")
+    out = at.agg(F.min(F.struct("width", "height")).alias("size"), F.sum("weight").alias("weight"))
+    return out.select("size.width", "size.height", "frames", "weight")
+
+
 def _units(ideal: Column) -> Column:
     center = F.greatest(F.lit(1).cast("long"), rounded(ideal / MULTIPLE))
     return F.sequence(F.greatest(F.lit(1).cast("long"), center - RADIUS), center + RADIUS)
@@ -102,7 +111,7 @@ def greedy(features: DataFrame, resolution: int, most: int = MOST_BUCKETS) -> Da
     total distance most. The driver holds the picks and the HELD best candidates of the last pass over all; these are
     measured again for each pick, and all are when none of them stays ahead of the first that was left out."""
     spark = features.sparkSession
-    points = projected(features, resolution).persist()
+    points = projected(positions(features), resolution).persist()
     try:
         picks = _picks(points, seed(features).first(), most)
     finally:
@@ -140,10 +149,22 @@ def _with_distance(points: DataFrame, picks: list) -> DataFrame:
 
 
 def _gains(candidates: pd.DataFrame, points: pd.DataFrame) -> list[float]:
+    """Points are sorted by aspect, so that each candidate meets those alone that may be in reach."""
     xs, ys = _logs(*(candidates[c].to_numpy(float) for c in FEATURE[:3]))
     la, lf = _logs(*(points[c].to_numpy(float) for c in FEATURE[:3]))
-    near, weight = points["near"].to_numpy(), points["weight"].to_numpy(float)
-    return [float((np.maximum(near - np.abs(x - la) - np.abs(y - lf), 0) * weight).sum()) for x, y in zip(xs, ys, strict=True)]
+    order = np.argsort(la, kind="stable")
+    la, lf, near, weight = la[order], lf[order], points["near"].to_numpy()[order], points["weight"].to_numpy(float)[order]
+    reach = near.max(initial=0.0)
+    reach += 1e-9 * (1 + reach)  # for rounding of the bounds
+    first, last = np.searchsorted(la, xs - reach), np.searchsorted(la, xs + reach, "right")
+    out = []
+    for x, y, i, j in zip(xs, ys, first, last, strict=True):
+        left = near[i:j] - np.abs(la[i:j] - x)
+        left -= np.abs(lf[i:j] - y)
+        np.maximum(left, 0, out=left)
+        left *= weight[i:j]
+        out.append(float(left.sum()))
+    return out
 
 
 def _held_gains(near: DataFrame, held: list) -> list[float]:

@@ -9,6 +9,7 @@ from collections import Counter
 from fractions import Fraction
 
 import numpy as np
+import pandas as pd
 import pytest
 from cliploom.functions import media, numbers, text
 from cliploom.operators import buckets, dominance, manifests, models, ordering, records, review, spans, splits, tags, words
@@ -641,3 +642,28 @@ def test_records_of_odd_rows(spark):
     asked = spark.createDataFrame([("/in/b.mp4", "b.mp4"), ("/in/f.mp4", "f.mp4"), ("/in/q.mp4", "q.mp4")], "clip_path string, clip_relpath string")
     hinted = {r["clip_relpath"]: r["hints"] and r["hints"]["general"] for r in manifests.with_hints(asked, records.hint_rows(rows, "/in")).collect()}
     assert hinted == {"b.mp4": ["x"], "f.mp4": ["g"], "q.mp4": None}
+
+
+def test_sizes_of_one_position_are_one_candidate(spark):
+    f = spark.createDataFrame([(128, 64, 9, 2), (64, 32, 9, 3), (64, 64, 9, 5), (64, 32, 17, 7)], "width int, height int, frames int, weight long")
+    assert sorted(map(tuple, buckets.positions(f).collect())) == [(64, 32, 9, 5), (64, 32, 17, 7), (64, 64, 9, 5)]
+
+
+def test_gains_of_points_in_reach(spark):
+    rng = np.random.default_rng(3)
+    shape = ["width", "height", "frames", "weight"]
+    points = pd.DataFrame(rng.integers(1, 60, (300, 4)), columns=shape).assign(near=rng.random(300))
+    candidates = pd.DataFrame(rng.integers(1, 60, (40, 4)), columns=shape)
+    got = buckets._gains(candidates, points)
+    for c, gain in zip(candidates.itertuples(), got, strict=True):
+        d = np.abs(np.log(points.width / points.height) - np.log(c.width / c.height)) + np.abs(np.log(points.frames) - np.log(c.frames))
+        assert gain == pytest.approx((np.maximum(points.near - d, 0) * points.weight).sum(), rel=1e-12, abs=1e-12)
+
+
+def test_greedy_buckets_measure_positions_once(spark, monkeypatch):
+    sizes = []
+    leaders = buckets._leaders
+    monkeypatch.setattr(buckets, "_leaders", lambda near, taken, size: (sizes.append(size), leaders(near, taken, size))[1])
+    f = spark.createDataFrame([(64 * k, 32 * k, n, 1) for k in range(1, 9) for n in (9, 17, 33)], "width int, height int, frames int, weight long")
+    buckets.greedy(f, 512, 3)
+    assert set(sizes) == {3}  # eight sizes of each
