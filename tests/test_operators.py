@@ -667,3 +667,17 @@ def test_greedy_buckets_measure_positions_once(spark, monkeypatch):
     f = spark.createDataFrame([(64 * k, 32 * k, n, 1) for k in range(1, 9) for n in (9, 17, 33)], "width int, height int, frames int, weight long")
     buckets.greedy(f, 512, 3)
     assert set(sizes) == {3}  # eight sizes of each
+
+
+def test_report_cuts_captions_once(spark):
+    seen = spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        for batch in batches:
+            seen.add(len(batch))
+            yield batch
+
+    captions = spark.createDataFrame([("a b a",), ("b a\nnone",), (None,)], "caption string").mapInPandas(count, "caption string")
+    got = [r["line"] for r in words.report(captions, 2).collect()]
+    assert got == ["manifests=1 caption_rows=3 unique_words=2 unique_bigrams=2", "Top 2 words", "1. a (3)", "2. b (2)", "Top 2 bigrams", "1. b a (2)", "2. a b (1)"]
+    assert seen.value == 2 * 3  # once for tokens, once for the number of rows
