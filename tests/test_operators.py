@@ -681,3 +681,12 @@ def test_report_cuts_captions_once(spark):
     got = [r["line"] for r in words.report(captions, 2).collect()]
     assert got == ["manifests=1 caption_rows=3 unique_words=2 unique_bigrams=2", "Top 2 words", "1. a (3)", "2. b (2)", "Top 2 bigrams", "1. b a (2)", "2. a b (1)"]
     assert seen.value == 2 * 3  # once for tokens, once for the number of rows
+
+
+def test_balanced_subset_compares_keys_alone(spark, monkeypatch):
+    kind, shapes = type(spark.range(1)), []
+    arrow = kind.mapInArrow
+    monkeypatch.setattr(kind, "mapInArrow", lambda self, f, shape, *a, **b: (shapes.append(shape), arrow(self, f, shape, *a, **b))[1])
+    rows = [(f"c{i:02d}", f"s{i}", [f"t{i % 7}", f"t{i % 5}"]) for i in range(20)]
+    assert picked(splits.balanced_subset(clips(spark, *rows), 8)) == plain_greedy(rows, 8)
+    assert shapes and not any("array" in s or "string" in s for s in shapes)  # every task sends its first ones; tags follow for the chosen
