@@ -2,16 +2,17 @@
 
 Feature points are distinct (width, height, frames) with the number of their clips; those of one aspect ratio and frame count
 are one position for the greedy picks. Total costs add up by axis, from running
-sums. A point's gain falls from its distance to the nearest pick to nothing, evenly on four triangles around it; a triangle
-is two corners of the plane less one, so the gains of all candidates are twelve sums over points below and left of them, in
-near-linear time. These carry rounding errors of all that is added up; so the leading candidates, with a margin for that, are
-measured again pair by pair, in blocks. Gains only fall as picks are made, so a pass over all candidates serves many picks:
-the driver holds the HELD best of it.
+sums. A point's gain falls from its distance to the nearest pick to nothing, evenly. To candidates of one frame count it is a
+tent over the aspect, so the gains of all of them are running sums over the tents' feet and tips, in blocks. Beyond PAIRWISE
+positions it is four triangles around the point; a triangle is two corners of the plane less one, so the gains of all
+candidates are twelve sums over points below and left of them, in near-linear time. Both carry rounding errors of all that is
+added up; so the leading candidates, with a margin for that, are measured again pair by pair. Gains only fall as picks are
+made, so a pass over all candidates serves many picks: the driver holds the HELD best of it.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -26,7 +27,7 @@ from .ordering import running
 MULTIPLE, RADIUS, MOST_BUCKETS, LEAST_GAIN = 32, 16, 30, 1e-12
 BLOCK = 10_000
 HELD = 256
-#: Up to so many points all gains are measured pair by pair, which takes less time there and gives the same.
+#: Up to so many points gains are summed up by frame count, which takes less time there and gives the same.
 PAIRWISE = 200_000
 #: Rounding errors of gains from sums, as a share of all weighted distances that are added up.
 MARGIN = 1e-10
@@ -111,7 +112,7 @@ def greedy(features: DataFrame, resolution: int, most: int = MOST_BUCKETS) -> Da
     total distance most. The driver holds the picks and the HELD best candidates of the last pass over all; these are
     measured again for each pick, and all are when none of them stays ahead of the first that was left out."""
     spark = features.sparkSession
-    points = projected(positions(features), resolution).persist()
+    points = projected(positions(features), resolution).repartition(spark.sparkContext.defaultParallelism).persist()
     try:
         picks = _picks(points, seed(features).first(), most)
     finally:
@@ -143,9 +144,17 @@ def _picks(points: DataFrame, first, most: int) -> list:
 
 def _with_distance(points: DataFrame, picks: list) -> DataFrame:
     """points with near: the distance to the nearest picked feature (MOST_BUCKETS at most)."""
-    aspect = F.col("width") / F.col("height")
-    far = [log_distance(F.lit(p["width"] / p["height"]), F.lit(float(p["frames"])), aspect, F.col("frames")) for p in picks]
-    return points.withColumn("near", F.array_min(F.array(*far)))
+    xs, ys = _logs(*np.array([[p[c] for c in FEATURE[:3]] for p in picks], float).T)
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            la, lf = _logs(*(batch[c].to_numpy(float) for c in FEATURE[:3]))
+            near = np.full(len(batch), np.inf)
+            for x, y in zip(xs, ys, strict=True):
+                np.minimum(near, np.abs(la - x) + np.abs(lf - y), out=near)
+            yield batch.assign(near=near)
+
+    return points.mapInPandas(run, ", ".join(f"{c} {kind}" for c, kind in points.dtypes) + ", near double")
 
 
 def _gains(candidates: pd.DataFrame, points: pd.DataFrame) -> list[float]:
@@ -167,6 +176,31 @@ def _gains(candidates: pd.DataFrame, points: pd.DataFrame) -> list[float]:
     return out
 
 
+def _tents(candidates: pd.DataFrame, points: pd.DataFrame) -> np.ndarray:
+    """As _gains, but for rounding: by frame count, from sums over the points' tents between the candidates' aspects."""
+    xs, ys = _logs(*(candidates[c].to_numpy(float) for c in FEATURE[:3]))
+    la, lf = _logs(*(points[c].to_numpy(float) for c in FEATURE[:3]))
+    near, weight = points["near"].to_numpy(), points["weight"].to_numpy(float)
+    order = np.lexsort((xs, ys))
+    rows = np.split(order, np.flatnonzero(np.diff(ys[order])) + 1)
+    if 8 * len(rows) > len(xs):  # hardly any in a row
+        return np.array(_gains(candidates, points))
+    out = np.zeros(len(xs))
+    for row in rows:
+        x, left = xs[row], near - np.abs(lf - ys[row[0]])
+        some = np.flatnonzero(left > 0)
+        a, r, w = la[some], left[some], weight[some]
+        foot, tip, end = (np.searchsorted(x, at) for at in (a - r, a, a + r))
+
+        def steps(at: np.ndarray, by: np.ndarray, n: int = len(x) + 1) -> np.ndarray:
+            return np.bincount(at, by, n)
+
+        level = steps(foot, w * (r - a)) + steps(tip, 2 * w * a) - steps(end, w * (r + a))
+        slope = steps(foot, w) - 2 * steps(tip, w) + steps(end, w)
+        out[row] = np.cumsum(level)[:-1] + np.cumsum(slope)[:-1] * x
+    return out
+
+
 def _held_gains(near: DataFrame, held: list) -> list[float]:
     """The gain of each held candidate, from sums by task."""
     shared = near.sparkSession.sparkContext.broadcast(pd.DataFrame([[c[x] for x in FEATURE] for c in held], columns=FEATURE))
@@ -183,19 +217,25 @@ def _held_gains(near: DataFrame, held: list) -> list[float]:
 
 
 def _leaders(near: DataFrame, taken: set, size: int) -> tuple[list, float]:
-    """As _leading, of all candidates (features whose bucket is not taken). Of more than PAIRWISE points, those that the sums show
-    to be behind the HELD first, by more than the sums can err, are not measured."""
+    """The HELD first candidates by gain and tie order (features whose bucket is not taken), and the gain of the first one left
+    out (0 if none is). Those that the sums show to be behind the HELD first, by more than the sums can err, are not measured."""
     free = near.where(~F.struct(*BUCKET).isin([F.struct(F.lit(w), F.lit(h), F.lit(f).cast("long")) for w, h, f in taken]))
     blocks = -(-size // BLOCK)
-    if size <= PAIRWISE:
-        return _leading(_measured(near, free, blocks, blocks))
-    summed = _summed_gains(near, free).persist()
+    summed = _by_frames(near, free, blocks) if size <= PAIRWISE else free.join(_summed_gains(near, free), FEATURE[:3])
+    summed = summed.select(*FEATURE, *BUCKET, "total").persist()
     try:
-        least, n = summed.orderBy(F.desc("total")).limit(HELD + 1).agg(F.min("total"), F.count("*")).first()
         x, y = _coordinates()
-        added = near.agg(F.sum(F.col("weight") * (F.col("near") + F.abs(x) + F.abs(y)))).first()[0]
-        ahead = summed if n <= HELD else summed.where(F.col("total") >= least - 2 * MARGIN * added)
-        return _leading(_measured(near, free.join(ahead.select(*FEATURE[:3]), FEATURE[:3]), -(-ahead.count() // BLOCK), blocks))
+        # rounding errors grow with the places of points and of candidates
+        added = near.agg(F.sum(F.col("weight") * (F.col("near") + F.abs(x) + F.abs(y))) + F.sum("weight") * F.max(F.abs(x))).first()[0]
+        first = summed.orderBy(F.desc("total")).limit(2 * HELD + 1).collect()
+        least = first[HELD]["total"] - 2 * MARGIN * added if len(first) > HELD else -np.inf
+        if len(first) <= 2 * HELD or first[-1]["total"] < least:
+            ahead = [c.asDict() for c in first if c["total"] >= least]
+            ahead = [{**c, "gain": gain} for c, gain in zip(ahead, _held_gains(near, ahead), strict=True) if gain > LEAST_GAIN]
+            ahead.sort(key=lambda c: _order(c, c["gain"]))
+            return ahead[:HELD], ahead[HELD]["gain"] if len(ahead) > HELD else 0.0
+        ahead = summed.where(F.col("total") >= least)
+        return _leading(_measured(near, ahead, -(-ahead.count() // BLOCK), blocks))
     finally:
         summed.unpersist()
 
@@ -240,26 +280,39 @@ def _summed_gains(near: DataFrame, free: DataFrame) -> DataFrame:
     return dominance_sums(points.unionByName(places), keys, BLOCK)
 
 
+def _by_frames(near: DataFrame, free: DataFrame, blocks: int) -> DataFrame:
+    """Candidates with total: their gain from sums, one row of candidates (of a frame count) after the other."""
+    wide = max(blocks, near.sparkSession.sparkContext.defaultParallelism)
+    return _in_blocks(near, free, (wide, -(-blocks // 5)), ["frames"], _tents, "total")  # sums take less memory than pairs
+
+
 def _measured(near: DataFrame, free: DataFrame, candidate_blocks: int, point_blocks: int) -> DataFrame:
-    """Candidates with their gain, pair by pair; blocks of both sides meet in a group."""
+    """Candidates with their gain, pair by pair."""
+    return _in_blocks(near, free, (candidate_blocks, point_blocks), FEATURE[:3], _gains, "gain")
 
-    def block(n: int) -> Column:
-        return F.pmod(F.xxhash64(*FEATURE[:3]), F.lit(max(n, 1))).cast("int")
+
+def _in_blocks(near: DataFrame, free: DataFrame, blocks: tuple[int, int], keys: list[str], gains: Callable, name: str) -> DataFrame:
+    """Candidates with the sum of gains to all points; blocks of both sides meet in a group, candidates with equal keys in one."""
+
+    def block(n: int, by: list[str]) -> Column:
+        return F.pmod(F.xxhash64(*by), F.lit(max(n, 1))).cast("int")
 
     def every(n: int) -> Column:
         return F.explode(F.sequence(F.lit(0), F.lit(max(n, 1) - 1)))
 
     columns = [*FEATURE, *BUCKET]
-    left = free.select(*columns, block(candidate_blocks).alias("i"), every(point_blocks).alias("j"))
-    right = near.select(*FEATURE, "near", block(point_blocks).alias("j"), every(candidate_blocks).alias("i"))
-    left, right = (side.toDF(*side.columns) for side in (left, right))  # columns of their own, as both come from one table
+    left = free.select(*columns, block(blocks[0], keys).alias("i"), every(blocks[1]).alias("j"))
+    right = near.select(*FEATURE, "near", block(blocks[1], FEATURE[:3]).alias("j"), every(blocks[0]).alias("i"))
+    # columns of their own, as both come from one table; groups are few bytes and much work, so their number of tasks is given
+    tasks = 2 * near.sparkSession.sparkContext.defaultParallelism
+    left, right = (side.toDF(*side.columns).repartition(tasks, "i", "j") for side in (left, right))
     types = dict(free.dtypes)
 
     def run(candidates: pd.DataFrame, points: pd.DataFrame) -> pd.DataFrame:
-        return candidates[columns].assign(gain=_gains(candidates, points))
+        return candidates[columns].assign(**{name: gains(candidates, points)})
 
-    parts = left.groupBy("i", "j").cogroup(right.groupBy("i", "j")).applyInPandas(run, ", ".join(f"{c} {types[c]}" for c in columns) + ", gain double")
-    return parts.groupBy(*columns).agg(F.sum("gain").alias("gain"))
+    parts = left.groupBy("i", "j").cogroup(right.groupBy("i", "j")).applyInPandas(run, ", ".join(f"{c} {types[c]}" for c in columns) + f", {name} double")
+    return parts.groupBy(*columns).agg(F.sum(name).alias(name))
 
 
 def _leading(gains: DataFrame) -> tuple[list, float]:
@@ -272,13 +325,12 @@ def _leading(gains: DataFrame) -> tuple[list, float]:
 
 def _best(gains: list[float], held: list):
     """The held candidate with the largest gain, by the tie order, and that gain; None if none gains."""
+    able = [k for k in range(len(held)) if gains[k] > LEAST_GAIN]
+    return (held[k], gains[k]) if able and (k := min(able, key=lambda k: _order(held[k], gains[k]))) is not None else None
 
-    def order(k: int) -> tuple:
-        c = held[k]
-        return -round(gains[k], 9), c["bucket_width"] / c["bucket_height"], c["bucket_frames"], c["bucket_width"], c["bucket_height"], c["width"] / c["height"], c["frames"], c["width"], c["height"]
 
-    able = [k for k in range(len(held)) if gains[k] > LEAST_GAIN]
-    return (held[k], gains[k]) if able and (k := min(able, key=order)) is not None else None
+def _order(c, gain: float) -> tuple:
+    return -round(gain, 9), c["bucket_width"] / c["bucket_height"], c["bucket_frames"], c["bucket_width"], c["bucket_height"], c["width"] / c["height"], c["frames"], c["width"], c["height"]
 
 
 def assigned(features: DataFrame, buckets: DataFrame) -> DataFrame:

@@ -660,6 +660,23 @@ def test_gains_of_points_in_reach(spark):
         assert gain == pytest.approx((np.maximum(points.near - d, 0) * points.weight).sum(), rel=1e-12, abs=1e-12)
 
 
+def test_gains_by_frame_count(spark, monkeypatch):
+    rng = np.random.default_rng(5)
+    shape = ["width", "height", "frames", "weight"]
+    points = pd.DataFrame(rng.integers(1, 60, (500, 4)), columns=shape).assign(near=rng.random(500))
+    candidates = pd.DataFrame(rng.integers(1, 60, (400, 4)), columns=shape).assign(frames=rng.integers(1, 9, 400))
+    want = buckets._gains(candidates, points)
+    assert buckets._tents(candidates, points) == pytest.approx(want, rel=1e-9, abs=1e-9)
+    # only the leaders are measured pair by pair
+    pairs, gains = [], buckets._held_gains
+    monkeypatch.setattr(buckets, "_measured", None)
+    monkeypatch.setattr(buckets, "_held_gains", lambda near, held: (pairs.append(len(held)), gains(near, held))[1])
+    monkeypatch.setattr(buckets, "HELD", 4)
+    f = spark.createDataFrame(points[shape].drop_duplicates(shape[:3]).astype("int64"))
+    assert buckets.greedy(f, 512, 5).count() == 5
+    assert max(pairs) <= 8
+
+
 def test_greedy_buckets_measure_positions_once(spark, monkeypatch):
     sizes = []
     leaders = buckets._leaders
