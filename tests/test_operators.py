@@ -700,6 +700,16 @@ def test_report_cuts_captions_once(spark):
     assert seen.value == 2 * 3  # once for tokens, once for the number of rows
 
 
+def test_validation_picks_are_checked_many_at_once(spark, monkeypatch):
+    rng = random.Random(11)
+    rows = [(f"c{i:02d}", f"s{i % 3}", sorted(rng.sample([f"t{k}" for k in range(25)], rng.randint(0, 9)))) for i in range(60)]
+    passes, best = [], splits._best
+    monkeypatch.setattr(splits, "_best", lambda *a: (passes.append(0), best(*a))[1])
+    monkeypatch.setattr(splits, "HELD", 12)
+    assert picked(splits.validation_subset(clips(spark, *rows), 30)) == plain_validation(rows, 30, None)
+    assert len(passes) < 30  # one a pick
+
+
 def test_balanced_subset_compares_keys_alone(spark, monkeypatch):
     kind, shapes = type(spark.range(1)), []
     arrow = kind.mapInArrow
